@@ -1,0 +1,383 @@
+"""Typed tables of any size with an exact number of matches between neighbours.
+
+A table is ``spark.range`` with one native expression per column.  Nothing is
+shuffled or stored to make it, and no Python runs per row.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field, replace
+from typing import Any
+
+from pyspark.sql import Column as SparkColumn
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions.draws import hash32, hash63, stream
+from ..functions.patterns import Spelling, drawn_string
+from ..operators.project import col
+from ..operators.rows import first_rows, number_rows
+from ..sources.scratch import cut
+from ..spec import INTEGRAL, Column, Join, Spec, SpecError, Table
+from .chain import Joined, Step
+from .pools import EPOCH, Member, Pool
+
+ROW = "_rid"
+
+
+@dataclass(frozen=True)
+class Generated:
+    """Generated tables, the joined table after each step, and the expected result."""
+
+    spec: Spec
+    tables: dict[str, DataFrame]
+    steps: list[DataFrame] = field(default_factory=list)
+
+    @property
+    def expected(self) -> DataFrame:
+        return self.steps[-1] if self.steps else next(iter(self.tables.values()))
+
+
+# ---------------------------------------------------------------- columns
+
+
+def drawn_column(
+    column: Column, index: SparkColumn, stream_no: int
+) -> SparkColumn | Spelling:
+    """Values that may repeat: drawn for each index from bounds, a pattern or a list."""
+    dtype = column.dtype
+    if isinstance(dtype, T.BooleanType) and column.values is None:
+        return hash32(index, stream_no) % F.lit(2) == F.lit(1)
+    if column.values is not None:
+        listed = F.array(*[F.lit(v).cast(dtype) for v in column.values])
+        place = hash32(index, stream_no) % F.lit(len(column.values))
+        return F.element_at(listed, (place + 1).cast("int"))
+    if column.pattern is not None:
+        return drawn_string(column.name, index, column.pattern, column.letters, stream_no)
+    lo, hi = column.bounds
+    if isinstance(dtype, T.DoubleType):
+        share = hash32(index, stream_no) / F.lit(float(1 << 32))
+        return F.lit(float(lo)) + F.lit(float(hi) - float(lo)) * share
+    if isinstance(dtype, T.DateType):
+        days = hash32(index, stream_no) % F.lit((hi - lo).days + 1)
+        return F.date_from_unix_date((days + F.lit((lo - EPOCH).days)).cast("int"))
+    room = hi - lo + 1
+    draw = hash32(index, stream_no) if room <= 1 << 32 else hash63(index, stream_no)
+    return (draw % F.lit(room) + F.lit(lo)).cast(dtype)
+
+
+def _select(rows: DataFrame, columns: Mapping[str, SparkColumn | Spelling]) -> DataFrame:
+    """Two projections: the numbers strings are spelled from, then the columns."""
+    numbers: dict[str, SparkColumn] = {}
+    values = []
+    for name, column in columns.items():
+        if isinstance(column, Spelling):
+            numbers.update(column.numbers)
+            column = column.text
+        values.append(column.alias(name))
+    if numbers:
+        rows = rows.select("*", *[n.alias(c) for c, n in numbers.items()])
+    return rows.select(F.col(ROW), *values)
+
+
+def _index(spark: SparkSession, start: int, stop: int, partitions: int | None) -> DataFrame:
+    return spark.range(start, max(stop, start), 1, partitions).withColumnRenamed("id", ROW)
+
+
+def generate_table(
+    spark: SparkSession,
+    table: Table,
+    seed: int = 0,
+    partitions: int | None = None,
+    start: int = 0,
+) -> DataFrame:
+    """One table on its own: rows ``start .. size - 1``."""
+    table = Spec((table,)).checked().tables[0]
+    layout = _Layout([table], [], seed)
+    rows = _index(spark, start, table.size, partitions)
+    return _select(rows, layout.columns(0, F.col(ROW))).drop(ROW)
+
+
+# ----------------------------------------------------------------- layout
+
+
+class _Layout:
+    """The columns of a chain's tables as expressions of their row index.
+
+    Two neighbours agree, in their first rows, on every column name both have;
+    a name that clashed in an earlier join no longer names one column, and is
+    not shared with later tables.
+    """
+
+    def __init__(self, tables: Sequence[Table], joins: Sequence[Join], seed: int):
+        self.tables = list(tables)
+        self.joins = list(joins)
+        self.seed = seed
+        self.pools: list[list[Member]] = []
+        # (table, column) -> (pool, place in the pool)
+        self.places: dict[tuple[int, str], tuple[int, int]] = {}
+        self.shared: list[dict[str, str]] = []
+        self._connect()
+        self.allotted = {
+            p: Pool(members, self._pool_stream(members)).allot()
+            for p, members in enumerate(self.pools)
+            if not any(m.column.repeats for m in members) and not self._only_drawn(members)
+        }
+
+    def _pool_stream(self, members: list[Member]) -> int:
+        return stream(self.seed, f"{members[0].table}.{members[0].column.name}")
+
+    @staticmethod
+    def _only_drawn(members: list[Member]) -> bool:
+        """A string of one table need not be unique, it is drawn."""
+        return len(members) == 1 and members[0].column.pattern is not None
+
+    def _connect(self) -> None:
+        live: dict[str, tuple[int, str]] = {}
+        for t, table in enumerate(self.tables):
+            join = self.joins[t - 1] if t else None
+            shared: dict[str, str] = {}
+            if join is not None:
+                shared = {c: c for c in table.names if c in live}
+                if join.left_key not in live:
+                    raise SpecError(f"{join.left_key!r} is not one column of the joined table")
+                shared[join.right_key] = join.left_key
+            self.shared.append(shared)
+            for c in table.columns:
+                source = live.get(shared[c.name]) if c.name in shared else None
+                if source is None:
+                    self.pools.append([])
+                    pool = len(self.pools) - 1
+                else:
+                    pool = self.places[source][0]
+                copied = join.matches if source is not None else 0
+                self.pools[pool].append(Member(table.name, c, table.size, copied))
+                self.places[t, c.name] = (pool, len(self.pools[pool]) - 1)
+            for c in table.names:
+                if c in live and not (join and join.left_key == join.right_key == c):
+                    del live[c]
+                elif c not in live:
+                    live[c] = (t, c)
+
+    def columns(self, t: int, index: SparkColumn) -> dict[str, SparkColumn | Spelling]:
+        return {c.name: self._column(t, c, index) for c in self.tables[t].columns}
+
+    def _column(self, t: int, column: Column, index: SparkColumn) -> SparkColumn | Spelling:
+        pool, place = self.places[t, column.name]
+        if pool in self.allotted:
+            return self.allotted[pool].column(place, index)
+        own = stream(self.seed, f"{self.tables[t].name}.{column.name}")
+        members = self.pools[pool]
+        if len(members) == 1:
+            return drawn_column(column, index, own)
+        return self._drawn_shared(members, place, index, own)
+
+    def _drawn_shared(self, members, place, index, own) -> SparkColumn:
+        """Draws that may repeat: matched rows draw alike, from what all may use."""
+        first = self._pool_stream(members)
+        out = None
+        for last in range(len(members) - 1, 0, -1):
+            if place > last:
+                continue
+            common = _common([m.column for m in members[: last + 1]])
+            value = drawn_column(common, index, first)
+            matched = index < F.lit(members[last].copied)
+            out = F.when(matched, value) if out is None else out.when(matched, value)
+        rest = drawn_column(members[place].column, index, own)
+        return rest if out is None else out.otherwise(rest)
+
+    def allowed(self, t: int) -> dict[str, SparkColumn]:
+        """For each shared column of table ``t``: whether a joined row's value fits it."""
+        out = {}
+        for name, source in self.shared[t].items():
+            c = self.tables[t].column(name)
+            if c.values is not None:
+                out[source] = col(source).isin(*c.values)
+            elif c.bounds is not None:
+                out[source] = col(source).between(*c.bounds)
+            else:
+                out[source] = F.lit(True)
+        return out
+
+
+def _common(columns: Sequence[Column]) -> Column:
+    """A column whose values all the given columns may have."""
+    first = columns[0]
+    lists = [c.values for c in columns if c.values is not None]
+    bounds = [c.bounds for c in columns if c.bounds is not None]
+    if len({(c.pattern, c.letters) for c in columns}) > 1:
+        raise SpecError(f"{first.name}: tables that share it need one pattern")
+    if lists:
+        values = tuple(
+            v
+            for v in lists[0]
+            if all(v in other for other in lists) and all(lo <= v <= hi for lo, hi in bounds)
+        )
+        if not values:
+            raise SpecError(f"{first.name}: the value lists have nothing in common")
+        return replace(first, values=values, bounds=None, repeatable=True)
+    if bounds:
+        lo, hi = max(b[0] for b in bounds), min(b[1] for b in bounds)
+        if lo > hi:
+            raise SpecError(f"{first.name}: the ranges have nothing in common")
+        return replace(first, bounds=(lo, hi), unique=False)
+    return first
+
+
+# ------------------------------------------------------------------ chain
+
+
+def generate(
+    spark: SparkSession,
+    spec: Spec | Mapping[str, Any],
+    seed: int = 0,
+    partitions: int | None = None,
+) -> Generated:
+    """Generate the tables of a spec and the result its joins are expected to give.
+
+    Everything is lazy while no join has a filter.  After a filter the next table
+    copies rows that survived it; which ones these are is found by running the
+    chain so far, and they are kept in the shared folder.  A spec that cannot be
+    met raises :class:`SpecError` before any job, but for a filter that leaves
+    too few rows, which raises when it has run.
+    """
+    spec = Spec.from_dict(spec) if isinstance(spec, Mapping) else spec.checked()
+    layout = _Layout(spec.tables, spec.joins, seed)
+    tables: dict[str, DataFrame] = {}
+    steps: list[DataFrame] = []
+    joined: Joined | None = None
+    filtered = False
+    for t, table in enumerate(spec.tables):
+        join = spec.joins[t - 1] if t else None
+        columns = layout.columns(t, F.col(ROW))
+        if filtered and join.matches:
+            frame = _table_after_filter(spark, layout, t, join, joined, columns, partitions)
+        else:
+            frame = _select(_index(spark, 0, table.size, partitions), columns)
+        tables[table.name] = frame.drop(ROW)
+        if joined is None:
+            joined = Joined.start(table.name, frame.withColumnRenamed(ROW, "_order"))
+            continue
+        joined = _join_next(joined, table.name, frame, join)
+        filtered = filtered or join.where is not None
+        steps.append(joined.frame.drop("_order"))
+    return Generated(spec, tables, steps)
+
+
+def _join_next(joined: Joined, name: str, frame: DataFrame, join: Join) -> Joined:
+    """Join, and number the rows by the order of the side that is kept whole."""
+    right = frame.withColumnRenamed(ROW, "_place")
+    step = Step((join.left_key, join.right_key), join.how, unique=("left", "right"))
+    result = joined.then(name, right, step)
+    orders = {
+        "inner": F.col("_order"),
+        "left": F.col("_order"),
+        "right": F.col("_place"),
+        "full": F.coalesce("_order", "_place") * 2 + F.isnull("_order").cast("bigint"),
+    }
+    ordered = result.frame.withColumn("_order", orders[join.how]).drop("_place")
+    owners = {c: t for c, t in result.owners.items() if c != "_place"}
+    return Joined(ordered, owners).where(join.where)
+
+
+def _table_after_filter(
+    spark, layout, t, join, joined, columns, partitions
+) -> DataFrame:
+    """A table whose first rows copy the first rows that are left of the chain."""
+    table = layout.tables[t]
+    source_of = layout.shared[t]
+    fits = F.lit(True)
+    for condition in layout.allowed(t).values():
+        fits = fits & condition
+    for source in source_of.values():
+        fits = fits & col(source).isNotNull()
+    copies = [col(source).alias(f"__copy_{name}") for name, source in source_of.items()]
+    left = cut(joined.frame.filter(fits).select("_order", *copies))
+    try:
+        base = first_rows(left, "_order", join.matches)
+    except ValueError as e:
+        raise SpecError(f"{table.name}: the filter leaves too few rows: {e}") from None
+    base = number_rows(base, "_order", ROW).drop("_order")
+    copied = {n: F.col(f"__copy_{n}").cast(table.column(n).dtype) for n in source_of}
+    head = _select(base, {**columns, **copied})
+    tail = _select(_index(spark, join.matches, table.size, partitions), columns)
+    return head.unionByName(tail)
+
+
+def correlated_pair(
+    spark: SparkSession,
+    left: Table,
+    right: Table,
+    matches: int,
+    key: str,
+    seed: int = 0,
+    partitions: int | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Two tables: ``matches`` rows agree on all columns both have, no others on the key."""
+    spec = Spec((left, right), (Join(key, key, "inner", matches),))
+    tables = generate(spark, spec, seed, partitions).tables
+    return tables[left.name], tables[right.name]
+
+
+def next_table(
+    base: DataFrame,
+    order: str,
+    table: Table,
+    matches: int,
+    seed: int = 0,
+    partitions: int | None = None,
+) -> DataFrame:
+    """A table that goes with an existing one.
+
+    Its first ``matches`` rows copy, from the first rows of ``base`` in the order
+    of an integer column, every column both have.  In the other rows these
+    columns lie above the largest value in ``base``, so they match nothing.
+    """
+    spark = base.sparkSession
+    shared = [c for c in table.names if c in base.columns]
+    if not shared:
+        raise SpecError(f"{table.name!r} has no column in common with the other table")
+    if not 0 <= matches <= table.size:
+        raise SpecError(f"{matches} matches do not fit {table.name!r}")
+    for name in shared:
+        if not isinstance(table.column(name).dtype, (*INTEGRAL, T.DateType)):
+            raise SpecError(f"{name!r}: only whole numbers and dates have a next value")
+    table = Spec((table,)).checked().tables[0]
+    tops = base.agg(*[F.max(col(c)).alias(c) for c in shared]).first()
+    filler = []
+    for c in table.columns:
+        if c.name in shared and tops[c.name] is not None:
+            c = _above(c, tops[c.name], table.size - matches, table.name)
+        filler.append(c)
+    own = [c for c in table.columns if c.name not in shared]
+    layout = _Layout([replace(table, columns=tuple(own))], [], seed)
+    columns = layout.columns(0, F.col(ROW))
+    picked = first_rows(base, order, matches).select(
+        col(order).alias("__order"), *[col(c).alias(f"__copy_{c}") for c in shared]
+    )
+    copied = {
+        c: F.col(f"__copy_{c}").cast(table.column(c).dtype) for c in shared
+    }
+    head = _select(number_rows(picked, "__order", ROW), {**columns, **copied})
+    rest = Table(table.name, table.size - matches, tuple(c for c in filler if c.name in shared))
+    above = _Layout([rest], [], seed).columns(0, F.col(ROW) - F.lit(matches))
+    tail = _select(_index(spark, matches, table.size, partitions), {**columns, **above})
+    return head.select(table.names).unionByName(tail.select(table.names))
+
+
+def _above(column: Column, top: Any, rows: int, table: str) -> Column:
+    if column.bounds is None:
+        raise SpecError(f"{table}.{column.name}: a value list has no next value")
+    lo, hi = column.bounds
+    if isinstance(column.dtype, T.DateType):
+        lo = max(lo, top + dt.timedelta(days=1))
+        room = (hi - lo).days + 1
+    else:
+        lo = max(lo, top + 1)
+        room = hi - lo + 1
+    if room < rows:
+        raise SpecError(f"{table}.{column.name}: {room} values above {top} for {rows} rows")
+    return replace(column, bounds=(lo, hi))
