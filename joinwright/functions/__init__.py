@@ -1,10 +1,12 @@
-from .draws import hash32, hash63, permuted, stream, stride
+from .draws import array_of, hash32, hash63, literal, permuted, stream, stride
 from .patterns import drawn_string, pattern_regex, unique_room, unique_string
 
 __all__ = [
+    "array_of",
     "drawn_string",
     "hash32",
     "hash63",
+    "literal",
     "pattern_regex",
     "permuted",
     "stream",

@@ -1,50 +1,71 @@
-"""Repeatable draws as native column expressions.
+"""Repeatable draws as SQL expressions.
 
 Every value is a pure function of a seed, a column and a row index, so a table
 comes out the same on any number of partitions, after a retry, and on a second
 read, without shuffling or keeping anything.
+
+The functions take and give SQL text for ``selectExpr``; an index is a bigint.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import hashlib
 import math
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from collections.abc import Iterable
+from typing import Any
 
 # A prime below 2^32, and multipliers that keep every product within a bigint.
 PRIME = 4294967291
 LOW = 668265263
 HIGH = 374761393
-MIX = 0x45D9F3B
+MIX = 73244475
 MASK32 = 0xFFFFFFFF
 
 
+def literal(value: Any) -> str:
+    """A Python value as a SQL literal."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return str(value).upper()
+    if isinstance(value, int):
+        return str(value) if value >= 0 else f"({value})"
+    if isinstance(value, float):
+        return f"({value!r}D)"
+    if isinstance(value, dt.date):
+        return f"DATE'{value.isoformat()}'"
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def array_of(values: Iterable[Any]) -> str:
+    return "array(" + ", ".join(literal(v) for v in values) + ")"
+
+
 def stream(seed: int, *names: object) -> int:
     """32-bit number of the draws of one column under one seed."""
     text = ":".join([str(seed), *map(str, names)])
     return int.from_bytes(hashlib.md5(text.encode()).digest()[:4], "big")
 
 
-def hash32(index: Column, stream_no: int) -> Column:
+def hash32(index: str, stream_no: int) -> str:
     """Number in ``0 .. 2^32 - 1`` that looks random but depends on index and stream only.
 
     One multiplication modulo a prime, one shift-and-multiply, one shift: plain
     integer arithmetic, which stays within generated code.
     """
-    low = index.bitwiseXOR(F.lit(stream_no)) % F.lit(PRIME) * F.lit(LOW)
-    high = F.shiftright(index, 32) * F.lit(HIGH)
-    x = (low + high) % F.lit(PRIME)
-    x = (x.bitwiseXOR(F.shiftright(x, 16)) * F.lit(MIX)).bitwiseAND(F.lit(MASK32))
-    return x.bitwiseXOR(F.shiftright(x, 15))
+    low = f"(({index}) ^ {stream_no}) % {PRIME} * {LOW}"
+    high = f"shiftright({index}, 32) * {HIGH}"
+    x = f"(({low} + {high}) % {PRIME})"
+    x = f"((({x} ^ shiftright({x}, 16)) * {MIX}) & {MASK32})"
+    return f"({x} ^ shiftright({x}, 15))"
 
 
-def hash63(index: Column, stream_no: int) -> Column:
+def hash63(index: str, stream_no: int) -> str:
     """Like :func:`hash32` with 63 bits."""
-    first = F.shiftright(hash32(index, stream_no), 1)
+    first = hash32(index, stream_no)
     second = hash32(index, stream_no ^ MASK32)
-    return F.shiftleft(first, 32).bitwiseOR(second)
+    return f"(shiftright({first}, 1) * {1 << 32} + {second})"
 
 
 def stride(size: int) -> int:
@@ -58,6 +79,6 @@ def stride(size: int) -> int:
     return step
 
 
-def permuted(slot: Column, size: int, stream_no: int) -> Column:
+def permuted(slot: str, size: int, stream_no: int) -> str:
     """One-to-one map of ``0 .. size - 1`` onto itself: unique values without a shuffle."""
-    return (slot * F.lit(stride(size)) + F.lit(stream_no)) % F.lit(size)
+    return f"((({slot}) * {stride(size)} + {stream_no}) % {size})"

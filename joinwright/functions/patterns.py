@@ -5,10 +5,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from .draws import hash63, permuted
+from .draws import MASK32, hash63, literal, permuted
 
 # What a pattern symbol stands for, as (characters, may be empty).
 # "?" is one of the letters given with the pattern; any other symbol is itself.
@@ -34,9 +31,9 @@ class Position:
     def choices(self) -> int:
         return len(self.characters) + self.optional
 
-    def text(self, pick: Column) -> Column:
+    def text(self, pick: str) -> str:
         # One past the last character is the empty string.
-        return F.substring(F.lit(self.characters), (pick + 1).cast("int"), F.lit(1))
+        return f"substring({literal(self.characters)}, CAST({pick} + 1 AS INT), 1)"
 
 
 def positions(pattern: str, letters: str) -> list[Position]:
@@ -79,16 +76,15 @@ class Spelling:
     once however many characters use it.
     """
 
-    numbers: dict[str, Column]
-    text: Column
+    numbers: dict[str, str]
+    text: str
 
 
-def _letters_of(number: Column, parts: list[Position]) -> list[Column]:
+def _letters_of(number: str, parts: list[Position]) -> list[str]:
     """Characters of a number written in the mixed radix of the positions."""
     out, radix = [], 1
     for p in parts:
-        digit = F.call_function("div", number, F.lit(radix)) if radix > 1 else number
-        out.append(p.text(digit % F.lit(p.choices)))
+        out.append(p.text(f"{number} div {radix} % {p.choices}"))
         radix *= p.choices
     return out
 
@@ -106,28 +102,28 @@ def _groups(parts: list[Position]) -> list[list[Position]]:
     return groups
 
 
-def _assemble(parts: list[Position], spelled: dict[int, Column]) -> Column:
-    columns = [spelled.get(i, F.lit(p.characters)) for i, p in enumerate(parts)]
-    return F.concat(*columns) if len(columns) > 1 else columns[0]
+def _assemble(parts: list[Position], spelled: dict[int, str]) -> str:
+    pieces = [spelled.get(i, literal(p.characters)) for i, p in enumerate(parts)]
+    return f"concat({', '.join(pieces)})"
 
 
 def _drawn(
-    name: str, index: Column, parts: list[Position], chosen: list[int], stream_no: int
-) -> tuple[dict[str, Column], dict[int, Column]]:
+    name: str, index: str, parts: list[Position], chosen: list[int], stream_no: int
+) -> tuple[dict[str, str], dict[int, str]]:
     numbers, spelled = {}, {}
     at = iter(chosen)
     for g, group in enumerate(_groups([parts[i] for i in chosen])):
         if not group:
             continue
-        number = f"__{name}_{g}"
-        numbers[number] = hash63(index, (stream_no + 2 * g) & 0xFFFFFFFF)
-        for text in _letters_of(F.col(number), group):
+        number = f"`__{name}_{g}`"
+        numbers[number] = hash63(index, (stream_no + 2 * g) & MASK32)
+        for text in _letters_of(number, group):
             spelled[next(at)] = text
     return numbers, spelled
 
 
 def drawn_string(
-    name: str, index: Column, pattern: str, letters: str, stream_no: int
+    name: str, index: str, pattern: str, letters: str, stream_no: int
 ) -> Spelling:
     """String drawn at random for each index."""
     parts = positions(pattern, letters)
@@ -142,7 +138,7 @@ def unique_room(pattern: str, letters: str) -> int:
 
 
 def unique_string(
-    name: str, slot: Column, slots: int, pattern: str, letters: str, stream_no: int
+    name: str, slot: str, slots: int, pattern: str, letters: str, stream_no: int
 ) -> Spelling:
     """String that differs for every slot below ``slots``.
 
@@ -162,8 +158,8 @@ def unique_string(
     if room < slots:
         raise ValueError(f"pattern {pattern!r} has {room} strings, {slots} are needed")
     numbers, spelled = _drawn(name, slot, parts, free, stream_no)
-    number = f"__{name}_u"
+    number = f"`__{name}_u`"
     numbers[number] = permuted(slot, room, stream_no)
-    for i, text in zip(tail, _letters_of(F.col(number), [parts[i] for i in tail])):
+    for i, text in zip(tail, _letters_of(number, [parts[i] for i in tail])):
         spelled[i] = text
     return Spelling(numbers, _assemble(parts, spelled))

@@ -110,5 +110,5 @@ def draw_without_replacement(
     top = rows.agg(F.max(col(index))).first()[0]
     if top is not None and top >= size:
         raise ValueError(f"{top + 1} rows need as many values, there are {size}")
-    placed = rows.withColumn("__place", permuted(col(index), max(size, 1), stream_no))
+    placed = rows.withColumn("__place", F.expr(permuted(f"`{index}`", max(size, 1), stream_no)))
     return placed.join(listed, "__place").drop("__place")

@@ -1,5 +1,5 @@
 from .chain import Step, chain_counts, chain_results, join_chain
-from .generate import Generated, correlated_pair, generate, generate_table, next_table
+from .tables import Generated, correlated_pair, generate, generate_table, next_table
 from .jobs import chain_job, run_chain_job
 from .verify import Verification, verify
 

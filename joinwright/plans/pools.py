@@ -14,11 +14,9 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import Column as SparkColumn
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.draws import permuted
+from ..functions.draws import array_of, literal, permuted
 from ..functions.patterns import Spelling, unique_room, unique_string
 from ..spec import Column, SpecError
 
@@ -55,18 +53,18 @@ class Cell:
     def free(self) -> int:
         return self.room - self.used
 
-    def value(self, slot: SparkColumn, dtype: T.DataType, stream_no: int) -> SparkColumn:
-        """The slot's value; no two slots of a pool have the same."""
+    def value(self, slot: str, dtype: T.DataType, stream_no: int) -> str:
+        """The slot's value as SQL; no two slots of a pool have the same."""
         place = permuted(slot, self.room, stream_no)
         if self.values is not None:
-            listed = F.array(*[F.lit(v).cast(dtype) for v in self.values])
-            return F.element_at(listed, (place + 1).cast("int"))
+            return f"element_at({array_of(self.values)}, CAST({place} + 1 AS INT))"
+        lo = literal(self.lo)
         if isinstance(dtype, T.DoubleType):
-            share = (place + F.lit(0.5)) / F.lit(float(self.room))
-            return F.lit(float(self.lo)) + F.lit(float(self.hi) - float(self.lo)) * share
+            width = literal(float(self.hi) - float(self.lo))
+            return f"({literal(float(self.lo))} + {width} * (({place} + 0.5D) / {self.room}D))"
         if isinstance(dtype, T.DateType):
-            return F.date_from_unix_date((place + F.lit(self.lo)).cast("int"))
-        return (place + F.lit(self.lo)).cast(dtype)
+            return f"date_from_unix_date(CAST({place} + {lo} AS INT))"
+        return f"CAST({place} + {lo} AS {dtype.simpleString()})"
 
 
 @dataclass(frozen=True)
@@ -124,36 +122,31 @@ class Pool:
                 out.append((first, member.size, [m]))
         return out
 
-    def column(self, member: int, index: SparkColumn) -> SparkColumn | Spelling:
-        """The column of one table as an expression of its row index."""
-        dtype = self.members[member].column.dtype
+    def column(self, member: int, index: str) -> str | Spelling:
+        """The column of one table as SQL over its row index."""
+        column = self.members[member].column
         pieces = self.pieces[member]
         if not pieces:
-            return F.lit(None).cast(dtype)
-        pattern = self.members[member].column.pattern
-        if pattern is not None:
-            slot = _by_row([(p, index + F.lit(p.slot - p.start)) for p in pieces], index)
-            slots = pieces[0].cell.used
-            name = self.members[member].column.name
-            letters = self.members[member].column.letters
-            return unique_string(name, slot, slots, pattern, letters, self.stream_no)
-        return _by_row(
-            [
-                (p, p.cell.value(index + F.lit(p.slot - p.start), dtype, self.stream_no))
-                for p in pieces
-            ],
-            index,
-        )
-
-
-def _by_row(choices: list[tuple[Piece, SparkColumn]], index: SparkColumn) -> SparkColumn:
-    """Choose by row index; the pieces lie one after the other."""
-    *earlier, (_, last) = choices
-    out = None
-    for piece, value in earlier:
-        in_piece = index < F.lit(piece.stop)
-        out = F.when(in_piece, value) if out is None else out.when(in_piece, value)
-    return last if out is None else out.otherwise(last)
+            return f"CAST(NULL AS {column.dtype.simpleString()})"
+        slots = [f"{index} + {literal(p.slot - p.start)}" for p in pieces]
+        stops = [p.stop for p in pieces]
+        if column.pattern is not None:
+            slot, used = by_row(index, stops, slots), pieces[0].cell.used
+            return unique_string(
+                column.name, slot, used, column.pattern, column.letters, self.stream_no
+            )
+        values = [
+            p.cell.value(slot, column.dtype, self.stream_no) for p, slot in zip(pieces, slots)
+        ]
+        return by_row(index, stops, values)
+
+
+def by_row(index: str, stops: Sequence[int], values: Sequence[str]) -> str:
+    """The value for the stretch of rows that the index lies in."""
+    if len(values) == 1:
+        return values[0]
+    cases = [f"WHEN {index} < {stop} THEN {v}" for stop, v in zip(stops, values[:-1])]
+    return f"(CASE {' '.join(cases)} ELSE {values[-1]} END)"
 
 
 def _merged(pieces: list[Piece]) -> list[Piece]:

@@ -11,19 +11,18 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from typing import Any
 
-from pyspark.sql import Column as SparkColumn
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.draws import hash32, hash63, stream
+from ..functions.draws import array_of, hash32, hash63, literal, stream
 from ..functions.patterns import Spelling, drawn_string
 from ..operators.project import col
 from ..operators.rows import first_rows, number_rows
 from ..sources.scratch import cut
 from ..spec import INTEGRAL, Column, Join, Spec, SpecError, Table
 from .chain import Joined, Step
-from .pools import EPOCH, Member, Pool
+from .pools import Member, Pool, by_row
 
 ROW = "_rid"
 
@@ -44,43 +43,41 @@ class Generated:
 # ---------------------------------------------------------------- columns
 
 
-def drawn_column(
-    column: Column, index: SparkColumn, stream_no: int
-) -> SparkColumn | Spelling:
+def drawn_column(column: Column, index: str, stream_no: int) -> str | Spelling:
     """Values that may repeat: drawn for each index from bounds, a pattern or a list."""
     dtype = column.dtype
-    if isinstance(dtype, T.BooleanType) and column.values is None:
-        return hash32(index, stream_no) % F.lit(2) == F.lit(1)
+    draw = hash32(index, stream_no)
     if column.values is not None:
-        listed = F.array(*[F.lit(v).cast(dtype) for v in column.values])
-        place = hash32(index, stream_no) % F.lit(len(column.values))
-        return F.element_at(listed, (place + 1).cast("int"))
+        place = f"CAST({draw} % {len(column.values)} + 1 AS INT)"
+        return f"CAST(element_at({array_of(column.values)}, {place}) AS {dtype.simpleString()})"
+    if isinstance(dtype, T.BooleanType):
+        return f"({draw} % 2 = 1)"
     if column.pattern is not None:
         return drawn_string(column.name, index, column.pattern, column.letters, stream_no)
     lo, hi = column.bounds
     if isinstance(dtype, T.DoubleType):
-        share = hash32(index, stream_no) / F.lit(float(1 << 32))
-        return F.lit(float(lo)) + F.lit(float(hi) - float(lo)) * share
+        width = literal(float(hi) - float(lo))
+        return f"({literal(float(lo))} + {width} * ({draw} / {float(1 << 32)}D))"
     if isinstance(dtype, T.DateType):
-        days = hash32(index, stream_no) % F.lit((hi - lo).days + 1)
-        return F.date_from_unix_date((days + F.lit((lo - EPOCH).days)).cast("int"))
+        return f"date_add({literal(lo)}, CAST({draw} % {(hi - lo).days + 1} AS INT))"
     room = hi - lo + 1
-    draw = hash32(index, stream_no) if room <= 1 << 32 else hash63(index, stream_no)
-    return (draw % F.lit(room) + F.lit(lo)).cast(dtype)
+    if room > 1 << 32:
+        draw = hash63(index, stream_no)
+    return f"CAST({draw} % {room} + {literal(lo)} AS {dtype.simpleString()})"
 
 
-def _select(rows: DataFrame, columns: Mapping[str, SparkColumn | Spelling]) -> DataFrame:
+def _select(rows: DataFrame, columns: Mapping[str, str | Spelling]) -> DataFrame:
     """Two projections: the numbers strings are spelled from, then the columns."""
-    numbers: dict[str, SparkColumn] = {}
+    numbers: dict[str, str] = {}
     values = []
     for name, column in columns.items():
         if isinstance(column, Spelling):
             numbers.update(column.numbers)
             column = column.text
-        values.append(column.alias(name))
+        values.append(f"{column} AS `{name}`")
     if numbers:
-        rows = rows.select("*", *[n.alias(c) for c, n in numbers.items()])
-    return rows.select(F.col(ROW), *values)
+        rows = rows.selectExpr("*", *[f"{n} AS {c}" for c, n in numbers.items()])
+    return rows.selectExpr(ROW, *values)
 
 
 def _index(spark: SparkSession, start: int, stop: int, partitions: int | None) -> DataFrame:
@@ -98,7 +95,7 @@ def generate_table(
     table = Spec((table,)).checked().tables[0]
     layout = _Layout([table], [], seed)
     rows = _index(spark, start, table.size, partitions)
-    return _select(rows, layout.columns(0, F.col(ROW))).drop(ROW)
+    return _select(rows, layout.columns(0, ROW)).drop(ROW)
 
 
 # ----------------------------------------------------------------- layout
@@ -162,10 +159,10 @@ class _Layout:
                 elif c not in live:
                     live[c] = (t, c)
 
-    def columns(self, t: int, index: SparkColumn) -> dict[str, SparkColumn | Spelling]:
+    def columns(self, t: int, index: str) -> dict[str, str | Spelling]:
         return {c.name: self._column(t, c, index) for c in self.tables[t].columns}
 
-    def _column(self, t: int, column: Column, index: SparkColumn) -> SparkColumn | Spelling:
+    def _column(self, t: int, column: Column, index: str) -> str | Spelling:
         pool, place = self.places[t, column.name]
         if pool in self.allotted:
             return self.allotted[pool].column(place, index)
@@ -175,21 +172,18 @@ class _Layout:
             return drawn_column(column, index, own)
         return self._drawn_shared(members, place, index, own)
 
-    def _drawn_shared(self, members, place, index, own) -> SparkColumn:
+    def _drawn_shared(self, members, place, index, own) -> str:
         """Draws that may repeat: matched rows draw alike, from what all may use."""
         first = self._pool_stream(members)
-        out = None
-        for last in range(len(members) - 1, 0, -1):
-            if place > last:
-                continue
+        stops, values = [], []
+        for last in range(len(members) - 1, max(place, 1) - 1, -1):
             common = _common([m.column for m in members[: last + 1]])
-            value = drawn_column(common, index, first)
-            matched = index < F.lit(members[last].copied)
-            out = F.when(matched, value) if out is None else out.when(matched, value)
-        rest = drawn_column(members[place].column, index, own)
-        return rest if out is None else out.otherwise(rest)
+            values.append(drawn_column(common, index, first))
+            stops.append(members[last].copied)
+        values.append(drawn_column(members[place].column, index, own))
+        return by_row(index, stops, values)
 
-    def allowed(self, t: int) -> dict[str, SparkColumn]:
+    def allowed(self, t: int) -> dict:
         """For each shared column of table ``t``: whether a joined row's value fits it."""
         out = {}
         for name, source in self.shared[t].items():
@@ -252,7 +246,7 @@ def generate(
     filtered = False
     for t, table in enumerate(spec.tables):
         join = spec.joins[t - 1] if t else None
-        columns = layout.columns(t, F.col(ROW))
+        columns = layout.columns(t, ROW)
         if filtered and join.matches:
             frame = _table_after_filter(spark, layout, t, join, joined, columns, partitions)
         else:
@@ -301,12 +295,16 @@ def _table_after_filter(
     except ValueError as e:
         raise SpecError(f"{table.name}: the filter leaves too few rows: {e}") from None
     base = number_rows(base, "_order", ROW).drop("_order")
-    copied = {n: F.col(f"__copy_{n}").cast(table.column(n).dtype) for n in source_of}
+    copied = {n: _copy(table.column(n)) for n in source_of}
     head = _select(base, {**columns, **copied})
     tail = _select(_index(spark, join.matches, table.size, partitions), columns)
     return head.unionByName(tail)
 
 
+def _copy(column: Column) -> str:
+    return f"CAST(`__copy_{column.name}` AS {column.dtype.simpleString()})"
+
+
 def correlated_pair(
     spark: SparkSession,
     left: Table,
@@ -354,16 +352,14 @@ def next_table(
         filler.append(c)
     own = [c for c in table.columns if c.name not in shared]
     layout = _Layout([replace(table, columns=tuple(own))], [], seed)
-    columns = layout.columns(0, F.col(ROW))
+    columns = layout.columns(0, ROW)
     picked = first_rows(base, order, matches).select(
         col(order).alias("__order"), *[col(c).alias(f"__copy_{c}") for c in shared]
     )
-    copied = {
-        c: F.col(f"__copy_{c}").cast(table.column(c).dtype) for c in shared
-    }
+    copied = {c: _copy(table.column(c)) for c in shared}
     head = _select(number_rows(picked, "__order", ROW), {**columns, **copied})
     rest = Table(table.name, table.size - matches, tuple(c for c in filler if c.name in shared))
-    above = _Layout([rest], [], seed).columns(0, F.col(ROW) - F.lit(matches))
+    above = _Layout([rest], [], seed).columns(0, f"({ROW} - {matches})")
     tail = _select(_index(spark, matches, table.size, partitions), {**columns, **above})
     return head.select(table.names).unionByName(tail.select(table.names))
 
