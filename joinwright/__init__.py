@@ -8,6 +8,7 @@ from .plans import (
     Generated,
     Step,
     Verification,
+    check_job,
     generate,
     generate_table,
     join_chain,
@@ -26,6 +27,7 @@ __all__ = [
     "Table",
     "Verification",
     "cell_difference",
+    "check_job",
     "equal",
     "equi_join",
     "functions",

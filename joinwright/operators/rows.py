@@ -7,11 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.draws import permuted
 from ..sources.scratch import cut
 from .project import col
 
-# Up to so many rows Spark's own ordered limit is used; it gathers them in one task.
-SMALL = 10_000
+# Up to so many rows Spark's own ordered limit is used.  It gathers as many from
+# every partition in one task, so more rows than that are found by counting.
+SMALL = 100
 # Intervals counted per pass over the order column.
 INTERVALS = 1024
 
@@ -74,7 +76,7 @@ def _cut_point(df: DataFrame, order: str, k: int) -> tuple[int, int, int]:
 def number_rows(df: DataFrame, order: str | Sequence[str], name: str = "_rid") -> DataFrame:
     """Add 0, 1, 2, ... in the order of the given columns.
 
-    The rows are range-partitioned and sorted, and kept in the shared folder so
+    The columns should tell rows apart, as equal ones end up in one task.  The rows are range-partitioned and sorted, and kept in the shared folder so
     that their places are fixed; a row's number is its place in its partition
     plus the sizes of the partitions before.  Only these sizes reach the driver.
     """
@@ -99,13 +101,12 @@ def draw_without_replacement(
 ) -> DataFrame:
     """Give every row a value of a table, and no value twice.
 
-    ``index`` numbers the rows from 0.  The values are numbered in their order
-    and matched with the rows through a one-to-one shuffle of these numbers.  A
-    null value is not drawn.  Too few values raise ``ValueError``.
+    ``index`` numbers the rows from 0.  The different values are numbered in their
+    order and matched with the rows through a one-to-one shuffle of these numbers.
+    A null is not drawn.  Too few values raise ``ValueError``.
     """
-    from ..functions.draws import permuted
-
-    listed = number_rows(values.select(col(value)).filter(col(value).isNotNull()), value, "__place")
+    different = values.select(col(value)).filter(col(value).isNotNull()).distinct()
+    listed = number_rows(different, value, "__place")
     size = listed.count()
     top = rows.agg(F.max(col(index))).first()[0]
     if top is not None and top >= size:

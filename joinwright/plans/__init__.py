@@ -1,7 +1,7 @@
 from .chain import Step, chain_counts, chain_results, join_chain
 from .tables import Generated, correlated_pair, generate, generate_table, next_table
 from .jobs import chain_job, run_chain_job
-from .verify import Verification, verify
+from .verify import Verification, check_job, verify
 
 __all__ = [
     "Generated",
@@ -10,6 +10,7 @@ __all__ = [
     "chain_counts",
     "chain_job",
     "chain_results",
+    "check_job",
     "correlated_pair",
     "generate",
     "generate_table",

@@ -19,12 +19,15 @@ from ..functions.draws import array_of, hash32, hash63, literal, stream
 from ..functions.patterns import Spelling, drawn_string
 from ..operators.project import col
 from ..operators.rows import first_rows, number_rows
+from ..sources.files import save_tables
 from ..sources.scratch import cut
 from ..spec import INTEGRAL, Column, Join, Spec, SpecError, Table
 from .chain import Joined, Step
 from .pools import Member, Pool, by_row
 
 ROW = "_rid"
+# Rows one task makes, where the number of partitions is not given.
+ROWS_PER_TASK = 4_000_000
 
 
 @dataclass(frozen=True)
@@ -39,6 +42,14 @@ class Generated:
     def expected(self) -> DataFrame:
         return self.steps[-1] if self.steps else next(iter(self.tables.values()))
 
+    @property
+    def format(self) -> str:
+        return "csv" if self.spec.defaults.save_to_csv else "parquet"
+
+    def save(self, folder: str) -> dict[str, str]:
+        """Write the tables and the expected result in the format of the spec."""
+        return save_tables(self.tables, folder, self.format, self.expected)
+
 
 # ---------------------------------------------------------------- columns
 
@@ -81,7 +92,10 @@ def _select(rows: DataFrame, columns: Mapping[str, str | Spelling]) -> DataFrame
 
 
 def _index(spark: SparkSession, start: int, stop: int, partitions: int | None) -> DataFrame:
-    return spark.range(start, max(stop, start), 1, partitions).withColumnRenamed("id", ROW)
+    rows = max(stop - start, 0)
+    if partitions is None:
+        partitions = max(spark.sparkContext.defaultParallelism, -(-rows // ROWS_PER_TASK))
+    return spark.range(start, start + rows, 1, partitions).withColumnRenamed("id", ROW)
 
 
 def generate_table(

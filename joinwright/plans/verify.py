@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.compare import SchemaMismatch, difference_counts, row_difference
+from ..sources.files import RESULT, read_tables
+from ..spec import Spec
+from .tables import generate
 
 Job = Callable[[Mapping[str, DataFrame]], DataFrame]
 
@@ -72,3 +76,27 @@ def _failed(expected: DataFrame, name: str, reason: str) -> Verification:
     schema = T.StructType.fromDDL(SUMMARY)
     row = [(name, False, None, None, reason)]
     return Verification(expected.sparkSession.createDataFrame(row, schema), None)
+
+
+def check_job(
+    spark: SparkSession,
+    job: Job,
+    spec: Spec | Mapping[str, Any],
+    seed: int = 0,
+    folder: str | None = None,
+    name: str = "job",
+) -> Verification:
+    """Generate the tables of a spec, run a job on them and verify its result.
+
+    With a folder, tables and expected result are written there in the format of
+    the spec, and read back with their declared types for the job and for the
+    comparison.  Without one everything is a single plan.
+    """
+    made = generate(spark, spec, seed)
+    tables, expected = made.tables, made.expected
+    if folder is not None:
+        paths = made.save(folder)
+        schemas = {n: df.schema for n, df in {**tables, RESULT: expected}.items()}
+        tables = read_tables(spark, paths, made.format, schemas)
+        expected = tables.pop(RESULT)
+    return verify(job, tables, expected, name)

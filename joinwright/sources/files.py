@@ -14,6 +14,8 @@ FORMATS = ("csv", "parquet")
 # Names of saved tables that have none of their own.
 UNNAMED = "Dataset№{}"
 RESULT = "Result"
+# A quote within a quoted value is doubled, as in most CSV files.
+CSV = {"header": True, "sep": ",", "quote": '"', "escape": '"'}
 
 
 def _format(fmt: str) -> str:
@@ -23,17 +25,23 @@ def _format(fmt: str) -> str:
 
 
 def read_table(
-    spark: SparkSession, path: str, fmt: str = "csv", schema: T.StructType | None = None
+    spark: SparkSession,
+    path: str,
+    fmt: str = "csv",
+    schema: T.StructType | None = None,
+    multiline: bool = False,
 ) -> DataFrame:
     """Scan one table.
 
     A CSV file has a header and commas.  Without a schema its types are
     inferred, which reads the file once more; with one it is read once.
+    ``multiline`` allows line breaks within quoted values; such a file cannot be
+    split among tasks, so it should be written as many files.
     """
     if _format(fmt) == "parquet":
         df = spark.read.parquet(path) if schema is None else spark.read.schema(schema).parquet(path)
         return df
-    reader = spark.read.option("header", True).option("sep", ",")
+    reader = spark.read.options(**CSV, multiLine=multiline)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
     return reader.option("enforceSchema", False).schema(schema).csv(path)
@@ -71,8 +79,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "csv") -> str:
     """Write one table from all executors; returns its path."""
     writer = df.write.mode("overwrite")
     if _format(fmt) == "csv":
-        # Quoting empty strings keeps them apart from nulls when read back.
-        writer.option("header", True).option("emptyValue", '""').csv(path)
+        # An empty string is written as "", which keeps it apart from a null.
+        writer.options(**CSV).csv(path)
     else:
         writer.parquet(path)
     return path

@@ -24,6 +24,8 @@ FROM customer
 UNION ALL SELECT 'supplier', s_suppkey, s_name, s_acctbal FROM supplier
 """
 
+SQL["s3_csv_texts"] = "SELECT * FROM documents"
+
 SQL["s5_result_sink"] = """
 SELECT o_orderkey, o_orderstatus, l_partkey, l_extendedprice, f.format
 FROM orders JOIN lineitem ON o_orderkey = l_orderkey,
