@@ -1,0 +1,57 @@
+"""First rows, numbered rows, and draws without replacement."""
+
+import pytest
+
+from joinwright.operators import rows as R
+
+
+def test_first_rows_few_and_many(spark):
+    df = spark.range(5000).selectExpr("id * 7919 % 5000 * 3 AS n", "id AS v")
+    for k in (1, 99, 100, 101, 2500, 4999, 5000):
+        found = sorted(r.n for r in R.first_rows(df, "n", k).collect())
+        assert found == [3 * i for i in range(k)]
+    assert R.first_rows(df, "n", 0).count() == 0
+
+
+@pytest.mark.parametrize("k", [50, 5001])
+def test_too_few_rows(spark, k):
+    df = spark.range(40 if k == 50 else 5000).withColumnRenamed("id", "n")
+    with pytest.raises(ValueError, match="rows are needed"):
+        R.first_rows(df, "n", k)
+
+
+def test_first_rows_by_two_columns_with_a_hot_value(spark):
+    df = spark.range(3000).selectExpr("CASE WHEN id < 2000 THEN 5 ELSE id END AS a", "id AS b")
+    df = df.union(spark.range(100).selectExpr("1 AS a", "id AS b"))
+    found = sorted((r.a, r.b) for r in R.first_rows(df, ["a", "b"], 1100).collect())
+    assert found == [(1, i) for i in range(100)] + [(5, i) for i in range(1000)]
+    whole = sorted((r.a, r.b) for r in R.first_rows(df, "a", 2100).collect())
+    assert len(whole) == 2100
+    with pytest.raises(ValueError, match="no order"):
+        R.first_rows(df, "a", 1100)
+
+
+def test_first_rows_with_negative_values(spark):
+    df = spark.range(-600, 600).withColumnRenamed("id", "n")
+    found = sorted(r.n for r in R.first_rows(df, "n", 700).collect())
+    assert found == list(range(-600, 100))
+
+
+def test_number_rows(spark):
+    df = spark.range(0, 10_000, 1, 13).selectExpr("id * 7919 % 10007 AS n")
+    numbered = R.number_rows(df, "n", "i")
+    found = sorted((r.n, r.i) for r in numbered.collect())
+    assert [i for _, i in found] == list(range(10_000))
+    assert R.number_rows(spark.range(0).toDF("n"), "n").collect() == []
+
+
+def test_draw_without_replacement(spark):
+    rows = spark.range(300).toDF("i")
+    values = spark.range(1000).selectExpr("CAST(id % 500 AS STRING) AS v").union(
+        spark.sql("SELECT CAST(NULL AS STRING)")
+    )
+    drawn = R.draw_without_replacement(rows, "i", values, "v", 42).collect()
+    assert len(drawn) == 300 == len({r.v for r in drawn})
+    assert None not in {r.v for r in drawn}
+    with pytest.raises(ValueError, match="values"):
+        R.draw_without_replacement(spark.range(501).toDF("i"), "i", values, "v", 42)
