@@ -21,6 +21,9 @@ LOW = 668265263
 HIGH = 374761393
 MIX = 73244475
 MASK32 = 0xFFFFFFFF
+# Ranges above WIDE are permuted in BLOCKS blocks.
+WIDE = 1 << 32
+BLOCKS = 1 << 20
 
 
 def literal(value: Any) -> str:
@@ -80,5 +83,17 @@ def stride(size: int) -> int:
 
 
 def permuted(slot: str, size: int, stream_no: int) -> str:
-    """One-to-one map of ``0 .. size - 1`` onto itself: unique values without a shuffle."""
-    return f"((({slot}) * {stride(size)} + {stream_no}) % {size})"
+    """One-to-one map of ``0 .. size - 1`` onto itself: unique values without a shuffle.
+
+    One stride can cross a range whose square fits a bigint.  A wider range is
+    divided into blocks: slots go round the blocks, and step within each from a
+    start of its own.
+    """
+    if size <= WIDE:
+        return f"((({slot}) * {stride(size)} + {stream_no}) % {size})"
+    length = size // BLOCKS
+    block = f"(({slot}) % {BLOCKS})"
+    start = f"shiftright({hash63(block, stream_no)}, 2)"
+    place = f"(({slot}) div {BLOCKS} * {stride(length)} + {start}) % {length}"
+    spread = f"{permuted(block, BLOCKS, stream_no)} * {length} + {place}"
+    return f"(CASE WHEN ({slot}) < {BLOCKS * length} THEN {spread} ELSE ({slot}) END)"

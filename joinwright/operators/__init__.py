@@ -1,7 +1,6 @@
 from .joins import equi_join
 from .project import (
     cast_columns,
-    col,
     prefix_clashes,
     prefixed,
     select_shared,
@@ -12,7 +11,6 @@ from .rows import draw_without_replacement, first_rows, number_rows
 
 __all__ = [
     "cast_columns",
-    "col",
     "draw_without_replacement",
     "equi_join",
     "first_rows",

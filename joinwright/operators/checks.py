@@ -20,9 +20,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.columns import col
 from ..functions.patterns import pattern_regex
 from ..spec import INTEGRAL, type_of
-from .project import col
 
 SCHEMA = T.StructType(
     [

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .project import col
+from ..functions.columns import col
 
 LEFT, RIGHT = "left", "right"
 FRACTIONS = (T.FloatType, T.DoubleType, T.DecimalType)

@@ -22,8 +22,9 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import col
 from ..spec import join_type_of
-from .project import col, shared_columns
+from .project import shared_columns
 
 # Rows with a null key match nothing, so they may go to any of so many places.
 NULL_SPREAD = 4096

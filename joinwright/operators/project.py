@@ -5,17 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.columns import col
 from ..spec import schema_of
 
 
-def col(name: str) -> Column:
-    """Column of exactly this name, also when the name has a dot in it."""
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
 def shared_columns(left: Iterable[str], right: Iterable[str]) -> list[str]:
     """Names both have, in the order of the first."""
     others = set(right)

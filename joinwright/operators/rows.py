@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import col
 from ..functions.draws import permuted
 from ..sources.scratch import cut
-from .project import col
 
 # Up to so many rows Spark's own ordered limit is used.  It gathers as many from
 # every partition in one task, so more rows than that are found by counting.

@@ -8,8 +8,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import col
 from ..operators.joins import equi_join
-from ..operators.project import col, shared_columns
+from ..operators.project import shared_columns
 from ..sources.scratch import cut
 
 

@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.columns import col
 from ..functions.draws import array_of, hash32, hash63, literal, stream
 from ..functions.patterns import Spelling, drawn_string
-from ..operators.project import col
 from ..operators.rows import first_rows, number_rows
 from ..sources.files import save_tables
 from ..sources.scratch import cut

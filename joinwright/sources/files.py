@@ -8,14 +8,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.columns import col
 from ..spec import schema_of
 
 FORMATS = ("csv", "parquet")
 # Names of saved tables that have none of their own.
 UNNAMED = "Dataset№{}"
 RESULT = "Result"
-# A quote within a quoted value is doubled, as in most CSV files.
-CSV = {"header": True, "sep": ",", "quote": '"', "escape": '"'}
+# A quote within a quoted value is doubled, as in most CSV files, and blanks at
+# the ends of a value belong to it.
+CSV = {
+    "header": True,
+    "sep": ",",
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+# Stands for a quoted empty value while a file is read; no text may be just this.
+EMPTY = "\0"
 
 
 def _format(fmt: str) -> str:
@@ -34,7 +45,8 @@ def read_table(
     """Scan one table.
 
     A CSV file has a header and commas.  Without a schema its types are
-    inferred, which reads the file once more; with one it is read once.
+    inferred, which reads the file once more, and an empty value is null.  With
+    one it is read once, and a quoted empty value is an empty string.
     ``multiline`` allows line breaks within quoted values; such a file cannot be
     split among tasks, so it should be written as many files.
     """
@@ -44,7 +56,15 @@ def read_table(
     reader = spark.read.options(**CSV, multiLine=multiline)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
-    return reader.option("enforceSchema", False).schema(schema).csv(path)
+    df = reader.options(enforceSchema=False, emptyValue=EMPTY).schema(schema).csv(path)
+    return df.select(
+        [
+            F.when(col(f.name) == EMPTY, "").otherwise(col(f.name)).alias(f.name)
+            if isinstance(f.dataType, T.StringType)
+            else col(f.name)
+            for f in schema
+        ]
+    )
 
 
 def read_tables(
@@ -79,7 +99,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "csv") -> str:
     """Write one table from all executors; returns its path."""
     writer = df.write.mode("overwrite")
     if _format(fmt) == "csv":
-        # An empty string is written as "", which keeps it apart from a null.
+        # An empty string is written as "", a null as nothing.
         writer.options(**CSV).csv(path)
     else:
         writer.parquet(path)

@@ -21,6 +21,7 @@ from joinwright.functions import (
     unique_room,
     unique_string,
 )
+from joinwright.functions import draws
 from joinwright.functions.draws import HIGH, LOW, MASK32, MIX, PRIME
 
 
@@ -45,6 +46,20 @@ def test_permutation_uses_every_value_once(spark, size):
     assert sorted(values(spark, size, permuted("id", size, 123456789))) == list(range(size))
 
 
+@pytest.mark.parametrize("size", [9, 10, 11, 16, 50, 63, 64, 65, 200])
+def test_permutation_in_blocks_uses_every_value_once(spark, size, monkeypatch):
+    monkeypatch.setattr(draws, "WIDE", 8)
+    monkeypatch.setattr(draws, "BLOCKS", 8)
+    assert sorted(values(spark, size, permuted("id", size, 123456789))) == list(range(size))
+
+
+@pytest.mark.parametrize("size", [1000, 1 << 31, 1 << 33, 1 << 45, 1 << 62])
+def test_few_slots_are_spread_over_the_whole_range(spark, size):
+    found = sorted(values(spark, 500, permuted("id", size, 99)))
+    tenths = [v * 10 // size for v in found]
+    assert all(20 < tenths.count(t) < 90 for t in range(10))
+
+
 @pytest.mark.parametrize("size", [1 << 32, 52**6 * 10**5, 1 << 62])
 def test_permutation_of_a_large_range_does_not_overflow(spark, size):
     found = values(spark, 1000, permuted("id", size, MASK32), start=size - 1000)
