@@ -2,7 +2,7 @@
 
 from . import functions, operators, plans, sources
 from .operators.checks import report
-from .operators.compare import cell_difference, equal, row_difference
+from .operators.compare import assert_equal, cell_difference, equal, row_difference
 from .operators.joins import equi_join
 from .plans import (
     Generated,
@@ -26,6 +26,7 @@ __all__ = [
     "Step",
     "Table",
     "Verification",
+    "assert_equal",
     "cell_difference",
     "check_job",
     "equal",

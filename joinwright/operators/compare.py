@@ -88,6 +88,21 @@ def equal(
     return difference.isEmpty()
 
 
+def assert_equal(
+    left: DataFrame,
+    right: DataFrame,
+    ignore_column_order: bool = True,
+    digits: int | None = None,
+    sample: int = 10,
+) -> None:
+    """Raise ``AssertionError``, with some of the rows that differ, unless equal."""
+    difference = row_difference(left, right, ignore_column_order, digits)
+    rows = difference.limit(sample).collect()
+    if rows:
+        shown = "\n".join(str(r.asDict()) for r in rows)
+        raise AssertionError(f"the tables differ, for instance in\n{shown}")
+
+
 def cell_difference(
     left: DataFrame, right: DataFrame, key: str | Sequence[str], digits: int | None = None
 ) -> DataFrame:

@@ -19,16 +19,19 @@ INTERVALS = 1024
 
 
 def first_rows(df: DataFrame, order: str | Sequence[str], k: int) -> DataFrame:
-    """The first ``k`` rows in the order of integer columns without nulls.
+    """The first ``k`` rows in the order of integer columns.
 
-    Together the columns must tell any two rows apart, else there is no such
-    set of rows.  A large ``k`` is found by counting: the row where the cut lies
+    Rows with a null among these have no place in the order and are left out.
+    Together the columns must tell any two rows apart, else there is no such set
+    of rows.  A large ``k`` is found by counting: the row where the cut lies
     is narrowed down by passes that count rows per interval, and what is below
     it is then an ordinary filter.  Fewer than ``k`` rows raise ``ValueError``.
     """
     columns = [order] if isinstance(order, str) else list(order)
     if k <= 0:
         return df.limit(0)
+    for c in columns:
+        df = df.filter(col(c).isNotNull())
     if k <= SMALL:
         picked = df.orderBy(*[col(c) for c in columns]).limit(k)
         found = picked.count()

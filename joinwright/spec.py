@@ -7,7 +7,7 @@ dataclasses below or as a plain ``dict`` (see :meth:`Spec.from_dict`).
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 from typing import Any
 
@@ -212,6 +212,40 @@ class Spec:
         )
         return cls(tables, joins, defaults).checked()
 
+    @classmethod
+    def from_schemas(
+        cls,
+        schemas: Mapping[str, T.StructType],
+        sizes: Sequence[int],
+        keys: Sequence[str | tuple[str, str]],
+        types: Sequence[str],
+        matches: Sequence[int],
+        defaults: Defaults = Defaults(),
+    ) -> Spec:
+        """A spec of tables given as ``StructType``, all under the default bounds.
+
+        ``keys``, ``types`` and ``matches`` describe the joins in order.
+        """
+        if len(sizes) != len(schemas) or not len(keys) == len(types) == len(matches):
+            raise SpecError("each table needs a size, each join a key, a type and its matches")
+        unknown = {
+            f.dataType.simpleString()
+            for schema in schemas.values()
+            for f in schema
+            if f.dataType not in TYPE_NAMES.values()
+        }
+        if unknown:
+            raise SpecError(f"unknown type {', '.join(sorted(unknown))}")
+        tables = tuple(
+            Table(name, size, tuple(Column(f.name, f.dataType, f.nullable) for f in schema))
+            for (name, schema), size in zip(schemas.items(), sizes)
+        )
+        joins = tuple(
+            Join(*((key, key) if isinstance(key, str) else key), join_type_of(how), k)
+            for key, how, k in zip(keys, types, matches)
+        )
+        return cls(tables, joins, defaults).checked()
+
     def checked(self) -> Spec:
         """The spec with all defaults filled in; raises if it cannot be met."""
         tables = tuple(

@@ -6,6 +6,7 @@ import pytest
 
 from joinwright.operators.compare import (
     SchemaMismatch,
+    assert_equal,
     cell_difference,
     check_schemas,
     difference_counts,
@@ -111,3 +112,12 @@ def test_cells_by_two_keys_and_dotted_names(spark):
     assert [tuple(r) for r in cell_difference(a, b, ["k", "j"]).collect()] == [
         (1, 1, "t.s", "a", "b")
     ]
+
+
+def test_assert_equal_shows_rows(spark):
+    a = made(spark, ROWS)
+    assert_equal(a, made(spark, ROWS[::-1]))
+    with pytest.raises(AssertionError, match="'k': 3.*'side': 'left', 'copies': 2"):
+        assert_equal(a, made(spark, ROWS[:2] + ROWS[4:]))
+    with pytest.raises(AssertionError, match="columns differ"):
+        assert_equal(a, a.drop("k"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from specs import CLASH, FOUR, INT, MAILS, REAL, SHOP, STR, changed, field, joins_of, table_of
 
-from joinwright import Column, Spec, SpecError, Table, generate, generate_table, report
+from joinwright import Column, Defaults, Spec, SpecError, Table, generate, generate_table, report
 from joinwright.operators.checks import check_spec_bounds, shared_values
 from joinwright.operators.compare import equal
 from joinwright.plans.tables import correlated_pair, next_table
@@ -49,6 +49,21 @@ def test_rows_of_a_join_of_unique_keys(spark, how):
         assert generate(spark, spec, seed).steps[0].count() == rows_out(how, 40, 20, k)
 
 
+def test_tables_given_as_schemas(spark):
+    whole = Spec.from_dict(FOUR)
+    schemas = {t.name: t.schema for t in whole.tables}
+    spec = Spec.from_schemas(
+        schemas, [1000] * 4, ["user_id", ("date", "date"), "item"], ["left", "right", "inner"],
+        [20, 20, 10], Defaults(max_int=5000, max_double=100.0),
+    )
+    assert spec == whole
+    with pytest.raises(SpecError, match="each table"):
+        Spec.from_schemas(schemas, [1000] * 3, ["user_id"] * 3, ["left"] * 3, [1] * 3)
+    odd = {"t": T.StructType([T.StructField("x", T.BinaryType())])}
+    with pytest.raises(SpecError, match="unknown type binary"):
+        Spec.from_schemas(odd, [1], [], [], [])
+
+
 def test_shop(spark):
     made = generate(spark, SHOP, 5)
     assert [s.count() for s in made.steps] == [40, 20]

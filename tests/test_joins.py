@@ -49,11 +49,10 @@ HOWS = ["inner", "left", "right", "full"]
 
 @pytest.mark.parametrize("how,null_safe", list(itertools.product(HOWS, [False, True])))
 def test_join_with_repeated_and_null_keys(spark, how, null_safe):
-    for seed in range(2):
-        left, right, a, b = sides(spark, seed)
-        joined = equi_join(a, b, "k", how, null_safe)
-        assert joined.columns == ["k", "a", "b"]
-        assert rows(joined) == by_hand(left, right, how, null_safe)
+    left, right, a, b = sides(spark, HOWS.index(how) + 4 * null_safe)
+    joined = equi_join(a, b, "k", how, null_safe)
+    assert joined.columns == ["k", "a", "b"]
+    assert rows(joined) == by_hand(left, right, how, null_safe)
 
 
 @pytest.mark.parametrize("how", HOWS)
@@ -179,7 +178,10 @@ def chain_tables(spark, seed):
     }
 
 
-@pytest.mark.parametrize("first,second", list(itertools.product(HOWS, HOWS)))
+@pytest.mark.parametrize(
+    "first,second",
+    [("inner", "full"), ("left", "right"), ("right", "left"), ("full", "inner"), ("full", "full")],
+)
 def test_chain_counts_without_pairing(spark, first, second):
     tables = chain_tables(spark, 5)
     steps = [Step("u", first), Step("d", second)]

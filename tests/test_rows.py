@@ -31,6 +31,13 @@ def test_first_rows_by_two_columns_with_a_hot_value(spark):
         R.first_rows(df, "a", 1100)
 
 
+def test_rows_without_a_place_are_left_out(spark):
+    df = spark.range(1000).selectExpr("CASE WHEN id < 300 THEN NULL ELSE id END AS n")
+    for k in (50, 500):
+        found = sorted(r.n for r in R.first_rows(df, "n", k).collect())
+        assert found == list(range(300, 300 + k))
+
+
 def test_first_rows_with_negative_values(spark):
     df = spark.range(-600, 600).withColumnRenamed("id", "n")
     found = sorted(r.n for r in R.first_rows(df, "n", 700).collect())
