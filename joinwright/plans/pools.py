@@ -87,17 +87,29 @@ class Pool:
 
     def allot(self) -> Pool:
         """Give every row its slot; raises :class:`SpecError` if there are too few."""
-        self.pieces = [[] for _ in self.members]
         cells = _cells(self.members)
-        for start, stop, sharing in self._stretches():
-            need = frozenset(sharing)
-            for cell, slot, count in _take(cells, need, stop - start, self._label(need)):
+        stretches = self._stretches()
+        needs = [(frozenset(sharing), stop - start) for start, stop, sharing in stretches]
+        self.pieces = [[] for _ in self.members]
+        for (start, _, sharing), parts in zip(stretches, self._shares(cells, needs)):
+            for cell, slot, count in parts:
                 for m in sharing:
                     self.pieces[m].append(Piece(start, start + count, cell, slot))
                 start += count
         self.pieces = [_merged(p) for p in self.pieces]
         return self
 
+    def _shares(self, cells: list[Cell], needs: list[Need]) -> list[list[Share]]:
+        in_a_row = all(c.lo is not None and c.values is None for c in cells)
+        whole = not isinstance(self.members[0].column.dtype, T.DoubleType)
+        given, missing = (_sweep if in_a_row and whole else _least_shared)(cells, needs)
+        for (sharing, _), count in zip(needs, missing):
+            if count:
+                raise SpecError(
+                    f"{self._label(sharing)}: {count} more values are needed than there are"
+                )
+        return given
+
     def _label(self, sharing: frozenset[int]) -> str:
         return " and ".join(
             f"{self.members[m].table}.{self.members[m].column.name}" for m in sorted(sharing)
@@ -163,24 +175,45 @@ def _merged(pieces: list[Piece]) -> list[Piece]:
     return out
 
 
-def _take(
-    cells: list[Cell], need: frozenset[int], count: int, label: str
-) -> list[tuple[Cell, int, int]]:
-    """Slots from cells that all tables in ``need`` may use, least shared cells first."""
-    usable = sorted(
-        (c for c in cells if need <= c.members and c.free),
-        key=lambda c: (len(c.members), -c.free),
-    )
-    taken = []
-    missing = count
-    for cell in usable:
-        part = min(cell.free, missing)
-        taken.append((cell, cell.used, part))
+# Tables that share a stretch of rows, and how many values these need.
+Need = tuple[frozenset[int], int]
+# Cell, first slot and number of slots.
+Share = tuple[Cell, int, int]
+
+
+def _take(cell: Cell, count: int, to: list[Share]) -> int:
+    """Hand out up to so many slots of a cell; returns how many are still missing."""
+    part = min(cell.free, count)
+    if part:
+        to.append((cell, cell.used, part))
         cell.used += part
-        missing -= part
-        if not missing:
-            return taken
-    raise SpecError(f"{label}: {missing} more values are needed than there are")
+    return count - part
+
+
+def _sweep(cells: list[Cell], needs: list[Need]) -> tuple[list[list[Share]], list[int]]:
+    """Division of whole-number ranges: from the lowest cell up, each goes to those
+    whose range ends first.  It meets every set of needs that can be met."""
+    given: list[list[Share]] = [[] for _ in needs]
+    missing = [count for _, count in needs]
+    ends = [
+        max((c.hi for c in cells if sharing <= c.members), default=0) for sharing, _ in needs
+    ]
+    for cell in sorted(cells, key=lambda c: c.lo):
+        may = [n for n, (sharing, _) in enumerate(needs) if sharing <= cell.members]
+        for n in sorted(may, key=ends.__getitem__):
+            missing[n] = _take(cell, missing[n], given[n])
+    return given, missing
+
+
+def _least_shared(cells: list[Cell], needs: list[Need]) -> tuple[list[list[Share]], list[int]]:
+    """Division of any values: those that few tables may use are given out first."""
+    given: list[list[Share]] = [[] for _ in needs]
+    missing = [count for _, count in needs]
+    for n, (sharing, _) in enumerate(needs):
+        usable = [c for c in cells if sharing <= c.members]
+        for cell in sorted(usable, key=lambda c: (len(c.members), -c.free)):
+            missing[n] = _take(cell, missing[n], given[n])
+    return given, missing
 
 
 def _number(value: Any) -> Any:
@@ -241,9 +274,9 @@ def _range_cells(columns, lists, dtype: T.DataType, rows: int) -> list[Cell]:
         may = frozenset(m for m, (a, b) in ranges.items() if a <= lo and hi <= b + whole)
         if may:
             cells.append(Cell(may, hi - lo if whole else max(GRID, rows), lo, hi))
-    if not whole and not cells:
-        # All ranges are single points.
-        for value in {lo for lo, _ in ranges.values()}:
-            may = frozenset(m for m, (lo, _) in ranges.items() if lo == value)
-            cells.append(Cell(may, 1, values=(value,)))
+    if not whole:
+        # The ends themselves; two ranges may have nothing else in common.
+        for end in sorted({end for bounds in ranges.values() for end in bounds} - points):
+            may = frozenset(m for m, (a, b) in ranges.items() if a <= end <= b)
+            cells.append(Cell(may, 1, values=(float(end),)))
     return cells
