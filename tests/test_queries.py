@@ -6,9 +6,10 @@ import pytest
 from against_sql import difference
 
 import __spark_entry__ as entry
+from workload.oracle import SQL
+from workload.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test tables")
 
