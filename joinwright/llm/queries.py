@@ -12,6 +12,7 @@ from joinwright.sources import new_folder
 from .bpe import token_counts
 from .common import importable
 from .idfiles import crc32, read_ids, write_ids
+from .packing import pack
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -33,7 +34,13 @@ def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return crc32(read_ids(spark, out))
 
 
+def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in sequences of 2048 ids."""
+    docs = table(spark, folder, "documents")
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end_id=0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_token_counts, op5_token_files)
+    f.__name__: f for f in (op4_token_counts, op5_token_files, op10_best_fit_packing)
 }
 SQL: dict[str, str] = {}
