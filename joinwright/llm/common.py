@@ -46,6 +46,14 @@ def id_and_text(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     )
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A name that no column of the frame has, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken or f"{name}_fp".lower() in taken:
+        name += "_"
+    return name
+
+
 def id_type(df: DataFrame, name: str = "doc_id") -> str:
     return df.schema[name].dataType.simpleString()
 
@@ -95,7 +103,7 @@ def group_starts(table: pa.Table, keys: list[str]) -> np.ndarray:
     return np.append(np.flatnonzero(changed), table.num_rows)
 
 
-def chunk_pairs(df: DataFrame, keys: list[str], chunks: Column, own: Column) -> DataFrame:
+def chunk_pairs(df: DataFrame, chunks: Column, own: Column) -> DataFrame:
     """Rows dealt to pairs of chunks, so that no group of a key is unbounded.
 
     ``chunks`` is the number of chunks of the row's key and ``own`` the chunk of

@@ -13,6 +13,7 @@ from .bpe import token_counts
 from .common import importable
 from .idfiles import crc32, read_ids, write_ids
 from .packing import pack
+from .simhash import hex_fingerprints, near_duplicates
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -34,6 +35,11 @@ def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return crc32(read_ids(spark, out))
 
 
+def op9_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate groups of all documents by fingerprints of 3-word shingles."""
+    return hex_fingerprints(near_duplicates(table(spark, folder, "documents"), size=3))
+
+
 def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in sequences of 2048 ids."""
     docs = table(spark, folder, "documents")
@@ -41,6 +47,6 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_token_counts, op5_token_files, op10_best_fit_packing)
+    f.__name__: f for f in (op4_token_counts, op5_token_files, op9_simhash_near_dedup, op10_best_fit_packing)
 }
 SQL: dict[str, str] = {}
