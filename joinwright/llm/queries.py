@@ -6,14 +6,17 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from joinwright.sources import new_folder
 
 from .bpe import token_counts
 from .common import importable
+from .covertree import near_vectors
 from .idfiles import crc32, read_ids, write_ids
 from .packing import pack
 from .simhash import hex_fingerprints, near_duplicates
+from .topk import top_k
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -21,6 +24,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    """The 5 best of all rows for every row whose id is divisible by 50."""
+    vectors = table(spark, folder, "embeddings")
+    return top_k(vectors, F.col("vec_id") % 50 == 0, k=5, scale=256.0)
+
+
+def op3_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Vectors of one label with a cosine of 0.98 or more."""
+    return near_vectors(table(spark, folder, "embeddings"), threshold=0.98)
+
+
 def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every document by byte-pair merging."""
     docs = table(spark, folder, "documents")
@@ -47,6 +61,25 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_token_counts, op5_token_files, op9_simhash_near_dedup, op10_best_fit_packing)
+    f.__name__: f for f in (op1_exact_top_k, op3_embedding_near_dedup, op4_token_counts, op5_token_files, op9_simhash_near_dedup, op10_best_fit_packing)
+}
+
+FINITE = (
+    "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+)
+SQL: dict[str, str] = {
+    "op1_exact_top_k": f"""
+WITH v AS (
+  SELECT vec_id, row_number() OVER () AS place,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS weights
+  FROM embeddings WHERE {FINITE}
+), scored AS (
+  SELECT q.vec_id AS query_id, q.place, c.vec_id,
+         CAST(list_inner_product(q.weights, c.weights) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.place <> c.place AND q.vec_id % 50 = 0
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY place ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
 }
-SQL: dict[str, str] = {}
