@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from .common import flat, id_and_text, id_type
+from .common import flat, id_and_text, id_type, text_runs
 
 #: Pieces in each generation of a worker's memory, and the longest that is remembered.
 KEPT_PIECES = 400_000
@@ -73,13 +73,8 @@ def pieces_of(text: str) -> list[str]:
 
 def slices(texts: pa.StringArray) -> Iterator[pa.StringArray]:
     """Runs of texts of about SLICE_BYTES; a longer text is a run of its own."""
-    ends = np.cumsum(flat(pc.binary_length(texts)), dtype=np.int64)
-    start = 0
-    while start < len(texts):
-        before = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, before + SLICE_BYTES, side="right")))
+    for start, stop in text_runs(texts, SLICE_BYTES):
         yield texts.slice(start, stop - start)
-        start = stop
 
 
 def distinct_pieces(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray, list[str], list[str]]:

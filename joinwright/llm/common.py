@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from joinwright.functions.columns import col
 from joinwright.sources import new_folder
@@ -118,3 +121,44 @@ def chunk_pairs(df: DataFrame, chunks: Column, own: Column) -> DataFrame:
         .withColumn("chunk_high", F.greatest("own_chunk", "other_chunk"))
         .drop("other_chunk")
     )
+
+
+def with_struct(
+    docs: DataFrame, text_column: str, name: str, kind: T.StructType, function: Callable
+) -> DataFrame:
+    """The rows with a struct column ``name`` that ``function`` makes of their texts.
+
+    ``function`` takes a list of texts, null ones empty, and returns one tuple for each.
+    """
+    at = docs.columns.index(text_column)
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrow = to_arrow_type(kind)
+        for batch in batches:
+            for start, stop in text_runs(batch.column(at)):
+                part = batch.slice(start, stop - start)
+                texts = [t or "" for t in part.column(at).to_pylist()]
+                rows = [dict(zip(kind.names, r, strict=True)) for r in function(texts)]
+                made = pa.array(rows, arrow)
+                yield pa.RecordBatch.from_arrays([*part.columns, made], [*part.schema.names, name])
+
+    return docs.mapInArrow(added, T.StructType([*docs.schema.fields, T.StructField(name, kind)]))
+
+
+def text_runs(texts: pa.StringArray, most: int = 4 << 20) -> Iterator[tuple[int, int]]:
+    """Stretches of about ``most`` bytes of text; a longer text is one of its own."""
+    ends = np.cumsum(flat(pc.fill_null(pc.binary_length(texts), 0)), dtype=np.int64)
+    start = 0
+    while start < len(texts):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield start, stop
+        start = stop
+
+
+def bounded_sample(df: DataFrame, key: str, bound: int) -> DataFrame:
+    """About ``bound`` rows, chosen by a hash of the key, or all if there are fewer."""
+    n = df.count()
+    if n <= bound:
+        return df
+    return df.filter(F.pmod(F.xxhash64(F.lit("sample"), key), F.lit(1 << 40)) < int(bound / n * (1 << 40)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from joinwright.sources import new_folder
@@ -14,6 +14,7 @@ from .bpe import token_counts
 from .common import importable
 from .covertree import near_vectors
 from .idfiles import crc32, read_ids, write_ids
+from .language import identify, learn
 from .packing import pack
 from .simhash import hex_fingerprints, near_duplicates
 from .topk import top_k
@@ -49,6 +50,19 @@ def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return crc32(read_ids(spark, out))
 
 
+def held_out() -> Column:
+    """True for a quarter of the documents, which no language is learned from."""
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2, F.lit(False))
+
+
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned from those that are not held out."""
+    docs = table(spark, folder, "documents")
+    model = learn(docs.filter(~held_out()))
+    found = identify(docs, model).withColumn("held_out", held_out())
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op9_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate groups of all documents by fingerprints of 3-word shingles."""
     return hex_fingerprints(near_duplicates(table(spark, folder, "documents"), size=3))
@@ -61,7 +75,7 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_top_k, op3_embedding_near_dedup, op4_token_counts, op5_token_files, op9_simhash_near_dedup, op10_best_fit_packing)
+    f.__name__: f for f in (op1_exact_top_k, op3_embedding_near_dedup, op4_token_counts, op5_token_files, op6_language_id, op9_simhash_near_dedup, op10_best_fit_packing)
 }
 
 FINITE = (
