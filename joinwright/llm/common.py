@@ -38,12 +38,14 @@ def staged(df: DataFrame) -> DataFrame:
     other values after an executor is lost.
     """
     spark, folder = df.sparkSession, new_folder(df.sparkSession)
+    importable(spark)
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 
 def id_and_text(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """The two columns as ``doc_id`` and ``text``; a null text is empty."""
+    importable(docs.sparkSession)
     return docs.select(
         col(id_column).alias("doc_id"), F.coalesce(col(text_column), F.lit("")).alias("text")
     )
@@ -130,6 +132,7 @@ def with_struct(
 
     ``function`` takes a list of texts, null ones empty, and returns one tuple for each.
     """
+    importable(docs.sparkSession)
     at = docs.columns.index(text_column)
 
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

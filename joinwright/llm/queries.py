@@ -10,14 +10,18 @@ from pyspark.sql import functions as F
 
 from joinwright.sources import new_folder
 
+from . import toxicity, urls
 from .bpe import token_counts
 from .common import importable
 from .covertree import near_vectors
 from .idfiles import crc32, read_ids, write_ids
 from .language import identify, learn
+from .mixing import mix, oracle
 from .packing import pack
 from .simhash import hex_fingerprints, near_duplicates
 from .topk import top_k
+from .toxicity import severity
+from .urls import Rule, judge, with_rules
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -31,6 +35,12 @@ def op1_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return top_k(vectors, F.col("vec_id") % 50 == 0, k=5, scale=256.0)
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Expected severity of every document, learned from the labelled ones."""
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    return severity(docs, toxicity.learn(docs, labels))
+
+
 def op3_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Vectors of one label with a cosine of 0.98 or more."""
     return near_vectors(table(spark, folder, "embeddings"), threshold=0.98)
@@ -63,6 +73,35 @@ def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its calibrated probability, and whether it is drawn."""
+    mixed = mix(table(spark, folder, "documents"))
+    return mixed.select(
+        "doc_id",
+        "source",
+        "lang",
+        "topic",
+        "tokens",
+        F.round(F.col("probability") * 1e6).cast("long").alias("probability_ppm"),
+        "kept",
+    )
+
+
+#: Rules by host and path; the longest that fits stands.
+RULES = [
+    Rule("net", "/", "block"),
+    Rule("example.net", "/en/", "allow"),
+    Rule("example.com", "/de/", "block"),
+    Rule("org", "/fr/", "allow"),
+]
+
+
+def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdict on every page's URL, by the rules or by trees learned from what they decide."""
+    ruled = with_rules(table(spark, folder, "pages"), RULES)
+    return judge(ruled, urls.learn(ruled)).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op9_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate groups of all documents by fingerprints of 3-word shingles."""
     return hex_fingerprints(near_duplicates(table(spark, folder, "documents"), size=3))
@@ -75,7 +114,7 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_top_k, op3_embedding_near_dedup, op4_token_counts, op5_token_files, op6_language_id, op9_simhash_near_dedup, op10_best_fit_packing)
+    f.__name__: f for f in (op1_exact_top_k, op2_toxicity, op3_embedding_near_dedup, op4_token_counts, op5_token_files, op6_language_id, op7_mixing, op8_url_filter, op9_simhash_near_dedup, op10_best_fit_packing)
 }
 
 FINITE = (
@@ -96,4 +135,5 @@ WITH v AS (
   FROM scored
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
+    "op7_mixing": oracle(),
 }
