@@ -161,6 +161,7 @@ def text_runs(texts: pa.StringArray, most: int = 4 << 20) -> Iterator[tuple[int,
 
 def bounded_sample(df: DataFrame, key: str, bound: int) -> DataFrame:
     """About ``bound`` rows, chosen by a hash of the key, or all if there are fewer."""
+    importable(df.sparkSession)
     n = df.count()
     if n <= bound:
         return df

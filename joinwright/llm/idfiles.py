@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bpe import encoder
-from .common import flat, id_and_text, id_type, spread, staged
+from .common import flat, id_and_text, id_type, importable, spread, staged
 
 #: Longest code in bits; the decoding table has 2 to that power of entries.
 LONGEST = 20
@@ -253,6 +253,7 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
     little-endian unsigned 32-bit integers. No shuffle but that of one row per
     file, which gives the ids before each.
     """
+    importable(spark)
     codes = spark.read.parquet(f"{folder}/codes").toPandas()  # bounded by the vocabulary
     ids, lengths = codes["id"].to_numpy(np.int64), codes["length"].to_numpy(np.int64)
     blocks = spark.read.parquet(f"{folder}/blocks")

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from joinwright.functions.columns import col
 
-from .common import chunk_pairs, flat, group_starts, id_and_text, sorted_groups, staged, unused
+from .common import chunk_pairs, flat, group_starts, id_and_text, importable, sorted_groups, staged, unused
 from .components import components
 
 #: Bits in which linked fingerprints may differ, and the positional bytes they then share.
@@ -67,6 +67,7 @@ def fingerprinted(
     docs: DataFrame, name: str, size: int = 3, text_column: str = "text"
 ) -> DataFrame:
     """The rows with their fingerprint, a signed long, as column ``name``."""
+    importable(docs.sparkSession)
     text = docs.columns.index(text_column)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
