@@ -1,18 +1,18 @@
-"""Equi-joins that hold up when one key has a large share of the rows.
+"""Equi-joins, and their form for keys that have a large share of the rows.
 
 Adaptive execution splits a hot key of an inner join on both sides, and of an
 outer join on the side that is kept whole.  It cannot split the other side of an
-outer join, nor either side of a full join.  Such a join is therefore put
-together from joins that it can split::
+outer join, nor either side of a full join.  A side that is known, or measured by
+:func:`hot_sides`, to have a hot key there makes the join one of joins that can be
+split::
 
     left  = inner  +  left anti
     right = inner  +  right anti
     full  = inner  +  left anti  +  right anti
 
 The anti joins look at the distinct keys of the other side, which are
-pre-aggregated before they are shuffled.  Where the caller knows that no key
-repeats on the side that cannot be split, there is no hot key, and the plain join
-is used.
+pre-aggregated before they are shuffled.  Any other join is the plain one, which
+reads either side once.
 """
 
 from __future__ import annotations
@@ -36,16 +36,16 @@ def equi_join(
     on: str | tuple[str, str],
     how: str = "inner",
     null_safe: bool = False,
-    unique: Iterable[str] = (),
+    hot: Iterable[str] = (),
 ) -> DataFrame:
     """Join on one key.
 
     ``on`` is a name both sides have, giving one key column filled from either
     side, or a pair ``(left name, right name)``, keeping both.  All other names
     must differ.  ``how`` is inner, left, right or full (also called outer).
-    ``null_safe`` lets a null key match a null key.  ``unique`` names the sides
-    ("left", "right") on which no key repeats: a promise about speed only, the
-    result is the same without it.
+    ``null_safe`` lets a null key match a null key.  ``hot`` names the sides
+    ("left", "right") on which a key has a large share of the rows: it changes
+    the plan only, the result is the same without it.
     """
     how = join_type_of(how)
     left_key, right_key = (on, on) if isinstance(on, str) else on
@@ -53,13 +53,41 @@ def equi_join(
     clashes = shared_columns(left.columns, right.columns)
     if clashes != ([left_key] if using else []):
         raise ValueError(f"both sides have the columns {clashes}; rename them first")
-    return _EquiJoin(left, right, left_key, right_key, null_safe, frozenset(unique)).run(how)
+    return _EquiJoin(left, right, left_key, right_key, null_safe).run(how, splits(how, hot))
+
+
+def splits(how: str, hot: Iterable[str]) -> bool:
+    """Whether a join is to be put together from others for these hot sides."""
+    unsplit = {"left": {"right"}, "right": {"left"}, "full": {"left", "right"}}
+    return bool(unsplit.get(join_type_of(how), set()) & set(hot))
+
+
+def hot_sides(
+    left: DataFrame, right: DataFrame, on: str | tuple[str, str], share: float = 0.05
+) -> tuple[str, ...]:
+    """Sides on which one key, null aside, has more than this share of the rows.
+
+    It reads the key column of either side once; rows are counted per task and key
+    before they are shuffled.
+    """
+    keys = (on, on) if isinstance(on, str) else on
+    found = []
+    for side, df, key in zip(("left", "right"), (left, right), keys):
+        if has_hot_key(df, key, share):
+            found.append(side)
+    return tuple(found)
+
+
+def has_hot_key(df: DataFrame, key: str, share: float) -> bool:
+    counted = df.filter(col(key).isNotNull()).groupBy(col(key).alias("k")).agg(F.count("*").alias("n"))
+    most, rows = counted.agg(F.max("n"), F.sum("n")).first()
+    return bool(rows) and most > max(1, share * rows)
 
 
 class _EquiJoin:
     """The two sides with their keys, and the pieces a join is made of."""
 
-    def __init__(self, left, right, left_key, right_key, null_safe, unique):
+    def __init__(self, left, right, left_key, right_key, null_safe):
         self.using = left_key == right_key
         self.left = left
         self.left_key = left_key
@@ -67,18 +95,11 @@ class _EquiJoin:
         self.right_key = f"{right_key} (right)" if self.using else right_key
         self.right = right.withColumnRenamed(right_key, self.right_key)
         self.null_safe = null_safe
-        self.unique = unique
-
-    def run(self, how: str) -> DataFrame:
-        if how == "inner":
-            return self._matched()
-        if how == "left" and "right" in self.unique:
-            return self._plain(how)
-        if how == "right" and "left" in self.unique:
-            return self._plain(how)
-        if how == "full" and {"left", "right"} <= self.unique:
-            return self._plain_full()
-        return self._split(how)
+
+    def run(self, how: str, split: bool) -> DataFrame:
+        if split:
+            return self._split(how)
+        return self._plain_full() if how == "full" else self._plain(how)
 
     def _same(self, left_key: Column, right_key: Column) -> Column:
         return left_key.eqNullSafe(right_key) if self.null_safe else left_key == right_key
@@ -108,7 +129,7 @@ class _EquiJoin:
         return self._output(left.join(right, condition, how), keys[how])
 
     def _plain_full(self) -> DataFrame:
-        """Full join of unique keys; the rows with a null key are spread out."""
+        """Full join; the rows with a null key are spread out."""
         if self.null_safe:
             return self._plain("full")
         left = self.left.withColumn("__lsalt", _null_salt(self.left, self.left_key))
@@ -122,26 +143,20 @@ class _EquiJoin:
     def _split(self, how: str) -> DataFrame:
         result = self._matched()
         if how in ("left", "full"):
-            for rows in self._unmatched(self.left, self.left_key, self.right, self.right_key):
-                result = result.unionByName(self._padded(rows, self.right, self.left_key))
+            rows = self._unmatched(self.left, self.left_key, self.right, self.right_key)
+            result = result.unionByName(self._padded(rows, self.right, self.left_key))
         if how in ("right", "full"):
-            for rows in self._unmatched(self.right, self.right_key, self.left, self.left_key):
-                result = result.unionByName(self._padded(rows, self.left, self.right_key))
+            rows = self._unmatched(self.right, self.right_key, self.left, self.left_key)
+            result = result.unionByName(self._padded(rows, self.left, self.right_key))
         return result
 
     def _keyed(self, df: DataFrame, key: str) -> DataFrame:
-        """Rows that can match.  Both the inner and the anti join read exactly
-        these, so the shuffle of one serves the other."""
         return df if self.null_safe else df.filter(col(key).isNotNull())
 
-    def _unmatched(self, kept, kept_key, other, other_key) -> list[DataFrame]:
+    def _unmatched(self, kept, kept_key, other, other_key) -> DataFrame:
+        """Rows without a partner; a row with a null key stays, as it finds none."""
         keys = self._keyed(other, other_key).select(col(other_key)).distinct()
-        rows = self._keyed(kept, kept_key)
-        condition = self._same(col(kept_key), col(other_key))
-        pieces = [rows.join(keys, condition, "left_anti")]
-        if not self.null_safe:
-            pieces.append(kept.filter(col(kept_key).isNull()))
-        return pieces
+        return kept.join(keys, self._same(col(kept_key), col(other_key)), "left_anti")
 
     def _padded(self, rows: DataFrame, missing: DataFrame, key: str) -> DataFrame:
         nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in missing.schema]

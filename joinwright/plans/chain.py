@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import col
-from ..operators.joins import equi_join
+from ..operators.joins import equi_join, has_hot_key, splits
 from ..operators.project import shared_columns
 from ..sources.scratch import cut
 
@@ -26,7 +26,7 @@ class Step:
     how: str = "inner"
     where: str | None = None
     null_safe: bool = False
-    unique: frozenset[str] | tuple[str, ...] = ()
+    hot: frozenset[str] | tuple[str, ...] = ()
 
     @property
     def keys(self) -> tuple[str, str]:
@@ -39,6 +39,7 @@ class Joined:
 
     frame: DataFrame
     owners: Mapping[str, str] = field(default_factory=dict)
+    derived: bool = False
 
     @classmethod
     def start(cls, name: str, frame: DataFrame) -> Joined:
@@ -50,6 +51,8 @@ class Joined:
         A name both sides have, other than that of the one key column, becomes
         ``<table>.<column>`` on either side.
         """
+        if self.derived and splits(step.how, step.hot):
+            return replace(self, frame=cut(self.frame), derived=False).then(name, right, step)
         left_key, right_key = step.keys
         kept = {left_key} if left_key == right_key else set()
         clashes = [c for c in shared_columns(self.frame.columns, right.columns) if c not in kept]
@@ -62,17 +65,17 @@ class Joined:
             keys[0] if keys[0] == keys[1] else keys,
             step.how,
             step.null_safe,
-            step.unique,
+            step.hot,
         )
         owners = {on_left.get(c, c): t for c, t in self.owners.items()}
         for c in right.columns:
             owners.setdefault(on_right.get(c, c), name)
-        return Joined(frame, owners).where(step.where)
+        return Joined(frame, owners, True).where(step.where)
 
     def where(self, condition: str | None) -> Joined:
         if condition is None:
             return self
-        return Joined(self.frame.filter(F.expr(condition)), self.owners)
+        return replace(self, frame=self.frame.filter(F.expr(condition)))
 
 
 def chain_results(
@@ -80,9 +83,10 @@ def chain_results(
 ) -> list[DataFrame]:
     """The joined table after each step, in the order of ``tables``.
 
-    With ``checkpoint`` every result but the last is computed once and kept in
-    the shared folder.  Without it the whole chain is one plan; a left, right or
-    full step whose hot keys have to be split reads the chain before it twice.
+    The whole chain is one plan that reads every table once.  Before a step whose
+    hot keys have to be split, which reads its sides twice or more, the result so far is
+    computed once and kept in the shared folder.  With ``checkpoint`` so is every
+    result but the last.
     """
     names = list(tables)
     if len(steps) != len(names) - 1:
@@ -97,6 +101,27 @@ def chain_results(
     return results
 
 
+def measured(
+    tables: Mapping[str, DataFrame], steps: Sequence[Step], share: float = 0.05
+) -> list[Step]:
+    """The steps with ``hot`` set where one key of a table has more than this share of it.
+
+    Every key column is read once.  The key of the left side is measured in the
+    table it comes from.
+    """
+    names, out = list(tables), []
+    for i, step in enumerate(steps, start=1):
+        left_key, right_key = (k.rsplit(".", 1)[-1] for k in step.keys)
+        owners = [n for n in names[:i] if left_key in tables[n].columns]
+        hot = [
+            side
+            for side, owner, key in (("left", owners[-1:], left_key), ("right", [names[i]], right_key))
+            if owner and has_hot_key(tables[owner[0]], key, share)
+        ]
+        out.append(replace(step, hot=tuple(hot)))
+    return out
+
+
 def join_chain(
     tables: Mapping[str, DataFrame], steps: Sequence[Step], checkpoint: bool = False
 ) -> DataFrame:

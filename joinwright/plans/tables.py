@@ -278,7 +278,7 @@ def generate(
 def _join_next(joined: Joined, name: str, frame: DataFrame, join: Join) -> Joined:
     """Join, and number the rows by the order of the side that is kept whole."""
     right = frame.withColumnRenamed(ROW, "_place")
-    step = Step((join.left_key, join.right_key), join.how, unique=("left", "right"))
+    step = Step((join.left_key, join.right_key), join.how)
     result = joined.then(name, right, step)
     orders = {
         "inner": F.col("_order"),

@@ -95,12 +95,13 @@ RETURNED = "(SELECT * FROM lineitem WHERE l_returnflag = 'R') AS l"
 SQL["j1_inner"] = "SELECT * FROM orders JOIN lineitem ON o_orderkey = l_orderkey"
 SQL["j2_left"] = "SELECT * FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey"
 SQL["j2_left_mostly_unmatched"] = "SELECT * FROM documents LEFT JOIN labels USING (doc_id)"
-SQL["j3_right"] = f"SELECT * FROM {FINISHED} RIGHT JOIN lineitem ON o_orderkey = l_orderkey"
-SQL["j4_full"] = f"SELECT * FROM {FINISHED} FULL JOIN {RETURNED} ON o_orderkey = l_orderkey"
-SQL["j5_same_name_key"] = f"""
-SELECT coalesce(o_orderkey, l_orderkey) AS orderkey,
-       o.* EXCLUDE (o_orderkey), l.* EXCLUDE (l_orderkey)
-FROM {FINISHED} FULL JOIN {RETURNED} ON o_orderkey = l_orderkey
+SQL["j3_right"] = "SELECT * FROM orders RIGHT JOIN lineitem ON o_orderkey = l_orderkey"
+SQL["j4_full"] = "SELECT * FROM labels FULL JOIN conversations ON doc_id = conv_id"
+SQL["j4_hot_full"] = SQL["j4_full"]
+SQL["j2_hot_left"] = "SELECT * FROM labels LEFT JOIN conversations ON doc_id = conv_id"
+SQL["j5_same_name_key"] = """
+SELECT coalesce(doc_id, conv_id) AS id, l.* EXCLUDE (doc_id), c.* EXCLUDE (conv_id)
+FROM labels l FULL JOIN conversations c ON doc_id = conv_id
 """
 SQL["j6_two_name_key"] = "SELECT * FROM customer LEFT JOIN orders ON c_custkey = o_custkey"
 
@@ -120,6 +121,17 @@ LEFT JOIN nation ON r_regionkey = n_regionkey
 JOIN customer ON n_nationkey = c_nationkey
 FULL JOIN orders ON c_custkey = o_custkey
 """
+SQL["j8_star_left"] = """
+SELECT * FROM lineitem
+LEFT JOIN orders ON l_orderkey = o_orderkey
+LEFT JOIN part ON l_partkey = p_partkey
+LEFT JOIN supplier ON l_suppkey = s_suppkey
+"""
+SQL["j8_hot_chain"] = """
+SELECT * FROM supplier
+RIGHT JOIN nation ON s_nationkey = n_nationkey
+FULL JOIN region ON n_regionkey = r_regionkey
+"""
 SQL["x1_example_job"] = X1
 
 # ----------------------------------------------------------- counting and checks

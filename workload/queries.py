@@ -20,7 +20,7 @@ from joinwright.operators.project import (
 )
 from joinwright.operators.rows import draw_without_replacement, first_rows, number_rows
 from joinwright.plans import tables as G
-from joinwright.plans.chain import Step, join_chain
+from joinwright.plans.chain import Step, join_chain, measured
 from joinwright.plans.jobs import chain_job, run_chain_job
 from joinwright.plans.verify import verify
 from joinwright.sources import (
@@ -170,7 +170,7 @@ def p2_cast_joined(spark, folder):
     """Joined columns cast to declared types."""
     found = tables(spark, folder, "orders", "lineitem")
     joined = join_chain(
-        found, [Step(("o_orderkey", "l_orderkey"), "left", unique=("left",))]
+        found, [Step(("o_orderkey", "l_orderkey"), "left")]
     ).select(
         "o_orderkey", "o_orderdate", "o_orderstatus", "l_linenumber", "l_quantity", "l_shipdate"
     )
@@ -246,9 +246,8 @@ def f2_filter_between(spark, folder):
             ("c_custkey", "o_custkey"),
             "left",
             where="c_acctbal > 0 AND o_orderpriority IN ('1-URGENT', '2-HIGH')",
-            unique=("left",),
         ),
-        Step(("o_orderkey", "l_orderkey"), "right", unique=("left",)),
+        Step(("o_orderkey", "l_orderkey"), "right"),
     ]
     return join_chain(found, steps).select(
         "c_custkey", "c_name", "o_orderkey", "o_orderpriority",
@@ -276,33 +275,39 @@ def j2_left_mostly_unmatched(spark, folder):
 
 
 def j3_right(spark, folder):
-    """All line items, with their order if it is finished."""
-    found = tables(spark, folder, "orders", "lineitem")
-    finished = found["orders"].filter("o_orderstatus = 'F'")
-    return equi_join(finished, found["lineitem"], ORDER_KEYS, "right")
+    """All line items, with their order."""
+    return equi_join(*tables(spark, folder, "orders", "lineitem").values(), ORDER_KEYS, "right")
 
 
 def j4_full(spark, folder):
-    """Finished orders and returned line items, with or without each other."""
-    found = tables(spark, folder, "orders", "lineitem")
-    finished = found["orders"].filter("o_orderstatus = 'F'")
-    returned = found["lineitem"].filter("l_returnflag = 'R'")
-    return equi_join(finished, returned, ORDER_KEYS, "full")
+    """Labels and conversations, with or without each other."""
+    found = tables(spark, folder, "labels", "conversations")
+    return equi_join(*found.values(), ("doc_id", "conv_id"), "full")
 
 
 def j5_same_name_key(spark, folder):
     """One key column, filled from either side."""
-    found = tables(spark, folder, "orders", "lineitem")
-    finished = found["orders"].filter("o_orderstatus = 'F'")
-    returned = found["lineitem"].filter("l_returnflag = 'R'")
+    found = tables(spark, folder, "labels", "conversations")
     return equi_join(
-        finished.withColumnRenamed("o_orderkey", "orderkey"),
-        returned.withColumnRenamed("l_orderkey", "orderkey"),
-        "orderkey",
+        found["labels"].withColumnRenamed("doc_id", "id"),
+        found["conversations"].withColumnRenamed("conv_id", "id"),
+        "id",
         "full",
     )
 
 
+def j2_hot_left(spark, folder):
+    """Labels with the turns of their conversation, where the turns' keys are split."""
+    found = tables(spark, folder, "labels", "conversations")
+    return equi_join(*found.values(), ("doc_id", "conv_id"), "left", hot=("right",))
+
+
+def j4_hot_full(spark, folder):
+    """The full join, put together from joins that can be split."""
+    found = tables(spark, folder, "labels", "conversations")
+    return equi_join(*found.values(), ("doc_id", "conv_id"), "full", hot=("left", "right"))
+
+
 def j6_two_name_key(spark, folder):
     """Keys of two names: both stay."""
     found = tables(spark, folder, "customer", "orders")
@@ -330,13 +335,34 @@ def j8_chain(spark, folder):
     """Four tables, a join type per step."""
     found = tables(spark, folder, "region", "nation", "customer", "orders")
     steps = [
-        Step(("r_regionkey", "n_regionkey"), "left", unique=("left",)),
+        Step(("r_regionkey", "n_regionkey"), "left"),
         Step(("n_nationkey", "c_nationkey"), "inner"),
         Step(("c_custkey", "o_custkey"), "full"),
     ]
     return join_chain(found, steps)
 
 
+def j8_star_left(spark, folder):
+    """Line items with their order, part and supplier."""
+    found = tables(spark, folder, "lineitem", "orders", "part", "supplier")
+    steps = [
+        Step(("l_orderkey", "o_orderkey"), "left"),
+        Step(("l_partkey", "p_partkey"), "left"),
+        Step(("l_suppkey", "s_suppkey"), "left"),
+    ]
+    return join_chain(found, steps)
+
+
+def j8_hot_chain(spark, folder):
+    """A chain whose hot keys are measured, and split where they have to be."""
+    found = tables(spark, folder, "supplier", "nation", "region")
+    steps = [
+        Step(("s_nationkey", "n_nationkey"), "right"),
+        Step(("n_regionkey", "r_regionkey"), "full"),
+    ]
+    return join_chain(found, measured(found, steps, share=0.02))
+
+
 def x1_example_job(spark, folder):
     """Three tables: left join on the first key, right join on the second."""
     return chain_job(X1_STEPS)(tables(spark, folder, "customer", "orders", "lineitem"))

@@ -13,8 +13,7 @@ PRICES = (10.0, 99.5)
 CODE = "?##-??#"
 FILTERED = "premium AND segment <> 'BUILDING'"
 CHAIN_SIZES = (15000, 60001)
-# Neither a customer key nor an order key repeats.
 X1_STEPS = (
-    Step(("c_custkey", "o_custkey"), "left", unique=("left",)),
-    Step(("o_orderkey", "l_orderkey"), "right", unique=("left",)),
+    Step(("c_custkey", "o_custkey"), "left"),
+    Step(("o_orderkey", "l_orderkey"), "right"),
 )
