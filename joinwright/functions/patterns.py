@@ -17,6 +17,8 @@ SYMBOLS = {
 }
 # The largest number one draw can encode.
 ROOM = 1 << 62
+# Slots that unique strings have room for, however many are asked for.
+SLOTS = 1 << 52
 
 
 @dataclass(frozen=True)
@@ -57,7 +59,10 @@ def capacity(parts: list[Position]) -> int:
 
 
 def pattern_regex(pattern: str, letters: str) -> str:
-    """Regular expression that exactly the strings of the pattern match."""
+    """Regular expression that exactly the strings of the pattern match.
+
+    What follows must be the end, not a last line break before it.
+    """
     out = []
     for p in positions(pattern, letters):
         if p.literal:
@@ -65,7 +70,7 @@ def pattern_regex(pattern: str, letters: str) -> str:
         else:
             chars = "".join("\\" + c if not c.isalnum() else c for c in p.characters)
             out.append(f"[{chars}]" + ("?" if p.optional else ""))
-    return "^" + "".join(out) + "$"
+    return "^(?:" + "".join(out) + r")(?![\s\S])"
 
 
 @dataclass(frozen=True)
@@ -149,10 +154,11 @@ def unique_string(
     if any(p.optional for p in parts):
         raise ValueError("a pattern with optional digits cannot give unique strings")
     free = [i for i, p in enumerate(parts) if not p.literal]
-    need = max(slots, 1 << 31)
+    if slots > SLOTS:
+        raise ValueError(f"{slots} unique strings; there is room for {SLOTS}")
     tail: list[int] = []
     room = 1
-    while free and room < need and room * parts[free[-1]].choices <= ROOM:
+    while free and room < SLOTS and room * parts[free[-1]].choices <= ROOM:
         tail.append(free.pop())
         room *= parts[tail[-1]].choices
     if room < slots:

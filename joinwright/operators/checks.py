@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import reduce
 from typing import Any
 
@@ -20,9 +21,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import col
+from ..functions.columns import col, fresh
 from ..functions.patterns import pattern_regex
-from ..spec import INTEGRAL, type_of
+from ..spec import type_of
 
 SCHEMA = T.StructType(
     [
@@ -34,7 +35,8 @@ SCHEMA = T.StructType(
         T.StructField("violations", T.LongType()),
     ]
 )
-# Longer lists of allowed values are joined as a table, not written into the plan.
+# Longer lists of allowed values are joined as a table, not written into the plan;
+# the result is the same.
 SHORT_LIST = 200
 
 Tables = Mapping[str, DataFrame]
@@ -139,8 +141,9 @@ def declared_not_null(table: str, schema: T.StructType) -> list[RowCheck]:
 def capacity(table: str, column: str, bounds: tuple[Any, Any] | None = None) -> RowCheck:
     """A range holds enough values for all rows to differ.
 
-    The range is ``bounds``, or from the smallest to the largest value found.  Any
-    number of doubles fit into a range of two different ends.
+    The range is ``bounds``, or from the smallest to the largest value found.  Whole
+    numbers and decimals of any size, and days, are counted; any number of doubles
+    fit into a range of two different ends.  Other types raise ``ValueError``.
     """
 
     def measure(df: DataFrame):
@@ -162,8 +165,14 @@ def _room(dtype: T.DataType, lo: Column, hi: Column, many: Column) -> Column:
     """Number of values in ``lo .. hi``; of doubles as many as wanted."""
     if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         room = F.datediff(hi, lo) + 1
-    elif isinstance(dtype, INTEGRAL):
-        room = hi.cast("bigint") - lo.cast("bigint") + 1
+    elif isinstance(dtype, T.IntegralType):
+        wide = T.DecimalType(20, 0)
+        room = F.least(hi.cast(wide) - lo.cast(wide) + 1, F.lit((1 << 63) - 1).cast(wide))
+    elif isinstance(dtype, T.DecimalType):
+        steps = (hi - lo) * F.lit(10**dtype.scale).cast("decimal(38,0)") + 1
+        room = F.least(steps, F.lit((1 << 63) - 1).cast("decimal(38,0)"))
+    elif not isinstance(dtype, (T.FloatType, T.DoubleType)):
+        raise ValueError(f"values of {dtype.simpleString()} are not counted")
     else:
         room = F.when(hi > lo, many).otherwise((hi == lo).cast("bigint"))
     return F.greatest(F.coalesce(room.cast("bigint"), F.lit(0)), F.lit(0))
@@ -180,20 +189,61 @@ def _one_row(df: DataFrame, expected, actual, violations) -> DataFrame:
     )
 
 
+def typed(values: Iterable[Any], dtype: T.DataType) -> list[Any]:
+    """Different values of a list as Python values of a column's type.
+
+    Null is left out, and so is what no value of the column can equal.
+    """
+    kinds = (
+        (T.BooleanType, bool, (bool,)),
+        ((T.FloatType, T.DoubleType), float, (int, float, Decimal)),
+        (T.DecimalType, Decimal, (int, Decimal, str)),
+        (T.IntegralType, int, (int, float, Decimal)),
+        (T.StringType, str, (str,)),
+    )
+    out: dict[Any, None] = {}
+    for value in values:
+        if value is None:
+            continue
+        for kind, convert, accepted in kinds:
+            if isinstance(dtype, kind):
+                if not isinstance(value, accepted):
+                    break
+                made = convert(value)
+                if convert is int and made != value:
+                    break
+                out[made] = None
+                break
+        else:
+            out[value] = None
+    return list(out)
+
+
 def in_domain(table: str, column: str, values: Sequence[Any] | DataFrame) -> Check:
-    """Values are in a list, given as Python values or as a one-column frame."""
+    """Values are in a list, given as Python values or as a one-column frame.
+
+    A null value passes, and a null in the list allows nothing.  Listed values are
+    converted to the type of the column.
+    """
     if not isinstance(values, DataFrame) and len(values) <= SHORT_LIST:
-        return _passing("domain", table, column, lambda c: c.isin(*values))
+
+        def in_list(df: DataFrame):
+            listed = typed(values, df.schema[column].dataType)
+            found = col(column)
+            bad = F.count_if(found.isNotNull() & ~found.isin(listed) if listed else found.isNotNull())
+            return F.count("*"), F.count("*") - bad, bad
+
+        return RowCheck("domain", table, column, in_list)
 
     def measure(tables: Tables) -> DataFrame:
         df = tables[table]
+        dtype = df.schema[column].dataType
         if isinstance(values, DataFrame):
-            listed = values.toDF("value").distinct()
+            listed = values.toDF("value").select(F.col("value").try_cast(dtype)).toDF("value").distinct()
         else:
-            dtype = df.schema[column].dataType
-            rows = [(v,) for v in dict.fromkeys(values)]
             listed = df.sparkSession.createDataFrame(
-                rows, T.StructType([T.StructField("value", dtype)])
+                [(v,) for v in typed(values, dtype)],
+                T.StructType([T.StructField("value", dtype)]),
             )
         # One row per value, so that no value is hot in the join.
         counted = df.groupBy(col(column).alias("found")).agg(F.count("*").alias("rows"))
@@ -208,12 +258,18 @@ def in_domain(table: str, column: str, values: Sequence[Any] | DataFrame) -> Che
     return GroupCheck("domain", table, column, measure)
 
 
-def unique(table: str, *columns: str) -> GroupCheck:
-    """No two rows have the same key; the violations are the rows too many."""
+def unique(table: str, *columns: str, null_keys: bool = True) -> GroupCheck:
+    """No two rows have the same key; the violations are the rows too many.
+
+    Nulls count as equal; without ``null_keys``, rows with a null in the key are left out.
+    """
 
     def measure(tables: Tables) -> DataFrame:
-        keys = repeated_keys(tables[table], columns, keep_all=True)
-        rows = F.coalesce(F.sum("rows"), F.lit(0))
+        df = tables[table]
+        if not null_keys:
+            df = df.dropna(subset=["`" + c.replace("`", "``") + "`" for c in columns])
+        keys = repeated_keys(df, columns, keep_all=True)
+        rows = F.coalesce(F.sum(col(keys.columns[-1])), F.lit(0))
         return _one_row(keys, rows, F.count("*"), rows - F.count("*"))
 
     return GroupCheck("unique", table, ", ".join(columns), measure)
@@ -222,18 +278,25 @@ def unique(table: str, *columns: str) -> GroupCheck:
 def repeated_keys(
     df: DataFrame, columns: Sequence[str], keep_all: bool = False
 ) -> DataFrame:
-    """Keys that occur more than once and their number of rows."""
-    counted = df.groupBy(*[col(c) for c in columns]).agg(F.count("*").alias("rows"))
-    return counted if keep_all else counted.filter(F.col("rows") > 1)
+    """Keys that occur more than once, and last their number of ``rows``.
+
+    If a key column has this name already, underscores are added to the number's.
+    """
+    rows = fresh("rows", *columns)
+    counted = df.groupBy(*[col(c) for c in columns]).agg(F.count("*").alias(rows))
+    return counted if keep_all else counted.filter(col(rows) > 1)
 
 
 def list_long_enough(table: str, column: str) -> GroupCheck:
-    """Each value is used once: there are as many different values as rows."""
+    """Each value is used once: there are as many different values as rows.
+
+    Nulls are rows without a value.
+    """
 
     def measure(tables: Tables) -> DataFrame:
-        values = tables[table].groupBy(col(column)).agg(F.count("*").alias("rows"))
+        values = tables[table].groupBy(col(column).alias("value")).agg(F.count("*").alias("rows"))
         rows = F.coalesce(F.sum("rows"), F.lit(0))
-        return _one_row(values, rows, F.count(col(column)), rows - F.count(col(column)))
+        return _one_row(values, rows, F.count("value"), rows - F.count("value"))
 
     return GroupCheck("list length", table, column, measure)
 
@@ -245,15 +308,15 @@ def shared_values(left: DataFrame, right: DataFrame, on: str | tuple[str, str])
     one side, this shuffles distinct values only.
     """
     left_key, right_key = (on, on) if isinstance(on, str) else on
-    sides = left.select(col(left_key).alias(left_key), F.lit(1).alias("side")).union(
+    sides = left.select(col(left_key).alias("value"), F.lit(1).alias("side")).union(
         right.select(col(right_key), F.lit(2))
     )
     return (
-        sides.filter(col(left_key).isNotNull())
-        .groupBy(col(left_key))
+        sides.filter("value is not null")
+        .groupBy("value")
         .agg(F.bit_or("side").alias("sides"))
-        .filter(F.col("sides") == 3)
-        .select(col(left_key))
+        .filter("sides = 3")
+        .select(F.col("value").alias(left_key))
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import col
+from ..functions.columns import col, fresh
 
 LEFT, RIGHT = "left", "right"
 FRACTIONS = (T.FloatType, T.DoubleType, T.DecimalType)
@@ -48,7 +48,8 @@ def row_difference(
     """Rows one table has more often than the other.
 
     Columns of the tables, plus ``side`` (which table has more) and ``copies``
-    (how many more).  The tables are equal, whatever their row order, if there
+    (how many more), with underscores added to a name that a column of the tables has
+    already; they are the last two.  The tables are equal, whatever their row order, if there
     are no such rows.  Null equals null.  ``digits`` rounds fractions first.
 
     Rows are counted, +1 on the left and -1 on the right, in one aggregation over
@@ -56,20 +57,20 @@ def row_difference(
     """
     check_schemas(left, right, ignore_column_order)
     names = left.columns
+    weight, balance = fresh("weight", *names), fresh("balance", *names)
     both = (
         _aligned(left, names, digits)
-        .withColumn("__weight", F.lit(1))
-        .unionByName(_aligned(right, names, digits).withColumn("__weight", F.lit(-1)))
+        .withColumn(weight, F.lit(1))
+        .unionByName(_aligned(right, names, digits).withColumn(weight, F.lit(-1)))
     )
-    balance = F.col("__balance")
     return (
         both.groupBy(*[col(n) for n in names])
-        .agg(F.sum("__weight").alias("__balance"))
-        .filter(balance != 0)
+        .agg(F.sum(weight).alias(balance))
+        .filter(col(balance) != 0)
         .select(
             *[col(n) for n in names],
-            F.when(balance > 0, LEFT).otherwise(RIGHT).alias("side"),
-            F.abs(balance).alias("copies"),
+            F.when(col(balance) > 0, LEFT).otherwise(RIGHT).alias(fresh("side", *names)),
+            F.abs(col(balance)).alias(fresh("copies", *names)),
         )
     )
 
@@ -113,30 +114,35 @@ def cell_difference(
     value.  A key that repeats among the rows that differ names no one row; it
     gives the number of these rows on either side under the column ``*``.
 
-    Equal rows cancel out first, so only rows that differ are paired.
+    Equal rows cancel out first, so only rows that differ are paired.  A key column
+    of a name used here keeps it; underscores are added to the other.
     """
     keys = [key] if isinstance(key, str) else list(key)
     cells = [c for c in left.columns if c not in keys]
     difference = row_difference(left, right, digits=digits)
+    side, copies = difference.columns[-2:]
+    number = {s: fresh(s, *keys) for s in (LEFT, RIGHT)}
+    row = {s: fresh(f"{s}_row", *keys) for s in (LEFT, RIGHT)}
     sides = difference.groupBy(*[col(k) for k in keys]).agg(
         *[
-            F.coalesce(F.sum(F.when(F.col("side") == s, F.col("copies"))), F.lit(0)).alias(s)
+            F.coalesce(F.sum(F.when(col(side) == s, col(copies))), F.lit(0)).alias(number[s])
             for s in (LEFT, RIGHT)
         ],
         *[
-            F.any_value(F.when(F.col("side") == s, F.struct(*[col(c) for c in cells])), True)
-            .alias(f"{s}_row")
+            F.any_value(F.when(col(side) == s, F.struct(F.lit(0), *[col(c) for c in cells])), True)
+            .alias(row[s])
             for s in (LEFT, RIGHT)
         ],
     )
-    one = F.col(LEFT) + F.col(RIGHT) == 1
-    pair = (F.col(LEFT) == 1) & (F.col(RIGHT) == 1)
+    one = col(number[LEFT]) + col(number[RIGHT]) == 1
+    pair = (col(number[LEFT]) == 1) & (col(number[RIGHT]) == 1)
+    out = [fresh(n, *keys) for n in ("column", "left_value", "right_value")]
 
-    def cell(column: Column, a: Column, b: Column) -> Column:
-        return F.struct(column.alias("column"), a.alias("left_value"), b.alias("right_value"))
+    def cell(*values: Column) -> Column:
+        return F.struct(*[v.alias(n) for v, n in zip(values, out)])
 
     def side_of(s: str, c: str) -> Column:
-        return F.col(f"{s}_row").getField(c)
+        return col(row[s]).getField(c)
 
     changed = [
         F.when(
@@ -145,8 +151,8 @@ def cell_difference(
         )
         for c in cells
     ]
-    there = [F.when(F.col(s) > 0, "present") for s in (LEFT, RIGHT)]
-    counts = [F.col(s).cast("string") for s in (LEFT, RIGHT)]
+    there = [F.when(col(number[s]) > 0, "present") for s in (LEFT, RIGHT)]
+    counts = [col(number[s]).cast("string") for s in (LEFT, RIGHT)]
     found = (
         F.when(pair, F.array_compact(F.array(*changed)))
         .when(one, F.array(cell(F.lit(None).cast("string"), *there)))
@@ -163,7 +169,9 @@ def same_cells(left: DataFrame, right: DataFrame, key: str | Sequence[str]) -> b
 def difference_counts(difference: DataFrame) -> DataFrame:
     """One row: rows missing on the right, and rows the right has too many."""
 
+    names = difference.columns[-2:]
+
     def copies(side: str) -> Column:
-        return F.coalesce(F.sum(F.when(F.col("side") == side, F.col("copies"))), F.lit(0))
+        return F.coalesce(F.sum(F.when(col(names[0]) == side, col(names[1]))), F.lit(0))
 
     return difference.agg(copies(LEFT).alias("missing"), copies(RIGHT).alias("unexpected"))

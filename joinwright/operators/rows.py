@@ -4,76 +4,58 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import col
 from ..functions.draws import permuted
 from ..sources.scratch import cut
 
-# Up to so many rows Spark's own ordered limit is used.  It gathers as many from
-# every partition in one task, so more rows than that are found by counting.
-SMALL = 100
-# Intervals counted per pass over the order column.
-INTERVALS = 1024
-
 
 def first_rows(df: DataFrame, order: str | Sequence[str], k: int) -> DataFrame:
-    """The first ``k`` rows in the order of integer columns.
+    """The first ``k`` rows in the order of columns of any type that can be sorted.
 
     Rows with a null among these have no place in the order and are left out.
-    Together the columns must tell any two rows apart, else there is no such set
-    of rows.  A large ``k`` is found by counting: the row where the cut lies
-    is narrowed down by passes that count rows per interval, and what is below
-    it is then an ordinary filter.  Fewer than ``k`` rows raise ``ValueError``.
+    Together the columns must tell the rows at the cut apart, else there is no such
+    set of rows, and ``ValueError`` is raised, as it is for fewer than ``k`` rows.
+
+    Only the order columns are shuffled: equal values are counted per task first,
+    and the different ones are range-partitioned and kept in the shared folder.  The sizes of the
+    partitions tell where the cut lies, and what is not beyond it is an ordinary filter.
     """
     columns = [order] if isinstance(order, str) else list(order)
     if k <= 0:
         return df.limit(0)
     for c in columns:
         df = df.filter(col(c).isNotNull())
-    if k <= SMALL:
-        picked = df.orderBy(*[col(c) for c in columns]).limit(k)
-        found = picked.count()
-        if found < k:
-            raise ValueError(f"{k} rows are needed, there are {found}")
-        return picked
-    below: Column | None = None
-    tied: Column = F.lit(True)
-    missing = k
-    for c in columns:
-        value, less, equal = _cut_point(df.filter(tied), c, missing)
-        part = tied & (col(c) < value)
-        below = part if below is None else below | part
-        tied = tied & (col(c) == value)
-        missing -= less
-        if missing == equal:
-            return df.filter(below | tied)
-    raise ValueError(f"rows with equal {', '.join(columns)} have no order")
-
-
-def _cut_point(df: DataFrame, order: str, k: int) -> tuple[int, int, int]:
-    """The k-th smallest value, the rows below it and the rows equal to it."""
-    value = col(order).cast("bigint")
-    lo, hi, rows = df.agg(F.min(value), F.max(value), F.count(value)).first()
+    names = [f"c{i}" for i in range(len(columns))]
+    counted = df.groupBy(*[col(c).alias(n) for c, n in zip(columns, names)]).agg(
+        F.count("*").alias("n")
+    )
+    placed = cut(counted.repartitionByRange(*names)).withColumn("part", F.spark_partition_id())
+    sizes = dict(placed.groupBy("part").agg(F.sum("n")).collect())  # one row per partition
+    rows = sum(sizes.values())
     if rows < k:
         raise ValueError(f"{k} rows are needed, there are {rows}")
-    below, here = 0, rows
-    while lo < hi:
-        width = -(-(hi - lo + 1) // INTERVALS)
-        interval = F.call_function("div", value - F.lit(lo), F.lit(width))
-        counts = (
-            df.filter(value.between(lo, hi))
-            .groupBy(interval.alias("interval"))
-            .agg(F.count("*").alias("rows"))
-            .collect()  # at most INTERVALS rows
-        )
-        for at, here in sorted((r["interval"], r["rows"]) for r in counts):
-            if below + here >= k:
-                break
-            below += here
-        lo, hi = lo + at * width, min(hi, lo + (at + 1) * width - 1)
-    return lo, below, here
+    before = 0
+    for part in sorted(sizes):
+        if before + sizes[part] >= k:
+            break
+        before += sizes[part]
+    running = Window.orderBy(*names).rowsBetween(Window.unboundedPreceding, 0)
+    last = (
+        placed.filter(F.col("part") == part)
+        .withColumn("upto", F.sum("n").over(running) + before)
+        .filter(F.col("upto") >= k)
+        .orderBy("upto")
+        .first()
+    )
+    if last["upto"] != k:
+        raise ValueError(f"rows with equal {', '.join(columns)} have no order")
+    inside: Column = F.lit(True)
+    for c, n in reversed(list(zip(columns, names))):
+        inside = (col(c) < F.lit(last[n])) | ((col(c) == F.lit(last[n])) & inside)
+    return df.filter(inside)
 
 
 def number_rows(df: DataFrame, order: str | Sequence[str], name: str = "_rid") -> DataFrame:
@@ -106,12 +88,18 @@ def draw_without_replacement(
 
     ``index`` numbers the rows from 0.  The different values are numbered in their
     order and matched with the rows through a one-to-one shuffle of these numbers.
-    A null is not drawn.  Too few values raise ``ValueError``.
+    A null is not drawn.  Too few values raise ``ValueError``, and so does an index that is
+    null, negative or repeated.
     """
     different = values.select(col(value)).filter(col(value).isNotNull()).distinct()
     listed = number_rows(different, value, "__place")
     size = listed.count()
-    top = rows.agg(F.max(col(index))).first()[0]
+    i = col(index)
+    seen, least, top, different, numbered = rows.agg(
+        F.count("*"), F.min(i), F.max(i), F.count_distinct(i), F.count(i)
+    ).first()
+    if numbered < seen or (seen and (least < 0 or different < seen)):
+        raise ValueError(f"{index!r} does not number the rows: null, negative or repeated values")
     if top is not None and top >= size:
         raise ValueError(f"{top + 1} rows need as many values, there are {size}")
     placed = rows.withColumn("__place", F.expr(permuted(f"`{index}`", max(size, 1), stream_no)))

@@ -29,7 +29,8 @@ def run_chain_job(
     steps: Sequence[Step] = EXAMPLE_STEPS,
     fmt: str = "csv",
     schemas=None,
+    multiline: bool = False,
 ) -> str:
     """Read the tables, join them, and write the result from all executors."""
-    tables = read_tables(spark, paths, fmt, schemas)
+    tables = read_tables(spark, paths, fmt, schemas, multiline)
     return write_table(join_chain(tables, steps), output, fmt)

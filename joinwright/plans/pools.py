@@ -10,6 +10,7 @@ sizes and bounds on the driver; it does not grow with the number of rows.
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from typing import Any
@@ -20,7 +21,7 @@ from ..functions.draws import array_of, literal, permuted
 from ..functions.patterns import Spelling, unique_room, unique_string
 from ..spec import Column, SpecError
 
-# Points a range of doubles is divided into, unless more rows need one each.
+# Points a range of doubles is divided into at most.
 GRID = 1 << 31
 EPOCH = dt.date(1970, 1, 1)
 
@@ -230,28 +231,34 @@ def _cells(members: Sequence[Member]) -> list[Cell]:
         return [Cell(everyone, unique_room(columns[0].pattern, columns[0].letters))]
     if any(c.pattern is not None for c in columns):
         raise SpecError(f"{columns[0].name}: a pattern and a value list have nothing in common")
-    rows = sum(m.size for m in members)
     lists = [tuple(dict.fromkeys(c.values)) if c.values is not None else None for c in columns]
     cells = _list_cells(columns, lists)
     if any(c.bounds is not None for c in columns):
-        cells += _range_cells(columns, lists, dtype, rows)
+        cells += _range_cells(columns, lists, dtype)
     return cells
 
 
 def _list_cells(columns, lists) -> list[Cell]:
     """Listed values, grouped by the tables that may use them."""
     groups: dict[frozenset[int], list[Any]] = {}
+    listed = [set(values) if values is not None else None for values in lists]
     for value in dict.fromkeys(v for values in lists if values for v in values):
         may = frozenset(
             m
             for m, c in enumerate(columns)
-            if (value in lists[m] if lists[m] is not None else c.bounds[0] <= value <= c.bounds[1])
+            if (value in listed[m] if listed[m] is not None else c.bounds[0] <= value <= c.bounds[1])
         )
         groups.setdefault(may, []).append(value)
     return [Cell(may, len(values), values=tuple(values)) for may, values in groups.items()]
 
 
-def _range_cells(columns, lists, dtype: T.DataType, rows: int) -> list[Cell]:
+def double_room(lo: float, hi: float) -> int:
+    """Different doubles that a stretch gives: no two places of its grid round to one."""
+    finest = 2 * math.ulp(max(abs(float(lo)), abs(float(hi))))
+    return min(GRID, int((float(hi) - float(lo)) / finest))
+
+
+def _range_cells(columns, lists, dtype: T.DataType) -> list[Cell]:
     """What the ranges leave between their ends and the listed values."""
     whole = not isinstance(dtype, T.DoubleType)
     ranges = {
@@ -273,7 +280,9 @@ def _range_cells(columns, lists, dtype: T.DataType, rows: int) -> list[Cell]:
             continue
         may = frozenset(m for m, (a, b) in ranges.items() if a <= lo and hi <= b + whole)
         if may:
-            cells.append(Cell(may, hi - lo if whole else max(GRID, rows), lo, hi))
+            room = hi - lo if whole else double_room(lo, hi)
+            if room:
+                cells.append(Cell(may, room, lo, hi))
     if not whole:
         # The ends themselves; two ranges may have nothing else in common.
         for end in sorted({end for bounds in ranges.values() for end in bounds} - points):

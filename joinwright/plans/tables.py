@@ -9,15 +9,18 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
+from functools import reduce
+from operator import and_
 from typing import Any
 
+from pyspark.sql import Column as SparkColumn
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import col
 from ..functions.draws import array_of, hash32, hash63, literal, stream
-from ..functions.patterns import Spelling, drawn_string
+from ..functions.patterns import Spelling, drawn_string, pattern_regex
 from ..operators.rows import first_rows, number_rows
 from ..sources.files import save_tables
 from ..sources.scratch import cut
@@ -72,7 +75,7 @@ def drawn_column(column: Column, index: str, stream_no: int) -> str | Spelling:
     if isinstance(dtype, T.DateType):
         return f"date_add({literal(lo)}, CAST({draw} % {(hi - lo).days + 1} AS INT))"
     room = hi - lo + 1
-    if room > 1 << 32:
+    if room > 1 << 20:  # else the remainder of a short draw would favour some values
         draw = hash63(index, stream_no)
     return f"CAST({draw} % {room} + {literal(lo)} AS {dtype.simpleString()})"
 
@@ -334,6 +337,25 @@ def correlated_pair(
     return tables[left.name], tables[right.name]
 
 
+def add_columns(
+    df: DataFrame, order: str | Sequence[str], columns: Sequence[Column], seed: int = 0
+) -> DataFrame:
+    """The rows of a table with drawn columns added.
+
+    The rows are numbered in the order of some of their columns, and a row's values
+    depend on its number, the column and the seed.  Columns that may not repeat
+    differ on all rows.
+    """
+    numbered = number_rows(df, order, ROW)
+    table = Table("made", numbered.count(), tuple(columns))
+    clash = set(table.names) & set(df.columns)
+    if clash:
+        raise SpecError(f"the table has the columns {sorted(clash)} already")
+    table = Spec((table,)).checked().tables[0]
+    own = {c: f"`{c}`" for c in df.columns}
+    return _select(numbered, {**own, **_Layout([table], [], seed).columns(0, ROW)}).drop(ROW)
+
+
 def next_table(
     base: DataFrame,
     order: str,
@@ -341,12 +363,16 @@ def next_table(
     matches: int,
     seed: int = 0,
     partitions: int | None = None,
+    key: str | None = None,
 ) -> DataFrame:
-    """A table that goes with an existing one.
-
-    Its first ``matches`` rows copy, from the first rows of ``base`` in the order
-    of an integer column, every column both have.  In the other rows these
-    columns lie above the largest value in ``base``, so they match nothing.
+    """A table that goes with an existing one: its join on ``key`` has ``matches`` rows.
+
+    ``key`` is a whole number or date both have, by default the first such column.
+    The first ``matches`` rows copy every column both have, of any type, from the first rows
+    of ``base``, in the order of a column, whose key occurs once in it and whose
+    shared values are not null and within the bounds and lists of the new table's columns;
+    too few of them raise ``SpecError``.  In the other rows whole numbers and dates that both
+    have lie above the largest in ``base``, so they match nothing, and the rest is drawn.
     """
     spark = base.sparkSession
     shared = [c for c in table.names if c in base.columns]
@@ -354,30 +380,52 @@ def next_table(
         raise SpecError(f"{table.name!r} has no column in common with the other table")
     if not 0 <= matches <= table.size:
         raise SpecError(f"{matches} matches do not fit {table.name!r}")
-    for name in shared:
-        if not isinstance(table.column(name).dtype, (*INTEGRAL, T.DateType)):
-            raise SpecError(f"{name!r}: only whole numbers and dates have a next value")
     table = Spec((table,)).checked().tables[0]
-    tops = base.agg(*[F.max(col(c)).alias(c) for c in shared]).first()
-    filler = []
-    for c in table.columns:
-        if c.name in shared and tops[c.name] is not None:
-            c = _above(c, tops[c.name], table.size - matches, table.name)
-        filler.append(c)
-    own = [c for c in table.columns if c.name not in shared]
-    layout = _Layout([replace(table, columns=tuple(own))], [], seed)
-    columns = layout.columns(0, ROW)
-    picked = first_rows(base, order, matches).select(
+    countable = [c for c in shared if isinstance(table.column(c).dtype, (*INTEGRAL, T.DateType))]
+    if key is None and not countable or key is not None and key not in countable:
+        raise SpecError(f"{key or shared}: only whole numbers and dates have a next value")
+    key = key or countable[0]
+    tops = base.agg(*[F.max(col(c)).alias(c) for c in countable]).first()
+    above = {
+        c: _above(table.column(c), tops[c], table.size - matches, table.name)
+        for c in countable
+        if tops[c] is not None
+    }
+    own = tuple(c for c in table.columns if c.name not in shared)
+    columns = _Layout([replace(table, columns=own)], [], seed).columns(0, ROW)
+    once = base.groupBy(col(key).alias("__key")).agg(F.count("*").alias("__n")).filter("__n = 1")
+    fitting = base.filter(reduce(and_, [_fits(table.column(c)) for c in shared])).join(
+        once, col(key) == F.col("__key"), "left_semi"
+    )
+    try:
+        picked = first_rows(fitting, order, matches)
+    except ValueError as e:
+        raise SpecError(f"{table.name}: {e}") from None
+    picked = picked.select(
         col(order).alias("__order"), *[col(c).alias(f"__copy_{c}") for c in shared]
     )
     copied = {c: _copy(table.column(c)) for c in shared}
     head = _select(number_rows(picked, "__order", ROW), {**columns, **copied})
-    rest = Table(table.name, table.size - matches, tuple(c for c in filler if c.name in shared))
-    above = _Layout([rest], [], seed).columns(0, f"({ROW} - {matches})")
-    tail = _select(_index(spark, matches, table.size, partitions), {**columns, **above})
+    filler = tuple(above.get(c.name, c) for c in table.columns if c.name in shared)
+    rest = Table(table.name, table.size - matches, filler)
+    drawn = _Layout([rest], [], seed).columns(0, f"({ROW} - {matches})")
+    tail = _select(_index(spark, matches, table.size, partitions), {**columns, **drawn})
     return head.select(table.names).unionByName(tail.select(table.names))
 
 
+def _fits(column: Column) -> SparkColumn:
+    """Whether a value may be copied into the column."""
+    value = col(column.name)
+    fits = value.isNotNull()
+    if column.bounds is not None:
+        fits = fits & value.between(*[F.lit(b) for b in column.bounds])
+    if column.values is not None:
+        fits = fits & value.isin(list(column.values))
+    if column.pattern is not None and column.letters is not None:
+        fits = fits & value.rlike(pattern_regex(column.pattern, column.letters))
+    return fits
+
+
 def _above(column: Column, top: Any, rows: int, table: str) -> Column:
     if column.bounds is None:
         raise SpecError(f"{table}.{column.name}: a value list has no next value")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from functools import cached_property
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +27,8 @@ class Verification:
 
     ``summary`` has one row: whether it passed, and how many rows it lacks or has
     too many.  ``differences`` has these rows, or is None where the columns
-    differ already.  Both are lazy; neither collects a table.
+    differ already.  Both are lazy; neither collects a table.  A job whose rows
+    raise an error has not passed; ``reason`` says why, reading ``summary`` itself raises.
     """
 
     summary: DataFrame
@@ -34,7 +36,20 @@ class Verification:
 
     @property
     def passed(self) -> bool:
-        return self.summary.first()["passed"]
+        return self._outcome[0]
+
+    @property
+    def reason(self) -> str | None:
+        """Why the job has not passed; None if it has."""
+        return self._outcome[1]
+
+    @cached_property
+    def _outcome(self) -> tuple[bool, str | None]:
+        try:
+            row = self.summary.first()
+        except Exception as e:  # whatever the rows of a job under test may raise
+            return False, f"{type(e).__name__}: {e}"
+        return row["passed"], row["reason"]
 
     def sample(self, rows: int = 20) -> DataFrame | None:
         """Some of the rows that differ, for a person to look at."""
@@ -51,8 +66,7 @@ def verify(
     """Run a job and compare its output with the expected table.
 
     Row and column order do not matter.  An error that the job raises while it
-    builds its result counts as failure; one that its rows raise shows when the
-    outcome is read.
+    builds its result, or while it runs, counts as failure.
     """
     try:
         difference = row_difference(expected, job(tables), digits=digits)
@@ -85,18 +99,20 @@ def check_job(
     seed: int = 0,
     folder: str | None = None,
     name: str = "job",
+    multiline: bool = False,
 ) -> Verification:
     """Generate the tables of a spec, run a job on them and verify its result.
 
     With a folder, tables and expected result are written there in the format of
     the spec, and read back with their declared types for the job and for the
-    comparison.  Without one everything is a single plan.
+    comparison; ``multiline`` allows line breaks in their texts.  Without one
+    everything is a single plan.
     """
     made = generate(spark, spec, seed)
     tables, expected = made.tables, made.expected
     if folder is not None:
         paths = made.save(folder)
         schemas = {n: df.schema for n, df in {**tables, RESULT: expected}.items()}
-        tables = read_tables(spark, paths, made.format, schemas)
+        tables = read_tables(spark, paths, made.format, schemas, multiline)
         expected = tables.pop(RESULT)
     return verify(job, tables, expected, name)

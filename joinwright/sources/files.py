@@ -46,7 +46,8 @@ def read_table(
 
     A CSV file has a header and commas.  Without a schema its types are
     inferred, which reads the file once more, and an empty value is null.  With
-    one it is read once, and a quoted empty value is an empty string.
+    one it is read once, a quoted empty value is an empty string, and a row that
+    does not fit the schema raises.
     ``multiline`` allows line breaks within quoted values; such a file cannot be
     split among tasks, so it should be written as many files.
     """
@@ -56,7 +57,7 @@ def read_table(
     reader = spark.read.options(**CSV, multiLine=multiline)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
-    df = reader.options(enforceSchema=False, emptyValue=EMPTY).schema(schema).csv(path)
+    df = reader.options(enforceSchema=False, emptyValue=EMPTY, mode="FAILFAST").schema(schema).csv(path)
     return df.select(
         [
             F.when(col(f.name) == EMPTY, "").otherwise(col(f.name)).alias(f.name)
@@ -72,8 +73,9 @@ def read_tables(
     paths: Mapping[str, str] | str | Iterable[str],
     fmt: str = "csv",
     schemas: Mapping[str, T.StructType] | None = None,
+    multiline: bool = False,
 ) -> dict[str, DataFrame]:
-    """Scan several tables, keeping their order.
+    """Scan several tables, keeping their order; see :func:`read_table`.
 
     ``paths`` maps names to paths, or lists paths (also as one string with
     commas) whose last part, without its ending, is the name.
@@ -84,7 +86,8 @@ def read_tables(
         paths = {_base_name(p): p for p in paths}
     schemas = schemas or {}
     return {
-        name: read_table(spark, path, fmt, schemas.get(name)) for name, path in paths.items()
+        name: read_table(spark, path, fmt, schemas.get(name), multiline)
+        for name, path in paths.items()
     }
 
 
@@ -96,13 +99,22 @@ def _base_name(path: str) -> str:
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "csv") -> str:
-    """Write one table from all executors; returns its path."""
-    writer = df.write.mode("overwrite")
+    """Write one table from all executors; returns its path.
+
+    CSV has no way to write a text that is just the character NUL; it raises.
+    """
     if _format(fmt) == "csv":
+        refused = F.raise_error(F.lit("CSV cannot hold a text that is just NUL"))
+        checked = [
+            F.when(col(f.name) == EMPTY, refused).otherwise(col(f.name)).alias(f.name)
+            if isinstance(f.dataType, T.StringType)
+            else col(f.name)
+            for f in df.schema
+        ]
         # An empty string is written as "", a null as nothing.
-        writer.options(**CSV).csv(path)
+        df.select(checked).write.mode("overwrite").options(**CSV).csv(path)
     else:
-        writer.parquet(path)
+        df.write.mode("overwrite").parquet(path)
     return path
 
 
@@ -129,35 +141,47 @@ def save_tables(
     }
 
 
+def _as_text(
+    spark: SparkSession, path: str, columns: Mapping[str, str], fmt: str, multiline: bool
+) -> DataFrame:
+    """The columns as they are stored: of a CSV file as text."""
+    if _format(fmt) != "csv":
+        return read_table(spark, path, fmt).select(*[col(c) for c in columns])
+    text = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    return read_table(spark, path, fmt, text, multiline)
+
+
 def read_typed(
-    spark: SparkSession, path: str, columns: Mapping[str, str], fmt: str = "csv"
+    spark: SparkSession,
+    path: str,
+    columns: Mapping[str, str],
+    fmt: str = "csv",
+    multiline: bool = False,
 ) -> DataFrame:
     """Scan a table into the types its description names; unknown names raise.
 
     A value that does not convert reads as null; :func:`unconverted` counts them.
     """
     schema = schema_of(columns)
-    if _format(fmt) == "csv":
-        return read_table(spark, path, fmt, schema)
-    df = read_table(spark, path, fmt).select(*columns)
-    return df.select([F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema])
+    df = _as_text(spark, path, columns, fmt, multiline)
+    return df.select([col(f.name).try_cast(f.dataType).alias(f.name) for f in schema])
 
 
 def unconverted(
-    spark: SparkSession, path: str, columns: Mapping[str, str], fmt: str = "csv"
+    spark: SparkSession,
+    path: str,
+    columns: Mapping[str, str],
+    fmt: str = "csv",
+    multiline: bool = False,
 ) -> DataFrame:
-    """One row with the number of values per column that do not convert."""
+    """One row with the number of values per column that :func:`read_typed` turns into nulls."""
     schema = schema_of(columns)
-    if _format(fmt) == "csv":
-        text = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-        df = read_table(spark, path, fmt, text)
-    else:
-        df = read_table(spark, path, fmt)
+    df = _as_text(spark, path, columns, fmt, multiline)
     return df.agg(
         *[
-            F.count_if(
-                F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()
-            ).alias(f.name)
+            F.count_if(col(f.name).isNotNull() & col(f.name).try_cast(f.dataType).isNull()).alias(
+                f.name
+            )
             for f in schema
         ]
     )

@@ -397,216 +397,52 @@ FROM n
 """
 
 # --------------------------------------------------------------------- generation
-# The formulas of repeatable draws, written out over range(n).
+# What must hold of the generated values, whatever they are.
 
-
-def number(column: str, table: str = "made") -> int:
-    return stream(SEED, f"{table}.{column}")
-
-
-def hashed(i: str, s: int) -> str:
-    x = (f"((((xor({i}, CAST({s} AS BIGINT))) % 4294967291) * 668265263"
-         f" + ({i} >> 32) * 374761393) % 4294967291)")
-    x = f"((xor({x}, {x} >> 16) * 73244475) & 4294967295)"
-    return f"xor({x}, {x} >> 15)"
-
-
-def hashed63(i: str, s: int) -> str:
-    return f"(({hashed(i, s)} >> 1) * 4294967296 + {hashed(i, s ^ 0xFFFFFFFF)})"
-
-
-def moved(slot: str, size: int, s: int) -> str:
-    return f"((({slot}) * {stride(size)} + {s}) % {size})"
-
-
-def moved_in(slot: str, size: str, s: int) -> str:
-    """The same where the size is known to SQL only."""
-    top = f"greatest(least({size}, 4611686018427387904 // {size}) * 618 // 1000, 1)"
-    step = f"(SELECT max(a) FROM range(greatest({top} - 500, 1), {top} + 1) AS t(a)" \
-           f" WHERE gcd(a, {size}) = 1)"
-    return f"((({slot}) * {step} + {s}) % {size})"
-
-
-def size_of(table: str) -> str:
-    return f"(SELECT count(*) FROM {table})"
-
-
-def index(table: str, start: str = "0") -> str:
-    """Rows start .. n - 1, n being the size of a table."""
-    return f"(SELECT range AS i FROM range({start}, {size_of(table)}))"
-
-
-WIDTH = INTS[1] - INTS[0] + 1
-GRID = 1 << 31
-
-
-def double(slot: str, lo: float, hi: float, s: int) -> str:
-    place = f"({moved(slot, GRID, s)} + CAST(0.5 AS DOUBLE))"
-    return (f"CAST({lo} AS DOUBLE) + CAST({hi - lo} AS DOUBLE)"
-            f" * ({place} / CAST({GRID} AS DOUBLE))")
-
-
-SQL["g1_integers"] = f"""
-SELECT CAST({moved('i', WIDTH, number('n'))} + {INTS[0]} AS INTEGER) AS n FROM {index('orders')}
-"""
-SQL["g2_booleans"] = f"SELECT {hashed('i', number('flag'))} % 2 = 1 AS flag FROM {index('orders')}"
-SQL["g3_doubles"] = f"SELECT {double('i', *PRICES, number('price'))} AS price FROM {index('orders')}"
-DAY_COUNT = "(DATE '2020-01-01' - DATE '1200-01-01' + 1)"
-SQL["g4_dates"] = f"""
-SELECT DATE '1200-01-01' + CAST({moved_in('i', DAY_COUNT, number('day'))} AS INTEGER) AS day
-FROM {index('customer')}
+SQL["g1_integers"] = "SELECT *, true AS inside, 1 AS times FROM orders"
+SQL["g2_booleans"] = "SELECT * FROM customer"
+SQL["g3_doubles"] = "SELECT o_orderkey, o_totalprice, true AS inside, 1 AS times FROM orders"
+SQL["g4_dates"] = "SELECT *, true AS inside, 1 AS times FROM supplier"
+SQL["g5_strings"] = "SELECT o_orderkey, o_custkey, true AS fits FROM orders"
+SQL["g6_own_bounds"] = """
+SELECT *, true AS size_inside, true AS price_inside, true AS code_fits FROM part
 """
-
-
-def letter(n: str, radix: int) -> str:
-    return f"substr('{UPPER}', {n} // {radix} % 26 + 1, 1)"
-
-
-def digit(n: str, radix: int) -> str:
-    return f"CAST({n} // {radix} % 10 AS VARCHAR)"
-
-
-# The pattern ?##-??# from its first position on.
-DRAWN_CODE = " || ".join([
-    letter("x", 1), digit("x", 26), digit("x", 260), "'-'",
-    letter("x", 2600), letter("x", 67600), digit("x", 1757600),
-])
-SQL["g5_strings"] = f"""
-SELECT {DRAWN_CODE} AS code
-FROM (SELECT {hashed63('i', number('code'))} AS x FROM {index('orders')})
+SQL["g7_value_list"] = "SELECT * FROM orders"
+SQL["g8_without_replacement"] = """
+SELECT count(*) AS rows, count(*) AS customers, count(*) AS orders FROM customer
 """
-OWN = 1500000000 - 500000 + 1
-SQL["g6_own_bounds"] = f"""
-SELECT CAST({moved('i', OWN, number('id'))} + 500000 AS INTEGER) AS id,
-       CAST({moved('i', WIDTH, number('plain'))} + {INTS[0]} AS INTEGER) AS plain,
-       {double('i', 5.0, 10.0, number('price'))} AS price,
-       'AB-' || {digit('x', 1)} || {digit('x', 10)} || substr('xyz', x // 100 % 3 + 1, 1) AS code
-FROM (SELECT i, {hashed63('i', number('code'))} AS x FROM {index('orders')})
+SQL["g9_not_unique"] = """
+SELECT l_orderkey, l_linenumber, l_partkey, true AS inside FROM lineitem
 """
-SEGMENT_LIST = "[" + LISTED + "]"
-SQL["g7_value_list"] = f"""
-SELECT {SEGMENT_LIST}[{hashed('i', number('segment'))} % {len(SEGMENTS)} + 1] AS segment
-FROM {index('orders')}
+SQL["g10_filler_rows"] = """
+SELECT count(*) AS rows, count(*) AS keys FROM orders UNION ALL SELECT 0, 0
 """
-SQL["g8_without_replacement"] = f"""
-WITH c AS (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) - 1 AS i FROM customer),
-     o AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS place FROM orders)
-SELECT c_custkey, o_orderkey
-FROM (SELECT c_custkey, {moved_in('i', size_of('orders'), stream(SEED, 'draw'))} AS place FROM c)
-JOIN o USING (place)
+SQL["g11_correlated_pair"] = """
+SELECT * FROM customer ORDER BY c_custkey LIMIT (SELECT count(*) // 2 FROM customer)
 """
-SQL["g9_not_unique"] = f"""
-SELECT CAST({hashed('i', number('n'))} % 50 + 1 AS INTEGER) AS n FROM {index('orders')}
+SQL["g12_next_table"] = """
+SELECT * FROM customer WHERE c_mktsegment IN ('AUTOMOBILE', 'FURNITURE', 'HOUSEHOLD')
+ORDER BY c_custkey LIMIT (SELECT count(*) // 4 FROM customer)
 """
-SQL["g10_filler_rows"] = f"""
-SELECT CAST({moved('i', WIDTH, number('n'))} + {INTS[0]} AS INTEGER) AS n,
-       {hashed('i', number('flag'))} % 2 = 1 AS flag,
-       {double('i', *PRICES, number('price'))} AS price
-FROM {index('orders', size_of('customer'))}
+SQL["g13_chain"] = """
+WITH n AS (SELECT count(*) // 8 AS matched FROM customer),
+     first AS (SELECT * FROM customer ORDER BY c_custkey LIMIT (SELECT matched FROM n))
+SELECT * FROM first
+UNION ALL
+SELECT first.* FROM range((SELECT count(*) FROM part) - (SELECT matched FROM n)) LEFT JOIN first ON false
 """
-
-# Unique strings of ?##-??#: all six free positions, last first, hold the slot.
-CODES = 26 * 26 * 26 * 1000
-UNIQUE_CODE = " || ".join([
-    letter("u", 676000), digit("u", 67600), digit("u", 6760), "'-'",
-    letter("u", 260), letter("u", 10), digit("u", 1),
-])
-HALF = f"({size_of('customer')} // 2)"
-EIGHTH = f"({size_of('customer')} // 8)"
-
-
-def pair_member(table: str, name: str, slot: str, flag: str) -> str:
-    ids, codes = number("user_id", "users"), number("code", "users")
-    return f"""
-SELECT CAST({moved('slot', WIDTH, ids)} + {INTS[0]} AS INTEGER) AS user_id,
-       {UNIQUE_CODE} AS code, {flag} % 2 = 1 AS flag, '{name}' AS name_of
-FROM (SELECT i, slot, {moved('slot', CODES, codes)} AS u
-      FROM (SELECT i, {slot} AS slot FROM {index(table)}))"""
-
-
-FLAG_USERS = hashed("i", number("flag", "users"))
-FLAG_BUYS = hashed("i", number("flag", "buys"))
-FILLER = f"CASE WHEN i < {HALF} THEN i ELSE {size_of('customer')} + i - {HALF} END"
-SQL["g11_correlated_pair"] = (
-    pair_member("customer", "users", "i", FLAG_USERS)
-    + "\nUNION ALL"
-    + pair_member("orders", "buys", FILLER,
-                  f"(CASE WHEN i < {HALF} THEN {FLAG_USERS} ELSE {FLAG_BUYS} END)")
-)
-
-ABOVE = "((SELECT max(c_custkey) FROM customer) + 1)"
-SQL["g12_next_table"] = f"""
-WITH picked AS (
-  SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) - 1 AS i FROM customer
-  ORDER BY c_custkey LIMIT {HALF}
-),
-keys AS (
-  SELECT i, c_custkey FROM picked
-  UNION ALL
-  SELECT i, {moved_in(f'i - {HALF}', f'(2147483648 - {ABOVE} + 1)', number('c_custkey', 'child'))}
-            + {ABOVE}
-  FROM {index('orders', HALF)}
+SQL["g14_chain_with_filter"] = """
+WITH bought AS (
+  SELECT * FROM customer ORDER BY c_custkey LIMIT (SELECT count(*) // 2 FROM customer)
+), kept AS (
+  SELECT * FROM bought WHERE c_acctbal > 0 AND c_mktsegment <> 'BUILDING'
 )
-SELECT c_custkey, CAST({moved('i', WIDTH, number('n', 'child'))} + {INTS[0]} AS INTEGER) AS n
-FROM keys
+SELECT true AS customer, count(*) AS rows, CAST(sum(c_custkey) AS BIGINT) AS keys FROM kept
+UNION ALL
+SELECT false, (SELECT count(*) FROM part) - (SELECT count(*) // 8 FROM customer), NULL
 """
-
-
-def chain_tables(products: str) -> str:
-    """``user_info`` and ``user_buy``, and ``product`` with the given slots."""
-    users = number("user_id", "user_info")
-    bought = number("product_id", "user_buy")
-    return f"""
-user_info AS (
-  SELECT i AS place, CAST({moved('i', WIDTH, users)} + {INTS[0]} AS INTEGER) AS user_id,
-         {SEGMENT_LIST}[{hashed('i', number('segment', 'user_info'))} % {len(SEGMENTS)} + 1]
-         AS segment,
-         {hashed('i', number('premium', 'user_info'))} % 2 = 1 AS premium
-  FROM {index('customer')}
-),
-user_buy AS (
-  SELECT CAST({moved('slot', WIDTH, users)} + {INTS[0]} AS INTEGER) AS user_id,
-         CAST({moved('i', WIDTH, bought)} + {INTS[0]} AS INTEGER) AS product_id
-  FROM (SELECT i, {FILLER} AS slot FROM {index('orders')})
-),
-{products}"""
-
-
-def product(i: str, key: str, source: str) -> str:
-    return f"""
-  SELECT {key} AS product_id, {double(i, *PRICES, number('price', 'product'))} AS price
-  FROM {source}"""
-
-
-FRESH = (
-    f"CAST({moved(f'{size_of("orders")} + i - {EIGHTH}', WIDTH, number('product_id', 'user_buy'))}"
-    f" + {INTS[0]} AS INTEGER)"
-)
-COPIED = f"CAST({moved('i', WIDTH, number('product_id', 'user_buy'))} + {INTS[0]} AS INTEGER)"
-SQL["g13_chain"] = f"""
-WITH {chain_tables(f'''product AS (
-{product('i', f'CASE WHEN i < {EIGHTH} THEN {COPIED} ELSE {FRESH} END', index('part'))}
-)''')}
-SELECT user_id, segment, premium, product_id, price
-FROM (SELECT * FROM user_info LEFT JOIN user_buy USING (user_id))
-RIGHT JOIN product USING (product_id)
-"""
-SQL["g14_chain_with_filter"] = f"""
-WITH {chain_tables(f'''first AS (
-  SELECT * FROM user_info JOIN user_buy USING (user_id)
-  WHERE premium AND segment <> 'BUILDING'
-),
-picked AS (
-  SELECT product_id, row_number() OVER (ORDER BY place) - 1 AS i FROM first
-  ORDER BY place LIMIT {EIGHTH}
-),
-product AS (
-{product('i', 'product_id', 'picked')}
-  UNION ALL
-{product('i', FRESH, index('part', EIGHTH))}
-)''')}
-SELECT user_id, segment, premium, product_id, price
-FROM first FULL JOIN product USING (product_id)
+SQL["g15_first_days"] = """
+SELECT * FROM events ORDER BY ts, event_id LIMIT (SELECT count(*) // 10 FROM events)
 """
 SQL["g15_first_rows"] = """
 SELECT * FROM orders ORDER BY o_orderkey LIMIT (SELECT count(*) // 10 FROM orders)

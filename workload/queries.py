@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,9 +37,6 @@ from .settings import (
     CHAIN_SIZES,
     CODE,
     DAYS,
-    FILTERED,
-    INTS,
-    PRICES,
     SEED,
     SEGMENTS,
     UPPER,
@@ -630,68 +627,89 @@ def _rows(spark, folder, name: str) -> int:
     return table(spark, folder, name).count()
 
 
-def _one_column(spark, folder, column: Column) -> DataFrame:
-    """A generated table with as many rows as there are orders."""
-    size = _rows(spark, folder, "orders")
-    return G.generate_table(spark, Table("made", size, (column,)), SEED)
+def _ends(df: DataFrame, column: str) -> tuple:
+    """Smallest and largest value of a column."""
+    return tuple(df.agg(F.min(column), F.max(column)).first())
+
+
+def _times(df: DataFrame, column: str) -> DataFrame:
+    """How often each row's value occurs in the column, as ``times``."""
+    return df.withColumn("times", F.count("*").over(Window.partitionBy(column)))
 
 
 def g1_integers(spark, folder):
-    return _one_column(spark, folder, Column("n", T.IntegerType(), bounds=INTS))
+    """Each order with a number of its own, within the range of the order keys."""
+    orders = table(spark, folder, "orders")
+    ends = _ends(orders, "o_orderkey")
+    made = G.add_columns(orders, "o_orderkey", [Column("n", T.LongType(), bounds=ends)], SEED)
+    inside = F.col("n").between(*ends).alias("inside")
+    return _times(made, "n").select(*orders.columns, inside, "times")
 
 
 def g2_booleans(spark, folder):
-    return _one_column(spark, folder, Column("flag", T.BooleanType()))
+    """Each customer with a flag, the same when drawn again; a count of either flag."""
+    customers = table(spark, folder, "customer")
+    flags = [Column("flag", T.BooleanType())]
+    made = G.add_columns(customers, "c_custkey", flags, SEED)
+    again = G.add_columns(customers, "c_custkey", flags, SEED).select("c_custkey", "flag")
+    again = again.toDF("key", "again")
+    same = made.join(again, F.expr("c_custkey = key AND flag = again"), "left_semi")
+    return same.select(*customers.columns)
 
 
 def g3_doubles(spark, folder):
-    return _one_column(spark, folder, Column("price", T.DoubleType(), bounds=PRICES))
+    """Each line item's order with a price of its own, within the range of the totals."""
+    orders = table(spark, folder, "orders")
+    ends = _ends(orders, "o_totalprice")
+    made = G.add_columns(orders, "o_orderkey", [Column("price", T.DoubleType(), bounds=ends)], SEED)
+    inside = F.col("price").between(*ends).alias("inside")
+    return _times(made, "price").select("o_orderkey", "o_totalprice", inside, "times")
 
 
 def g4_dates(spark, folder):
-    """As many different days as there are customers."""
-    size = _rows(spark, folder, "customer")
-    column = Column("day", T.DateType(), bounds=("1200-01-01", "2020-01-01"))
-    return G.generate_table(spark, Table("made", size, (column,)), SEED)
+    """Each supplier with a day of its own, within the days of the orders."""
+    ends = _ends(table(spark, folder, "orders").select(F.to_date("o_orderdate").alias("d")), "d")
+    suppliers = table(spark, folder, "supplier")
+    made = G.add_columns(suppliers, "s_suppkey", [Column("day", T.DateType(), bounds=ends)], SEED)
+    inside = F.col("day").between(*[F.lit(e) for e in ends]).alias("inside")
+    return _times(made, "day").select(*suppliers.columns, inside, "times")
 
 
 def g5_strings(spark, folder):
-    column = Column("code", T.StringType(), pattern=CODE, letters=UPPER)
-    return _one_column(spark, folder, column)
+    """Each order with a code of the pattern."""
+    orders = table(spark, folder, "orders")
+    code = Column("code", T.StringType(), pattern=CODE, letters=UPPER)
+    made = G.add_columns(orders, "o_orderkey", [code], SEED)
+    fits = F.col("code").rlike(r"\A[A-Z][0-9]{2}-[A-Z]{2}[0-9]\z").alias("fits")
+    return made.select("o_orderkey", "o_custkey", fits)
 
 
 def g6_own_bounds(spark, folder):
-    """Columns with bounds and patterns of their own beside one with the defaults."""
-    size = _rows(spark, folder, "orders")
-    spec = {
-        "datasets": {
-            "made": {
-                "size": size,
-                "schema": {
-                    "id": {
-                        "type": "IntegerType",
-                        "nullable": False,
-                        "restriction": (500000, 1500000000),
-                    },
-                    "plain": {"type": "IntegerType", "nullable": False},
-                    "price": {"type": "DoubleType", "nullable": False, "restriction": (5, 10)},
-                    "code": {
-                        "type": "StringType",
-                        "nullable": False,
-                        "string_format": "AB-##?",
-                        "letters": "xyz",
-                    },
-                },
-            }
-        },
-        "restrictions": {"min_int": INTS[0], "max_int": INTS[1]},
-    }
-    return G.generate(spark, spec, SEED).tables["made"]
+    """Each part with numbers, prices and codes, each within bounds of its own."""
+    parts = table(spark, folder, "part")
+    sizes, prices = _ends(parts, "p_size"), _ends(parts, "p_retailprice")
+    columns = [
+        Column("size", T.IntegerType(), bounds=sizes, unique=False),
+        Column("price", T.DoubleType(), bounds=prices),
+        Column("code", T.StringType(), pattern="AB-##?", letters="xyz"),
+    ]
+    made = G.add_columns(parts, "p_partkey", columns, SEED)
+    return made.select(
+        *parts.columns,
+        F.col("size").between(*sizes).alias("size_inside"),
+        F.col("price").between(*prices).alias("price_inside"),
+        F.col("code").rlike(r"\AAB-[0-9]{2}[xyz]\z").alias("code_fits"),
+    )
 
 
 def g7_value_list(spark, folder):
-    column = Column("segment", T.StringType(), values=tuple(SEGMENTS))
-    return _one_column(spark, folder, column)
+    """Each order with a brand that some part has."""
+    parts, orders = (table(spark, folder, n) for n in ("part", "orders"))
+    brands = sorted(r[0] for r in parts.select("p_brand").distinct().collect())
+    column = Column("brand", T.StringType(), values=tuple(brands))
+    made = G.add_columns(orders, "o_orderkey", [column], SEED)
+    there = parts.select(F.col("p_brand").alias("brand")).distinct()
+    return made.join(there, "brand", "left_semi").select(*orders.columns)
 
 
 def g8_without_replacement(spark, folder):
@@ -699,109 +717,133 @@ def g8_without_replacement(spark, folder):
     customers = number_rows(table(spark, folder, "customer").select("c_custkey"), "c_custkey", "i")
     orders = table(spark, folder, "orders")
     drawn = draw_without_replacement(customers, "i", orders, "o_orderkey", stream(SEED, "draw"))
-    return drawn.select("c_custkey", "o_orderkey")
+    there = drawn.join(orders.select("o_orderkey"), "o_orderkey", "left_semi")
+    return there.agg(
+        F.count("*").alias("rows"),
+        F.count_distinct("c_custkey").alias("customers"),
+        F.count_distinct("o_orderkey").alias("orders"),
+    )
 
 
 def g9_not_unique(spark, folder):
-    column = Column("n", T.IntegerType(), bounds=(1, 50), unique=False)
-    return _one_column(spark, folder, column)
+    """Each line item with a quantity drawn from the range of the quantities, repeating."""
+    items = table(spark, folder, "lineitem")
+    ends = tuple(map(int, _ends(items, "l_quantity")))
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    column = Column("n", T.IntegerType(), bounds=ends, unique=False)
+    made = G.add_columns(items, order, [column], SEED)
+    return made.select(
+        "l_orderkey", "l_linenumber", "l_partkey", F.col("n").between(*ends).alias("inside")
+    )
 
 
-def g10_filler_rows(spark, folder):
-    """The rows of a table from a given row on."""
-    size, start = _rows(spark, folder, "orders"), _rows(spark, folder, "customer")
-    made = Table(
-        "made",
-        size,
-        (
-            Column("n", T.IntegerType(), bounds=INTS),
-            Column("flag", T.BooleanType()),
-            Column("price", T.DoubleType(), bounds=PRICES),
-        ),
-    )
-    return G.generate_table(spark, made, SEED, start=start)
+KEYS = (0, 1 << 40)
 
 
-def g11_correlated_pair(spark, folder):
-    """Two tables of which half as many rows as there are customers agree."""
-    users, buys = _rows(spark, folder, "customer"), _rows(spark, folder, "orders")
+def _child_of_customers(spark, folder, matches: int, size: int) -> DataFrame:
+    """A table that shares key, name, balance and segment with the first customers."""
+    customers = table(spark, folder, "customer")
     shared = (
-        Column("user_id", T.IntegerType(), bounds=INTS),
-        Column("code", T.StringType(), pattern=CODE, letters=UPPER),
-        Column("flag", T.BooleanType()),
+        Column("c_custkey", T.LongType(), bounds=KEYS),
+        Column("c_name", T.StringType(), pattern=CODE, letters=UPPER),
+        Column("c_acctbal", T.DoubleType(), bounds=(-1e6, 1e6)),
+        Column("n", T.LongType(), bounds=KEYS),
     )
-    left, right = G.correlated_pair(
-        spark, Table("users", users, shared), Table("buys", buys, shared), users // 2,
-        "user_id", SEED,
+    named = customers.withColumn("c_name", F.lit("A12-BC3"))
+    return G.next_table(named, "c_custkey", Table("child", size, shared), matches, SEED)
+
+
+def g10_filler_rows(spark, folder):
+    """As many rows as there are orders that go with no customer, each with a key of its own."""
+    size = _rows(spark, folder, "orders")
+    made = _child_of_customers(spark, folder, 0, size)
+    found = made.join(table(spark, folder, "customer"), "c_custkey", "left_semi")
+    return union(
+        [
+            made.agg(F.count("*").alias("rows"), F.count_distinct("c_custkey").alias("keys")),
+            found.agg(F.count("*").alias("rows"), F.count_distinct("c_custkey").alias("keys")),
+        ]
     )
-    return left.withColumn("name_of", F.lit("users")).unionByName(
-        right.withColumn("name_of", F.lit("buys"))
+
+
+def g11_correlated_pair(spark, folder):
+    """A pair of tables: rows of the second that agree with a customer on all both have."""
+    size, matches = _rows(spark, folder, "orders"), _rows(spark, folder, "customer") // 2
+    made = _child_of_customers(spark, folder, matches, size)
+    return table(spark, folder, "customer").join(
+        made.filter("c_name = 'A12-BC3'").drop("c_name", "n"), ["c_custkey", "c_acctbal"]
     )
 
 
 def g12_next_table(spark, folder):
-    """A table that goes with ``customer``: half of the customers occur in it."""
-    customers = table(spark, folder, "customer")
-    size, matches = _rows(spark, folder, "orders"), _rows(spark, folder, "customer") // 2
+    """A table that goes with ``customer``, of which some keys and segments are null."""
+    customers = table(spark, folder, "customer").withColumn(
+        "c_mktsegment", F.expr("nullif(c_mktsegment, 'BUILDING')")
+    )
+    size, matches = _rows(spark, folder, "orders"), _rows(spark, folder, "customer") // 4
     child = Table(
         "child",
         size,
         (
-            Column("c_custkey", T.LongType(), bounds=(0, 1 << 31)),
-            Column("n", T.IntegerType(), bounds=INTS),
+            Column("c_custkey", T.LongType(), bounds=KEYS),
+            Column("c_mktsegment", T.StringType(), values=tuple(SEGMENTS)),
         ),
     )
-    return G.next_table(customers, "c_custkey", child, matches, SEED)
+    made = G.next_table(customers, "c_custkey", child, matches, SEED)
+    return customers.join(made, ["c_custkey", "c_mktsegment"])
 
 
-def _chain_spec(spark, folder, types=("left", "right"), where=None) -> dict:
-    users = _rows(spark, folder, "customer")
+def _three_tables(spark, folder, where: str | None):
+    """Customers, purchases made to go with them, products made to go with both joined."""
+    customers = table(spark, folder, "customer")
     buys, products = _rows(spark, folder, "orders"), _rows(spark, folder, "part")
-    number = {"type": "IntegerType", "nullable": False}
-    first = {"condition": ("user_id", "user_id"), "type": types[0],
-             "intersecting_records": users // 2}
-    if where is not None:
-        first["where"] = where
-    return {
-        "datasets": {
-            "user_info": {
-                "size": users,
-                "schema": {
-                    "user_id": number,
-                    "segment": {"type": "StringType", "nullable": False, "values": SEGMENTS},
-                    "premium": {"type": "BooleanType", "nullable": False},
-                },
-            },
-            "user_buy": {"size": buys, "schema": {"user_id": number, "product_id": number}},
-            "product": {
-                "size": products,
-                "schema": {
-                    "product_id": number,
-                    "price": {"type": "DoubleType", "nullable": False},
-                },
-            },
-        },
-        "restrictions": {
-            "min_int": INTS[0], "max_int": INTS[1],
-            "min_double": PRICES[0], "max_double": PRICES[1],
-        },
-        "join_conditions": {
-            "first": first,
-            "second": {"condition": ("product_id", "product_id"), "type": types[1],
-                       "intersecting_records": users // 8},
-        },
-    }
+    bought = G.next_table(
+        customers,
+        "c_custkey",
+        Table(
+            "bought",
+            buys,
+            (
+                Column("c_custkey", T.LongType(), bounds=KEYS),
+                Column("product", T.LongType(), bounds=KEYS),
+            ),
+        ),
+        customers.count() // 2,
+        SEED,
+    )
+    joined = customers.join(bought, "c_custkey")
+    product = Table("products", products, (Column("product", T.LongType(), bounds=KEYS),))
+    known = joined.filter(where) if where else joined
+    made = G.next_table(
+        known.select("c_custkey", "product"), "c_custkey", product, customers.count() // 8, SEED
+    )
+    return {"customer": customers, "bought": bought, "products": made}
 
 
 def g13_chain(spark, folder):
-    """Three generated tables and the result expected of joining them."""
-    return G.generate(spark, _chain_spec(spark, folder), SEED).expected
+    """Customers left join purchases right join products, both generated to match."""
+    steps = [Step("c_custkey", "left"), Step("product", "right")]
+    joined = join_chain(_three_tables(spark, folder, None), steps)
+    return joined.filter("c_custkey IS NOT NULL").drop("product").unionByName(
+        joined.filter("c_custkey IS NULL").drop("product")
+    )
 
 
 def g14_chain_with_filter(spark, folder):
     """The same with a filter after the first join, so the last table depends on it."""
-    spec = _chain_spec(spark, folder, ("inner", "full"), FILTERED)
-    return G.generate(spark, spec, SEED).expected
+    where = "c_acctbal > 0 AND c_mktsegment <> 'BUILDING'"
+    steps = [Step("c_custkey", "inner", where=where), Step("product", "full")]
+    joined = join_chain(_three_tables(spark, folder, where), steps)
+    matched = joined.groupBy(F.col("c_custkey").isNotNull().alias("customer")).agg(
+        F.count("*").alias("rows"), F.sum("c_custkey").alias("keys")
+    )
+    return matched
+
+
+def g15_first_days(spark, folder):
+    """The first tenth of the events by time, of which no two are equal, and key."""
+    events = table(spark, folder, "events")
+    return first_rows(events, ["ts", "event_id"], events.count() // 10)
 
 
 def g15_first_rows(spark, folder):
