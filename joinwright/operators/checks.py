@@ -161,16 +161,20 @@ def _ends(df: DataFrame, column: str, bounds: tuple[Any, Any] | None) -> tuple[C
     return F.min(col(column)), F.max(col(column))
 
 
+def _at_most_long(n: Column) -> Column:
+    longest = F.lit((1 << 63) - 1)
+    return F.when(n > longest, longest).otherwise(n.cast("bigint"))
+
+
 def _room(dtype: T.DataType, lo: Column, hi: Column, many: Column) -> Column:
     """Number of values in ``lo .. hi``; of doubles as many as wanted."""
     if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         room = F.datediff(hi, lo) + 1
     elif isinstance(dtype, T.IntegralType):
         wide = T.DecimalType(20, 0)
-        room = F.least(hi.cast(wide) - lo.cast(wide) + 1, F.lit((1 << 63) - 1).cast(wide))
+        room = _at_most_long(hi.cast(wide) - lo.cast(wide) + 1)
     elif isinstance(dtype, T.DecimalType):
-        steps = (hi - lo) * F.lit(10**dtype.scale).cast("decimal(38,0)") + 1
-        room = F.least(steps, F.lit((1 << 63) - 1).cast("decimal(38,0)"))
+        room = _at_most_long((hi - lo) * F.lit(10**dtype.scale).cast("decimal(38,0)") + 1)
     elif not isinstance(dtype, (T.FloatType, T.DoubleType)):
         raise ValueError(f"values of {dtype.simpleString()} are not counted")
     else:
