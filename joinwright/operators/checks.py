@@ -408,10 +408,14 @@ def join_cardinality(steps: Sequence[Any], sizes: Sequence[int]) -> list[GroupCh
     """
     from ..plans.chain import chain_counts
 
+    last: list[Any] = [None, None]  # tables that were counted, and their counts
+
     def counted(i: int):
         def measure(tables: Tables) -> DataFrame:
-            names = list(tables)[: len(steps) + 1]
-            counts = chain_counts({n: tables[n] for n in names}, steps)[i]
+            if last[0] is not tables:
+                names = list(tables)[: len(steps) + 1]
+                last[:] = tables, chain_counts({n: tables[n] for n in names}, steps)
+            counts = last[1][i]
             size, rows = F.lit(sizes[i]), F.max("rows")
             return _one_row(counts, size, rows, F.abs(rows - size))
 

@@ -134,7 +134,8 @@ def chain_counts(tables: Mapping[str, DataFrame], steps: Sequence[Step]) -> list
 
     Nothing is paired to be counted: every table is reduced to its keys and the
     number of rows with them, and joining multiplies these numbers.  So a key
-    with many rows on both sides costs no more than any other.  A chain with
+    with many rows on both sides costs no more than any other.  Every table is read
+    once, as each step's numbers are kept in the shared folder for the next.  A chain with
     filters is counted as it is, since a filter may look at any column.
     """
     if any(s.where is not None for s in steps):
@@ -153,11 +154,12 @@ def chain_counts(tables: Mapping[str, DataFrame], steps: Sequence[Step]) -> list
         before, here = col(f"rows {i - 1}"), col(f"rows {i}")
         weight = F.coalesce(before, F.lit(1)) * F.coalesce(here, F.lit(1))
         frame = joined.frame.withColumn("__weight", weight).drop(f"rows {i - 1}", f"rows {i}")
-        counts.append(frame.agg(F.coalesce(F.sum("__weight"), F.lit(0)).alias("rows")))
         later = _later_keys(frame.columns, steps[i:])
-        frame = frame.groupBy(*[col(c) for c in later]).agg(
-            F.sum("__weight").alias(f"rows {i}")
-        )
+        total = f"rows {i}"
+        frame = frame.groupBy(*[col(c) for c in later]).agg(F.sum("__weight").alias(total))
+        if i < len(steps):
+            frame = cut(frame)  # what counts this step and is joined in the next
+        counts.append(frame.agg(F.coalesce(F.sum(col(total)), F.lit(0)).alias("rows")))
         joined = Joined(frame, {**joined.owners, f"rows {i}": name})
     return counts
 

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from joinwright.functions import stream, stride
-
-from .settings import CHAIN_SIZES, DAYS, INTS, PRICES, SEED, SEGMENTS, UPPER
+from .settings import CHAIN_SIZES, DAYS, SEGMENTS
 
 SQL: dict[str, str] = {}
 
@@ -18,16 +16,13 @@ UNION ALL SELECT 1, 'customer', count(*) FROM customer
 UNION ALL SELECT 2, 'orders', count(*) FROM orders
 """
 
-SQL["s3_csv_sink"] = SQL["s4_parquet_sink"] = """
-SELECT 'customer' AS name_of, c_custkey AS key, c_name AS name, c_acctbal AS balance
-FROM customer
-UNION ALL SELECT 'supplier', s_suppkey, s_name, s_acctbal FROM supplier
-"""
+SQL["s2_texts"] = "FROM documents UNION ALL BY NAME FROM conversations"
+SQL["s3_csv_sink"] = SQL["s4_parquet_sink"] = "FROM customer UNION ALL BY NAME FROM supplier"
 
 SQL["s3_csv_texts"] = "SELECT * FROM documents"
 
 SQL["s5_result_sink"] = """
-SELECT o_orderkey, o_orderstatus, l_partkey, l_extendedprice, f.format
+SELECT orders.*, lineitem.*, f.format
 FROM orders JOIN lineitem ON o_orderkey = l_orderkey,
      (VALUES ('csv'), ('parquet')) AS f(format)
 """
@@ -225,6 +220,12 @@ SQL["c5_domain"] = rows(
 )
 
 PAIR = "l_orderkey, l_linenumber"
+SQL["c5_domain_null"] = rows(
+    passing("domain", "orders", "o_orderstatus", "o_orderstatus NOT IN ('O', 'F')"),
+    passing("domain", "orders", "o_orderpriority", "o_orderpriority <> '1-URGENT'"),
+    passing("domain", "lineitem", "l_quantity", "l_quantity NOT BETWEEN 2 AND 201"),
+    passing("domain", "lineitem", "l_quantity", "l_quantity NOT BETWEEN 2 AND 202"),
+)
 SQL["c6_unique"] = rows(
     distinct("unique", "lineitem", PAIR, f"count(DISTINCT ({PAIR}))"),
     distinct("unique", "orders", "o_orderkey", "count(DISTINCT o_orderkey)"),
@@ -239,6 +240,10 @@ def pattern(table: str, column: str, regex: str) -> str:
 
 
 PRIORITY = pattern("orders", "o_orderpriority", "[0-9]-[A-Z]{6}")
+SQL["c7_line_break"] = passing(
+    "pattern", "orders", "o_orderpriority",
+    "o_orderstatus = 'F' OR NOT regexp_full_match(o_orderpriority, '[0-9]-[A-Z]{6}')",
+)
 SQL["c7_pattern"] = rows(
     PRIORITY,
     pattern("nation", "n_name", "[A-Z]{6}_[0-9]"),
@@ -252,6 +257,10 @@ SELECT count(*) AS expected, {room} AS actual, greatest(count(*) - ({room}), 0)
 FROM {table}""")
 
 
+SQL["c8_other_types"] = rows(
+    capacity("part", "p_size", "max(p_size) - min(p_size) + 1"),
+    capacity("customer", "c_acctbal", "(max(round(c_acctbal)) - min(round(c_acctbal))) * 10 + 1"),
+)
 SQL["c8_capacity"] = rows(
     capacity("orders", "o_orderkey", "max(o_orderkey) - min(o_orderkey) + 1"),
     capacity("orders", "o_orderdate", "datediff('day', min(o_orderdate), max(o_orderdate)) + 1"),
@@ -352,6 +361,11 @@ SELECT *, 'left' AS side, count(*) AS copies FROM missing GROUP BY ALL
 UNION ALL
 SELECT *, 'right' AS side, count(*) AS copies FROM unexpected GROUP BY ALL
 """
+SQL["d1_reserved_names"] = """
+SELECT o_orderkey, o_custkey AS copies, o_orderstatus AS side, o_totalprice AS rows, o_orderdate,
+       o_orderpriority, 'left' AS side_, 1 AS copies_
+FROM orders WHERE o_orderstatus = 'F'
+"""
 SQL["d1_equal_tables"] = """
 SELECT (SELECT count(*) FROM (SELECT * FROM lineitem EXCEPT ALL SELECT * FROM lineitem))
        AS missing,

@@ -86,14 +86,18 @@ def s2_many_tables(spark, folder):
     )
 
 
+def s2_texts(spark, folder):
+    """Texts with line breaks, written as CSV and read from one list of paths."""
+    given = tables(spark, folder, "documents", "conversations")
+    paths = save_tables(given, new_folder(spark), "csv")
+    schemas = {n: df.schema for n, df in given.items()}
+    found = read_tables(spark, ",".join(paths.values()), "csv", schemas, multiline=True)
+    return found["documents"].unionByName(found["conversations"], allowMissingColumns=True)
+
+
 def _parties(found: dict[str, DataFrame]) -> DataFrame:
-    c = found["customer"].selectExpr(
-        "'customer' AS name_of", "c_custkey AS key", "c_name AS name", "c_acctbal AS balance"
-    )
-    s = found["supplier"].selectExpr(
-        "'supplier' AS name_of", "s_suppkey AS key", "s_name AS name", "s_acctbal AS balance"
-    )
-    return c.unionByName(s)
+    """All columns of both tables."""
+    return found["customer"].unionByName(found["supplier"], allowMissingColumns=True)
 
 
 def s3_csv_sink(spark, folder):
@@ -121,9 +125,7 @@ def s5_result_sink(spark, folder):
     """The joined result in either format, read back."""
     found = tables(spark, folder, "orders", "lineitem")
     steps = [Step(("o_orderkey", "l_orderkey"), "inner")]
-    result = join_chain(found, steps).select(
-        "o_orderkey", "o_orderstatus", "l_partkey", "l_extendedprice"
-    )
+    result = join_chain(found, steps)
     frames = []
     for fmt in ("csv", "parquet"):
         paths = save_tables({}, new_folder(spark), fmt, result=result)
@@ -418,6 +420,20 @@ def c5_domain(spark, folder):
     )
 
 
+def c5_domain_null(spark, folder):
+    """A null in the list allows nothing, however long the list is."""
+    found = tables(spark, folder, "orders", "lineitem")
+    return C.report(
+        found,
+        [
+            C.in_domain("orders", "o_orderstatus", ["O", "F", None]),
+            C.in_domain("orders", "o_orderpriority", ["1-URGENT", None, *map(str, range(300))]),
+            C.in_domain("lineitem", "l_quantity", [*range(2, 202)]),
+            C.in_domain("lineitem", "l_quantity", [*range(2, 203)]),
+        ],
+    )
+
+
 def c6_unique(spark, folder):
     found = tables(spark, folder, "lineitem", "orders")
     return C.report(
@@ -443,6 +459,28 @@ def c7_pattern(spark, folder):
     )
 
 
+def c7_line_break(spark, folder):
+    """A line break after the pattern does not fit it."""
+    orders = table(spark, folder, "orders").withColumn(
+        "o_orderpriority",
+        F.expr("CASE WHEN o_orderstatus = 'F' THEN o_orderpriority || '\\n' ELSE o_orderpriority END"),
+    )
+    return C.report(
+        {"orders": orders}, [C.matches_pattern("orders", "o_orderpriority", "#-??????", UPPER)]
+    )
+
+
+def c8_other_types(spark, folder):
+    """Small whole numbers and decimals."""
+    found = {
+        "part": table(spark, folder, "part").withColumn("p_size", F.col("p_size").cast("smallint")),
+        "customer": table(spark, folder, "customer").withColumn(
+            "c_acctbal", F.round("c_acctbal").cast("decimal(12,1)")
+        ),
+    }
+    return C.report(found, [C.capacity("part", "p_size"), C.capacity("customer", "c_acctbal")])
+
+
 def c8_capacity(spark, folder):
     found = tables(spark, folder, "orders", "part", "lineitem", "customer")
     return C.report(
@@ -585,6 +623,14 @@ def d2_column_order(spark, folder):
     return compare.row_difference(orders, changed.select(sorted(changed.columns, reverse=True)))
 
 
+def d1_reserved_names(spark, folder):
+    """Tables whose columns are called as those of the result."""
+    orders = table(spark, folder, "orders").withColumnsRenamed(
+        {"o_orderstatus": "side", "o_custkey": "copies", "o_totalprice": "rows"}
+    )
+    return compare.row_difference(orders, orders.filter("side <> 'F'"))
+
+
 def d1_equal_tables(spark, folder):
     """A table has no difference to itself."""
     items = table(spark, folder, "lineitem")
