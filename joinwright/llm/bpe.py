@@ -269,10 +269,13 @@ class PieceEncoder:
             found = WORD_PRETOKEN.findall(piece.lower() if piece.isascii() else piece)
         else:
             found = PRETOKEN.findall(piece)
-        letters = self.letters
+        letters, tokenize = self.letters, self.model.tokenize
         for pretoken in found:
-            mapped = "".join([letters[b] for b in pretoken.encode()])
-            ids += [t.id for t in self.model.tokenize(mapped)]
+            if pretoken.isascii() and pretoken.isprintable():  # only the space has a stand-in
+                mapped = pretoken.replace(" ", letters[32])
+            else:
+                mapped = "".join([letters[b] for b in pretoken.encode()])
+            ids += [t.id for t in tokenize(mapped)]
         return ids
 
     def encode(self, texts: pa.StringArray) -> Iterator[tuple[np.ndarray, np.ndarray]]:

@@ -32,28 +32,31 @@ CHILDREN = 16
 ROUNDS = 3
 SLACK = 0.01
 
-Bins = list[list[int]]
+#: Sequences as pairs of load and items.
+Bins = list[tuple[int, list[int]]]
 
 
 def best_fit(lengths: list[int], items: list[int], bins: Bins, capacity: int) -> None:
     """Put each item, longest first, into the sequence that it fills most."""
-    room = sorted((capacity - sum(lengths[i] for i in b), n) for n, b in enumerate(bins))
+    room = sorted((capacity - load, n) for n, (load, _) in enumerate(bins) if load < capacity)
     for i in items:
         need = lengths[i]
         at = bisect_left(room, (need,))
         if at < len(room):
             left, n = room.pop(at)
-            bins[n].append(i)
+            load, held = bins[n]
+            held.append(i)
+            bins[n] = (load + need, held)
         else:
             left, n = capacity, len(bins)
-            bins.append([i])
+            bins.append((need, [i]))
         if left > need:
             insort(room, (left - need, n))
 
 
-def fitness(lengths: list[int], bins: Bins, capacity: int) -> float:
+def fitness(bins: Bins, capacity: int) -> float:
     """Fewer sequences first; among equals, those of uneven load, which leave more room."""
-    squares = sum((sum(lengths[i] for i in b) / capacity) ** 2 for b in bins)
+    squares = sum((load / capacity) ** 2 for load, _ in bins)
     return -len(bins) + squares / (len(bins) + 1)
 
 
@@ -61,38 +64,38 @@ def crossover(lengths: list[int], one: Bins, two: Bins, capacity: int, rng: rand
     """Whole well-filled sequences of ``two`` enter ``one``.
 
     Sequences of ``one`` that share a document with them are taken apart, and what
-    is then without a place, with the worst-filled sequence, is put in by best fit.
+    is then without a place, with the worst-filled sequences, is put in by best fit.
     """
-    full = sorted(two, key=lambda b: -sum(lengths[i] for i in b))
+    full = sorted(two, key=lambda b: -b[0])
     start = rng.randrange(max(1, len(full) // 2))
     entering = full[start : start + rng.randint(1, max(1, len(full) // 4))]
-    there = {i for b in entering for i in b}
-    child, loose = [list(b) for b in entering], []
-    for b in one:
-        if there.isdisjoint(b):
-            child.append(list(b))
+    there = {i for _, held in entering for i in held}
+    child, loose = [(load, list(held)) for load, held in entering], []
+    for load, held in one:
+        if there.isdisjoint(held):
+            child.append((load, list(held)))
         else:
-            loose += [i for i in b if i not in there]
+            loose += [i for i in held if i not in there]
+    child.sort(key=lambda b: -b[0])
     for _ in range(rng.randint(1, 3)):
         if len(child) > 1:
-            worst = min(range(len(child)), key=lambda n: sum(lengths[i] for i in child[n]))
-            loose += child.pop(worst)
+            loose += child.pop()[1]
     loose.sort(key=lambda i: -lengths[i])
     best_fit(lengths, loose, child, capacity)
     return child
 
 
-def grouped(places: list[int]) -> Bins:
-    bins: Bins = [[] for _ in range(max(places, default=-1) + 1)]
+def grouped(lengths: list[int], places: list[int]) -> Bins:
+    held: list[list[int]] = [[] for _ in range(max(places, default=-1) + 1)]
     for i, n in enumerate(places):
-        bins[n].append(i)
-    return bins
+        held[n].append(i)
+    return [(sum(lengths[i] for i in h), h) for h in held]
 
 
 def placed(bins: Bins, n: int) -> list[int]:
     places = [0] * n
-    for k, b in enumerate(bins):
-        for i in b:
+    for k, (_, held) in enumerate(bins):
+        for i in held:
             places[i] = k
     return places
 
@@ -122,11 +125,11 @@ def evolve(
             if not k and len(packings[0]) * capacity - sum(lengths) < capacity:
                 break
     else:
-        packings = [grouped(p) for p in population]
+        packings = [grouped(lengths, p) for p in population]
         if elite is not None:
-            packings.append(grouped(elite))
+            packings.append(grouped(lengths, elite))
     scored = sorted(
-        ((fitness(lengths, b, capacity), k, b) for k, b in enumerate(packings)), reverse=True
+        ((fitness(b, capacity), k, b) for k, b in enumerate(packings)), reverse=True
     )[:POPULATION]
     fewest = -(-sum(lengths) // capacity)
     for k in range(CHILDREN):
@@ -135,7 +138,7 @@ def evolve(
         one = min(rng.sample(range(len(scored)), 2))
         two = rng.choice([p for p in range(len(scored)) if p != one])
         child = crossover(lengths, scored[one][2], scored[two][2], capacity, rng)
-        score = fitness(lengths, child, capacity)
+        score = fitness(child, capacity)
         if score > scored[-1][0] and all(score != s for s, *_ in scored):
             scored[-1] = (score, POPULATION + k, child)
             scored.sort(reverse=True)
