@@ -24,6 +24,8 @@ LEARNED = 50_000
 TREES, LEVELS, RATE, BINS, LEAST, PENALTY = 40, 4, 0.2, 32, 5, 1.0
 #: Suffixes of hosts with statistics of their own, and what they are smoothed with.
 SUFFIXES, PRIOR = 10_000, 5.0
+#: Parts of the labelled rows; a row's statistics come from the other parts.
+FOLDS = 4
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -185,40 +187,54 @@ def learn(ruled: DataFrame, bound: int = LEARNED) -> UrlModel:
 
     Statistics of suffixes cover all labelled rows and are summed in a shuffle; the
     SUFFIXES most frequent are kept. The trees learn from ``bound`` rows at most,
-    chosen by a hash of the URL. A row's own suffix counts are left out of its features, so that a
-    rare suffix does not give the label away. Without rows of both verdicts there are no
-    trees, and everything has the verdict of the labelled (allow, if there are none).
+    chosen by a hash of the URL. What a row learns from about its suffixes comes from other
+    parts of the labelled rows, so that neither a rare suffix nor the row's own share gives its
+    label away. Without rows of both verdicts there are no trees, and everything has
+    the verdict of the labelled (allow, if there are none).
     """
-    labelled = ruled.filter("verdict is not null").withColumn(
-        "bad", (F.col("verdict") == "block").cast("double")
+    labelled = (
+        ruled.filter("verdict is not null")
+        .withColumn("bad", (F.col("verdict") == "block").cast("double"))
+        .withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), "url"), F.lit(FOLDS)).cast("int"))
     )
     labels = F.split("host", r"\.")
     ends = F.array_distinct(
         F.array(*(F.array_join(F.slice(F.reverse(labels), 1, k), ".") for k in (1, 2, 3)))
     )
+    in_fold = [F.col("fold") == f for f in range(FOLDS)]
     counted = (
-        labelled.select(F.explode(ends).alias("suffix"), "bad")
+        labelled.select(F.explode(ends).alias("suffix"), "bad", "fold")
         .groupBy("suffix")
-        .agg(F.sum("bad").alias("bad"), F.count("*").alias("n"))
+        .agg(
+            F.count("*").alias("n"),
+            F.array(*(F.sum(F.when(f, F.col("bad")).otherwise(0.0)) for f in in_fold)).alias("bads"),
+            F.array(*(F.count_if(f) for f in in_fold)).alias("ns"),
+        )
         .orderBy(F.desc("n"), "suffix")
         .limit(SUFFIXES)
         .collect()
     )
-    sample = bounded_sample(labelled, "url", bound).select("url", "host", "path", "bad").toPandas()
+    sample = bounded_sample(labelled, "url", bound).select("url", "host", "path", "bad", "fold").toPandas()
     base = float(sample["bad"].mean()) if len(sample) else 0.0
-    counts = {".".join(reversed(r["suffix"].split("."))): (r["bad"], r["n"]) for r in counted}
-    statistics = {s: (bad + PRIOR * base) / (n + PRIOR) for s, (bad, n) in counts.items()}
+
+    def statistics(without: int | None) -> dict[str, float]:
+        out = {}
+        for r in counted:
+            keep = [f for f in range(FOLDS) if f != without]
+            bad, n = (sum(r[c][f] for f in keep) for c in ("bads", "ns"))
+            if n:
+                out[".".join(reversed(r["suffix"].split(".")))] = (bad + PRIOR * base) / (n + PRIOR)
+        return out
+
     if not 0 < base < 1:
-        return UrlModel(statistics, base, None)
-    x = []
-    for url, host, path, bad in sample.itertuples(index=False):
-        without = {
-            s: (counts[s][0] - bad + PRIOR * base) / (counts[s][1] - 1 + PRIOR)
-            for s in suffixes(host)
-            if s in counts
-        }
-        x.append(lexical(url, host, path, without, base))
-    return UrlModel(statistics, base, boost(np.array(x, float), sample["bad"].to_numpy(float)))
+        return UrlModel(statistics(None), base, None)
+    others = [statistics(f) for f in range(FOLDS)]
+    x = [
+        lexical(url, host, path, others[fold], base)
+        for url, host, path, _, fold in sample.itertuples(index=False)
+    ]
+    trees = boost(np.array(x, float), sample["bad"].to_numpy(float))
+    return UrlModel(statistics(None), base, trees)
 
 
 def with_rules(
