@@ -152,3 +152,43 @@ def test_report_scans_a_table_once_for_all_row_checks(tables):
     ]
     with pytest.raises(ValueError, match="no checks"):
         C.report(tables, [])
+
+
+def test_null_in_a_list_allows_nothing_whatever_its_length(spark):
+    df = spark.createDataFrame([("a",), ("b",), ("zzz",), (None,)], "v string")
+    numbers = spark.range(300).selectExpr("CAST(id AS DOUBLE) AS v")
+    for extra in (0, 300):
+        listed = ["a", "b", None, *(f"x{i}" for i in range(extra))]
+        assert one({"t": df}, C.in_domain("t", "v", listed)) == (4, 3, 1)
+        assert one({"t": df}, C.in_domain("t", "v", listed[:2] + listed[3:])) == (4, 3, 1)
+    assert one({"t": df}, C.in_domain("t", "v", [None])) == (4, 1, 3)
+    for n in (200, 201):
+        assert one({"t": numbers}, C.in_domain("t", "v", list(range(n)))) == (300, n, 300 - n)
+        assert one({"t": numbers}, C.in_domain("t", "v", [*range(n - 1), "x"])) == (300, n - 1, 301 - n)
+
+
+def test_line_break_after_a_pattern(spark):
+    df = spark.createDataFrame([("A1",), ("A1\n",), ("\nA1",), ("A1\r",), ("A1\nA1",)], "v string")
+    assert one({"t": df}, C.matches_pattern("t", "v", "?#", "A"))[2] == 4
+
+
+def test_capacity_of_small_and_decimal_types(spark):
+    df = spark.createDataFrame([(1 + i % 2,) for i in range(10)], "v int")
+    for kind in ("tinyint", "smallint", "int", "bigint", "decimal(5,0)"):
+        assert one({"t": df.selectExpr(f"CAST(v AS {kind}) AS v")}, C.capacity("t", "v")) == (10, 2, 8)
+    assert one({"t": df.selectExpr("CAST(v AS DECIMAL(5,1)) AS v")}, C.capacity("t", "v"))[1] == 11
+    ends = spark.createDataFrame([(-(1 << 63),), ((1 << 63) - 1,)], "v bigint")
+    assert one({"t": ends}, C.capacity("t", "v"))[2] == 0
+    with pytest.raises(ValueError, match="not counted"):
+        one({"t": df.selectExpr("CAST(v AS STRING) AS v")}, C.capacity("t", "v"))
+
+
+def test_columns_called_as_the_checks_own(spark):
+    df = spark.createDataFrame([(1, 1, 1), (1, 2, 1), (None, 3, 2)], "rows int, side int, value int")
+    tables = {"t": df, "u": df}
+    assert one(tables, C.unique("t", "rows")) == (3, 2, 1)
+    assert one(tables, C.unique("t", "rows", null_keys=False)) == (2, 1, 1)
+    assert one(tables, C.list_long_enough("t", "rows")) == (3, 1, 2)
+    for name, n in (("rows", 1), ("side", 3), ("value", 2)):
+        assert one(tables, C.key_overlap("t", "u", name, n))[1:] == (n, 0)
+    assert C.repeated_keys(df, ["rows"]).columns == ["rows", "rows_"]

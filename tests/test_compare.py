@@ -121,3 +121,20 @@ def test_assert_equal_shows_rows(spark):
         assert_equal(a, made(spark, ROWS[:2] + ROWS[4:]))
     with pytest.raises(AssertionError, match="columns differ"):
         assert_equal(a, a.drop("k"))
+
+
+def test_columns_called_as_the_results_own(spark):
+    names = "side int, copies int, left int, right int, left_row int, column int, weight int"
+    a = spark.createDataFrame([(1,) * 7, (2,) * 7, (2,) * 7], names)
+    b = spark.createDataFrame([(1,) * 7, (2,) * 7, (3, 1, 3, 3, 3, 3, 3)], names)
+    found = row_difference(a, b)
+    assert found.columns[-2:] == ["side_", "copies_"]
+    assert sorted((r.side, r.side_, r.copies_) for r in found.collect()) == [(2, "left", 1), (3, "right", 1)]
+    assert tuple(difference_counts(found).first()) == (1, 1)
+    assert not equal(a, b) and equal(a, a)
+    b = spark.createDataFrame([(1,) * 7, (2, 9, 2, 2, 2, 2, 2), (2,) * 7], names)
+    for key in ("left", "column", "left_row"):
+        a_, b_ = (df.filter("copies <> 2 OR side = 1").union(df.filter("copies = 2").limit(0)) for df in (a, b))
+        cells = cell_difference(a_, b_, key)
+        assert cells.columns[0] == key and len(set(cells.columns)) == 4
+        cells.collect()

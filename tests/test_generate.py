@@ -11,7 +11,7 @@ from specs import CLASH, FOUR, INT, MAILS, REAL, SHOP, STR, changed, field, join
 from joinwright import Column, Defaults, Spec, SpecError, Table, generate, generate_table, report
 from joinwright.operators.checks import check_spec_bounds, shared_values
 from joinwright.operators.compare import equal
-from joinwright.plans.tables import correlated_pair, next_table
+from joinwright.plans.tables import add_columns, correlated_pair, next_table
 
 
 def rows_out(how, n1, n2, k):
@@ -392,3 +392,47 @@ def test_nulls_only_come_from_outer_joins(spark):
     for frame in made.tables.values():
         nulls = frame.agg(*[F.count_if(F.col(c).isNull()) for c in frame.columns]).first()
         assert set(nulls) == {0}
+
+
+def test_next_table_takes_fitting_rows_only(spark):
+    base = spark.range(400).selectExpr(
+        "CASE WHEN id % 2 = 0 THEN id END AS k", "CAST(id AS STRING) AS s", "id / 2D AS x",
+        "id % 3 = 0 AS f", "id AS n",
+    )
+    columns = (
+        Column("k", T.LongType(), bounds=(100, 5000)),
+        Column("s", T.StringType(), pattern="###", letters="a"),
+        Column("x", T.DoubleType(), bounds=(0.0, 1000.0)),
+        Column("f", T.BooleanType()),
+    )
+    made = next_table(base, "n", Table("t", 120, columns), 50)
+    assert made.join(base, "k").count() == 50 == made.join(base, ["k", "s", "x", "f"]).count()
+    assert made.join(base, "k").agg({"k": "min"}).first()[0] == 100
+    with pytest.raises(SpecError, match="rows are needed"):
+        next_table(base, "n", Table("t", 500, columns), 151)
+    few = spark.range(200).selectExpr("id % 5 AS k", "id AS n")
+    with pytest.raises(SpecError, match="rows are needed"):
+        next_table(few, "n", Table("t", 60, (Column("k", T.LongType(), bounds=(0, 900)),)), 50)
+
+
+def test_doubles_of_a_narrow_range_are_different_or_refused(spark):
+    wide = Table("t", 1000, (Column("x", T.DoubleType(), bounds=(1e15, 1e15 + 4000)),))
+    assert generate_table(spark, wide).distinct().count() == 1000
+    narrow = Table("t", 1000, (Column("x", T.DoubleType(), bounds=(1e15, 1e15 + 1)),))
+    with pytest.raises(SpecError):
+        generate_table(spark, narrow).count()
+
+
+def test_draws_from_a_wide_range_are_uniform(spark):
+    column = Column("n", T.LongType(), bounds=(0, 3 * (1 << 30) - 1), unique=False)
+    made = generate_table(spark, Table("t", 60_000, (column,)))
+    share = made.filter(f"n < {1 << 30}").count() / 60_000
+    assert abs(share - 1 / 3) < 0.01
+
+
+def test_added_columns_keep_the_rows(spark):
+    base = spark.range(300).selectExpr("id * 3 AS k", "'v' AS v")
+    made = add_columns(base, "k", [Column("n", T.IntegerType(), bounds=(1, 300))], seed=4)
+    assert made.columns == ["k", "v", "n"] and made.select("k", "v").exceptAll(base).count() == 0
+    assert {r.n for r in made.collect()} == set(range(1, 301))
+    assert made.exceptAll(add_columns(base.repartition(7), "k", [Column("n", T.IntegerType(), bounds=(1, 300))], seed=4)).count() == 0

@@ -62,3 +62,30 @@ def test_draw_without_replacement(spark):
     assert None not in {r.v for r in drawn}
     with pytest.raises(ValueError, match="values"):
         R.draw_without_replacement(spark.range(501).toDF("i"), "i", values, "v", 42)
+
+
+@pytest.mark.parametrize("k", [100, 101])
+@pytest.mark.parametrize(
+    "value", ["date_add(DATE'2000-01-01', CAST(id AS INT))", "id / 7D", "lpad(CAST(id AS STRING), 6, '0')",
+              "id * 9223372036854775 - 4611686018427387904", "CAST(id AS DECIMAL(9,2))", "TIMESTAMP'2000-01-01' + make_interval(0,0,0,CAST(id AS INT))"]
+)
+def test_any_type_has_first_rows_for_any_number(spark, k, value):
+    df = spark.range(900).selectExpr(f"{value} AS v", "id AS n")
+    assert sorted(r.n for r in R.first_rows(df, "v", k).collect()) == list(range(k))
+
+
+@pytest.mark.parametrize("k", [100, 101])
+def test_ties_at_the_cut_are_refused_for_any_number(spark, k):
+    df = spark.range(900).selectExpr("id div 50 * 2 AS v", "id AS n")
+    if k == 100:
+        assert sorted(r.n for r in R.first_rows(df, "v", k).collect()) == list(range(100))
+    else:
+        with pytest.raises(ValueError, match="no order"):
+            R.first_rows(df, "v", k)
+
+
+@pytest.mark.parametrize("index", [[0, 1, None], [0, 1, -3], [0, 1, 1]])
+def test_an_index_that_does_not_number_rows_is_refused(spark, index):
+    rows = spark.createDataFrame([(i,) for i in index], "i bigint")
+    with pytest.raises(ValueError, match="does not number"):
+        R.draw_without_replacement(rows, "i", spark.range(9).toDF("v"), "v", 1)

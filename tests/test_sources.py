@@ -44,7 +44,7 @@ def test_line_breaks(spark, tmp_path):
     back = read_table(spark, path, "csv", df.schema, multiline=True)
     assert sorted(r.k for r in back.collect()) == [1, 2]
     assert equal(back.filter("k = 2"), df.filter("k = 2"))
-    assert back.filter("k = 1").first().s.replace("\r\n", "\n") == 'a\nb "c"\nd'
+    assert back.filter("k = 1").first().s == 'a\nb "c"\r\nd'
 
 
 def test_inferred_types(spark, odd, tmp_path):
@@ -127,3 +127,31 @@ def test_shared_folder_is_the_configured_one(spark):
     assert shared_folder(session("yarn", directory="hdfs:///set")) == "hdfs:///set"
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(session("yarn"))
+
+
+def test_line_breaks_through_many_tables(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a\nb"), (2, 'c"\r\n,d'), (3, ""), (4, None)], "n int, v string")
+    paths = save_tables({"a": df, "b": df}, str(tmp_path), "csv")
+    schemas = {"a": df.schema, "b": df.schema}
+    found = read_tables(spark, paths, "csv", schemas, multiline=True)
+    for name in "ab":
+        assert sorted(found[name].collect()) == sorted(df.collect())
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_tables(spark, paths, "csv", schemas)["a"].collect()
+
+
+def test_a_text_of_just_nul_is_refused(spark, tmp_path):
+    df = spark.createDataFrame([("\0",)], "v string")
+    with pytest.raises(Exception, match="NUL"):
+        write_table(df, str(tmp_path / "t"))
+
+
+def test_what_does_not_convert_is_what_is_counted(spark, tmp_path):
+    values = ["true", "yes", "t", "0", "maybe", "", None, "2020-01-01", "1.5", "7"]
+    df = spark.createDataFrame([(v, v, v) for v in values], "b string, n string, d string")
+    path = write_table(df, str(tmp_path / "t.csv"))
+    types = {"b": "BooleanType", "n": "IntegerType", "d": "DateType"}
+    read = read_typed(spark, path, types).collect()
+    counted = unconverted(spark, path, types).first()
+    for c in types:
+        assert counted[c] == sum(r[c] is None for r in read) - 1

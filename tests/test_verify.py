@@ -83,3 +83,12 @@ def test_example_job_from_saved_tables(spark, tmp_path):
     output = run_chain_job(spark, listed, f"{tmp_path}/SparkResult", EXAMPLE_STEPS, schemas=schemas)
     actual = read_table(spark, output, "csv", chain_job()(made.tables).schema)
     assert verify(lambda t: actual, made.tables, made.expected).passed
+
+
+def test_a_job_that_fails_while_it_runs_has_not_passed(spark):
+    tables = {"t": spark.createDataFrame([("1",), ("x",)], "v string")}
+    expected = spark.createDataFrame([(1,), (2,)], "v int")
+    outcome = verify(lambda t: t["t"].selectExpr("CAST(v AS INT) AS v"), tables, expected)
+    assert not outcome.passed and "CAST_INVALID_INPUT" in outcome.reason
+    right = verify(lambda t: expected, tables, expected)
+    assert right.passed and right.reason is None
