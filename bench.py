@@ -16,7 +16,7 @@ from pyspark.sql import SparkSession
 from workload.queries import QUERIES
 
 HEADLINE = (
-    "x1_example_job j1_inner j2_left j3_right j4_full j8_chain f1_filter_joined"
+    "x1_example_job j1_inner j2_left j3_right j4_full j8_chain j8_star_left f1_filter_joined"
     " f2_filter_between c2_join_cardinality c3_key_overlap c6_unique c15_report"
     " d1_row_difference d1_equal_tables d3_cell_difference d4_verify_jobs g5_strings"
     " g11_correlated_pair g13_chain g14_chain_with_filter g15_first_rows s6_job_output"

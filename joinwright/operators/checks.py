@@ -71,6 +71,15 @@ class GroupCheck(Check):
     measure: Callable[[Tables], DataFrame]
 
 
+@dataclass(frozen=True)
+class EndsCheck(Check):
+    """A check that takes the smallest and largest value of some columns:
+    ``measure(tables, ends)`` finds them in ``ends`` by (table, column), typed."""
+
+    wanted: tuple[tuple[str, str], ...]
+    measure: Callable[[Tables, Mapping[tuple[str, str], tuple[Column, Column]]], DataFrame]
+
+
 # ------------------------------------------------------- checks of single rows
 
 
@@ -355,26 +364,26 @@ def range_overlap(
     A side's range is its bounds, or else from its smallest to its largest value.
     """
     left_key, right_key = (on, on) if isinstance(on, str) else on
+    given = [((left, left_key), left_bounds), ((right, right_key), right_bounds)]
 
-    def measure(tables: Tables) -> DataFrame:
+    def measure(tables: Tables, ends) -> DataFrame:
         dtype = tables[left].schema[left_key].dataType
-
-        def ends(df: DataFrame, key: str, bounds) -> DataFrame:
-            lo, hi = _ends(df, key, bounds)
-            return df.agg(lo.cast(dtype).alias("lo"), hi.cast(dtype).alias("hi"))
-
-        both = ends(tables[left], left_key, left_bounds).union(
-            ends(tables[right], right_key, right_bounds)
+        los, his = zip(
+            *(
+                [e.cast(dtype) for e in (map(F.lit, b) if b is not None else ends[of])]
+                for of, b in given
+            )
         )
-        common = both.agg(F.max("lo").alias("lo"), F.min("hi").alias("hi"))
-        room = _room(dtype, F.col("lo"), F.col("hi"), F.lit(size))
-        return common.select(
+        lo = F.when(los[0].isNotNull() & los[1].isNotNull(), F.greatest(*los))
+        room = _room(dtype, lo, F.least(*his), F.lit(size))
+        return tables[left].sparkSession.range(1).select(
             F.lit(size).cast("bigint").alias("expected"),
             room.alias("actual"),
             F.greatest(F.lit(size) - room, F.lit(0)).cast("bigint").alias("violations"),
         )
 
-    return GroupCheck("range overlap", f"{left}, {right}", _names(on), measure)
+    wanted = tuple(of for of, b in given if b is None)
+    return EndsCheck("range overlap", f"{left}, {right}", _names(on), wanted, measure)
 
 
 def values_in_range(
@@ -388,17 +397,14 @@ def values_in_range(
     """
     left_key, right_key = (on, on) if isinstance(on, str) else on
 
-    def measure(tables: Tables) -> DataFrame:
-        if bounds is not None:
-            lo, hi = F.lit(bounds[0]), F.lit(bounds[1])
-        else:
-            lo = tables[right].agg(F.min(col(right_key))).scalar()
-            hi = tables[right].agg(F.max(col(right_key))).scalar()
+    def measure(tables: Tables, ends) -> DataFrame:
+        lo, hi = map(F.lit, bounds) if bounds is not None else ends[right, right_key]
         values = tables[left].select(col(left_key)).distinct().filter(col(left_key).between(lo, hi))
         n = F.count("*")
         return _one_row(values, F.lit(size), n, F.greatest(F.lit(size) - n, F.lit(0)))
 
-    return GroupCheck("values in range", f"{left}, {right}", _names(on), measure)
+    wanted = () if bounds is not None else ((right, right_key),)
+    return EndsCheck("values in range", f"{left}, {right}", _names(on), wanted, measure)
 
 
 def join_cardinality(steps: Sequence[Any], sizes: Sequence[int]) -> list[GroupCheck]:
@@ -435,21 +441,44 @@ def _names(on: str | tuple[str, str]) -> str:
 
 
 def report(tables: Tables, checks: Iterable[Check]) -> DataFrame:
-    """All checks as one frame, one row each."""
-    by_table: dict[str, list[RowCheck]] = {}
-    frames: list[DataFrame] = []
+    """All checks as one frame, one row each.
+
+    The checks of single rows of a table, and the ends of its columns that other
+    checks ask for, are one ``agg``.  A table whose ends are asked for is aggregated
+    at once, to one row that the driver gets; all else is lazy.
+    """
+    checks = list(checks)
+    if not checks:
+        raise ValueError("no checks given")
+    rows: dict[str, list[Column]] = {}
+    wanted: dict[str, dict[str, None]] = {}
     for check in checks:
         if isinstance(check, RowCheck):
-            by_table.setdefault(check.table, []).append(check)
-        else:
+            rows.setdefault(check.table, []).append(check.row(*check.measure(tables[check.table])))
+        elif isinstance(check, EndsCheck):
+            for table, column in check.wanted:
+                wanted.setdefault(table, {})[column] = None
+    frames: list[DataFrame] = []
+    ends: dict[tuple[str, str], tuple[Column, Column]] = {}
+    for name in dict.fromkeys([*rows, *wanted]):
+        df, columns = tables[name], list(wanted.get(name, ()))
+        found = [F.array(*rows[name]).alias("rows")] if name in rows else []
+        for i, c in enumerate(columns):
+            found += [F.min(col(c)).alias(f"low {i}"), F.max(col(c)).alias(f"high {i}")]
+        if not columns:
+            frames.append(df.agg(*found).select(F.inline("rows")))
+            continue
+        row = df.agg(*found).first()
+        for i, c in enumerate(columns):
+            dtype = df.schema[c].dataType
+            ends[name, c] = tuple(F.lit(row[f"{end} {i}"]).cast(dtype) for end in ("low", "high"))
+        if name in rows:
+            frames.append(df.sparkSession.createDataFrame(row["rows"], SCHEMA))
+    for check in checks:
+        if isinstance(check, (GroupCheck, EndsCheck)):
+            one = check.measure(tables, ends) if isinstance(check, EndsCheck) else check.measure(tables)
             row = check.row(F.col("expected"), F.col("actual"), F.col("violations"))
-            frames.append(check.measure(tables).select(F.inline(F.array(row))))
-    for name, group in by_table.items():
-        df = tables[name]
-        rows = F.array(*[c.row(*c.measure(df)) for c in group])
-        frames.append(df.agg(rows.alias("rows")).select(F.inline("rows")))
-    if not frames:
-        raise ValueError("no checks given")
+            frames.append(one.select(F.inline(F.array(row))))
     return reduce(DataFrame.unionByName, frames)
 
 

@@ -8,10 +8,12 @@ from pyspark.sql import types as T
 
 from joinwright.operators.compare import equal
 from joinwright.sources import (
+    made_folders,
     new_folder,
     read_table,
     read_tables,
     read_typed,
+    remove_made_folders,
     save_tables,
     shared_folder,
     unconverted,
@@ -155,3 +157,16 @@ def test_what_does_not_convert_is_what_is_counted(spark, tmp_path):
     counted = unconverted(spark, path, types).first()
     for c in types:
         assert counted[c] == sum(r[c] is None for r in read) - 1
+
+
+def test_made_folders_can_be_removed(spark):
+    df = spark.range(5)
+    kept, gone = new_folder(spark), new_folder(spark)
+    for folder in (kept, gone):
+        df.write.parquet(folder)
+    assert {kept, gone} <= set(made_folders())
+    remove_made_folders(spark, [gone])
+    assert gone not in made_folders() and kept in made_folders()
+    assert spark.read.parquet(kept).count() == 5
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(gone)
