@@ -84,7 +84,7 @@ if __name__ == "__main__":
     sqls = e.oracle_sql()
     bad = 0
     for name, query in e.queries().items():
-        if wanted and not any(name.startswith(w) for w in wanted):
+        if name not in sqls or wanted and not any(name.startswith(w) for w in wanted):
             continue
         start = time.time()
         try:
