@@ -23,7 +23,7 @@ from tokenizers import Tokenizer
 from .common import flat, id_and_text, id_type, text_runs
 
 #: Pieces in each generation of a worker's memory, and the longest that is remembered.
-KEPT_PIECES = 400_000
+KEPT_PIECES = 300_000
 KEPT_LENGTH = 64
 #: White space other than the space and the line break.
 OTHER_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
@@ -31,8 +31,11 @@ LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 #: A space next to white space, or white space that is not told apart here.
 NOT_PLAIN_RE2 = f"[{''.join(OTHER_SPACE)}]|  | \\n|\\n "
 NOT_PLAIN = re.compile(NOT_PLAIN_RE2)
+#: What lower case is not told for here: all from U+0250 on, the dotted capital I, and
+#: the beginning of special strings.
+NOT_LATIN_RE2 = "[^\x00-\u012f\u0131-\u024f]|<\\|"
 #: Bytes of text whose pieces are told apart at a time.
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 6 << 20
 #: Fixed value: the pattern of byte-level pretokenizers.
 PRETOKEN = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -77,14 +80,27 @@ def slices(texts: pa.StringArray) -> Iterator[pa.StringArray]:
         yield texts.slice(start, stop - start)
 
 
-def distinct_pieces(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray, list[str], list[str]]:
+def spelled_out(texts: pa.StringArray) -> pa.StringArray:
+    """Texts in lower case, with spaces for line breaks and between a letter and a point or comma.
+
+    A word tokenizer gives the same ids for them, and they have fewer different pieces.
+    Texts with other than Latin letters, or with what may be a special string, stay.
+    """
+    stays = pc.match_substring_regex(texts, NOT_LATIN_RE2)
+    lower = pc.replace_substring(pc.utf8_lower(texts), "\n", " ")
+    return pc.if_else(stays, texts, pc.replace_substring_regex(lower, r"(\pL)([.,])", r"\1 \2"))
+
+
+def distinct_pieces(
+    texts: pa.StringArray, byte_level: bool = True
+) -> tuple[np.ndarray, np.ndarray, list[str], list[str]]:
     """Where each text's pieces begin, the number of each piece, the first pieces of
     the texts, and the different pieces that follow a space.
 
     Piece numbers below ``len(texts)`` are those of the first pieces.
     """
     parts = pc.split_pattern(texts, " ")
-    odd = flat(pc.match_substring_regex(texts, NOT_PLAIN_RE2))
+    odd = flat(pc.match_substring_regex(texts, NOT_PLAIN_RE2)) if byte_level else np.zeros(0, bool)
     if odd.any():
         own = [pieces_of(t) if o else p for t, o, p in zip(texts.to_pylist(), odd, parts.to_pylist(), strict=True)]
         parts = pa.array(own, pa.list_(pa.string()))
@@ -281,7 +297,9 @@ class PieceEncoder:
     def encode(self, texts: pa.StringArray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For runs of texts, their ids one after the other and the number of each."""
         for run in slices(texts):
-            starts, numbers, first, spaced = distinct_pieces(run)
+            if self.words:
+                run = spelled_out(run)
+            starts, numbers, first, spaced = distinct_pieces(run, not self.words)
             value = [self.first[p] for p in first] + [self.spaced[p] for p in spaced]
             size = np.fromiter(map(len, value), np.int64, len(value)) // self.type.itemsize
             ids = np.frombuffer(b"".join(value), self.type)

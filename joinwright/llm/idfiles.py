@@ -265,7 +265,8 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
         codec = Codec(ids, lengths)
         for batch in batches:
             kind = batch.schema.field("doc_ids").type.value_type
-            for block in batch.to_pylist():
+            for row in range(batch.num_rows):
+                block = batch.slice(row, 1).to_pylist()[0]
                 all_ids = codec.decode(
                     block["bits"], np.asarray(block["checkpoints"]), block["n_ids"]
                 )
