@@ -148,7 +148,7 @@ def with_struct(
     return docs.mapInArrow(added, T.StructType([*docs.schema.fields, T.StructField(name, kind)]))
 
 
-def text_runs(texts: pa.StringArray, most: int = 4 << 20) -> Iterator[tuple[int, int]]:
+def text_runs(texts: pa.StringArray, most: int = 2 << 20) -> Iterator[tuple[int, int]]:
     """Stretches of about ``most`` bytes of text; a longer text is one of its own."""
     ends = np.cumsum(flat(pc.fill_null(pc.binary_length(texts), 0)), dtype=np.int64)
     start = 0
