@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import encoder
@@ -250,16 +250,18 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids`` of every document of a file set.
 
     ``start`` counts the ids of all documents before it; ``ids`` are the bytes of
-    little-endian unsigned 32-bit integers. No shuffle but that of one row per
-    file, which gives the ids before each.
+    little-endian unsigned 32-bit integers. The blocks are not shuffled: the driver
+    gets the number of ids in each file, and so the ids before it.
     """
     importable(spark)
     codes = spark.read.parquet(f"{folder}/codes").toPandas()  # bounded by the vocabulary
     ids, lengths = codes["id"].to_numpy(np.int64), codes["length"].to_numpy(np.int64)
     blocks = spark.read.parquet(f"{folder}/blocks")
-    parts = blocks.groupBy("part").agg(F.sum("n_ids").alias("n_ids"))
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    base = parts.select("part", F.coalesce(F.sum("n_ids").over(earlier), F.lit(0)).alias("base"))
+    sizes = dict(blocks.groupBy("part").agg(F.sum("n_ids")).collect())  # one row per file
+    base, before = {}, 0
+    for part in sorted(sizes):
+        base[part] = before
+        before += sizes[part]
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(ids, lengths)
@@ -276,7 +278,7 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(block["doc_ids"], kind),
-                        pa.array(block["base"] + block["before"] + end - size),
+                        pa.array(base[block["part"]] + block["before"] + end - size),
                         pa.array(size),
                         pa.array([p.tobytes() for p in parts], pa.binary()),
                     ],
@@ -284,11 +286,9 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
                 )
 
     kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
-    return (
-        blocks.join(base, "part")
-        .select("base", "before", "n_ids", "bits", "checkpoints", "doc_ids", "lengths")
-        .mapInArrow(decode, f"doc_id {kind}, start long, n_tokens long, ids binary")
-    )
+    return blocks.select(
+        "part", "before", "n_ids", "bits", "checkpoints", "doc_ids", "lengths"
+    ).mapInArrow(decode, f"doc_id {kind}, start long, n_tokens long, ids binary")
 
 
 def crc32(df: DataFrame, column: str = "ids") -> DataFrame:
