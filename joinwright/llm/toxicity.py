@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from joinwright.functions.columns import col
 
-from .common import bounded_sample, id_and_text, text_runs, unused, with_struct
+from .common import bounded_sample, id_and_text, staged, text_runs, unused, with_struct
 
 WORD = re.compile(r"[^\W\d_]+")
 #: Letters of a beginning; it counts as a feature of longer words.
@@ -131,8 +131,8 @@ def learn(
 ) -> OrdinalModel:
     """Model from documents with a 0/1 label ``toxic``.
 
-    It learns from ``bound`` labelled documents at most, chosen by a hash of the id.
-    Grade 0 are the documents that are not toxic; the others are divided into equal
+    It learns from about ``bound`` labelled documents at most, chosen by a hash of the id,
+    one row of each. Grade 0 are the documents that are not toxic; the others are divided into equal
     parts by the sum of their features' values. Counts of features are
     summed per task, then in a shuffle; the driver gets the features chosen
     and the non-zero entries of the sample. Null labels and ids count as no label.
@@ -140,12 +140,14 @@ def learn(
     """
     known = labels.select(col(id_column).alias("label_id"), col(label_column).cast("int").alias("toxic"))
     known = known.filter("toxic is not null").groupBy("label_id").agg(F.max("toxic").alias("toxic"))
-    labelled = bounded_sample(
-        id_and_text(docs, id_column, text_column).join(known, F.col("doc_id") == F.col("label_id")),
-        "doc_id",
-        bound,
-    ).select("text", F.col("toxic") > 0)
-    labelled = labelled.toDF("text", "toxic")
+    # The sample of ids is bounded, so it may be broadcast; texts are not shuffled for it.
+    chosen_ids = F.broadcast(bounded_sample(known, "label_id", bound))
+    source = id_and_text(docs, id_column, text_column)
+    labelled = staged(
+        source.join(chosen_ids, F.col("doc_id") == F.col("label_id"))
+        .dropDuplicates(["doc_id"])
+        .select("text", (F.col("toxic") > 0).alias("toxic"))
+    )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
