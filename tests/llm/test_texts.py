@@ -12,7 +12,7 @@ import xxhash
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from joinwright.llm import bpe, idfiles, language, mixing, packing, simhash, toxicity
+from joinwright.llm import bpe, idfiles, language, mixing, packing, resemblance, simhash, toxicity
 from joinwright.sources import new_folder
 
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
@@ -276,6 +276,53 @@ def test_nothing_has_no_duplicates(spark):
     assert simhash.first_of_groups(empty(spark)).collect() == []
 
 
+# ------------------------------------------------------------------- resemblance
+
+
+def plain_shingles(text):
+    lower = (text or "").translate({c: c + 32 for c in range(65, 91)})
+    words = re.findall("[^\x20\x09-\x0d]+", lower)
+    return frozenset(" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
+
+
+@pytest.mark.parametrize("chunk,often", [(2048, 3), (4, 10**6), (4, 1)])
+def test_near_copies_leave_the_pipeline(spark, monkeypatch, chunk, often):
+    """Copies with every share of words changed, a common line, and chains of changes."""
+    monkeypatch.setattr(resemblance, "LIST_CHUNK", chunk)
+    monkeypatch.setattr(resemblance, "OFTEN", often)
+    rnd = random.Random(chunk)
+    word = lambda: "".join(rnd.choice(["an", "the", "or", "st", "li"]) for _ in range(4))
+    line = [word() for _ in range(20)]
+    texts = ["", None, "  ", "One", "one ", "one two three four", "one two three four five six"]
+    for _ in range(25):
+        words = [word() for _ in range(rnd.randint(5, 250))] + line * rnd.randint(0, 1)
+        texts.append(" ".join(words))
+        for _ in range(rnd.randint(1, 8)):
+            source = words if rnd.random() < 0.7 else texts[-1].split()
+            near = [*source]
+            for _ in range(rnd.randint(0, 1 + len(near) // 30)):
+                near[rnd.randrange(len(near))] = word()
+            texts.append(" ".join(near))
+    ids = rnd.sample(range(1000), len(texts))
+    df = docs(spark, [(i, t, "en", "s") for i, t in zip(ids, texts)])
+    sets = [plain_shingles(t) for t in texts]
+    linked = lambda a, b: a == b or bool(a and b) and 5 * len(a & b) >= 4 * len(a | b)
+    pairs = [(i, j) for i in range(len(sets)) for j in range(i) if sets[i] != sets[j] and linked(sets[i], sets[j])]
+    prints = [plain_fingerprint(t) for t in texts]
+    assert any((prints[i] ^ prints[j]).bit_count() > 3 for i, j in pairs)
+    kept = corpus_pipeline.without_near_copies(spark, df, "")
+    assert kept.columns == df.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(smallest_reachable(ids, sets, linked)))
+
+
+def test_rows_of_near_copies(spark, many):
+    df, rows = many
+    kept = resemblance.first_of_groups(df).collect()
+    component = smallest_reachable([r[0] for r in rows], [plain_shingles(t) for _, t, *_ in rows], lambda a, b: a == b or bool(a and b) and 5 * len(a & b) >= 4 * len(a | b))
+    assert sorted(repr(r.doc_id) for r in kept) == sorted(map(repr, set(component)))
+    assert resemblance.first_of_groups(empty(spark)).collect() == []
+
+
 # ------------------------------------------------------------------- language ID
 
 
