@@ -3,7 +3,8 @@
 The tokens of the cells (source, language, topic) are raked: in turn, the weights of
 all sources, languages and topics are scaled to their targets, until all three
 margins hold. A document is then kept with a probability in proportion to the weight
-of its cell. Everything is a DataFrame expression.
+of its cell, or drawn so many times as is in proportion to it. Everything is a DataFrame
+expression.
 """
 
 from __future__ import annotations
@@ -113,8 +114,20 @@ def draw(id_column: Column) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
 
 
-def calibrated(docs: DataFrame, targets: dict[str, DataFrame] | None = None) -> DataFrame:
-    """``source, lang, topic, probability`` of every cell of the documents.
+def expected_copies(cells: DataFrame, share: float) -> DataFrame:
+    """``source, lang, topic, copies``: how often a document of the cell is drawn, on average.
+
+    That is the ratio times one number for all cells, so that ``share`` of the tokens is
+    drawn and the margins are the targets, whatever the heaviest ratio is.
+    """
+    tokens = F.col("tokens").cast("double")
+    total, held = cells.agg(F.sum(tokens), F.sum(tokens * F.col("ratio"))).first()
+    times = share * total / held if held else 0.0
+    return cells.select(*DIMENSIONS, (F.col("ratio") * F.lit(times)).alias("copies"))
+
+
+def raked(docs: DataFrame, targets: dict[str, DataFrame] | None = None) -> DataFrame:
+    """The cells of the documents with ``tokens`` and ``ratio``.
 
     Without ``targets`` they are the present shares, tempered. Documents are summed into cells
     per task before any shuffle, so a source of any share is no task's burden.
@@ -125,7 +138,12 @@ def calibrated(docs: DataFrame, targets: dict[str, DataFrame] | None = None) ->
         .agg(F.sum("tokens").alias("tokens"))
     )
     targets = targets or {d: staged(tempered(cells, d)) for d in DIMENSIONS}
-    return staged(probabilities(staged(rake(cells, targets))))
+    return staged(rake(cells, targets))
+
+
+def calibrated(docs: DataFrame, targets: dict[str, DataFrame] | None = None) -> DataFrame:
+    """``source, lang, topic, probability`` of every cell of the documents; targets as in ``raked``."""
+    return staged(probabilities(raked(docs, targets)))
 
 
 def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None) -> DataFrame:
@@ -144,19 +162,33 @@ def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None) -> DataFra
     )
 
 
-def sampled(docs: DataFrame, targets: dict[str, DataFrame] | None = None) -> DataFrame:
-    """The rows that are kept, with their own columns."""
+def sampled(
+    docs: DataFrame, targets: dict[str, DataFrame] | None = None, share: float | None = None
+) -> DataFrame:
+    """The rows that are drawn, with their own columns.
+
+    With a ``share`` of the tokens to expect, a row is there as often as the whole part of
+    its cell's expected copies says, and once more by its draw for the rest; a category
+    that is rarer than its target is repeated, and does not scale the others down. Without,
+    the rows are those that ``mix`` keeps, at most once each: the largest such sample, whose size
+    is set by the heaviest ratio.
+    """
     names = {n: unused(docs, f"of_{n}") for n in DIMENSIONS}
     columns = cell_columns()
-    cells = calibrated(docs, targets)
-    share = unused(docs, "probability")
-    cells = cells.select(*(F.col(n).alias(names[n]) for n in DIMENSIONS), F.col("probability").alias(share))
-    kept = (
+    cells = calibrated(docs, targets) if share is None else staged(expected_copies(raked(docs, targets), share))
+    expected, times = unused(docs, "expected"), unused(docs, "times")
+    cells = cells.toDF(*names.values(), expected)
+    whole = F.floor(expected)
+    more = draw(F.col("doc_id")) < (F.col(expected) - whole) * F.lit(float(DRAWS))
+    drawn = (
         docs.withColumns({names[n]: columns[n] for n in DIMENSIONS})
         .join(cells, list(names.values()))
-        .filter(draw(F.col("doc_id")) < F.col(share) * F.lit(float(DRAWS)))
+        .withColumn(times, whole + more.cast("long"))
+        .filter(F.col(times) > 0)
     )
-    return kept.select(*(col(c) for c in docs.columns))
+    if share is not None:
+        drawn = drawn.withColumn(times, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times))))
+    return drawn.select(*(col(c) for c in docs.columns))
 
 
 def oracle(sweeps: int = SWEEPS, power: float = TEMPER) -> str:

@@ -448,6 +448,26 @@ def test_mixing(spark, many):
     assert mixing.mix(empty(spark)).collect() == [] == mixing.sampled(empty(spark)).collect()
 
 
+def test_one_rare_row_does_not_shrink_the_mix(spark):
+    """Half the tokens are drawn in their target shares, also beside one row without source and language."""
+    rnd = random.Random(5)
+    rows = [(i, "some words " * rnd.randint(1, 9), rnd.choice(["en", "de"]), f"s{min(3, i % 8)}") for i in range(4000)]
+    shares = []
+    for extra in ([], [(4000, "x", None, None)]):
+        df = docs(spark, rows + extra)
+        drawn = corpus_pipeline.mixed(spark, df, "")
+        assert drawn.columns == df.columns
+        cells = drawn.select(*(c.alias(n) for n, c in mixing.cell_columns().items())).toPandas()
+        every = df.select(*(c.alias(n) for n, c in mixing.cell_columns().items())).toPandas()
+        shares.append(cells["tokens"].sum() / every["tokens"].sum())
+        for d in ("source", "lang"):
+            want = every.groupby(d)["tokens"].sum() ** mixing.TEMPER
+            got = cells.groupby(d)["tokens"].sum().reindex(want.index, fill_value=0)
+            assert (got / got.sum()).tolist() == pytest.approx((want / want.sum()).tolist(), abs=0.03)
+    assert shares == pytest.approx([corpus_pipeline.MIXED] * 2, abs=0.03)
+    assert sum(r.doc_id == 4000 for r in drawn.select("doc_id").collect()) >= 1
+
+
 # ---------------------------------------------------------------------- pipeline
 
 
