@@ -84,6 +84,14 @@ class Spelling:
     numbers: dict[str, str]
     text: str
 
+    def renamed(self, prefix: str) -> Spelling:
+        """The same with a prefix before the names of the numbers."""
+        numbers, text = {}, self.text
+        for name, number in self.numbers.items():
+            new = f"`{prefix}{name[1:]}"
+            numbers[new], text = number, text.replace(name, new)
+        return Spelling(numbers, text)
+
 
 def _letters_of(number: str, parts: list[Position]) -> list[str]:
     """Characters of a number written in the mixed radix of the positions."""

@@ -65,6 +65,13 @@ def number_rows(df: DataFrame, order: str | Sequence[str], name: str = "_rid") -
     that their places are fixed; a row's number is its place in its partition
     plus the sizes of the partitions before.  Only these sizes reach the driver.
     """
+    return counted_rows(df, order, name)[0]
+
+
+def counted_rows(
+    df: DataFrame, order: str | Sequence[str], name: str = "_rid"
+) -> tuple[DataFrame, int]:
+    """:func:`number_rows`, and how many rows there are."""
     columns = [col(c) for c in ([order] if isinstance(order, str) else order)]
     placed = cut(df.repartitionByRange(*columns).sortWithinPartitions(*columns))
     sizes = dict(
@@ -75,10 +82,10 @@ def number_rows(df: DataFrame, order: str | Sequence[str], name: str = "_rid") -
         starts.append(total)
         total += sizes.get(part, 0)
     if not starts:
-        return placed.withColumn(name, F.lit(0).cast("bigint"))
+        return placed.withColumn(name, F.lit(0).cast("bigint")), 0
     start = F.element_at(F.lit(starts).cast("array<bigint>"), F.spark_partition_id() + 1)
     place = F.monotonically_increasing_id() % F.lit(1 << 33)
-    return placed.withColumn(name, start + place)
+    return placed.withColumn(name, start + place), total
 
 
 def draw_without_replacement(
@@ -92,8 +99,7 @@ def draw_without_replacement(
     null, negative or repeated.
     """
     different = values.select(col(value)).filter(col(value).isNotNull()).distinct()
-    listed = number_rows(different, value, "__place")
-    size = listed.count()
+    listed, size = counted_rows(different, value, "__place")
     i = col(index)
     seen, least, top, different, numbered = rows.agg(
         F.count("*"), F.min(i), F.max(i), F.count_distinct(i), F.count(i)

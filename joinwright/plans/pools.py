@@ -252,6 +252,11 @@ def _list_cells(columns, lists) -> list[Cell]:
     return [Cell(may, len(values), values=tuple(values)) for may, values in groups.items()]
 
 
+def total_room(column: Column) -> int:
+    """Number of values that a column's rows may have without repeating one."""
+    return sum(c.room for c in _cells([Member("", column, 0)]))
+
+
 def double_room(lo: float, hi: float) -> int:
     """Different doubles that a stretch gives: no two places of its grid round to one."""
     finest = 2 * math.ulp(max(abs(float(lo)), abs(float(hi))))

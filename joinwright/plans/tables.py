@@ -6,11 +6,8 @@ shuffled or stored to make it, and no Python runs per row.
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field, replace
-from functools import reduce
-from operator import and_
+from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import Column as SparkColumn
@@ -19,18 +16,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import col
-from ..functions.draws import array_of, hash32, hash63, literal, stream
-from ..functions.patterns import Spelling, drawn_string, pattern_regex
+from ..functions.patterns import Spelling
 from ..operators.rows import first_rows, number_rows
 from ..sources.files import save_tables
 from ..sources.scratch import cut
-from ..spec import INTEGRAL, Column, Join, Spec, SpecError, Table
-from .chain import Joined, Step
-from .pools import Member, Pool, by_row
-
-ROW = "_rid"
-# Rows one task makes, where the number of partitions is not given.
-ROWS_PER_TASK = 4_000_000
+from ..spec import INTEGRAL, Column, Join, Spec, SpecError, Table, given_table
+from .closed import (
+    ORDER,
+    Field,
+    Stretch,
+    first_fields,
+    joined_fields,
+    joined_rows,
+    joined_stretches,
+    outer_union,
+    plain_join,
+)
+from .continued import continued
+from .layout import ROW, Layout, index_rows, select_columns
 
 
 @dataclass(frozen=True)
@@ -54,53 +57,6 @@ class Generated:
         return save_tables(self.tables, folder, self.format, self.expected)
 
 
-# ---------------------------------------------------------------- columns
-
-
-def drawn_column(column: Column, index: str, stream_no: int) -> str | Spelling:
-    """Values that may repeat: drawn for each index from bounds, a pattern or a list."""
-    dtype = column.dtype
-    draw = hash32(index, stream_no)
-    if column.values is not None:
-        place = f"CAST({draw} % {len(column.values)} + 1 AS INT)"
-        return f"CAST(element_at({array_of(column.values)}, {place}) AS {dtype.simpleString()})"
-    if isinstance(dtype, T.BooleanType):
-        return f"({draw} % 2 = 1)"
-    if column.pattern is not None:
-        return drawn_string(column.name, index, column.pattern, column.letters, stream_no)
-    lo, hi = column.bounds
-    if isinstance(dtype, T.DoubleType):
-        width = literal(float(hi) - float(lo))
-        return f"({literal(float(lo))} + {width} * ({draw} / {float(1 << 32)}D))"
-    if isinstance(dtype, T.DateType):
-        return f"date_add({literal(lo)}, CAST({draw} % {(hi - lo).days + 1} AS INT))"
-    room = hi - lo + 1
-    if room > 1 << 20:  # else the remainder of a short draw would favour some values
-        draw = hash63(index, stream_no)
-    return f"CAST({draw} % {room} + {literal(lo)} AS {dtype.simpleString()})"
-
-
-def _select(rows: DataFrame, columns: Mapping[str, str | Spelling]) -> DataFrame:
-    """Two projections: the numbers strings are spelled from, then the columns."""
-    numbers: dict[str, str] = {}
-    values = []
-    for name, column in columns.items():
-        if isinstance(column, Spelling):
-            numbers.update(column.numbers)
-            column = column.text
-        values.append(f"{column} AS `{name}`")
-    if numbers:
-        rows = rows.selectExpr("*", *[f"{n} AS {c}" for c, n in numbers.items()])
-    return rows.selectExpr(ROW, *values)
-
-
-def _index(spark: SparkSession, start: int, stop: int, partitions: int | None) -> DataFrame:
-    rows = max(stop - start, 0)
-    if partitions is None:
-        partitions = max(spark.sparkContext.defaultParallelism, -(-rows // ROWS_PER_TASK))
-    return spark.range(start, start + rows, 1, partitions).withColumnRenamed("id", ROW)
-
-
 def generate_table(
     spark: SparkSession,
     table: Table,
@@ -110,132 +66,9 @@ def generate_table(
 ) -> DataFrame:
     """One table on its own: rows ``start .. size - 1``."""
     table = Spec((table,)).checked().tables[0]
-    layout = _Layout([table], [], seed)
-    rows = _index(spark, start, table.size, partitions)
-    return _select(rows, layout.columns(0, ROW)).drop(ROW)
-
-
-# ----------------------------------------------------------------- layout
-
-
-class _Layout:
-    """The columns of a chain's tables as expressions of their row index.
-
-    Two neighbours agree, in their first rows, on every column name both have;
-    a name that clashed in an earlier join no longer names one column, and is
-    not shared with later tables.
-    """
-
-    def __init__(self, tables: Sequence[Table], joins: Sequence[Join], seed: int):
-        self.tables = list(tables)
-        self.joins = list(joins)
-        self.seed = seed
-        self.pools: list[list[Member]] = []
-        # (table, column) -> (pool, place in the pool)
-        self.places: dict[tuple[int, str], tuple[int, int]] = {}
-        self.shared: list[dict[str, str]] = []
-        self._connect()
-        self.allotted = {
-            p: Pool(members, self._pool_stream(members)).allot()
-            for p, members in enumerate(self.pools)
-            if not any(m.column.repeats for m in members) and not self._only_drawn(members)
-        }
-
-    def _pool_stream(self, members: list[Member]) -> int:
-        return stream(self.seed, f"{members[0].table}.{members[0].column.name}")
-
-    @staticmethod
-    def _only_drawn(members: list[Member]) -> bool:
-        """A string of one table need not be unique, it is drawn."""
-        return len(members) == 1 and members[0].column.pattern is not None
-
-    def _connect(self) -> None:
-        live: dict[str, tuple[int, str]] = {}
-        for t, table in enumerate(self.tables):
-            join = self.joins[t - 1] if t else None
-            shared: dict[str, str] = {}
-            if join is not None:
-                shared = {c: c for c in table.names if c in live}
-                if join.left_key not in live:
-                    raise SpecError(f"{join.left_key!r} is not one column of the joined table")
-                shared[join.right_key] = join.left_key
-            self.shared.append(shared)
-            for c in table.columns:
-                source = live.get(shared[c.name]) if c.name in shared else None
-                if source is None:
-                    self.pools.append([])
-                    pool = len(self.pools) - 1
-                else:
-                    pool = self.places[source][0]
-                copied = join.matches if source is not None else 0
-                self.pools[pool].append(Member(table.name, c, table.size, copied))
-                self.places[t, c.name] = (pool, len(self.pools[pool]) - 1)
-            for c in table.names:
-                if c in live and not (join and join.left_key == join.right_key == c):
-                    del live[c]
-                elif c not in live:
-                    live[c] = (t, c)
-
-    def columns(self, t: int, index: str) -> dict[str, str | Spelling]:
-        return {c.name: self._column(t, c, index) for c in self.tables[t].columns}
-
-    def _column(self, t: int, column: Column, index: str) -> str | Spelling:
-        pool, place = self.places[t, column.name]
-        if pool in self.allotted:
-            return self.allotted[pool].column(place, index)
-        own = stream(self.seed, f"{self.tables[t].name}.{column.name}")
-        members = self.pools[pool]
-        if len(members) == 1:
-            return drawn_column(column, index, own)
-        return self._drawn_shared(members, place, index, own)
-
-    def _drawn_shared(self, members, place, index, own) -> str:
-        """Draws that may repeat: matched rows draw alike, from what all may use."""
-        first = self._pool_stream(members)
-        stops, values = [], []
-        for last in range(len(members) - 1, max(place, 1) - 1, -1):
-            common = _common([m.column for m in members[: last + 1]])
-            values.append(drawn_column(common, index, first))
-            stops.append(members[last].copied)
-        values.append(drawn_column(members[place].column, index, own))
-        return by_row(index, stops, values)
-
-    def allowed(self, t: int) -> dict:
-        """For each shared column of table ``t``: whether a joined row's value fits it."""
-        out = {}
-        for name, source in self.shared[t].items():
-            c = self.tables[t].column(name)
-            if c.values is not None:
-                out[source] = col(source).isin(*c.values)
-            elif c.bounds is not None:
-                out[source] = col(source).between(*c.bounds)
-            else:
-                out[source] = F.lit(True)
-        return out
-
-
-def _common(columns: Sequence[Column]) -> Column:
-    """A column whose values all the given columns may have."""
-    first = columns[0]
-    lists = [c.values for c in columns if c.values is not None]
-    bounds = [c.bounds for c in columns if c.bounds is not None]
-    if len({(c.pattern, c.letters) for c in columns}) > 1:
-        raise SpecError(f"{first.name}: tables that share it need one pattern")
-    if lists:
-        values = tuple(
-            v
-            for v in lists[0]
-            if all(v in other for other in lists) and all(lo <= v <= hi for lo, hi in bounds)
-        )
-        if not values:
-            raise SpecError(f"{first.name}: the value lists have nothing in common")
-        return replace(first, values=values, bounds=None, repeatable=True)
-    if bounds:
-        lo, hi = max(b[0] for b in bounds), min(b[1] for b in bounds)
-        if lo > hi:
-            raise SpecError(f"{first.name}: the ranges have nothing in common")
-        return replace(first, bounds=(lo, hi), unique=False)
-    return first
+    layout = Layout([table], [], seed)
+    rows = index_rows(spark, start, table.size, partitions)
+    return select_columns(rows, layout.columns(0, ROW)).drop(ROW)
 
 
 # ------------------------------------------------------------------ chain
@@ -246,94 +79,191 @@ def generate(
     spec: Spec | Mapping[str, Any],
     seed: int = 0,
     partitions: int | None = None,
+    given: Mapping[str, DataFrame] | None = None,
 ) -> Generated:
     """Generate the tables of a spec and the result its joins are expected to give.
 
     Everything is lazy while no join has a filter.  After a filter the next table
-    copies rows that survived it; which ones these are is found by running the
-    chain so far, and they are kept in the shared folder.  A spec that cannot be
+    copies rows that survived it; which ones these are is found by reading the rows that
+    are left, and they are kept in the shared folder.  A spec that cannot be
     met raises :class:`SpecError` before any job, but for a filter that leaves
     too few rows, which raises when it has run.
+
+    ``given`` has the rows of tables that exist already: the first ones of the chain, of
+    which the spec needs to name no size and no columns.  The next table's join has its matches
+    with the rows that the given tables join to, see :mod:`joinwright.plans.continued`.
+
+    The expected result is not had from the joins of this library: it is known in closed
+    form (:mod:`joinwright.plans.closed`), or, beside given tables, by Spark's join.
     """
-    spec = Spec.from_dict(spec) if isinstance(spec, Mapping) else spec.checked()
-    layout = _Layout(spec.tables, spec.joins, seed)
+    given = dict(given or {})
+    if isinstance(spec, Mapping):
+        spec = Spec.from_dict(spec, given)
+    else:
+        spec = spec.with_given(given).checked()
+    if given:
+        return _generate_after(spark, spec, given, seed, partitions)
+    layout = Layout(spec.tables, spec.joins, seed)
+    chain = _Closed(spark, spec, layout, partitions)
+    tables = {spec.tables[0].name: chain.table(0)}
+    steps: list[DataFrame] = []
+    for t, join in enumerate(spec.joins, start=1):
+        tables[spec.tables[t].name] = chain.join(t, join)
+        steps.append(chain.frame().drop(ORDER))
+    return Generated(spec, tables, steps)
+
+
+class _Closed:
+    """The joined table so far, without a join; see :mod:`joinwright.plans.closed`."""
+
+    def __init__(self, spark, spec: Spec, layout: Layout, partitions: int | None):
+        self.spark, self.tables, self.layout, self.partitions = spark, spec.tables, layout, partitions
+        first = self.tables[0]
+        self.fields = first_fields(first.name, first.names)
+        self.stretches = [Stretch(0, first.size, frozenset({0}), ROW)]
+        self.rows: DataFrame | None = None  # what a filter has left, from then on
+
+    def _index(self, start: int, stop: int) -> DataFrame:
+        return index_rows(self.spark, start, stop, self.partitions)
+
+    def table(self, t: int) -> DataFrame:
+        rows = self._index(0, self.tables[t].size)
+        return select_columns(rows, self.layout.columns(t, ROW)).drop(ROW)
+
+    def frame(self) -> DataFrame:
+        if self.rows is not None:
+            return self.rows
+        nothing = Stretch(0, 0, frozenset(range(len(self.tables))), ROW)
+        return outer_union([self._rows_of(s) for s in self.stretches or [nothing]])
+
+    def _rows_of(self, s: Stretch) -> DataFrame:
+        columns: dict[str, str | Spelling] = {}
+        for f in self.fields:
+            there = [(t, c) for t, c in f.sources if t in s.there]
+            t, c = (there or f.sources)[0]
+            column = self.tables[t].column(c)
+            if there:
+                made = self.layout.columns(t, ROW)[c]
+                columns[f.name] = made.renamed(f"{t} ") if isinstance(made, Spelling) else made
+            else:
+                columns[f.name] = f"CAST(NULL AS {column.dtype.simpleString()})"
+        columns[ORDER] = s.order
+        return select_columns(self._index(s.start, s.stop), columns).drop(ROW)
+
+    def join(self, t: int, join: Join) -> DataFrame:
+        """Join the next table; returns the table."""
+        table, keys = self.tables[t], (join.left_key, join.right_key)
+        source = next(f for f in self.fields if f.name == join.left_key)
+        before = self.fields
+        self.fields = joined_fields(before, t, table.name, table.names, keys)
+        if self.rows is None:
+            made = self.table(t)
+            self.stretches = joined_stretches(
+                self.stretches, frozenset(n for n, _ in source.sources), t, table.size,
+                join.matches, join.how, ROW,
+            )
+        else:
+            made = self._join_rows(t, join, before)
+        if join.where is not None:
+            self.rows = self.frame().filter(F.expr(join.where))
+        return made
+
+    def _join_rows(self, t: int, join: Join, before: Sequence[Field]) -> DataFrame:
+        """A table whose first rows copy the first rows that are left of the chain."""
+        table, columns = self.tables[t], self.layout.columns(t, ROW)
+        copied = self._first_left(t, join.matches)
+        matched = number_rows(self.rows.filter(copied), ORDER, ROW)
+        shared = self.layout.shared[t]
+        copies = {n: _copy(table.column(n), source) for n, source in shared.items()}
+        head = {**columns, **(copies if join.matches else {})}
+        tail = self._index(join.matches, table.size)
+        made = select_columns(matched, head).unionByName(select_columns(tail, columns))
+
+        old = {f.name: b.name for f, b in zip(self.fields, before)}
+        own = {f.name: c for f in self.fields for n, c in f.sources if n == t}
+        both = {f.name: f"`{old[f.name]}`" if f.name in old else head[own[f.name]] for f in self.fields}
+        orders = {"inner": ORDER, "left": ORDER, "right": ROW, "full": f"({ORDER} * 2)"}
+        order = orders[join.how]
+        alone = {n: f"`{b}`" for n, b in old.items()} | {ORDER: order.replace(ROW, "0L")}
+        place = f"({ROW} * 2 + 1)" if join.how == "full" else ROW
+        self.rows = joined_rows(
+            select_columns(matched, {**both, ORDER: order}),
+            self.rows.filter(~copied).selectExpr(*[f"{e} AS `{n}`" for n, e in alone.items()]),
+            select_columns(tail, {**{n: columns[c] for n, c in own.items()}, ORDER: place}),
+            join.how,
+            [*[f.name for f in self.fields], ORDER],
+        )
+        return made.drop(ROW)
+
+    def _first_left(self, t: int, matches: int) -> SparkColumn:
+        """Whether a row that is left is one of the first that fit table ``t``."""
+        if not matches:
+            return F.lit(False)
+        fits = F.lit(True)
+        for source, allowed in self.layout.allowed(t).items():
+            fits = fits & allowed & col(source).isNotNull()
+        fits = F.coalesce(fits, F.lit(False))
+        try:
+            first = first_rows(cut(self.rows.filter(fits).select(ORDER)), ORDER, matches)
+        except ValueError as e:
+            name = self.tables[t].name
+            raise SpecError(f"{name}: the filter leaves too few rows: {e}") from None
+        return fits & (F.col(ORDER) <= first.agg(F.max(ORDER)).first()[0])
+
+
+def _copy(column: Column, source: str) -> str:
+    return f"CAST(`{source}` AS {column.dtype.simpleString()})"
+
+
+def _generate_after(
+    spark, spec: Spec, given: Mapping[str, DataFrame], seed: int, partitions: int | None
+) -> Generated:
+    """Tables that go with given ones: each with what the tables before it join to."""
     tables: dict[str, DataFrame] = {}
     steps: list[DataFrame] = []
-    joined: Joined | None = None
-    filtered = False
+    rows, fields, first_key = None, [], None
     for t, table in enumerate(spec.tables):
         join = spec.joins[t - 1] if t else None
-        columns = layout.columns(t, ROW)
-        if filtered and join.matches:
-            frame = _table_after_filter(spark, layout, t, join, joined, columns, partitions)
+        if table.given:
+            frame = given[table.name]
         else:
-            frame = _select(_index(spark, 0, table.size, partitions), columns)
-        tables[table.name] = frame.drop(ROW)
-        if joined is None:
-            joined = Joined.start(table.name, frame.withColumnRenamed(ROW, "_order"))
+            if join.left_key not in rows.columns:
+                raise SpecError(f"{join.left_key!r} is not one column of the joined table")
+            first_key = first_key or join.left_key
+            shared = {c: c for c in table.names if c in rows.columns} | {join.right_key: join.left_key}
+            order = first_key if first_key in rows.columns else join.left_key
+            keys = (join.left_key, join.right_key)
+            frame = continued(rows, table, join.matches, keys, shared, [order], seed, partitions)
+        tables[table.name] = frame
+        if rows is None:
+            rows, fields = frame, first_fields(table.name, frame.columns)
             continue
-        joined = _join_next(joined, table.name, frame, join)
-        filtered = filtered or join.where is not None
-        steps.append(joined.frame.drop("_order"))
+        fields = joined_fields(fields, t, table.name, frame.columns, (join.left_key, join.right_key))
+        rows = plain_join(rows, frame, join, fields, t)
+        rows = rows if join.where is None else rows.filter(F.expr(join.where))
+        steps.append(rows)
     return Generated(spec, tables, steps)
 
 
-def _join_next(joined: Joined, name: str, frame: DataFrame, join: Join) -> Joined:
-    """Join, and number the rows by the order of the side that is kept whole."""
-    right = frame.withColumnRenamed(ROW, "_place")
-    step = Step((join.left_key, join.right_key), join.how)
-    result = joined.then(name, right, step)
-    orders = {
-        "inner": F.col("_order"),
-        "left": F.col("_order"),
-        "right": F.col("_place"),
-        "full": F.coalesce("_order", "_place") * 2 + F.isnull("_order").cast("bigint"),
-    }
-    ordered = result.frame.withColumn("_order", orders[join.how]).drop("_place")
-    owners = {c: t for c, t in result.owners.items() if c != "_place"}
-    return Joined(ordered, owners).where(join.where)
-
-
-def _table_after_filter(
-    spark, layout, t, join, joined, columns, partitions
-) -> DataFrame:
-    """A table whose first rows copy the first rows that are left of the chain."""
-    table = layout.tables[t]
-    source_of = layout.shared[t]
-    fits = F.lit(True)
-    for condition in layout.allowed(t).values():
-        fits = fits & condition
-    for source in source_of.values():
-        fits = fits & col(source).isNotNull()
-    copies = [col(source).alias(f"__copy_{name}") for name, source in source_of.items()]
-    left = cut(joined.frame.filter(fits).select("_order", *copies))
-    try:
-        base = first_rows(left, "_order", join.matches)
-    except ValueError as e:
-        raise SpecError(f"{table.name}: the filter leaves too few rows: {e}") from None
-    base = number_rows(base, "_order", ROW).drop("_order")
-    copied = {n: _copy(table.column(n)) for n in source_of}
-    head = _select(base, {**columns, **copied})
-    tail = _select(_index(spark, join.matches, table.size, partitions), columns)
-    return head.unionByName(tail)
-
-
-def _copy(column: Column) -> str:
-    return f"CAST(`__copy_{column.name}` AS {column.dtype.simpleString()})"
-
-
 def correlated_pair(
     spark: SparkSession,
-    left: Table,
+    left: Table | DataFrame,
     right: Table,
     matches: int,
     key: str,
     seed: int = 0,
     partitions: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Two tables: ``matches`` rows agree on all columns both have, no others on the key."""
+    """Two tables whose join on the key has ``matches`` rows, which agree on all columns both have.
+
+    The left table may be given; the rows it matches are then the first in the order of the key.
+    """
+    given = {}
+    if isinstance(left, DataFrame):
+        given = {"left": left}
+        left = given_table("left", left.schema)
     spec = Spec((left, right), (Join(key, key, "inner", matches),))
-    tables = generate(spark, spec, seed, partitions).tables
+    tables = generate(spark, spec, seed, partitions, given).tables
     return tables[left.name], tables[right.name]
 
 
@@ -353,7 +283,7 @@ def add_columns(
         raise SpecError(f"the table has the columns {sorted(clash)} already")
     table = Spec((table,)).checked().tables[0]
     own = {c: f"`{c}`" for c in df.columns}
-    return _select(numbered, {**own, **_Layout([table], [], seed).columns(0, ROW)}).drop(ROW)
+    return select_columns(numbered, {**own, **Layout([table], [], seed).columns(0, ROW)}).drop(ROW)
 
 
 def next_table(
@@ -367,75 +297,31 @@ def next_table(
 ) -> DataFrame:
     """A table that goes with an existing one: its join on ``key`` has ``matches`` rows.
 
-    ``key`` is a whole number or date both have, by default the first such column.
-    The first ``matches`` rows copy every column both have, of any type, from the first rows
-    of ``base``, in the order of a column, whose key occurs once in it and whose
-    shared values are not null and within the bounds and lists of the new table's columns;
-    too few of them raise ``SpecError``.  In the other rows whole numbers and dates that both
-    have lie above the largest in ``base``, so they match nothing, and the rest is drawn.
+    ``key`` is a column both have, of any type, by default the first whole number or date, else
+    the first.  Rows of the new table copy every column both have from the rows of ``base`` whose
+    shared values are not null and within the bounds and lists of the new table's columns.  A key
+    that several rows have is copied once and matches all of them: keys of few rows come
+    first, and of these the first in the order of a column; if no choice of keys
+    has exactly as many rows, ``SpecError`` is raised.
+
+    In the other rows whole numbers and dates that both have lie above the largest in
+    ``base``; a key of another type has values that ``base`` does not.  They match nothing, and
+    the rest is drawn.  ``base`` is read once.
     """
-    spark = base.sparkSession
     shared = [c for c in table.names if c in base.columns]
     if not shared:
         raise SpecError(f"{table.name!r} has no column in common with the other table")
-    if not 0 <= matches <= table.size:
+    if not 0 <= matches:
         raise SpecError(f"{matches} matches do not fit {table.name!r}")
     table = Spec((table,)).checked().tables[0]
     countable = [c for c in shared if isinstance(table.column(c).dtype, (*INTEGRAL, T.DateType))]
-    if key is None and not countable or key is not None and key not in countable:
-        raise SpecError(f"{key or shared}: only whole numbers and dates have a next value")
-    key = key or countable[0]
-    tops = base.agg(*[F.max(col(c)).alias(c) for c in countable]).first()
-    above = {
-        c: _above(table.column(c), tops[c], table.size - matches, table.name)
-        for c in countable
-        if tops[c] is not None
-    }
-    own = tuple(c for c in table.columns if c.name not in shared)
-    columns = _Layout([replace(table, columns=own)], [], seed).columns(0, ROW)
-    once = base.groupBy(col(key).alias("__key")).agg(F.count("*").alias("__n")).filter("__n = 1")
-    fitting = base.filter(reduce(and_, [_fits(table.column(c)) for c in shared])).join(
-        once, col(key) == F.col("__key"), "left_semi"
-    )
+    key = key or (countable or shared)[0]
+    if key not in shared:
+        raise SpecError(f"{key!r} is not a column of both tables")
     try:
-        picked = first_rows(fitting, order, matches)
-    except ValueError as e:
+        return continued(
+            base, table, matches, (key, key), {c: c for c in shared}, [order], seed, partitions,
+            only_above=True,
+        )
+    except SpecError as e:
         raise SpecError(f"{table.name}: {e}") from None
-    picked = picked.select(
-        col(order).alias("__order"), *[col(c).alias(f"__copy_{c}") for c in shared]
-    )
-    copied = {c: _copy(table.column(c)) for c in shared}
-    head = _select(number_rows(picked, "__order", ROW), {**columns, **copied})
-    filler = tuple(above.get(c.name, c) for c in table.columns if c.name in shared)
-    rest = Table(table.name, table.size - matches, filler)
-    drawn = _Layout([rest], [], seed).columns(0, f"({ROW} - {matches})")
-    tail = _select(_index(spark, matches, table.size, partitions), {**columns, **drawn})
-    return head.select(table.names).unionByName(tail.select(table.names))
-
-
-def _fits(column: Column) -> SparkColumn:
-    """Whether a value may be copied into the column."""
-    value = col(column.name)
-    fits = value.isNotNull()
-    if column.bounds is not None:
-        fits = fits & value.between(*[F.lit(b) for b in column.bounds])
-    if column.values is not None:
-        fits = fits & value.isin(list(column.values))
-    if column.pattern is not None and column.letters is not None:
-        fits = fits & value.rlike(pattern_regex(column.pattern, column.letters))
-    return fits
-
-
-def _above(column: Column, top: Any, rows: int, table: str) -> Column:
-    if column.bounds is None:
-        raise SpecError(f"{table}.{column.name}: a value list has no next value")
-    lo, hi = column.bounds
-    if isinstance(column.dtype, T.DateType):
-        lo = max(lo, top + dt.timedelta(days=1))
-        room = (hi - lo).days + 1
-    else:
-        lo = max(lo, top + 1)
-        room = hi - lo + 1
-    if room < rows:
-        raise SpecError(f"{table}.{column.name}: {room} values above {top} for {rows} rows")
-    return replace(column, bounds=(lo, hi))

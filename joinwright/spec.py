@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 from typing import Any
 
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 # Type names a specification may use, and the bounds that hold
@@ -146,9 +147,12 @@ class Column:
 
 @dataclass(frozen=True)
 class Table:
+    """A table; of one that is ``given``, whose rows exist already, the size is not looked at."""
+
     name: str
     size: int
     columns: tuple[Column, ...]
+    given: bool = False
 
     def column(self, name: str) -> Column:
         for c in self.columns:
@@ -167,6 +171,11 @@ class Table:
         )
 
 
+def given_table(name: str, schema: T.StructType) -> Table:
+    """Table of rows that exist already; their columns may have any type."""
+    return Table(name, 0, tuple(Column(f.name, f.dataType, f.nullable) for f in schema), given=True)
+
+
 @dataclass(frozen=True)
 class Join:
     """Join of the chain so far with the next table, with ``matches`` matches."""
@@ -185,19 +194,23 @@ class Spec:
     defaults: Defaults = Defaults()
 
     @classmethod
-    def from_dict(cls, spec: Mapping[str, Any]) -> Spec:
+    def from_dict(cls, spec: Mapping[str, Any], given: Mapping[str, DataFrame] | None = None) -> Spec:
         """Read the dict form: ``datasets``, ``restrictions``, ``join_conditions``.
 
         Bounds are pairs (``"restriction": (0, 100)``), value lists are lists and
-        a join condition is a pair ``(left column, right column)``.
+        a join condition is a pair ``(left column, right column)``.  Datasets of ``given``
+        tables need no size and no schema, and a join of two of them no number of matches.
         """
-        given = dict(spec.get("restrictions", {}))
+        given = given or {}
+        stated = dict(spec.get("restrictions", {}))
         for key in ("min_date", "max_date"):
-            if key in given:
-                given[key] = typed_value(given[key], T.DateType())
-        defaults = Defaults(**given)
+            if key in stated:
+                stated[key] = typed_value(stated[key], T.DateType())
+        defaults = Defaults(**stated)
         tables = tuple(
-            Table(name, int(d["size"]), tuple(_column(c, f) for c, f in d["schema"].items()))
+            given_table(name, given[name].schema)
+            if name in given
+            else Table(name, int(d["size"]), tuple(_column(c, f) for c, f in d["schema"].items()))
             for name, d in spec["datasets"].items()
         )
         joins = tuple(
@@ -205,12 +218,12 @@ class Spec:
                 left_key=j["condition"][0],
                 right_key=j["condition"][1],
                 how=join_type_of(j["type"]),
-                matches=int(j["intersecting_records"]),
+                matches=int(j["intersecting_records"] if t >= len(given) else j.get("intersecting_records", 0)),
                 where=j.get("where"),
             )
-            for j in spec.get("join_conditions", {}).values()
+            for t, j in enumerate(spec.get("join_conditions", {}).values(), start=1)
         )
-        return cls(tables, joins, defaults).checked()
+        return cls(tables, joins, defaults).with_given(given).checked()
 
     @classmethod
     def from_schemas(
@@ -246,10 +259,22 @@ class Spec:
         )
         return cls(tables, joins, defaults).checked()
 
+    def with_given(self, given: Mapping[str, DataFrame]) -> Spec:
+        """The spec with the columns of given tables, which have to be the first of the chain."""
+        names = [t.name for t in self.tables]
+        if set(names[: len(given)]) != set(given):
+            raise SpecError(f"given tables {sorted(given)} are not the first of {names}")
+        return replace(
+            self,
+            tables=tuple(
+                given_table(t.name, given[t.name].schema) if t.name in given else t for t in self.tables
+            ),
+        )
+
     def checked(self) -> Spec:
         """The spec with all defaults filled in; raises if it cannot be met."""
         tables = tuple(
-            replace(t, columns=tuple(c.resolved(self.defaults) for c in t.columns))
+            t if t.given else replace(t, columns=tuple(c.resolved(self.defaults) for c in t.columns))
             for t in self.tables
         )
         spec = replace(self, tables=tables)
@@ -259,7 +284,8 @@ class Spec:
             if len(set(table.names)) != len(table.names):
                 raise SpecError(f"column names of {table.name!r} must differ")
             for column in table.columns:
-                _check_column(table, column)
+                if not table.given:
+                    _check_column(table, column)
         _check_shared_types(tables)
         _check_joins(spec)
         return spec
@@ -323,12 +349,14 @@ def _check_shared_types(tables: tuple[Table, ...]) -> None:
 def _check_joins(spec: Spec) -> None:
     if len(spec.joins) != max(len(spec.tables) - 1, 0):
         raise SpecError("a chain of N tables needs N - 1 joins")
+    after_given = any(t.given for t in spec.tables)
     for i, join in enumerate(spec.joins):
-        if i and join.matches > spec.joins[i - 1].matches:
-            raise SpecError("the number of matches must not rise along the chain")
-        for table in spec.tables[i : i + 2]:
-            if not 0 <= join.matches <= table.size:
-                raise SpecError(f"{join.matches} matches do not fit {table.name!r}")
+        if not after_given:
+            if i and join.matches > spec.joins[i - 1].matches:
+                raise SpecError("the number of matches must not rise along the chain")
+            for table in spec.tables[i : i + 2]:
+                if not 0 <= join.matches <= table.size:
+                    raise SpecError(f"{join.matches} matches do not fit {table.name!r}")
         right = spec.tables[i + 1].column(join.right_key)
         earlier = [t for t in spec.tables[: i + 1] if join.left_key.split(".")[-1] in t.names]
         if not earlier:
@@ -337,5 +365,5 @@ def _check_joins(spec: Spec) -> None:
         if left.dtype != right.dtype:
             raise SpecError(f"keys {join.left_key!r} and {join.right_key!r} differ in type")
         for key in (left, right):
-            if key.repeats:
+            if key.repeats and not after_given:
                 raise SpecError(f"key {key.name!r} may repeat, so matches cannot be exact")

@@ -1,0 +1,234 @@
+"""Tables that go with given ones, and results that are known without a join."""
+
+import datetime as dt
+import itertools
+import random
+
+import pytest
+from specs import CLASH, FOUR, SHOP, joins_of
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from joinwright import Column, Join, Spec, SpecError, Step, Table, check_job, generate, join_chain, verify
+from joinwright.operators.compare import equal
+from joinwright.plans import chain
+from joinwright.plans.continued import adds_up
+from joinwright.plans.jobs import chain_job
+from joinwright.plans.tables import correlated_pair, next_table
+
+# ------------------------------------------------------------ keys that repeat
+
+
+def test_multiplicities_that_add_up():
+    """Against all choices: a choice is found if there is one."""
+    rnd = random.Random(4)
+    for _ in range(400):
+        keys = {m: rnd.randint(1, 3) for m in rnd.sample(range(1, 12), rnd.randint(1, 4))}
+        rows, most = rnd.randint(0, 40), rnd.choice([1, 3, 100])
+        choices = [
+            dict(zip(keys, c)) for c in itertools.product(*[range(n + 1) for n in keys.values()])
+            if sum(m * n for m, n in zip(keys, c)) == rows
+        ]
+        found = adds_up(keys, rows, most)
+        if found is None:
+            assert not choices or all(sum(c.values()) > 1 for c in choices) and most < 100, (keys, rows, most)
+        else:
+            assert sum(m * n for m, n in found.items()) == rows and sum(found.values()) <= most
+            assert all(n <= keys[m] for m, n in found.items())
+
+
+def test_many_multiplicities_add_up():
+    keys = {m: 1000 for m in range(2, 400, 2)}
+    assert adds_up(keys, 10**6 + 1, 10**9) is None
+    keys[401] = 1
+    found = adds_up(keys, 10**6 + 1, 10**9)
+    assert sum(m * n for m, n in found.items()) == 10**6 + 1 and found[401] == 1
+
+
+@pytest.mark.parametrize("matches", [0, 1, 7, 50, 199, 200])
+def test_a_repeated_key_is_copied_once(spark, matches):
+    rows = [(k, n) for k, n in [("a", 1), ("b", 4), ("c", 4), ("d", 11), ("e", 40), ("f", 140)] for _ in range(n)]
+    base = spark.createDataFrame([(k, i) for i, (k, _) in enumerate(rows)] + [(None, -1)] * 5, "k string, i int")
+    table = Table("t", 30, (Column("k", T.StringType(), pattern="?", letters="abcdefghijklmnopqrstuvwxyzABCDEFGHIJ"), Column("x", T.BooleanType())))
+    reachable = {sum(c) for r in range(7) for c in itertools.combinations([1, 4, 4, 11, 40, 140], r)}
+    if matches not in reachable:
+        with pytest.raises(SpecError, match="no choice of keys"):
+            next_table(base, "i", table, matches)
+        return
+    made = next_table(base, "i", table, matches)
+    assert made.count() == 30 and made.select("k").distinct().count() == 30
+    assert base.join(made, "k").count() == matches
+
+
+# ------------------------------------------------------------ keys of any type
+
+BASES = {
+    "string": ("concat('A', id % 10, '-', CAST(id AS STRING))", Column("k", T.StringType(), pattern="?#-##", letters="AB")),
+    "double": ("id / 4D", Column("k", T.DoubleType(), bounds=(0.0, 10.0))),
+    "list": ("element_at(array('x', 'y', 'z'), CAST(id % 3 + 1 AS INT))", Column("k", T.StringType(), values=("x", "y", "z", "u", "v"))),
+    "flag": ("true", Column("k", T.BooleanType())),
+    "int": ("CAST(id * 3 AS INT)", Column("k", T.IntegerType(), bounds=(0, 400))),
+    "date": ("date_add(DATE'2020-01-01', CAST(id AS INT))", Column("k", T.DateType(), bounds=(dt.date(2019, 11, 1), dt.date(2020, 9, 1)))),
+}
+
+
+@pytest.mark.parametrize("kind", BASES)
+def test_keys_of_any_type(spark, kind):
+    """The join has exactly as many rows as asked for, whatever the key is."""
+    value, column = BASES[kind]
+    base = spark.range(60).selectExpr("id AS n", f"{value} AS k", "id / 2D AS x")
+    one = {"list": 20, "flag": 60}.get(kind, 1)
+    table = Table("t", 100, (column, Column("x", T.DoubleType(), bounds=(0.0, 50.0)), Column("own", T.StringType())))
+    for matches in (one, 3 * one) if kind not in ("list", "flag") else (0, one):
+        spec = Spec((Table("base", 0, ()), table), (Join("k", "k", "full", matches),))
+        made = generate(spark, spec, 3, given={"base": base})
+        new = made.tables["t"]
+        assert new.count() == 100 and base.join(new, "k").count() == matches
+        assert base.join(new, ["k", "x"]).count() == matches // one
+        if not column.repeats:
+            assert new.select("k").distinct().count() == 100
+        assert made.expected.count() == 60 + 100 - matches // one
+
+
+def test_values_run_out(spark):
+    base = spark.range(60).selectExpr("id AS n", "id % 2 = 0 AS k")
+    table = Table("t", 5, (Column("k", T.BooleanType()),))
+    with pytest.raises(SpecError, match="match nothing"):
+        next_table(base, "n", table, 30)
+    assert base.join(next_table(base, "n", Table("t", 2, table.columns), 60), "k").count() == 60
+    few = Table("t", 5, (Column("k", T.StringType(), values=("true", "false", "a"), repeatable=False),))
+    with pytest.raises(SpecError):
+        next_table(base.selectExpr("n", "CAST(k AS STRING) AS k"), "n", few, 30)
+
+
+# --------------------------------------------------------------- given tables
+
+
+@pytest.mark.parametrize("types", [("left", "right"), ("inner", "full"), ("full", "left"), ("right", "inner")])
+@pytest.mark.parametrize("where", [None, "v % 3 <> 1"])
+def test_a_spec_that_starts_from_a_table(spark, types, where):
+    users = spark.range(200).selectExpr("CAST(id AS INT) AS user_id", "CAST(id % 7 AS INT) AS v", "TIMESTAMP_NTZ'2020-01-01 00:00:00' AS at")
+    spec = {
+        "datasets": {
+            "users": {},
+            "buys": {"size": 90, "schema": {"user_id": {"type": "IntegerType", "nullable": False}, "item": {"type": "StringType", "nullable": False}}},
+            "items": {"size": 70, "schema": {"item": {"type": "StringType", "nullable": False}, "v": {"type": "IntegerType", "nullable": False}}},
+        },
+        "restrictions": {"min_int": 0, "max_int": 1000},
+        "join_conditions": {
+            "a": {"condition": ("user_id", "user_id"), "type": types[0], "intersecting_records": 60, "where": where},
+            "b": {"condition": ("item", "item"), "type": types[1], "intersecting_records": 20},
+        },
+    }
+    made = generate(spark, spec, 5, given={"users": users})
+    assert made.tables["users"] is users
+    assert [t.count() for t in made.tables.values()] == [200, 90, 70]
+    first, second = made.steps
+    matched = users.join(made.tables["buys"], "user_id")
+    assert matched.count() == 60
+    both = first.filter("user_id IS NOT NULL AND item IS NOT NULL").join(made.tables["items"], "item")
+    assert both.count() == 20
+    steps = [Step("user_id", types[0], where=where), Step("item", types[1])]
+    assert verify(chain_job(steps), made.tables, made.expected).passed
+    assert equal(join_chain(made.tables, steps), second)
+
+
+def test_two_given_tables(spark):
+    left = spark.range(100).selectExpr("id AS a", "id % 10 AS b")
+    right = spark.range(10).selectExpr("id AS b", "CONCAT('c', id) AS c")
+    third = Table("third", 20, (Column("c", T.StringType(), pattern="?#", letters="cde"), Column("d", T.BooleanType())))
+    spec = Spec((Table("l", 0, ()), Table("r", 0, ()), third), (Join("b", "b", "inner", 0), Join("c", "c", "left", 30)))
+    with pytest.raises(SpecError, match="not the first"):
+        generate(spark, spec, given={"r": right})
+    made = generate(spark, spec, given={"l": left, "r": right})
+    assert made.steps[0].count() == 100 == made.expected.count()
+    assert made.expected.filter("d IS NOT NULL").count() == 30
+
+
+def test_pair_with_a_given_table(spark):
+    base = spark.range(500).selectExpr("id AS n", "CAST(id AS STRING) AS s", "id % 2 = 0 AS f")
+    right = Table("r", 80, (Column("s", T.StringType(), pattern="###", letters="a"), Column("f", T.BooleanType())))
+    left, made = correlated_pair(spark, base, right, 50, "s")
+    assert left is base and made.count() == 80
+    assert base.join(made, "s").count() == 50 == base.join(made, ["s", "f"]).count()
+
+
+def test_the_base_is_read_once(spark):
+    """One job's scan feeds everything: an accumulator counts the rows that are computed."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    base = spark.range(1000).selectExpr("id AS k", "id AS n").mapInArrow(count, "k long, n long")
+    table = Table("t", 2000, (Column("k", T.LongType(), bounds=(0, 10**6)),))
+    made = next_table(base, "n", table, 100)
+    assert made.count() == 2000 and seen.value == 1000
+
+
+# ---------------------------------------------------------------- closed forms
+
+
+@pytest.mark.parametrize("types", list(itertools.product(["inner", "left", "right", "outer"], repeat=3))[::5])
+def test_closed_form_is_what_plain_joins_give(spark, types):
+    spec = joins_of(FOUR, types, (300, 40, 7))
+    for d in spec["datasets"].values():
+        d["size"] = 320
+    made = generate(spark, spec, 2)
+    rows = None
+    hows = {"outer": "full"}
+    for (name, frame), join in zip(made.tables.items(), [None, ("user_id", types[0]), ("date", types[1]), ("item", types[2])]):
+        rows = frame if join is None else rows.join(frame, join[0], hows.get(join[1], join[1]))
+    assert equal(rows, made.expected)
+
+
+@pytest.mark.parametrize("types", [("inner", "left"), ("left", "right"), ("right", "outer"), ("outer", "inner"), ("left", "outer")])
+@pytest.mark.parametrize("spec", [SHOP, CLASH], ids=["shop", "clash"])
+def test_closed_form_after_a_filter(spark, types, spec):
+    where = ("user_id > 30", None) if spec is SHOP else ("has_work", None)
+    made = generate(spark, joins_of(spec, types, (15, 4), where), 6)
+    second = "product_id" if spec is SHOP else "date"
+    steps = [Step("user_id", types[0], where=where[0]), Step(second, types[1])]
+    assert verify(chain_job(steps), made.tables, made.expected).passed
+    assert made.expected.count() > 0
+
+
+@pytest.mark.parametrize("damage", [
+    lambda df: df.limit(3),
+    lambda df: df.union(df),
+    lambda df: df.select(*[F.lit(None).cast(f.dataType).alias(f.name) if n == 1 else F.col(f"`{f.name}`") for n, f in enumerate(df.schema)]),
+])
+def test_a_broken_join_is_found_out(spark, monkeypatch, damage):
+    """The expected result does not come from the join that jobs use."""
+    right = chain.equi_join
+    monkeypatch.setattr(chain, "equi_join", lambda *a, **k: damage(right(*a, **k)))
+    for spec, steps in [
+        (SHOP, [Step("user_id", "left"), Step("product_id", "right")]),
+        (joins_of(SHOP, where=("premium OR user_id > 50", None), matches=(20, 5)), [Step("user_id", "left", where="premium OR user_id > 50"), Step("product_id", "right")]),
+    ]:
+        assert not check_job(spark, chain_job(steps), spec, 3).passed
+    users = spark.range(50).selectExpr("id AS k", "id AS v")
+    spec = Spec((Table("u", 0, ()), Table("t", 60, (Column("k", T.LongType(), bounds=(0, 999)), Column("x", T.BooleanType())))), (Join("k", "k", "left", 20),))
+    made = generate(spark, spec, given={"u": users})
+    assert not verify(chain_job([Step("k", "left")]), made.tables, made.expected).passed
+    monkeypatch.setattr(chain, "equi_join", right)
+    assert verify(chain_job([Step("k", "left")]), made.tables, made.expected).passed
+    assert check_job(spark, chain_job([Step("user_id", "left"), Step("product_id", "right")]), SHOP, 3).passed
+
+
+def test_free_values_are_found_when_most_are_taken(spark):
+    base = spark.range(990).selectExpr("id AS n", "CAST(id AS INT) AS k")
+    spec = Spec((Table("b", 0, ()), Table("t", 15, (Column("k", T.IntegerType(), bounds=(0, 999)),))), (Join("k", "k", "inner", 5),))
+    made = generate(spark, spec, given={"b": base}).tables["t"]
+    assert base.join(made, "k").count() == 5 and made.select("k").distinct().count() == 15
+    with pytest.raises(SpecError, match="match nothing"):
+        generate(spark, Spec((spec.tables[0], Table("t", 16, spec.tables[1].columns)), spec.joins), given={"b": base})
+
+
+def test_strings_with_optional_digits_are_no_keys(spark):
+    base = spark.range(9).selectExpr("id AS n", "CAST(id AS STRING) AS k")
+    with pytest.raises((SpecError, ValueError)):
+        next_table(base, "n", Table("t", 4, (Column("k", T.StringType(), pattern="!#", letters="a"),)), 2)
+

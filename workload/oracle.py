@@ -438,6 +438,21 @@ SQL["g12_next_table"] = """
 SELECT * FROM customer WHERE c_mktsegment IN ('AUTOMOBILE', 'FURNITURE', 'HOUSEHOLD')
 ORDER BY c_custkey LIMIT (SELECT count(*) // 4 FROM customer)
 """
+SQL["g12_string_key"] = """
+WITH n AS (SELECT count(*) // 4 AS matched FROM customer)
+SELECT c_custkey, CAST(row_number() OVER (ORDER BY c_name) <= (SELECT matched FROM n) AS BIGINT) AS times,
+       CAST(row_number() OVER (ORDER BY c_name) <= (SELECT matched FROM n) AS BIGINT) AS names,
+       true AS fits
+FROM customer
+UNION ALL
+SELECT NULL, (SELECT count(*) FROM orders) - matched, (SELECT count(*) FROM orders) - matched, true FROM n
+"""
+SQL["g12_repeated_key"] = """
+SELECT 'join' AS of, count(*) // 3 AS rows FROM lineitem
+UNION ALL SELECT 'table', count(*) FROM orders
+UNION ALL SELECT 'keys', count(*) FROM orders
+"""
+SQL["g13_expected_result"] = "SELECT true AS passed, 0 AS missing, 0 AS unexpected"
 SQL["g13_chain"] = """
 WITH n AS (SELECT count(*) // 8 AS matched FROM customer),
      first AS (SELECT * FROM customer ORDER BY c_custkey LIMIT (SELECT matched FROM n))

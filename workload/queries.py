@@ -789,14 +789,18 @@ KEYS = (0, 1 << 40)
 def _child_of_customers(spark, folder, matches: int, size: int) -> DataFrame:
     """A table that shares key, name, balance and segment with the first customers."""
     customers = table(spark, folder, "customer")
+    return G.next_table(customers, "c_custkey", _like_customers(size), matches, SEED)
+
+
+def _like_customers(size: int) -> Table:
     shared = (
         Column("c_custkey", T.LongType(), bounds=KEYS),
-        Column("c_name", T.StringType(), pattern=CODE, letters=UPPER),
+        # A letter "#", as the symbol is a digit.
+        Column("c_name", T.StringType(), pattern="Customer?#########", letters="#"),
         Column("c_acctbal", T.DoubleType(), bounds=(-1e6, 1e6)),
         Column("n", T.LongType(), bounds=KEYS),
     )
-    named = customers.withColumn("c_name", F.lit("A12-BC3"))
-    return G.next_table(named, "c_custkey", Table("child", size, shared), matches, SEED)
+    return Table("child", size, shared)
 
 
 def g10_filler_rows(spark, folder):
@@ -813,12 +817,13 @@ def g10_filler_rows(spark, folder):
 
 
 def g11_correlated_pair(spark, folder):
-    """A pair of tables: rows of the second that agree with a customer on all both have."""
+    """A pair of tables, one of them given: its rows that the other agrees with on all both have."""
     size, matches = _rows(spark, folder, "orders"), _rows(spark, folder, "customer") // 2
-    made = _child_of_customers(spark, folder, matches, size)
-    return table(spark, folder, "customer").join(
-        made.filter("c_name = 'A12-BC3'").drop("c_name", "n"), ["c_custkey", "c_acctbal"]
+    customers = table(spark, folder, "customer")
+    left, right = G.correlated_pair(
+        spark, customers, _like_customers(size), matches, "c_custkey", SEED
     )
+    return left.join(right.drop("n"), ["c_custkey", "c_name", "c_acctbal"]).select(left.columns)
 
 
 def g12_next_table(spark, folder):
@@ -839,47 +844,86 @@ def g12_next_table(spark, folder):
     return customers.join(made, ["c_custkey", "c_mktsegment"])
 
 
-def _three_tables(spark, folder, where: str | None):
-    """Customers, purchases made to go with them, products made to go with both joined."""
+def g12_string_key(spark, folder):
+    """Customers, and how often a table made to go with them by name has each; the last row
+    is for its other names."""
     customers = table(spark, folder, "customer")
-    buys, products = _rows(spark, folder, "orders"), _rows(spark, folder, "part")
-    bought = G.next_table(
-        customers,
-        "c_custkey",
-        Table(
-            "bought",
-            buys,
-            (
-                Column("c_custkey", T.LongType(), bounds=KEYS),
-                Column("product", T.LongType(), bounds=KEYS),
-            ),
-        ),
-        customers.count() // 2,
-        SEED,
-    )
-    joined = customers.join(bought, "c_custkey")
-    product = Table("products", products, (Column("product", T.LongType(), bounds=KEYS),))
-    known = joined.filter(where) if where else joined
-    made = G.next_table(
-        known.select("c_custkey", "product"), "c_custkey", product, customers.count() // 8, SEED
+    size, matches = _rows(spark, folder, "orders"), _rows(spark, folder, "customer") // 4
+    name = Column("c_name", T.StringType(), pattern="Customer?#########", letters="#")
+    own = Column("own", T.DoubleType(), bounds=(0.0, 1.0))
+    made = G.next_table(customers, "c_name", Table("child", size, (name, own)), matches, SEED)
+    times = made.groupBy("c_name").agg(F.count("*").alias("n"))
+    fits = F.col("c_name").rlike(r"\ACustomer#[0-9]{9}\z")
+    joined = customers.join(times, "c_name", "full")
+    return joined.groupBy("c_custkey").agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("times"),
+        F.count("n").alias("names"),
+        F.bool_and(fits).alias("fits"),
+    )
+
+
+def g12_repeated_key(spark, folder):
+    """A table made to match a third of the line items, whose key repeats: rows of the join,
+    and rows and keys of the table."""
+    items = table(spark, folder, "lineitem")
+    size, matches = _rows(spark, folder, "orders"), _rows(spark, folder, "lineitem") // 3
+    child = Table("child", size, (Column("l_orderkey", T.LongType(), bounds=KEYS),))
+    made = G.next_table(items, "l_orderkey", child, matches, SEED)
+    matched = items.select("l_orderkey").join(made, "l_orderkey")
+    return union(
+        [
+            matched.agg(F.lit("join").alias("of"), F.count("*").alias("rows")),
+            made.agg(F.lit("table").alias("of"), F.count("*").alias("rows")),
+            made.distinct().agg(F.lit("keys").alias("of"), F.count("*").alias("rows")),
+        ]
     )
-    return {"customer": customers, "bought": bought, "products": made}
+
+
+def _purchases(spark, folder, second: dict, where: str | None = None) -> G.Generated:
+    """Customers as they are, purchases made to go with them, products to go with both joined."""
+    customers = table(spark, folder, "customer")
+    n = customers.count()
+    key = {"type": "LongType", "nullable": False, "restriction": KEYS}
+    spec = {
+        "datasets": {
+            "customer": {},
+            "bought": {"size": _rows(spark, folder, "orders"), "schema": {"c_custkey": key, "product": key}},
+            "products": {"size": _rows(spark, folder, "part"), "schema": {"product": key}},
+        },
+        "join_conditions": {
+            "first": {
+                "condition": ("c_custkey", "c_custkey"),
+                "type": "inner" if where else "left",
+                "intersecting_records": n // 2,
+                "where": where,
+            },
+            "second": {"condition": ("product", "product"), "intersecting_records": n // 8, **second},
+        },
+    }
+    return G.generate(spark, spec, SEED, given={"customer": customers})
 
 
 def g13_chain(spark, folder):
     """Customers left join purchases right join products, both generated to match."""
+    made = _purchases(spark, folder, {"type": "right"})
     steps = [Step("c_custkey", "left"), Step("product", "right")]
-    joined = join_chain(_three_tables(spark, folder, None), steps)
-    return joined.filter("c_custkey IS NOT NULL").drop("product").unionByName(
-        joined.filter("c_custkey IS NULL").drop("product")
-    )
+    return join_chain(made.tables, steps).drop("product")
+
+
+def g13_expected_result(spark, folder):
+    """The expected result of the same, and how many rows the joined tables differ from it."""
+    made = _purchases(spark, folder, {"type": "right"})
+    job = chain_job([Step("c_custkey", "left"), Step("product", "right")])
+    outcome = verify(job, made.tables, made.expected)
+    return outcome.summary.drop("job", "reason")
 
 
 def g14_chain_with_filter(spark, folder):
     """The same with a filter after the first join, so the last table depends on it."""
     where = "c_acctbal > 0 AND c_mktsegment <> 'BUILDING'"
+    made = _purchases(spark, folder, {"type": "full"}, where)
     steps = [Step("c_custkey", "inner", where=where), Step("product", "full")]
-    joined = join_chain(_three_tables(spark, folder, where), steps)
+    joined = join_chain(made.tables, steps)
     matched = joined.groupBy(F.col("c_custkey").isNotNull().alias("customer")).agg(
         F.count("*").alias("rows"), F.sum("c_custkey").alias("keys")
     )
