@@ -6,7 +6,7 @@ A log has one row per event: conversation, message, sequence number, kind, role,
 * ``delta`` appends a streamed piece;
 * ``edit`` replaces the code points from ``start`` to ``stop``, or the whole text if null;
 * ``regenerate`` takes the text back, and what is streamed after it is the new one;
-* ``retract`` takes the message back, for good or until it is opened again.
+* ``retract`` takes the message back; until it is opened again, nothing else bears on it.
 
 Events are partitioned by range of conversation, message and sequence number, so the log of
 a conversation or of a message that holds much of all rows is spread over tasks. Every task folds its
@@ -69,37 +69,33 @@ class Folded:
     def add(self, step: Step) -> None:
         if step.kind in ("open", "retract"):
             self.steps, self.parts = [], []
-            self._put(step if step.kind == "open" else step._replace(text="", role=None))
-        elif step.kind == "delta":
-            last = self.steps[-1].kind if self.steps else None
-            if last in ("open", "regenerate", "delta") or last == "edit" and self.steps[-1].start is None:
+            opened = step._replace(start=None, stop=None)
+            self._put(opened if step.kind == "open" else opened._replace(text="", role=None))
+            return
+        last = self.steps[-1] if self.steps else None
+        if last and last.kind == "retract":
+            return
+        known = last is not None and last.kind != "delta" and last.start is None
+        if step.kind == "delta":
+            if known or last and last.kind == "delta":
                 self.parts.append(step.text)
             else:
-                if last == "retract":  # streamed on without an open: a message without a role
-                    self.steps, step = [], step._replace(kind="open", role=None)
                 self._close()
                 self._put(step)
-        elif step.kind == "regenerate" or step.kind == "edit" and step.start is None:
+            return
+        self._close()
+        if step.kind == "regenerate" or step.start is None:
             # A new text of whatever was opened before.
-            self._close()
-            first = self.steps[0] if self.steps else None
-            if first and first.kind == "open":
-                self.steps = []
-                self._put(first._replace(text=step.text))
-            elif not (first and first.kind == "retract"):
-                self.steps = []
-                self._put(step._replace(start=None, stop=None))
-        elif step.kind == "edit":
-            self._close()
-            last = self.steps[-1].kind if self.steps else None
-            known = last in ("open", "regenerate") or last == "edit" and self.steps[-1].start is None
-            if known:
-                text, stop = self.steps[-1].text, step.stop if step.stop is not None else step.start
-                text = text[: step.start] + step.text + text[max(stop, step.start) :]
-                self.steps[-1] = self.steps[-1]._replace(text=text)
-                self.parts = [text]
-            elif last != "retract":
-                self._put(step)
+            opened = self.steps[0] if self.steps and self.steps[0].kind == "open" else step
+            self.steps = []
+            self._put(opened._replace(start=None, stop=None, text=step.text))
+        elif known:
+            text, stop = self.steps[-1].text, step.stop if step.stop is not None else step.start
+            text = text[: step.start] + step.text + text[max(stop, step.start) :]
+            self.steps[-1] = self.steps[-1]._replace(text=text)
+            self.parts = [text]
+        else:
+            self._put(step)
 
     def done(self) -> list[Step]:
         self._close()
@@ -151,7 +147,7 @@ def fold(events: DataFrame) -> DataFrame:
     the first in the order of kind, role, start, stop and text stands. Null conversations,
     messages and numbers count as one value each, before all others. A null text is empty. Events
     of no known kind do nothing; a message without ``open`` has the role null. An edit beyond the
-    text's end appends. A message all of whose events are unknown or that is retracted gives no row.
+    text's end appends, and one that ends before it starts inserts. A message all of whose events are unknown or that is retracted gives no row.
     An empty log gives no messages.
     """
     importable(events.sparkSession)
