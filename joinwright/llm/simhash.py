@@ -209,18 +209,19 @@ def first_of_groups(
 ) -> DataFrame:
     """One row of each near-duplicate group, with the columns of ``docs``.
 
-    It is that of the smallest id, null last; rows that share id and fingerprint are
-    copies, of which any stays.
+    It is that of the smallest id, null last; of rows that share id and fingerprint, which are
+    copies, any stays.  A null text has the fingerprint zero, and so has one without words.  A text
+    of any length is hashed in slices.  Nothing comes of an empty table.
     """
-    name, of = unused(docs, "fp"), unused(docs, "of")
-    rows = staged(fingerprinted(docs, name, size, text_column))
-    ids = rows.select(col(id_column).alias("doc_id"), col(name).alias("fp"))
-    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "fp"))
+    fp, row, kept_row = unused(docs, "fp"), unused(docs, "row"), unused(docs, "kept_row")
+    rows = fingerprinted(docs, fp, size, text_column)
+    rows = staged(rows.withColumn(row, F.monotonically_increasing_id()))
+    ids = rows.select(col(id_column).alias("doc_id"), col(fp).alias("fp"), col(row).alias("row"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
     per_fp = ids.groupBy("fp").agg(first.alias("first")).join(fingerprint_groups(ids), "fp")
     kept = per_fp.groupBy("group").agg(F.min("first").alias("first"))
-    kept = kept.select(F.col("first.doc_id").alias(of), F.col("first.fp").alias(of + "_fp"))
-    same = col(id_column).eqNullSafe(F.col(of)) & (col(name) == F.col(of + "_fp"))
-    return rows.join(kept, same, "left_semi").dropDuplicates([id_column, name]).drop(name)
+    kept = kept.select(F.col("first.row").alias(kept_row))
+    return rows.join(kept, col(row) == col(kept_row), "left_semi").drop(fp, row)
 
 
 def hex_fingerprints(found: DataFrame) -> DataFrame:
