@@ -10,10 +10,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from joinwright.llm import language, mixing, packing, resemblance, toxicity
+from joinwright.llm import language, mixing, packing, simhash, toxicity
 from joinwright.llm.common import staged
 
-#: No SQL: Viterbi, regression, shingles and the genetic algorithm are not expressible.
+#: No SQL: Viterbi, regression, fingerprints and the genetic algorithm are not expressible.
 ORACLE_SQL = None
 
 #: Tokens that mixing is to draw, as a share of those that come in.
@@ -32,9 +32,9 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document of the smallest id of each group of near copies: texts that share
-    four fifths of their five-word shingles."""
-    return resemblance.first_of_groups(docs)
+    """Keep the document of the smallest id of each group of near copies: texts whose
+    fingerprints of three-word shingles differ in three bits at most."""
+    return simhash.first_of_groups(docs, size=3)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
