@@ -11,6 +11,8 @@ shuffle, so a value with a large share of the rows weighs no more than another.
 
 from __future__ import annotations
 
+import datetime as dt
+import math
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from decimal import Decimal
@@ -205,31 +207,51 @@ def _one_row(df: DataFrame, expected, actual, violations) -> DataFrame:
 def typed(values: Iterable[Any], dtype: T.DataType) -> list[Any]:
     """Different values of a list as Python values of a column's type.
 
-    Null is left out, and so is what no value of the column can equal.
+    Days and times may be given as ISO text.  Null is left out, and so is what no value of the
+    column can equal: another type, a number out of range or with more digits, a text that is no day.
     """
-    kinds = (
-        (T.BooleanType, bool, (bool,)),
-        ((T.FloatType, T.DoubleType), float, (int, float, Decimal)),
-        (T.DecimalType, Decimal, (int, Decimal, str)),
-        (T.IntegralType, int, (int, float, Decimal)),
-        (T.StringType, str, (str,)),
-    )
-    out: dict[Any, None] = {}
-    for value in values:
-        if value is None:
-            continue
-        for kind, convert, accepted in kinds:
-            if isinstance(dtype, kind):
-                if not isinstance(value, accepted):
-                    break
-                made = convert(value)
-                if convert is int and made != value:
-                    break
-                out[made] = None
-                break
-        else:
-            out[value] = None
-    return list(out)
+    made = (_as_type(v, dtype) for v in values)
+    return list(dict.fromkeys(v for v in made if v is not None))
+
+
+def _as_type(value: Any, dtype: T.DataType) -> Any:
+    if isinstance(dtype, T.BooleanType):
+        return value if isinstance(value, bool) else None
+    if isinstance(dtype, T.StringType):
+        return value if isinstance(value, str) else None
+    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return _as_time(value, dt.date if isinstance(dtype, T.DateType) else dt.datetime)
+    if not isinstance(dtype, T.NumericType):
+        return value
+    if not isinstance(value, (int, float, Decimal)):
+        return None
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return float(value)
+    exact = Decimal(value) if not isinstance(value, float) or math.isfinite(value) else None
+    if exact is None or not exact.is_finite():
+        return None
+    if isinstance(dtype, T.DecimalType):
+        whole = exact.scaleb(dtype.scale)
+        fits = whole == whole.to_integral_value() and abs(whole) < 10**dtype.precision
+        return exact if fits else None
+    whole = int(exact)
+    return whole if whole == exact and -WIDEST[type(dtype)] <= whole < WIDEST[type(dtype)] else None
+
+
+#: What a whole number of a type is below.
+WIDEST = {T.ByteType: 1 << 7, T.ShortType: 1 << 15, T.IntegerType: 1 << 31, T.LongType: 1 << 63}
+
+
+def _as_time(value: Any, kind: type) -> Any:
+    try:
+        found = dt.datetime.fromisoformat(value) if isinstance(value, str) else value
+    except ValueError:
+        return None
+    if kind is dt.date and isinstance(found, dt.datetime):
+        return found.date() if found.time() == dt.time() else None
+    if kind is dt.datetime and type(found) is dt.date:
+        return dt.datetime(found.year, found.month, found.day)
+    return found if isinstance(found, kind) else None
 
 
 def in_domain(table: str, column: str, values: Sequence[Any] | DataFrame) -> Check:
@@ -243,7 +265,9 @@ def in_domain(table: str, column: str, values: Sequence[Any] | DataFrame) -> Che
         def in_list(df: DataFrame):
             listed = typed(values, df.schema[column].dataType)
             found = col(column)
-            bad = F.count_if(found.isNotNull() & ~found.isin(listed) if listed else found.isNotNull())
+            dtype = df.schema[column].dataType
+            values_ = [F.lit(v).cast(dtype) for v in listed]
+            bad = F.count_if(found.isNotNull() & ~found.isin(values_) if listed else found.isNotNull())
             return F.count("*"), F.count("*") - bad, bad
 
         return RowCheck("domain", table, column, in_list)

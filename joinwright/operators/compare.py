@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import col, fresh
+from ..sources.scratch import cut
+from .rows import number_rows
 
 LEFT, RIGHT = "left", "right"
 FRACTIONS = (T.FloatType, T.DoubleType, T.DecimalType)
@@ -105,7 +109,11 @@ def assert_equal(
 
 
 def cell_difference(
-    left: DataFrame, right: DataFrame, key: str | Sequence[str], digits: int | None = None
+    left: DataFrame,
+    right: DataFrame,
+    key: str | Sequence[str],
+    digits: int | None = None,
+    repeated: str = "count",
 ) -> DataFrame:
     """Cells that differ between the rows of the same key.
 
@@ -114,6 +122,10 @@ def cell_difference(
     value.  A key that repeats among the rows that differ names no one row; it
     gives the number of these rows on either side under the column ``*``.
 
+    With ``repeated="pair"`` the rows of such a key are paired: first those that differ in one
+    cell only, whichever it is, then the others in the order of their cells.  Each row is in
+    one pair at most, and a row without a partner counts as one that only its table has.
+
     Equal rows cancel out first, so only rows that differ are paired.  A key column
     of a name used here keeps it; underscores are added to the other.
     """
@@ -123,7 +135,13 @@ def cell_difference(
     side, copies = difference.columns[-2:]
     number = {s: fresh(s, *keys) for s in (LEFT, RIGHT)}
     row = {s: fresh(f"{s}_row", *keys) for s in (LEFT, RIGHT)}
-    sides = difference.groupBy(*[col(k) for k in keys]).agg(
+    of = []
+    if repeated == "pair":
+        of = [fresh("pair", *left.columns, side, copies)]
+        difference = _paired(difference, keys, cells, side, copies, of[0])
+    elif repeated != "count":
+        raise ValueError(f"repeated keys are counted or paired, not {repeated!r}")
+    sides = difference.groupBy(*[col(k) for k in [*keys, *of]]).agg(
         *[
             F.coalesce(F.sum(F.when(col(side) == s, col(copies))), F.lit(0)).alias(number[s])
             for s in (LEFT, RIGHT)
@@ -136,29 +154,123 @@ def cell_difference(
     )
     one = col(number[LEFT]) + col(number[RIGHT]) == 1
     pair = (col(number[LEFT]) == 1) & (col(number[RIGHT]) == 1)
+    there = [F.when(col(number[s]) > 0, "present") for s in (LEFT, RIGHT)]
+    counts = [col(number[s]).cast("string") for s in (LEFT, RIGHT)]
+    cell, changed = _cells(keys, cells, col(row[LEFT]), col(row[RIGHT]))
+    found = (
+        F.when(pair, changed)
+        .when(one, F.array(cell(F.lit(None).cast("string"), *there)))
+        .otherwise(F.array(cell(F.lit("*"), *counts)))
+    )
+    return sides.select(*[col(k) for k in keys], F.inline(found))
+
+
+def _cells(keys: Sequence[str], cells: Sequence[str], left: Column, right: Column):
+    """What makes a cell of the output, and the cells that differ between two rows."""
     out = [fresh(n, *keys) for n in ("column", "left_value", "right_value")]
 
     def cell(*values: Column) -> Column:
         return F.struct(*[v.alias(n) for v, n in zip(values, out)])
 
-    def side_of(s: str, c: str) -> Column:
-        return col(row[s]).getField(c)
-
     changed = [
         F.when(
-            ~side_of(LEFT, c).eqNullSafe(side_of(RIGHT, c)),
-            cell(F.lit(c), side_of(LEFT, c).cast("string"), side_of(RIGHT, c).cast("string")),
+            ~left.getField(c).eqNullSafe(right.getField(c)),
+            cell(F.lit(c), left.getField(c).cast("string"), right.getField(c).cast("string")),
         )
         for c in cells
     ]
-    there = [F.when(col(number[s]) > 0, "present") for s in (LEFT, RIGHT)]
-    counts = [col(number[s]).cast("string") for s in (LEFT, RIGHT)]
-    found = (
-        F.when(pair, F.array_compact(F.array(*changed)))
-        .when(one, F.array(cell(F.lit(None).cast("string"), *there)))
-        .otherwise(F.array(cell(F.lit("*"), *counts)))
+    return cell, F.array_compact(F.array(*changed))
+
+
+def _paired(
+    difference: DataFrame, keys: Sequence[str], cells: Sequence[str], side: str, copies: str, of: str
+) -> DataFrame:
+    """The rows one by one, with the number of their pair among those of their key.
+
+    Rows that differ in one cell are alike without it, so they meet in a group of the cells
+    that are left; nothing is compared with all rows of its key.
+    """
+    by = [col(k).alias(f"key {i}") for i, k in enumerate(keys)]
+    names = [f"key {i}" for i in range(len(keys))]
+    row = F.struct(*[col(c).alias(f"cell {i}") for i, c in enumerate(cells)])
+    single = difference.select(
+        *by, col(side).alias("side"), row.alias("row"),
+        F.explode(F.sequence(F.lit(1).cast("bigint"), col(copies))).alias("copy"),
+    )
+    place = Window.partitionBy(*[col(n) for n in names], "side").orderBy("row", "copy")
+    single = cut(single.withColumn("n", F.row_number().over(place)).drop("copy"))
+    # The rows without one cell each, numbered among those that are alike then.
+    without = [
+        F.struct(F.lit(i).alias("cell"), F.struct(*[F.col(f"row.cell {j}") for j in range(len(cells)) if j != i]).alias("rest"))
+        if len(cells) > 1
+        else F.struct(F.lit(i).alias("cell"), F.struct(F.lit(0)).alias("rest"))
+        for i in range(len(cells))
+    ]
+    reduced = [
+        single.select(*[col(n) for n in names], "side", "n", w.getField("cell").alias("cell"), F.to_json(w.getField("rest"), {"ignoreNullFields": "false"}).alias("rest"))
+        for w in without
+    ]
+    reduced = reduce(DataFrame.union, reduced)
+    alike = Window.partitionBy(*[col(n) for n in names], "cell", "rest", "side").orderBy("n")
+    reduced = reduced.withColumn("m", F.row_number().over(alike))
+    sides = {
+        s: reduced.filter(F.col("side") == s).withColumnRenamed("n", f"{s} n").drop("side")
+        for s in (LEFT, RIGHT)
+    }
+    # A row that could go with several takes the first cell's, if that one takes it as well.
+    met = _null_safe_join(sides[LEFT], sides[RIGHT], [*names, "cell", "rest", "m"], "inner")
+    for s in (LEFT, RIGHT):
+        other = RIGHT if s == LEFT else LEFT
+        first = Window.partitionBy(*[col(n) for n in names], f"{s} n").orderBy("cell", f"{other} n")
+        met = met.withColumn(f"{s} first", F.row_number().over(first) == 1)
+    pairs = cut(met.filter(f"`{LEFT} first` AND `{RIGHT} first`").select(*[col(n) for n in names], f"{LEFT} n", f"{RIGHT} n"))
+    out = []
+    for s in (LEFT, RIGHT):
+        # A pair is called by its left row.
+        own = pairs.select(*[col(n) for n in names], F.col(f"{s} n").alias("n"), F.col(f"{LEFT} n").alias("pair"))
+        rows = _null_safe_join(single.filter(F.col("side") == s), own, [*names, "n"], "left")
+        rest = Window.partitionBy(*[col(n) for n in names], F.col("pair").isNull()).orderBy("n")
+        number = F.when(F.col("pair").isNull(), -F.row_number().over(rest)).otherwise(F.col("pair"))
+        out.append(rows.withColumn("pair", number))
+    rows = out[0].unionByName(out[1])
+    return rows.select(
+        *[col(n).alias(k) for n, k in zip(names, keys)],
+        *[F.col(f"row.cell {i}").alias(c) for i, c in enumerate(cells)],
+        F.col("side").alias(side),
+        F.lit(1).cast("bigint").alias(copies),
+        F.col("pair").alias(of),
     )
-    return sides.select(*[col(k) for k in keys], F.inline(found))
+
+
+def _null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+    other = right.withColumnsRenamed({c: f"other {c}" for c in on})
+    same = reduce(and_, [col(c).eqNullSafe(col(f"other {c}")) for c in on])
+    return left.join(other, same, how).drop(*[f"other {c}" for c in on])
+
+
+def cells_by_place(
+    left: DataFrame, right: DataFrame, order: str | Sequence[str], place: str = "place"
+) -> DataFrame:
+    """Cells that differ between rows of the same place, counted from 0 in an order.
+
+    Rows are placed by the order columns and then by all others, so equal tables have equal
+    places.  The output is as that of :func:`cell_difference`, with the place for a key; where one
+    table has more rows, its last ones give a row each with ``column`` null.
+    """
+    if sorted(left.columns) != sorted(right.columns):
+        raise SchemaMismatch(f"columns differ: {left.columns} and {right.columns}")
+    first = [order] if isinstance(order, str) else list(order)
+    by = [*first, *[c for c in left.columns if c not in first]]
+    sides = []
+    for s, df in ((LEFT, left), (RIGHT, right)):
+        row = F.struct(*[col(c) for c in left.columns]).alias(s)
+        sides.append(number_rows(df.select(left.columns), by, "_place").select("_place", row))
+    both = sides[0].join(sides[1], "_place", "full")
+    cell, changed = _cells([place], left.columns, F.col(LEFT), F.col(RIGHT))
+    alone = F.col(LEFT).isNull() | F.col(RIGHT).isNull()
+    there = [F.when(F.col(s).isNotNull(), "present") for s in (LEFT, RIGHT)]
+    found = F.when(alone, F.array(cell(F.lit(None).cast("string"), *there))).otherwise(changed)
+    return both.select(F.col("_place").alias(place), F.inline(found))
 
 
 def same_cells(left: DataFrame, right: DataFrame, key: str | Sequence[str]) -> bool:

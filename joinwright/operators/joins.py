@@ -11,21 +11,36 @@ split::
     full  = inner  +  left anti  +  right anti
 
 The anti joins look at the distinct keys of the other side, which are
-pre-aggregated before they are shuffled.  Any other join is the plain one, which
+pre-aggregated before they are shuffled.  If the hot keys themselves are known, only their rows
+are joined so, and all others in the plain way.  Any other join is the plain one, which
 reads either side once.
+
+Hot keys are found by a summary of bounded size that every task makes of its rows, so
+nothing but summaries is shuffled to find them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import datetime as dt
+import math
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from copy import copy
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import col
+from ..sources.scratch import cut
 from ..spec import join_type_of
 from .project import shared_columns
 
+# Sides with hot keys, or the hot keys of a side.
+Hot = Iterable[str] | Mapping[str, Sequence[Any]]
+# Counters of a task's summary of keys.
+TRACKED = 10_000
+
 # Rows with a null key match nothing, so they may go to any of so many places.
 NULL_SPREAD = 4096
 
@@ -36,7 +51,7 @@ def equi_join(
     on: str | tuple[str, str],
     how: str = "inner",
     null_safe: bool = False,
-    hot: Iterable[str] = (),
+    hot: Hot = (),
 ) -> DataFrame:
     """Join on one key.
 
@@ -44,8 +59,8 @@ def equi_join(
     side, or a pair ``(left name, right name)``, keeping both.  All other names
     must differ.  ``how`` is inner, left, right or full (also called outer).
     ``null_safe`` lets a null key match a null key.  ``hot`` names the sides
-    ("left", "right") on which a key has a large share of the rows: it changes
-    the plan only, the result is the same without it.
+    ("left", "right") on which a key has a large share of the rows, or gives the keys that have
+    for each such side: it changes the plan only, the result is the same without it.
     """
     how = join_type_of(how)
     left_key, right_key = (on, on) if isinstance(on, str) else on
@@ -53,13 +68,17 @@ def equi_join(
     clashes = shared_columns(left.columns, right.columns)
     if clashes != ([left_key] if using else []):
         raise ValueError(f"both sides have the columns {clashes}; rename them first")
-    return _EquiJoin(left, right, left_key, right_key, null_safe).run(how, splits(how, hot))
+    return _EquiJoin(left, right, left_key, right_key, null_safe).run(how, hot)
+
 
+# Sides of an outer join on which adaptive execution cannot split a hot key.
+UNSPLIT = {"left": ("right",), "right": ("left",), "full": ("left", "right")}
 
-def splits(how: str, hot: Iterable[str]) -> bool:
+
+def splits(how: str, hot: Hot) -> bool:
     """Whether a join is to be put together from others for these hot sides."""
-    unsplit = {"left": {"right"}, "right": {"left"}, "full": {"left", "right"}}
-    return bool(unsplit.get(join_type_of(how), set()) & set(hot))
+    sides = {s for s in hot if hot[s]} if isinstance(hot, Mapping) else set(hot)
+    return bool(set(UNSPLIT.get(join_type_of(how), ())) & sides)
 
 
 def hot_sides(
@@ -79,9 +98,37 @@ def hot_sides(
 
 
 def has_hot_key(df: DataFrame, key: str, share: float) -> bool:
-    counted = df.filter(col(key).isNotNull()).groupBy(col(key).alias("k")).agg(F.count("*").alias("n"))
-    most, rows = counted.agg(F.max("n"), F.sum("n")).first()
-    return bool(rows) and most > max(1, share * rows)
+    return bool(heavy_keys(df, key, share))
+
+
+def heavy_keys(
+    df: DataFrame, key: str, share: float = 0.05, weight: str | None = None
+) -> list[Any]:
+    """Keys, null aside, that have more than this share of the rows, and more than one.
+
+    Every task summarises its rows in TRACKED counters and the summaries are merged; no key
+    is shuffled.  With more different keys than counters the numbers may be a little too high,
+    so a key somewhat below the share may be among them, but none above it is missing.
+    With ``weight``, a row counts as often as the column says; these rows are summed by key.
+    """
+    found = df.filter(col(key).isNotNull())
+    if weight is not None:
+        sums = found.groupBy(col(key).alias("item")).agg(F.sum(col(weight)).alias("count"))
+        sums = cut(sums)
+        rows = sums.agg(F.sum("count")).first()[0] or 0
+        return [r["item"] for r in sums.filter(F.col("count") > max(1, share * rows)).collect()]
+    most = min(TRACKED, math.ceil(1 / share) + 1)
+    value = col(key)
+    if isinstance(df.schema[key].dataType, T.TimestampNTZType):
+        value = value.cast("string")  # a type that has no summary
+    summary = found.select(value.alias("item")).agg(
+        F.expr(f"approx_top_k(item, {most}, {TRACKED})").alias("top"), F.count("*").alias("rows")
+    )
+    row = summary.first()
+    heavy = [t["item"] for t in row["top"] or [] if t["count"] > max(1, share * row["rows"])]
+    if isinstance(df.schema[key].dataType, T.TimestampNTZType):
+        heavy = [dt.datetime.fromisoformat(h) for h in heavy]
+    return heavy
 
 
 class _EquiJoin:
@@ -96,10 +143,21 @@ class _EquiJoin:
         self.right = right.withColumnRenamed(right_key, self.right_key)
         self.null_safe = null_safe
 
-    def run(self, how: str, split: bool) -> DataFrame:
-        if split:
+    def run(self, how: str, hot: Hot) -> DataFrame:
+        if not splits(how, hot):
+            return self._plain_full() if how == "full" else self._plain(how)
+        if not isinstance(hot, Mapping):
             return self._split(how)
-        return self._plain_full() if how == "full" else self._plain(how)
+        keys = list(dict.fromkeys(k for side in UNSPLIT[how] for k in hot.get(side, ())))
+        light = self._where(lambda key: ~_among(key, keys)).run(how, ())
+        return light.unionByName(self._where(lambda key: _among(key, keys))._split(how, few=True))
+
+    def _where(self, condition: Callable[[Column], Column]) -> _EquiJoin:
+        """The join of those rows of either side whose keys fulfil a condition."""
+        part = copy(self)
+        part.left = self.left.filter(condition(col(self.left_key)))
+        part.right = self.right.filter(condition(col(self.right_key)))
+        return part
 
     def _same(self, left_key: Column, right_key: Column) -> Column:
         return left_key.eqNullSafe(right_key) if self.null_safe else left_key == right_key
@@ -140,22 +198,24 @@ class _EquiJoin:
         return self._plain("inner", self._keyed(self.left, self.left_key),
                            self._keyed(self.right, self.right_key))
 
-    def _split(self, how: str) -> DataFrame:
+    def _split(self, how: str, few: bool = False) -> DataFrame:
+        """``few``: there are no more different keys than hot ones, so they may be broadcast."""
         result = self._matched()
         if how in ("left", "full"):
-            rows = self._unmatched(self.left, self.left_key, self.right, self.right_key)
+            rows = self._unmatched(self.left, self.left_key, self.right, self.right_key, few)
             result = result.unionByName(self._padded(rows, self.right, self.left_key))
         if how in ("right", "full"):
-            rows = self._unmatched(self.right, self.right_key, self.left, self.left_key)
+            rows = self._unmatched(self.right, self.right_key, self.left, self.left_key, few)
             result = result.unionByName(self._padded(rows, self.left, self.right_key))
         return result
 
     def _keyed(self, df: DataFrame, key: str) -> DataFrame:
         return df if self.null_safe else df.filter(col(key).isNotNull())
 
-    def _unmatched(self, kept, kept_key, other, other_key) -> DataFrame:
+    def _unmatched(self, kept, kept_key, other, other_key, few: bool) -> DataFrame:
         """Rows without a partner; a row with a null key stays, as it finds none."""
         keys = self._keyed(other, other_key).select(col(other_key)).distinct()
+        keys = F.broadcast(keys) if few else keys
         return kept.join(keys, self._same(col(kept_key), col(other_key)), "left_anti")
 
     def _padded(self, rows: DataFrame, missing: DataFrame, key: str) -> DataFrame:
@@ -163,6 +223,11 @@ class _EquiJoin:
         return self._output(rows.select("*", *nulls), col(key))
 
 
+def _among(key: Column, keys: Sequence[Any]) -> Column:
+    """Whether a key is one of these; false for null."""
+    return F.coalesce(key.isin(list(keys)), F.lit(False))
+
+
 def _null_salt(df: DataFrame, key: str) -> Column:
     """0 for a row with a key; for one without, a number that depends on its values."""
     spread = F.pmod(F.xxhash64(*[col(c) for c in df.columns]), F.lit(NULL_SPREAD))

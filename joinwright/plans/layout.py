@@ -13,7 +13,7 @@ from ..functions.columns import col
 from ..functions.draws import array_of, hash32, hash63, literal, stream
 from ..functions.patterns import Spelling, drawn_string
 from ..spec import Column, Join, SpecError, Table
-from .pools import Member, Pool, by_row
+from .pools import INLINE, Expression, Listed, Member, Pool, by_row
 
 ROW = "_rid"
 # Rows one task makes, where the number of partitions is not given.
@@ -23,11 +23,18 @@ ROWS_PER_TASK = 4_000_000
 # ---------------------------------------------------------------- columns
 
 
-def drawn_column(column: Column, index: str, stream_no: int) -> str | Spelling:
-    """Values that may repeat: drawn for each index from bounds, a pattern or a list."""
+def drawn_column(
+    column: Column, index: str, stream_no: int, inline: bool = False
+) -> Expression:
+    """Values that may repeat: drawn for each index from bounds, a pattern or a list.
+
+    With ``inline`` a list of any length is written out.
+    """
     dtype = column.dtype
     draw = hash32(index, stream_no)
     if column.values is not None:
+        if len(column.values) > INLINE and not inline:
+            return Listed(f"{draw} % {len(column.values)}", column.values, dtype)
         place = f"CAST({draw} % {len(column.values)} + 1 AS INT)"
         return f"CAST(element_at({array_of(column.values)}, {place}) AS {dtype.simpleString()})"
     if isinstance(dtype, T.BooleanType):
@@ -46,12 +53,21 @@ def drawn_column(column: Column, index: str, stream_no: int) -> str | Spelling:
     return f"CAST({draw} % {room} + {literal(lo)} AS {dtype.simpleString()})"
 
 
-def select_columns(rows: DataFrame, columns: Mapping[str, str | Spelling]) -> DataFrame:
-    """Two projections: the numbers strings are spelled from, then the columns."""
+def select_columns(rows: DataFrame, columns: Mapping[str, Expression]) -> DataFrame:
+    """Two projections: the numbers strings are spelled from, then the columns.
+
+    Values of long lists are joined as a table, on their places.
+    """
     numbers: dict[str, str] = {}
     values = []
-    for name, column in columns.items():
-        if isinstance(column, Spelling):
+    for n, (name, column) in enumerate(columns.items()):
+        if isinstance(column, Listed):
+            at, place, value = f"__at_{n}", f"__place_{n}", f"__value_{n}"
+            listed = column.table(rows.sparkSession).toDF(place, value)
+            rows = rows.withColumn(at, F.expr(column.place))
+            rows = rows.join(listed, F.col(at) == F.col(place))
+            column = f"`{value}`"
+        elif isinstance(column, Spelling):
             numbers.update(column.numbers)
             # Never null, and said so: else a join on it would spell it once more to filter.
             column = f"coalesce({column.text}, '')"
@@ -129,10 +145,10 @@ class Layout:
                 elif c not in live:
                     live[c] = (t, c)
 
-    def columns(self, t: int, index: str) -> dict[str, str | Spelling]:
+    def columns(self, t: int, index: str) -> dict[str, Expression]:
         return {c.name: self._column(t, c, index) for c in self.tables[t].columns}
 
-    def _column(self, t: int, column: Column, index: str) -> str | Spelling:
+    def _column(self, t: int, column: Column, index: str) -> Expression:
         pool, place = self.places[t, column.name]
         if pool in self.allotted:
             return self.allotted[pool].column(place, index)
@@ -148,9 +164,9 @@ class Layout:
         stops, values = [], []
         for last in range(len(members) - 1, max(place, 1) - 1, -1):
             common = _common([m.column for m in members[: last + 1]])
-            values.append(drawn_column(common, index, first))
+            values.append(drawn_column(common, index, first, inline=True))
             stops.append(members[last].copied)
-        values.append(drawn_column(members[place].column, index, own))
+        values.append(drawn_column(members[place].column, index, own, inline=True))
         return by_row(index, stops, values)
 
     def allowed(self, t: int) -> dict:

@@ -15,10 +15,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from ..functions.draws import array_of, literal, permuted
 from ..functions.patterns import Spelling, unique_room, unique_string
+from ..sources.scratch import cut
 from ..spec import Column, SpecError
 
 # Points a range of doubles is divided into at most.
@@ -26,6 +28,31 @@ GRID = 1 << 31
 EPOCH = dt.date(1970, 1, 1)
 
 
+# Longer value lists are joined as a table of (place, value), not written into the plan; a row
+# gets the same value either way.
+INLINE = 1000
+
+
+@dataclass(frozen=True)
+class Listed:
+    """A value of a long list by its place, which is SQL over the row number."""
+
+    place: str
+    values: tuple[Any, ...]
+    dtype: T.DataType
+
+    def table(self, spark) -> DataFrame:
+        """``place, value`` of the list, written once."""
+        schema = T.StructType(
+            [T.StructField("place", T.LongType()), T.StructField("value", self.dtype)]
+        )
+        return cut(spark.createDataFrame(list(enumerate(self.values)), schema))
+
+
+# What gives a column over the row number: SQL, or more than that.
+Expression = str | Spelling | Listed
+
+
 @dataclass(frozen=True)
 class Member:
     """A table in a pool: its column, its size, and its rows that copy the table before.
@@ -135,10 +162,14 @@ class Pool:
                 out.append((first, member.size, [m]))
         return out
 
-    def column(self, member: int, index: str) -> str | Spelling:
+    def column(self, member: int, index: str) -> Expression:
         """The column of one table as SQL over its row index."""
         column = self.members[member].column
         pieces = self.pieces[member]
+        if len(pieces) == 1 and len(pieces[0].cell.values or ()) > INLINE:
+            piece, cell = pieces[0], pieces[0].cell
+            slot = f"{index} + {literal(piece.slot - piece.start)}"
+            return Listed(permuted(slot, cell.room, self.stream_no), cell.values, column.dtype)
         if not pieces:
             return f"CAST(NULL AS {column.dtype.simpleString()})"
         slots = [f"{index} + {literal(p.slot - p.start)}" for p in pieces]

@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import col
+from ..functions.draws import hash32, hash63, permuted, stream
 from ..functions.patterns import Spelling
-from ..operators.rows import first_rows, number_rows
+from ..operators.rows import counted_rows, first_rows, number_rows
 from ..sources.files import save_tables
 from ..sources.scratch import cut
 from ..spec import INTEGRAL, Column, Join, Spec, SpecError, Table, given_table
@@ -268,22 +269,46 @@ def correlated_pair(
 
 
 def add_columns(
-    df: DataFrame, order: str | Sequence[str], columns: Sequence[Column], seed: int = 0
+    df: DataFrame,
+    order: str | Sequence[str],
+    columns: Sequence[Column],
+    seed: int = 0,
+    lists: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """The rows of a table with drawn columns added.
 
     The rows are numbered in the order of some of their columns, and a row's values
     depend on its number, the column and the seed.  Columns that may not repeat
     differ on all rows.
+
+    ``lists`` gives the value list of a column as a frame of one column, of any length: its
+    different values but null are numbered in their order, and joined on the drawn place.  Too few
+    values for a column that may not repeat raise :class:`SpecError`, and so does an empty list.
     """
-    numbered = number_rows(df, order, ROW)
-    table = Table("made", numbered.count(), tuple(columns))
-    clash = set(table.names) & set(df.columns)
+    lists = lists or {}
+    numbered, rows = counted_rows(df, order, ROW)
+    clash = {c.name for c in columns} & set(df.columns)
     if clash:
         raise SpecError(f"the table has the columns {sorted(clash)} already")
-    table = Spec((table,)).checked().tables[0]
-    own = {c: f"`{c}`" for c in df.columns}
-    return select_columns(numbered, {**own, **Layout([table], [], seed).columns(0, ROW)}).drop(ROW)
+    inline = tuple(c for c in columns if c.name not in lists)
+    table = Spec((Table("made", rows, inline),)).checked().tables[0]
+    made = {c: f"`{c}`" for c in df.columns}
+    for n, c in enumerate(c for c in columns if c.name in lists):
+        values = lists[c.name].toDF("value").filter("value IS NOT NULL").distinct()
+        listed, found = counted_rows(values, "value", "place")
+        if not found or not c.repeatable and found < rows:
+            raise SpecError(f"made.{c.name}: {rows} rows need more than the {found} listed values")
+        number = stream(seed, f"made.{c.name}")
+        draw = hash32(ROW, number) if found <= 1 << 20 else hash63(ROW, number)
+        place = f"{draw} % {found}" if c.repeatable else permuted(ROW, found, number)
+        listed = listed.toDF(f"__value_of_{n}", f"__place_of_{n}")
+        numbered = numbered.withColumn(f"__at_of_{n}", F.expr(place)).join(
+            listed, F.col(f"__at_of_{n}") == F.col(f"__place_of_{n}")
+        )
+        made[c.name] = f"CAST(`__value_of_{n}` AS {c.dtype.simpleString()})"
+    made |= Layout([table], [], seed).columns(0, ROW)
+    order_of = [*df.columns, *[c.name for c in columns]]
+    return select_columns(numbered, {c: made[c] for c in order_of}).drop(ROW)
 
 
 def next_table(

@@ -1,6 +1,7 @@
 """Each check passes on clean data and finds a planted fault."""
 
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import types as T
@@ -192,3 +193,20 @@ def test_columns_called_as_the_checks_own(spark):
     for name, n in (("rows", 1), ("side", 3), ("value", 2)):
         assert one(tables, C.key_overlap("t", "u", name, n))[1:] == (n, 0)
     assert C.repeated_keys(df, ["rows"]).columns == ["rows", "rows_"]
+
+
+@pytest.mark.parametrize("n", [3, 200, 201, 400])
+def test_lists_of_any_length_mean_the_same(spark, n):
+    """Days as text, numbers out of range and values of other types, in short and long lists."""
+    df = spark.sql(
+        "SELECT CAST(id AS TINYINT) AS t, CAST(id AS INT) AS i, date_add(DATE'2020-01-01', id) AS d,"
+        " CAST(id AS DECIMAL(5, 2)) AS m, timestampadd(DAY, id, TIMESTAMP_NTZ'2020-01-01 00:00:00') AS z FROM VALUES (1), (2), (NULL) AS v(id)"
+    )
+    more = [1000 + i for i in range(n)]
+    for column, listed in [
+        ("t", [1, 300, "2", -129, 1.5]), ("i", [1, 1 << 40, "2", 2.5]), ("d", ["2020-01-02", "no day", 7]),
+        ("d", [dt.date(2020, 1, 2), dt.datetime(2020, 1, 3, 5)]), ("m", [Decimal("1.00"), Decimal("2.001"), 10**9]),
+        ("z", ["2020-01-02", "2020-01-03 01:00:00"]),
+    ]:
+        row = C.report({"t": df}, [C.in_domain("t", column, [*listed, *more])]).first()
+        assert (row.expected, row.actual, row.violations) == (3, 2, 1), (column, n)

@@ -8,6 +8,7 @@ from joinwright.operators.compare import (
     SchemaMismatch,
     assert_equal,
     cell_difference,
+    cells_by_place,
     check_schemas,
     difference_counts,
     equal,
@@ -138,3 +139,47 @@ def test_columns_called_as_the_results_own(spark):
         cells = cell_difference(a_, b_, key)
         assert cells.columns[0] == key and len(set(cells.columns)) == 4
         cells.collect()
+
+
+# -------------------------------------------------- repeated keys, and by place
+
+
+def repeated_rows(spark):
+    left = [(1, "a", 1, 1.0), (1, "a", 2, 1.0), (1, "b", 3, None), (1, "b", 3, None), (2, "x", 1, 0.5), (3, "y", 1, 1.5), (None, "n", 1, 1.0), (None, "n", 2, 1.0)]
+    right = [(1, "a", 1, 9.0), (1, "c", 2, 1.0), (1, "b", 3, None), (1, "b", 4, None), (3, "y", 1, 1.5), (3, "z", 1, 1.5), (None, "n", 1, 1.0), (None, "m", 5, 7.0)]
+    schema = "k int, s string, n int, x double"
+    return spark.createDataFrame(left, schema), spark.createDataFrame(right, schema)
+
+
+def test_rows_of_a_repeated_key_are_paired(spark):
+    left, right = repeated_rows(spark)
+    found = {tuple(r) for r in cell_difference(left, right, "k", repeated="pair").collect()}
+    assert found == {
+        (1, "x", "1.0", "9.0"), (1, "s", "a", "c"), (1, "n", "3", "4"),  # one cell each
+        (2, None, "present", None), (3, None, None, "present"),
+        (None, "s", "n", "m"), (None, "n", "2", "5"), (None, "x", "1.0", "7.0"),  # what is left over
+    }
+    assert cell_difference(left, left, "k", repeated="pair").collect() == []
+    with pytest.raises(ValueError, match="counted or paired"):
+        cell_difference(left, right, "k", repeated="first")
+
+
+def test_pairs_of_a_hot_key_are_one_to_one(spark):
+    """Every row of one key, with one cell of each changed and some rows lacking."""
+    left = spark.range(300).selectExpr("1 AS k", "id AS a", "id * 2 AS b", "CAST(id % 3 AS STRING) AS c")
+    changed = left.selectExpr("k", "IF(a % 2 = 0, -a - 1, a) AS a", "IF(a % 2 = 1, -b, b) AS b", "c").filter("abs(b) < 580")
+    found = cell_difference(left, changed, "k", repeated="pair").collect()
+    want = {(1, "a", str(i), str(-i - 1)) for i in range(0, 290, 2)} | {(1, "b", str(2 * i), str(-2 * i)) for i in range(1, 290, 2)}
+    assert {tuple(r) for r in found if r["column"]} == want
+    assert [tuple(r) for r in found if not r["column"]] == [(1, None, "present", None)] * 10
+
+
+def test_rows_without_a_key_are_compared_by_place(spark):
+    left = spark.createDataFrame([(1, "a"), (1, "b"), (2, None), (3, "z")], "n int, place string")
+    right = spark.createDataFrame([(2, "q"), (1, "b"), (1, "a")], "n int, place string")
+    found = cells_by_place(left, right, "n", place="at").collect()
+    assert {tuple(r) for r in found} == {(2, "place", None, "q"), (3, None, "present", None)}
+    assert cells_by_place(left, left.repartition(3), "n", place="at").collect() == []
+    assert cells_by_place(left.limit(0), left.limit(0), "n").collect() == []
+    with pytest.raises(SchemaMismatch):
+        cells_by_place(left, right.drop("place"), "n")

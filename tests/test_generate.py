@@ -11,6 +11,7 @@ from specs import CLASH, FOUR, INT, MAILS, REAL, SHOP, STR, changed, field, join
 from joinwright import Column, Defaults, Spec, SpecError, Table, generate, generate_table, report
 from joinwright.operators.checks import check_spec_bounds, shared_values
 from joinwright.operators.compare import equal
+from joinwright.plans import layout, pools
 from joinwright.plans.tables import add_columns, correlated_pair, next_table
 
 
@@ -436,3 +437,34 @@ def test_added_columns_keep_the_rows(spark):
     assert made.columns == ["k", "v", "n"] and made.select("k", "v").exceptAll(base).count() == 0
     assert {r.n for r in made.collect()} == set(range(1, 301))
     assert made.exceptAll(add_columns(base.repartition(7), "k", [Column("n", T.IntegerType(), bounds=(1, 300))], seed=4)).count() == 0
+
+
+def test_long_lists_are_tables(spark):
+    """A million values, none in the plan; a row has the same value however its list is kept."""
+    listed = tuple(f"value {i}" for i in range(1_000_000))
+    for repeatable in (True, False):
+        column = Column("c", T.StringType(), values=listed, repeatable=repeatable)
+        made = generate_table(spark, Table("t", 2000, (column, Column("f", T.BooleanType()))))
+        assert "value 1" not in made._jdf.queryExecution().toString()
+        found = [r.c for r in made.collect()]
+        assert len(found) == 2000 and set(found) <= set(listed)
+        assert len(set(found)) == 2000 if not repeatable else len(set(found)) > 1900
+    short = Column("c", T.StringType(), values=listed[:1500])
+    long = generate_table(spark, Table("t", 500, (short,))).collect()
+    pools.INLINE, layout.INLINE, before = 2000, 2000, pools.INLINE
+    try:
+        assert sorted(generate_table(spark, Table("t", 500, (short,))).collect()) == sorted(long)
+    finally:
+        pools.INLINE = layout.INLINE = before
+
+
+def test_a_list_given_as_a_frame(spark):
+    base = spark.range(300).selectExpr("id AS k")
+    names = spark.range(400).selectExpr("IF(id < 350, CONCAT('n', id % 350), NULL) AS name")
+    made = add_columns(base, "k", [Column("own", T.StringType()), Column("f", T.BooleanType())], 1, {"own": names})
+    assert made.columns == ["k", "own", "f"] and made.count() == 300
+    assert made.join(names, made.own == names.name, "left_semi").count() == 300
+    once = Column("own", T.StringType(), repeatable=False)
+    assert add_columns(base, "k", [once], 1, {"own": names}).select("own").distinct().count() == 300
+    with pytest.raises(SpecError, match="listed values"):
+        add_columns(base, "k", [once], 1, {"own": names.filter("name < 'n2'")})

@@ -7,10 +7,11 @@ import re
 import pytest
 
 from joinwright.operators import checks as C
-from joinwright.operators.joins import equi_join, hot_sides
+from joinwright.operators.compare import equal
+from joinwright.operators.joins import equi_join, heavy_keys, hot_sides
 from joinwright.operators.project import cast_columns, prefix_clashes, suffix_to_prefix
 from joinwright.plans import chain
-from joinwright.plans.chain import Step, chain_counts, chain_results, join_chain
+from joinwright.plans.chain import Step, chain_counts, chain_results, join_chain, measured
 
 
 def by_hand(left, right, how, null_safe=False):
@@ -297,3 +298,93 @@ def test_cardinality_check(spark):
 def test_wrong_number_of_steps(spark):
     with pytest.raises(ValueError, match="N - 1"):
         join_chain(chain_tables(spark, 1), [Step("u")])
+
+
+# ----------------------------------------------------- counts and measured keys
+
+
+def chain_of(spark, seed):
+    import random
+
+    rnd = random.Random(seed)
+    key = lambda: rnd.choice([None, 0, 0, 0, 1, 2, 3])
+    a = spark.createDataFrame([(key(), key(), rnd.randint(0, 5)) for _ in range(40)], "k int, j int, x int")
+    b = spark.createDataFrame([(key(), rnd.randint(0, 5), rnd.choice(["u", None])) for _ in range(30)], "k int, x int, s string")
+    c = spark.createDataFrame([(key(), rnd.randint(0, 3)) for _ in range(20)], "i int, y int")
+    return {"a": a, "b": b, "c": c}
+
+
+WHERES = [
+    (None, None),
+    ("`a.x` > 1", "y < 3 OR y IS NULL"),
+    (("`b.x` IS NULL OR `b.x` > 2", "s IS NULL", "j IS NOT NULL"), "k > 0 OR k IS NULL"),
+    ("`a.x` <= `b.x`", ("`a.x` + y > 2", "i = k OR i IS NULL OR k IS NULL", "1 = 1")),
+    (("k >= 0", "`a.x` + `b.x` <> 4"), ("`b.x` < 5", "s = 'u' OR y = 1")),
+]
+
+
+@pytest.mark.parametrize("hows", [("left", "right"), ("full", "left"), ("inner", "full"), ("right", "inner"), ("full", "full")])
+@pytest.mark.parametrize("n", range(len(WHERES)))
+def test_filtered_chains_are_counted_as_they_join(spark, hows, n):
+    """Nulls, keys that repeat on both sides, clashing names, conditions on one table and on more."""
+    tables = chain_of(spark, n)
+    steps = [Step("k", hows[0], where=WHERES[n][0]), Step(("j", "i"), hows[1], where=WHERES[n][1])]
+    counted = [c.first()[0] for c in chain_counts(tables, steps)]
+    assert counted == [r.count() for r in chain_results(tables, steps)]
+
+
+def test_filtered_counts_pair_no_rows(spark):
+    """A key with a million pairs is counted without making them."""
+    many = spark.range(1000).selectExpr("0 AS k", "id AS x")
+    other = spark.range(1000).selectExpr("0 AS k", "id AS y")
+    counts = chain_counts({"a": many, "b": other}, [Step("k", where=("x < 500", "y >= 100"))])
+    assert counts[0].first()[0] == 500 * 900
+    plan = counts[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" in plan.split("Join")[-1]
+    mixed = chain_counts({"a": many, "b": other}, [Step("k", where="x % 2 = y % 2")])
+    assert mixed[0].first()[0] == 500_000
+
+
+def test_heavy_keys_are_found_without_a_shuffle_of_keys(spark):
+    df = spark.range(20_000).selectExpr("CASE WHEN id % 3 = 0 THEN -1 WHEN id % 10 = 1 THEN NULL ELSE id END AS k")
+    assert heavy_keys(df, "k", 0.05) == [-1]
+    assert heavy_keys(df.selectExpr("CAST(k AS STRING) AS k"), "k", 0.05) == ["-1"]
+    times = df.selectExpr("timestampadd(DAY, coalesce(k, 0), TIMESTAMP_NTZ'2020-01-01 00:00:00') AS k")
+    assert len(heavy_keys(times, "k", 0.3)) == 1
+    assert heavy_keys(df.limit(0), "k") == [] == heavy_keys(df.filter("k = 7"), "k")
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    assert heavy_keys(df.mapInArrow(count, "k long"), "k", 0.05) == [-1]
+    assert seen.value == 20_000
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full"])
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_hot_keys_do_not_change_the_result(spark, how, null_safe):
+    tables = chain_of(spark, 7)
+    a, b = tables["a"].drop("x"), tables["b"].drop("x")
+    plain = equi_join(a, b, "k", how, null_safe)
+    for hot in [{"left": (0,)}, {"right": (0, 3)}, {"left": (0,), "right": (1, 99)}, {"left": ()}]:
+        assert equal(equi_join(a, b, "k", how, null_safe, hot), plain)
+
+
+def test_hot_keys_of_joined_rows_are_carried_along(spark):
+    """The key is rare in its table and hot once that is joined; nothing is paired to see it."""
+    users = spark.range(1000).selectExpr("id AS u", "id % 500 AS g")
+    clicks = spark.range(5000).selectExpr("CASE WHEN id < 4000 THEN 7 ELSE id % 1000 END AS u", "id AS c")
+    groups = spark.range(600).selectExpr("id AS g", "id AS name")
+    tables = {"users": users, "clicks": clicks, "groups": groups}
+    steps = [Step("u", "left"), Step("g", "full")]
+    found = measured(tables, steps, 0.05)
+    assert found[0].hot == {"right": (7,)} and found[1].hot == {"left": (7,)}
+    assert equal(join_chain(tables, found), join_chain(tables, steps))
+    assert has_rows(measured(tables, [Step("u"), Step("g")], 0.05)) == [{}, {}]
+
+
+def has_rows(steps):
+    return [s.hot for s in steps]

@@ -179,6 +179,24 @@ SQL["c1_row_count"] = rows(
     row_count("orders", 15000), row_count("lineitem", 60001), row_count("nation", 25)
 )
 
+SQL["j8_hot_derived"] = """
+WITH priorities AS (
+  SELECT o_orderpriority AS priority, count(*) AS orders FROM orders GROUP BY ALL
+  UNION ALL SELECT 'none', count(*) FROM orders
+)
+SELECT * FROM customer LEFT JOIN orders ON c_custkey = o_custkey
+FULL JOIN priorities ON o_orderpriority = priority
+"""
+SQL["c2_chain_with_filters"] = """
+WITH one AS (
+  SELECT * FROM events LEFT JOIN orders ON user_id = o_custkey
+  WHERE (o_totalprice > 100000 OR o_orderkey IS NULL) AND event_type <> 'view' AND value * 1000 < o_totalprice
+), two AS (
+  SELECT * FROM one RIGHT JOIN customer ON user_id = c_custkey
+  WHERE c_mktsegment <> 'BUILDING' OR user_id IS NULL
+)
+SELECT 1 AS step, count(*) AS rows FROM one UNION ALL SELECT 2, count(*) FROM two
+"""
 SQL["c2_join_cardinality"] = rows(
     exactly("join cardinality", "join 1", "c_custkey, o_custkey", CHAIN_SIZES[0],
             "SELECT count(*) AS n FROM customer LEFT JOIN orders ON c_custkey = o_custkey"),
@@ -392,6 +410,32 @@ UNION ALL
 SELECT p_partkey, NULL, 'present', NULL FROM part
 WHERE p_partkey NOT IN (SELECT p_partkey FROM changed)
 """
+SQL["d3_repeated_key"] = """
+SELECT l_orderkey, 'l_linenumber' AS "column", CAST(l_linenumber AS VARCHAR) AS left_value,
+       CAST(l_linenumber + 100 AS VARCHAR) AS right_value
+FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 45
+UNION ALL
+SELECT l_orderkey, NULL, 'present', NULL FROM lineitem WHERE l_returnflag = 'A' AND l_quantity = 50
+"""
+SQL["d3_by_place"] = """
+WITH changed AS (
+  SELECT * REPLACE (p_partkey + 1 AS p_partkey, CASE WHEN p_size > 45 THEN NULL ELSE p_size END AS p_size)
+  FROM part
+  UNION ALL SELECT * REPLACE (p_partkey + 1000000 AS p_partkey) FROM part WHERE p_size = 50
+), a AS (
+  SELECT *, row_number() OVER (ORDER BY p_partkey) - 1 AS place FROM part
+), b AS (
+  SELECT *, row_number() OVER (ORDER BY p_partkey) - 1 AS place FROM changed
+)
+SELECT place, 'p_partkey' AS "column", CAST(a.p_partkey AS VARCHAR) AS left_value,
+       CAST(b.p_partkey AS VARCHAR) AS right_value
+FROM a JOIN b USING (place)
+UNION ALL
+SELECT place, 'p_size', CAST(a.p_size AS VARCHAR), CAST(b.p_size AS VARCHAR)
+FROM a JOIN b USING (place) WHERE a.p_size IS DISTINCT FROM b.p_size
+UNION ALL
+SELECT place, NULL, NULL, 'present' FROM b WHERE place >= (SELECT count(*) FROM part)
+"""
 SQL["d4_verify_jobs"] = f"""
 WITH expected AS ({X1}),
 wrong AS (
@@ -414,19 +458,23 @@ FROM n
 # What must hold of the generated values, whatever they are.
 
 SQL["g1_integers"] = "SELECT *, true AS inside, 1 AS times FROM orders"
-SQL["g2_booleans"] = "SELECT * FROM customer"
+SQL["g2_booleans"] = "SELECT *, true AS balanced FROM customer"
 SQL["g3_doubles"] = "SELECT o_orderkey, o_totalprice, true AS inside, 1 AS times FROM orders"
 SQL["g4_dates"] = "SELECT *, true AS inside, 1 AS times FROM supplier"
-SQL["g5_strings"] = "SELECT o_orderkey, o_custkey, true AS fits FROM orders"
+SQL["g5_strings"] = "SELECT o_orderkey, o_custkey, true AS fits, true AS varied FROM orders"
 SQL["g6_own_bounds"] = """
-SELECT *, true AS size_inside, true AS price_inside, true AS code_fits FROM part
+SELECT *, true AS size_inside, true AS price_inside, true AS code_fits,
+       true AS sizes_varied, true AS prices_differ, true AS codes_varied FROM part
+"""
+SQL["g7_value_list"] = """
+SELECT * FROM orders
+UNION ALL BY NAME SELECT count(DISTINCT p_brand) AS o_orderkey FROM part
 """
-SQL["g7_value_list"] = "SELECT * FROM orders"
 SQL["g8_without_replacement"] = """
 SELECT count(*) AS rows, count(*) AS customers, count(*) AS orders FROM customer
 """
 SQL["g9_not_unique"] = """
-SELECT l_orderkey, l_linenumber, l_partkey, true AS inside FROM lineitem
+SELECT l_orderkey, l_linenumber, l_partkey, true AS inside, true AS all_drawn FROM lineitem
 """
 SQL["g10_filler_rows"] = """
 SELECT count(*) AS rows, count(*) AS keys FROM orders UNION ALL SELECT 0, 0

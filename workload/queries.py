@@ -20,7 +20,7 @@ from joinwright.operators.project import (
 )
 from joinwright.operators.rows import draw_without_replacement, first_rows, number_rows
 from joinwright.plans import tables as G
-from joinwright.plans.chain import Step, join_chain, measured
+from joinwright.plans.chain import Step, chain_counts, join_chain, measured
 from joinwright.plans.jobs import chain_job, run_chain_job
 from joinwright.plans.verify import verify
 from joinwright.sources import (
@@ -341,6 +341,19 @@ def j8_chain(spark, folder):
     return join_chain(found, steps)
 
 
+def j8_hot_derived(spark, folder):
+    """A chain whose joined rows have few different keys in its last join, a full one; which keys
+    are hot there is measured without joining."""
+    found = tables(spark, folder, "customer", "orders")
+    priorities = found["orders"].groupBy("o_orderpriority").agg(F.count("*").alias("orders"))
+    priorities = priorities.select(F.col("o_orderpriority").alias("priority"), "orders").unionByName(
+        priorities.agg(F.lit("none").alias("priority"), F.sum("orders").alias("orders"))
+    )
+    found["priorities"] = priorities
+    steps = [Step(("c_custkey", "o_custkey"), "left"), Step(("o_orderpriority", "priority"), "full")]
+    return join_chain(found, measured(found, steps))
+
+
 def j8_star_left(spark, folder):
     """Line items with their order, part and supplier."""
     found = tables(spark, folder, "lineitem", "orders", "part", "supplier")
@@ -383,6 +396,18 @@ def c2_join_cardinality(spark, folder):
     return C.report(found, C.join_cardinality(X1_STEPS, CHAIN_SIZES))
 
 
+def c2_chain_with_filters(spark, folder):
+    """Rows after each join of a chain whose first key repeats on both sides, with conditions
+    on one table and on both; no two rows are paired."""
+    found = tables(spark, folder, "events", "orders", "customer")
+    steps = [
+        Step(("user_id", "o_custkey"), "left", where=("o_totalprice > 100000 OR o_orderkey IS NULL", "event_type <> 'view'", "value * 1000 < o_totalprice")),
+        Step(("user_id", "c_custkey"), "right", where="c_mktsegment <> 'BUILDING' OR user_id IS NULL"),
+    ]
+    counts = chain_counts(found, steps)
+    return union([c.select(F.lit(i).alias("step"), "rows") for i, c in enumerate(counts, start=1)])
+
+
 def c3_key_overlap(spark, folder):
     found = tables(spark, folder, "orders", "lineitem", "events", "customer")
     return C.report(
@@ -649,6 +674,25 @@ def d3_cell_difference(spark, folder):
     return compare.cell_difference(parts, changed, "p_partkey")
 
 
+def d3_repeated_key(spark, folder):
+    """Line items by their order, of which several are of one order, with changed and lacking rows."""
+    items = table(spark, folder, "lineitem")
+    number = "CASE WHEN l_returnflag = 'R' AND l_quantity > 45 THEN l_linenumber + 100 ELSE l_linenumber END"
+    changed = items.filter("NOT (l_returnflag = 'A' AND l_quantity = 50)")
+    changed = changed.withColumn("l_linenumber", F.expr(number))
+    return compare.cell_difference(items, changed, "l_orderkey", repeated="pair")
+
+
+def d3_by_place(spark, folder):
+    """Parts in the order of their keys against parts with other keys and sizes and some more rows."""
+    parts = table(spark, folder, "part")
+    changed = parts.withColumns(
+        {"p_partkey": F.expr("p_partkey + 1"), "p_size": F.expr("IF(p_size > 45, NULL, p_size)")}
+    )
+    more = parts.filter("p_size = 50").withColumn("p_partkey", F.col("p_partkey") + 1000000)
+    return compare.cells_by_place(parts, changed.unionByName(more), "p_partkey")
+
+
 def d4_verify_jobs(spark, folder):
     """A right and a wrong job on the same tables."""
     found = tables(spark, folder, "customer", "orders", "lineitem")
@@ -683,6 +727,12 @@ def _times(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn("times", F.count("*").over(Window.partitionBy(column)))
 
 
+def _with_facts(df: DataFrame, **facts) -> DataFrame:
+    """The rows with what holds of the whole column, each an aggregate that is true or false."""
+    found = df.agg(*[c.alias(name) for name, c in facts.items()]).first()
+    return df.withColumns({name: F.lit(found[name]) for name in facts})
+
+
 def g1_integers(spark, folder):
     """Each order with a number of its own, within the range of the order keys."""
     orders = table(spark, folder, "orders")
@@ -700,7 +750,8 @@ def g2_booleans(spark, folder):
     again = G.add_columns(customers, "c_custkey", flags, SEED).select("c_custkey", "flag")
     again = again.toDF("key", "again")
     same = made.join(again, F.expr("c_custkey = key AND flag = again"), "left_semi")
-    return same.select(*customers.columns)
+    share = F.count_if("flag") / F.count("*")
+    return _with_facts(same, balanced=share.between(0.35, 0.65)).select(*customers.columns, "balanced")
 
 
 def g3_doubles(spark, folder):
@@ -727,7 +778,11 @@ def g5_strings(spark, folder):
     code = Column("code", T.StringType(), pattern=CODE, letters=UPPER)
     made = G.add_columns(orders, "o_orderkey", [code], SEED)
     fits = F.col("code").rlike(r"\A[A-Z][0-9]{2}-[A-Z]{2}[0-9]\z").alias("fits")
-    return made.select("o_orderkey", "o_custkey", fits)
+    signs = [F.count_distinct(F.substring("code", i, 1)) for i in (1, 2, 3, 5, 6, 7)]
+    varied = (F.array(*signs) == F.array(*map(F.lit, (26, 10, 10, 26, 26, 10)))) & (
+        F.count_distinct("code") >= 0.98 * F.count("*")
+    )
+    return _with_facts(made, varied=varied).select("o_orderkey", "o_custkey", fits, "varied")
 
 
 def g6_own_bounds(spark, folder):
@@ -740,22 +795,31 @@ def g6_own_bounds(spark, folder):
         Column("code", T.StringType(), pattern="AB-##?", letters="xyz"),
     ]
     made = G.add_columns(parts, "p_partkey", columns, SEED)
+    made = _with_facts(
+        made,
+        sizes_varied=F.count_distinct("size") >= 0.8 * (sizes[1] - sizes[0] + 1),
+        prices_differ=F.count_distinct("price") == F.count("*"),
+        codes_varied=F.count_distinct("code") >= 100,
+    )
     return made.select(
         *parts.columns,
         F.col("size").between(*sizes).alias("size_inside"),
         F.col("price").between(*prices).alias("price_inside"),
         F.col("code").rlike(r"\AAB-[0-9]{2}[xyz]\z").alias("code_fits"),
-    )
+        "sizes_varied", "prices_differ", "codes_varied",
+    )
 
 
 def g7_value_list(spark, folder):
-    """Each order with a brand that some part has."""
+    """Each order with a brand that some part has, and how many of the brands came up."""
     parts, orders = (table(spark, folder, n) for n in ("part", "orders"))
-    brands = sorted(r[0] for r in parts.select("p_brand").distinct().collect())
-    column = Column("brand", T.StringType(), values=tuple(brands))
-    made = G.add_columns(orders, "o_orderkey", [column], SEED)
-    there = parts.select(F.col("p_brand").alias("brand")).distinct()
-    return made.join(there, "brand", "left_semi").select(*orders.columns)
+    brands = parts.select(F.col("p_brand").alias("brand"))
+    column = Column("brand", T.StringType())
+    made = G.add_columns(orders, "o_orderkey", [column], SEED, lists={"brand": brands})
+    known = made.join(brands.distinct(), "brand", "left_semi")
+    return known.select(*orders.columns).unionByName(
+        known.agg(F.count_distinct("brand").alias("o_orderkey")), allowMissingColumns=True
+    )
 
 
 def g8_without_replacement(spark, folder):
@@ -778,9 +842,9 @@ def g9_not_unique(spark, folder):
     order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
     column = Column("n", T.IntegerType(), bounds=ends, unique=False)
     made = G.add_columns(items, order, [column], SEED)
-    return made.select(
-        "l_orderkey", "l_linenumber", "l_partkey", F.col("n").between(*ends).alias("inside")
-    )
+    made = _with_facts(made, all_drawn=F.count_distinct("n") == ends[1] - ends[0] + 1)
+    inside = F.col("n").between(*ends).alias("inside")
+    return made.select("l_orderkey", "l_linenumber", "l_partkey", inside, "all_drawn")
 
 
 KEYS = (0, 1 << 40)
