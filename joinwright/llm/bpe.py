@@ -1,115 +1,34 @@
-"""Token counts by byte-pair merging, and ids of texts through cached pieces.
-
-A byte-level pretokenizer always cuts before a single space that stands between
-two other characters. Such pieces are therefore counted and encoded on their own
-and remembered, which gives what the whole text gives.
-"""
+"""Token counts by byte-pair merging, and ids of texts through their different pretokens."""
 
 from __future__ import annotations
 
 import heapq
 import json
-import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from .common import flat, id_and_text, id_type, text_runs
-
-#: Pieces in each generation of a worker's memory, and the longest that is remembered.
-KEPT_PIECES = 300_000
-KEPT_LENGTH = 64
-#: White space other than the space and the line break.
-OTHER_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
-LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
-#: A space next to white space, or white space that is not told apart here.
-NOT_PLAIN_RE2 = f"[{''.join(OTHER_SPACE)}]|  | \\n|\\n "
-NOT_PLAIN = re.compile(NOT_PLAIN_RE2)
-#: What lower case is not told for here: all from U+0250 on, the dotted capital I, and
-#: the beginning of special strings.
-NOT_LATIN_RE2 = "[^\x00-\u012f\u0131-\u024f]|<\\|"
-#: Bytes of text whose pieces are told apart at a time.
-SLICE_BYTES = 6 << 20
-#: Fixed value: the pattern of byte-level pretokenizers.
-PRETOKEN = regex.compile(
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-)
-#: Fixed value: that of the lower-case word tokenizer.
-WORD_PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-#: From it on, Python's and the library's Unicode tables differ in which code points are letters.
-SAME_TABLES = "԰"
-
-
-class Pieces(dict):
-    """A value for each piece, worked out once.
-
-    Two generations of bounded size: when the young one is full it becomes the old
-    one, and a piece found there moves back, so that frequent pieces stay.
-    """
-
-    def __init__(self, value: Callable):
-        super().__init__()
-        self.value, self.old = value, {}
-
-    def __missing__(self, piece):
-        found = self.old.get(piece)
-        if found is None:
-            found = self.value(piece)
-        if len(piece) <= KEPT_LENGTH:
-            if len(self) >= KEPT_PIECES:
-                self.old = dict(self)
-                self.clear()
-            self[piece] = found
-        return found
-
+from .common import flat, id_and_text, id_type
+from .pretokens import Pretokens, Remembered, gathered, numbers_of, parts, sums
 
-def pieces_of(text: str) -> list[str]:
-    """Pieces that give the text when joined by single spaces."""
-    return LONE_SPACE.split(text) if NOT_PLAIN.search(text) else text.split(" ")
+#: Bytes of either generation of a worker's remembered pretokens.
+KEPT_BYTES = 32 << 20
+#: What lower case is not told for here: all from U+0250 on, and the dotted capital I.
+NOT_LATIN_RE2 = "[^\x00-\u012f\u0131-\u024f]"
 
 
-def slices(texts: pa.StringArray) -> Iterator[pa.StringArray]:
-    """Runs of texts of about SLICE_BYTES; a longer text is a run of its own."""
-    for start, stop in text_runs(texts, SLICE_BYTES):
-        yield texts.slice(start, stop - start)
-
-
-def spelled_out(texts: pa.StringArray) -> pa.StringArray:
-    """Texts in lower case, with spaces for line breaks and between a letter and a point or comma.
-
-    A word tokenizer gives the same ids for them, and they have fewer different pieces.
-    Texts with other than Latin letters, or with what may be a special string, stay.
-    """
-    stays = pc.match_substring_regex(texts, NOT_LATIN_RE2)
-    lower = pc.replace_substring(pc.utf8_lower(texts), "\n", " ")
-    return pc.if_else(stays, texts, pc.replace_substring_regex(lower, r"(\pL)([.,])", r"\1 \2"))
-
-
-def distinct_pieces(
-    texts: pa.StringArray, byte_level: bool = True
-) -> tuple[np.ndarray, np.ndarray, list[str], list[str]]:
-    """Where each text's pieces begin, the number of each piece, the first pieces of
-    the texts, and the different pieces that follow a space.
-
-    Piece numbers below ``len(texts)`` are those of the first pieces.
-    """
-    parts = pc.split_pattern(texts, " ")
-    odd = flat(pc.match_substring_regex(texts, NOT_PLAIN_RE2)) if byte_level else np.zeros(0, bool)
-    if odd.any():
-        own = [pieces_of(t) if o else p for t, o, p in zip(texts.to_pylist(), odd, parts.to_pylist(), strict=True)]
-        parts = pa.array(own, pa.list_(pa.string()))
-    starts = flat(parts.offsets).astype(np.int64)
-    coded = parts.values.dictionary_encode()
-    numbers = flat(coded.indices).astype(np.int64) + len(texts)
-    first = parts.values.take(pa.array(starts[:-1])).to_pylist()
-    numbers[starts[:-1]] = np.arange(len(texts))
-    return starts, numbers, first, coded.dictionary.to_pylist()
+def without(texts: pa.StringArray, special: list[str]) -> tuple[np.ndarray, pa.StringArray]:
+    """Which texts hold a special string, and all texts, those as empty ones."""
+    held = np.zeros(len(texts), bool)
+    for string in special:
+        held |= flat(pc.match_substring(texts, string))
+    return held, pc.if_else(pa.array(held), "", texts) if held.any() else texts
 
 
 def merged_length(symbols: list[int], ranks: dict[tuple[int, int], tuple[int, int]]) -> int:
@@ -150,6 +69,10 @@ def byte_letters() -> list[str]:
     return [letters[b] for b in range(256)]
 
 
+#: Byte-level characters of the bytes 0 to 255, as a table for ``str.translate``.
+LETTERS = dict(enumerate(byte_letters()))
+
+
 class MergeCounter:
     """Number of tokens of texts under a byte-level BPE vocabulary file."""
 
@@ -162,48 +85,36 @@ class MergeCounter:
             (vocabulary[a], vocabulary[b]): (rank, vocabulary[a + b])
             for rank, (a, b) in enumerate(pairs)
         }
-        letters = byte_letters()
-        self.byte_id = [vocabulary[c] for c in letters]
-        self.letter_id = {c: vocabulary[c] for c in letters}
-        special = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
-        self.special = re.compile("|".join(map(re.escape, special))) if special else None
-        self.library = Tokenizer.from_file(file).pre_tokenizer
-        self.pretokens = Pieces(self._merge)
-        self.first = Pieces(self._count)
-        self.spaced = Pieces(lambda piece: self._count(" " + piece))
-
-    def _merge(self, pretoken: str) -> int:
-        byte_id = self.byte_id
-        return merged_length([byte_id[b] for b in pretoken.encode()], self.ranks)
-
-    def _count(self, piece: str) -> int:
-        """A special string is one token; what lies between is merged."""
-        if not piece:
-            return 0
-        if self.special is None:
-            return self._plain(piece)
-        parts = self.special.split(piece)
-        return len(parts) - 1 + sum(map(self._plain, parts))
-
-    def _plain(self, part: str) -> int:
-        if not part:
-            return 0
-        if part.isascii() or max(part) < SAME_TABLES:
-            return sum(map(self.pretokens.__getitem__, PRETOKEN.findall(part)))
-        cut = (s for s, _ in self.library.pre_tokenize_str(part))
-        return sum(merged_length([self.letter_id[c] for c in s], self.ranks) for s in cut)
-
-    def count(self, text: str) -> int:
-        first, *others = pieces_of(text)
-        return self.first[first] + sum(map(self.spaced.__getitem__, others))
+        self.byte_id = [vocabulary[LETTERS[b]] for b in range(256)]
+        self.special = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
+        self.pretokens = Pretokens(Tokenizer.from_file(file).pre_tokenizer, False)
+        self.merged = Remembered(self._merge, KEPT_BYTES)
+
+    def _merge(self, pretokens: list[bytes]) -> list[int]:
+        id_of, ranks = self.byte_id.__getitem__, self.ranks
+        return [merged_length(list(map(id_of, p)), ranks) for p in pretokens]
+
+    def plain_counts(self, texts: pa.StringArray) -> np.ndarray:
+        """Tokens of texts without special strings."""
+        out = np.zeros(len(texts), np.int64)
+        for owners, run, _ in parts(texts):
+            places, cut = self.pretokens.cut(run)
+            value = self.merged.values(cut.dictionary.to_pylist())
+            np.add.at(out, owners, sums(value, numbers_of(cut), places))
+        return out
 
     def counts(self, texts: pa.StringArray) -> np.ndarray:
-        out = [np.zeros(0, np.int64)]
-        for run in slices(texts):
-            starts, numbers, first, spaced = distinct_pieces(run)
-            value = [self.first[p] for p in first] + [self.spaced[p] for p in spaced]
-            out.append(np.add.reduceat(np.asarray(value, np.int64)[numbers], starts[:-1]))
-        return np.concatenate(out)
+        """A special string is one token; what lies between is merged."""
+        held, plain = without(texts, self.special)
+        out = self.plain_counts(plain)
+        for i in np.flatnonzero(held).tolist():
+            pieces, n = [texts[i].as_py()], 0
+            for string in self.special:
+                split = [p.split(string) for p in pieces]
+                n += sum(len(p) - 1 for p in split)
+                pieces = [q for p in split for q in p]
+            out[i] = n + int(self.plain_counts(pa.array(pieces)).sum())
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -247,9 +158,9 @@ def token_counts(
 
 
 class PieceEncoder:
-    """Ids of texts by the tokenizers library, each piece encoded once.
+    """Ids of texts by the tokenizers library, each different pretoken encoded once.
 
-    ``words``: the tokenizer drops all white space, so a piece has no space before it.
+    ``words``: the tokenizer is one of lower-case words, which drops all white space.
     """
 
     def __init__(self, file: str, words: bool):
@@ -259,56 +170,59 @@ class PieceEncoder:
         self.model, self.normalizer = self.tokenizer.model, self.tokenizer.normalizer
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.type = np.dtype("<u2" if size <= 1 << 16 else "<u4")
-        self.words = words
-        self.letters = byte_letters()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.first = Pieces(self._ids)
-        self.spaced = self.first if words else Pieces(lambda piece: self._ids(" " + piece))
-
-    def _ids(self, piece: str) -> bytes:
-        ids = self._plain(piece)
-        if ids is None:
-            ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-        return np.asarray(ids, dtype=self.type).tobytes()
-
-    def _plain(self, piece: str) -> list[int] | None:
-        """Ids by the library's model alone; None if it takes the library's other steps."""
-        if not piece.isascii():
-            if self.words:
-                piece = self.normalizer.normalize_str(piece)
-            if piece and max(piece) >= SAME_TABLES:
-                return None
-        if any(s in piece for s in self.special):
-            return None
-        ids: list[int] = []
-        if self.words:
-            found = WORD_PRETOKEN.findall(piece.lower() if piece.isascii() else piece)
-        else:
-            found = PRETOKEN.findall(piece)
-        letters, tokenize = self.letters, self.model.tokenize
-        for pretoken in found:
-            if pretoken.isascii() and pretoken.isprintable():  # only the space has a stand-in
-                mapped = pretoken.replace(" ", letters[32])
-            else:
-                mapped = "".join([letters[b] for b in pretoken.encode()])
-            ids += [t.id for t in tokenize(mapped)]
-        return ids
+        self.words = words
+        self.pretokens = Pretokens(self.tokenizer.pre_tokenizer, words)
+        self.coded = Remembered(self._ids, KEPT_BYTES)
+
+    def _ids(self, pretokens: list[bytes]) -> list[bytes]:
+        """Ids of each pretoken by the library's model."""
+        letters = b"".join(pretokens).decode("latin-1").translate(LETTERS)
+        ends = list(accumulate(map(len, pretokens)))
+        tokenize = self.model.tokenize
+        tokens = [tokenize(letters[a:b]) for a, b in zip([0, *ends], ends)]
+        ids = np.array([t.id for own in tokens for t in own], self.type).tobytes()
+        ends = [n * self.type.itemsize for n in accumulate(map(len, tokens))]
+        return [ids[a:b] for a, b in zip([0, *ends], ends)]
+
+    def normalized(self, texts: pa.StringArray) -> pa.StringArray:
+        """Texts as the pretokenizer gets them, but for the kind of white space."""
+        if not self.words:
+            return texts
+        other = pc.match_substring_regex(texts, NOT_LATIN_RE2)
+        lower = pc.utf8_lower(texts)
+        if not pc.any(other).as_py():
+            return lower
+        normal = self.normalizer.normalize_str
+        own = [normal(t) if o else p for t, o, p in zip(texts.to_pylist(), flat(other), lower.to_pylist(), strict=True)]
+        return pa.array(own, pa.string())
 
     def encode(self, texts: pa.StringArray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For runs of texts, their ids one after the other and the number of each."""
-        for run in slices(texts):
-            if self.words:
-                run = spelled_out(run)
-            starts, numbers, first, spaced = distinct_pieces(run, not self.words)
-            value = [self.first[p] for p in first] + [self.spaced[p] for p in spaced]
-            size = np.fromiter(map(len, value), np.int64, len(value)) // self.type.itemsize
-            ids = np.frombuffer(b"".join(value), self.type)
-            begin = np.cumsum(size) - size
-            taken = size[numbers]
-            end = np.cumsum(taken)
-            place = np.repeat(begin[numbers] - (end - taken), taken)
-            place += np.arange(len(place))
-            yield ids[place], np.add.reduceat(taken, starts[:-1])
+        held, plain = without(texts, self.special)
+        before: list[np.ndarray] = []  # ids of the parts so far of a long text
+        for owners, run, more in parts(plain):
+            places, cut = self.pretokens.cut(self.normalized(run))
+            value = self.coded.values(cut.dictionary.to_pylist())
+            ids, counts = gathered(value, self.type, numbers_of(cut), places)
+            if before or more:
+                before.append(ids)
+                if more:
+                    continue
+                ids, before = np.concatenate(before), []
+                counts = np.array([len(ids)])
+            if held[owners].any():
+                ids, counts = self._with_special(texts, owners, held, ids, counts)
+            yield ids, counts
+
+    def _with_special(self, texts, owners, held, ids, counts) -> tuple[np.ndarray, np.ndarray]:
+        """Texts with special strings are encoded whole by the library."""
+        own = np.split(ids, np.cumsum(counts)[:-1])
+        for n, i in enumerate(owners.tolist()):
+            if held[i]:
+                whole = self.tokenizer.encode(texts[i].as_py(), add_special_tokens=False).ids
+                own[n] = np.array(whole, self.type)
+        return np.concatenate(own), np.array([len(o) for o in own])
 
 
 @lru_cache(maxsize=2)
