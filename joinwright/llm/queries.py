@@ -33,7 +33,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def op1_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     """The 5 best of all rows for every row whose id is divisible by 50."""
     vectors = table(spark, folder, "embeddings")
-    return top_k(vectors, F.col("vec_id") % 50 == 0, k=5, scale=256.0)
+    return top_k(vectors, F.col("vec_id") % 50 == 0, k=5, scale=256)
 
 
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
