@@ -27,6 +27,8 @@ SMOOTHING = 0.5
 #: Cost of a switch between languages, and what a word can say at most for one of them.
 SWITCH = 14.0
 MOST = 8.0
+#: Trigram weights gathered at a time.
+CELLS = 1 << 22
 #: Share of a script's letters from which a language counts as written in it.
 SCRIPT_SHARE = 0.01
 #: Documents to learn from at most.
@@ -94,11 +96,23 @@ class LanguageModel:
     writes: np.ndarray  #: scripts x languages
 
     def word_scores(self, words: Words) -> np.ndarray:
-        """Words x languages; a language that does not write the script has the lowest score."""
-        sums = np.add.reduceat(self.weights[words.trigram], words.first, axis=0).astype(np.float64)
+        """Words x languages: how far below the best language that writes the word's script.
+
+        A language that does not write it has the lowest score. Letters are added up in blocks, so
+        beside the scores the memory has a bounded size, also for a very long word.
+        """
+        sums = np.zeros((len(words.first), len(self.languages)), np.float32)
+        block = max(1, CELLS // max(1, len(self.languages)))
+        for a in range(0, len(words.trigram), block):
+            b = min(a + block, len(words.trigram))
+            low = int(np.searchsorted(words.first, a, side="right")) - 1
+            high = int(np.searchsorted(words.first, b, side="left"))
+            starts = np.maximum(words.first[low:high] - a, 0)
+            sums[low:high] += np.add.reduceat(self.weights[words.trigram[a:b]], starts, axis=0)
+        others = ~self.writes[words.script]
+        sums[others] = -np.inf
         sums -= sums.max(axis=1, keepdims=True)
         np.maximum(sums, -MOST, out=sums)
-        sums[~self.writes[words.script]] = -MOST
         return sums
 
 
