@@ -12,7 +12,7 @@ import xxhash
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from joinwright.llm import bpe, idfiles, language, mixing, packing, resemblance, simhash, toxicity
+from joinwright.llm import bpe, idfiles, language, mixing, packing, pretokens, simhash, toxicity
 from joinwright.sources import new_folder
 
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
@@ -90,29 +90,41 @@ def test_merging_by_heap_is_merging_by_search():
         assert bpe.merged_length(symbols, ranks) == len(left)
 
 
-def test_tables_agree_below_the_limit():
-    library = Tokenizer.from_file(BYTES).pre_tokenizer
-    for code in range(ord(bpe.SAME_TABLES)):
-        text = f"a{chr(code)}1{chr(code)}!"
-        spans = [m.span() for m in bpe.PRETOKEN.finditer(text)]
-        assert spans == [span for _, span in library.pre_tokenize_str(text)]
+ALPHABET = [
+    "'", "'s", "'ll", "'re", "s", "l", "e", " ", "  ", "\n", "\t", "a", "B", "é", "ß", "1", "²", "½", "9", "!", "?",
+    "...", "-", "中", "文", "\xa0", "\x85", "\x1c", "\U0001f642", "İ", "Σ", "ς", "e\u0301", "<|endoftext|>",
+    "<|startoftext|>", "<|", "ﬁ", "՘", "١", "\u200b", "\ufeff", "ǅ", "\u3000", "ᾳ", "𝟙", "\U000e0041",
+]
 
 
-def test_encoded_pieces_are_the_encoded_text():
-    for file, words in ((BYTES, False), (WORDS, True)):
-        library = Tokenizer.from_file(file)
+@pytest.mark.parametrize("slice_bytes", [16, 200, 4 << 20])
+@pytest.mark.parametrize("file,words", [(BYTES, False), (WORDS, True)])
+def test_ids_are_those_of_the_library(monkeypatch, slice_bytes, file, words):
+    """Odd and random texts, cut into runs and parts of several sizes."""
+    monkeypatch.setattr(pretokens, "SLICE_BYTES", slice_bytes)
+    rnd = random.Random(slice_bytes)
+    texts = ODD + ["".join(rnd.choices(ALPHABET, k=rnd.randint(0, 16))) for _ in range(3000)]
+    texts += [" ".join(rnd.choices(["word", "it's", "x", "3", "12,5", "é!"], k=200))]
+    want = [e.ids for e in Tokenizer.from_file(file).encode_batch(texts, add_special_tokens=False)]
+    found = []
+    for part in (pa.array(texts), pa.array(["skipped", *texts])[1:]):
         found = []
-        for ids, counts in bpe.encoder(file, words).encode(pa.array(ODD)):
+        for ids, counts in bpe.PieceEncoder(file, words).encode(part):
             found += [p.tolist() for p in np.split(ids, np.cumsum(counts)[:-1])]
-        assert found == [library.encode(t, add_special_tokens=False).ids for t in ODD]
+        assert found == want
+    if not words:
+        assert bpe.counter(file).counts(pa.array(texts)).tolist() == list(map(len, want))
 
 
-def test_pieces_come_back_from_the_old_generation(monkeypatch):
-    monkeypatch.setattr(bpe, "KEPT_PIECES", 2)
+def test_what_is_remembered_is_bounded_and_comes_back():
     asked = []
-    kept = bpe.Pieces(lambda p: asked.append(p) or p.upper())
-    assert [kept[p] for p in "abcab"] == list("ABCAB")
-    assert asked == ["a", "b", "c"] and len(kept) <= 2
+    kept = pretokens.Remembered(lambda ps: asked.extend(ps) or [p.upper() for p in ps], 3 * 260)
+    for _ in range(3):
+        for p in b"a", b"b", b"c", b"d", b"x" * 999:
+            assert kept.values([p, p]) == [p.upper()] * 2
+            assert len(kept.young) <= 3 and len(kept.old) <= 3
+    assert [asked.count(bytes([c])) for c in b"abcd"] == [2] * 4  # twice as a pair, once in all
+    assert asked.count(b"x" * 999) == 6  # too long to be remembered
 
 
 # ---------------------------------------------------------------------- id files
@@ -276,53 +288,6 @@ def test_nothing_has_no_duplicates(spark):
     assert simhash.first_of_groups(empty(spark)).collect() == []
 
 
-# ------------------------------------------------------------------- resemblance
-
-
-def plain_shingles(text):
-    lower = (text or "").translate({c: c + 32 for c in range(65, 91)})
-    words = re.findall("[^\x20\x09-\x0d]+", lower)
-    return frozenset(" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
-
-
-@pytest.mark.parametrize("chunk,often", [(2048, 3), (4, 10**6), (4, 1)])
-def test_near_copies_leave_the_pipeline(spark, monkeypatch, chunk, often):
-    """Copies with every share of words changed, a common line, and chains of changes."""
-    monkeypatch.setattr(resemblance, "LIST_CHUNK", chunk)
-    monkeypatch.setattr(resemblance, "OFTEN", often)
-    rnd = random.Random(chunk)
-    word = lambda: "".join(rnd.choice(["an", "the", "or", "st", "li"]) for _ in range(4))
-    line = [word() for _ in range(20)]
-    texts = ["", None, "  ", "One", "one ", "one two three four", "one two three four five six"]
-    for _ in range(25):
-        words = [word() for _ in range(rnd.randint(5, 250))] + line * rnd.randint(0, 1)
-        texts.append(" ".join(words))
-        for _ in range(rnd.randint(1, 8)):
-            source = words if rnd.random() < 0.7 else texts[-1].split()
-            near = [*source]
-            for _ in range(rnd.randint(0, 1 + len(near) // 30)):
-                near[rnd.randrange(len(near))] = word()
-            texts.append(" ".join(near))
-    ids = rnd.sample(range(1000), len(texts))
-    df = docs(spark, [(i, t, "en", "s") for i, t in zip(ids, texts)])
-    sets = [plain_shingles(t) for t in texts]
-    linked = lambda a, b: a == b or bool(a and b) and 5 * len(a & b) >= 4 * len(a | b)
-    pairs = [(i, j) for i in range(len(sets)) for j in range(i) if sets[i] != sets[j] and linked(sets[i], sets[j])]
-    prints = [plain_fingerprint(t) for t in texts]
-    assert any((prints[i] ^ prints[j]).bit_count() > 3 for i, j in pairs)
-    kept = corpus_pipeline.without_near_copies(spark, df, "")
-    assert kept.columns == df.columns
-    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(smallest_reachable(ids, sets, linked)))
-
-
-def test_rows_of_near_copies(spark, many):
-    df, rows = many
-    kept = resemblance.first_of_groups(df).collect()
-    component = smallest_reachable([r[0] for r in rows], [plain_shingles(t) for _, t, *_ in rows], lambda a, b: a == b or bool(a and b) and 5 * len(a & b) >= 4 * len(a | b))
-    assert sorted(repr(r.doc_id) for r in kept) == sorted(map(repr, set(component)))
-    assert resemblance.first_of_groups(empty(spark)).collect() == []
-
-
 # ------------------------------------------------------------------- language ID
 
 
@@ -351,6 +316,33 @@ def test_language_of_documents_and_spans(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 3] and len(kept.columns) == 12
 
 
+def test_scripts_narrow_the_candidates_first():
+    """Unseen words of a script are never of a language that does not write it, and block
+    sizes do not show in the scores, which are those of one word after the other."""
+    rnd = random.Random(3)
+    model = language.LanguageModel(
+        ["aa", "ru", "zz"],
+        np.log(np.array([rnd.random() for _ in range(3 * language.BUCKETS)]).reshape(-1, 3) * [1, 1e-6, 1]).astype(np.float32),
+        np.array([[name == "cyrillic" if l == "ru" else name == "latin" for l in ("aa", "ru", "zz")] for name in language.SCRIPT_NAMES]),
+    )
+    model.writes[~model.writes.any(axis=1)] = True
+    texts = ["слово другое", "word другое и x", "x" * 500 + " я " + "中文"]
+    words = language.words_of(texts)
+    ends = np.append(words.first[1:], len(words.trigram))
+    want = []
+    for n, (a, b) in enumerate(zip(words.first, ends)):
+        sums = model.weights[words.trigram[a:b]].sum(axis=0)
+        candidates = model.writes[words.script[n]]
+        want.append([max(s - sums[candidates].max(), -language.MOST) if c else -language.MOST for s, c in zip(sums, candidates)])
+    for cells in (1, 7, 100, 1 << 22):
+        language.CELLS, before = cells, language.CELLS
+        try:
+            assert model.word_scores(words) == pytest.approx(np.array(want), abs=2e-2)
+        finally:
+            language.CELLS = before
+    assert [r[0] for r in language.label_texts(model, ["новые слова здесь", "words"])][0] == "ru"
+
+
 def test_without_a_learned_language_everything_is_unknown(spark):
     model = language.learn(empty(spark))
     found = language.identify(docs(spark, [(1, "words", "aa", "s")]), model).collect()

@@ -41,24 +41,39 @@ def usable(v):
     return v is not None and all(x is not None and math.isfinite(x) for x in v)
 
 
-@pytest.mark.parametrize("shard,block,first", [(4096, 512, 256), (32, 3, 8)])
-def test_top_k(spark, monkeypatch, shard, block, first):
-    monkeypatch.setattr(topk, "SHARD", shard)
-    monkeypatch.setattr(topk, "QUERY_BLOCK", block)
-    monkeypatch.setattr(topk, "FIRST", first)
-    rows = awkward(1)
-    found = topk.top_k(vectors(spark, rows).coalesce(1), F.col("vec_id") % 50 == 0, 5).collect()
-    weights = [(i, [math.floor(256 * x) for x in v]) for i, v, _ in rows if usable(v)]
+LARGE = [[5000.0, 1.0], [1e18] * 8, [-3e30, 2.0] + [0.5] * 6, [3e30] * 8, [2.0**70, -(2.0**70)], [1e4] * 8]
+
+
+def plain_top_k(rows, every, k):
+    whole = lambda x: int(x) * 256 if abs(x) >= 2**52 else math.floor(256 * x)
+    weights = [(i, [whole(float(np.float32(x))) for x in v]) for i, v, _ in rows if usable(v)]
     want = []
     for at, (i, q) in enumerate(weights):
-        if i is not None and i % 50 == 0:
+        if i is not None and i % every == 0:
             scored = [
                 (-sum(a * b for a, b in zip(q, w)), j is None, j or 0, j)
                 for n, (j, w) in enumerate(weights)
                 if n != at
             ]
-            want += [(i, k + 1, j, -s) for k, (s, _, _, j) in enumerate(sorted(scored)[:5])]
-    assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, want))
+            clamped = lambda s: max(-(2**63), min(2**63 - 1, -s))
+            want += [(i, n + 1, j, clamped(s)) for n, (s, _, _, j) in enumerate(sorted(scored)[:k])]
+    return want
+
+
+@pytest.mark.parametrize("shard,shards,block,first,large", [
+    (4096, 8, 512, 256, False), (32, 1, 3, 8, False), (16, 3, 7, 4, True), (4096, 8, 512, 2, True),
+])
+def test_top_k(spark, monkeypatch, shard, shards, block, first, large):
+    """Also with components of any finite size, among the queries and the others."""
+    monkeypatch.setattr(topk, "SHARD", shard)
+    monkeypatch.setattr(topk, "SHARDS", shards)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", block)
+    monkeypatch.setattr(topk, "FIRST", first)
+    rows = awkward(1)
+    if large:
+        rows += [(600 + 25 * n, v, 0) for n, v in enumerate(LARGE)]
+    found = topk.top_k(vectors(spark, rows).coalesce(1), F.col("vec_id") % 50 == 0, 5).collect()
+    assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, plain_top_k(rows, 50, 5)))
 
 
 def test_top_k_of_few_and_none(spark):
@@ -81,6 +96,29 @@ def test_pruned_search_is_full_search():
         assert (all_scores[rows] == scores).all()
 
 
+def test_the_score_to_beat_spares_work():
+    """Terms multiplied fall with clusters, and again when a shard begins with a known score."""
+    rnd = np.random.default_rng(6)
+    centre = rnd.integers(-200, 200, (40, 64)) * (rnd.random((40, 64)) < 0.3)
+    weights = (centre[rnd.integers(0, 40, 6000)] + rnd.integers(-4, 5, (6000, 64))).astype(float)
+    first, second = topk.Shard(weights[:3000]), topk.Shard(weights[3000:])
+    alone, every = 0, 0
+    for n in range(30):
+        _, scores = first.search(weights[n], 5, n)
+        beat = np.sort(scores)[-5]
+        before = second.multiplied
+        rows, _ = second.search(weights[n], 5, -1)
+        alone += second.multiplied - before
+        before = second.multiplied
+        better, found = second.search(weights[n], 5, -1, float(beat))
+        every += second.multiplied - before
+        all_scores = weights[3000:] @ weights[n]
+        assert set(better) <= set(np.flatnonzero(all_scores >= beat))
+        assert len(better) >= min(5, (all_scores >= beat).sum()) and (all_scores[better] == found).all()
+    assert first.multiplied < 0.5 * 30 * 3000 * 64
+    assert every < 0.8 * alone < 0.5 * 30 * 3000 * 64
+
+
 @pytest.mark.parametrize("tree,leaf", [(2048, 32), (16, 2)])
 def test_near_vectors(spark, monkeypatch, tree, leaf):
     monkeypatch.setattr(covertree, "TREE", tree)
