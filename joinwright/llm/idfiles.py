@@ -12,7 +12,6 @@ checkpoints are decoded side by side.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -131,26 +130,38 @@ def tokenised(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = encoder(tokenizer_file, words)
-        end = np.array([end_id], pieces.type)
+        kind = pieces.type if end_id < 1 << 8 * pieces.type.itemsize else np.dtype("<u4")
         for batch in batches:
             at = 0
             for ids, counts in pieces.encode(batch.column("text")):
-                parts = np.split(ids, np.cumsum(counts)[:-1])
-                rows = [np.concatenate([p, end]).astype(np.uint16 if end_id < 1 << 16 and p.itemsize == 2 else np.uint32) for p in parts]
+                whole, ends = with_ends(ids, counts, end_id, kind)
+                bounds = np.append(0, ends * kind.itemsize).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("doc_id").slice(at, len(parts)),
-                        pa.array([len(r) for r in rows], pa.int64()),
-                        pa.array([r.tobytes() for r in rows], pa.binary()),
+                        batch.column("doc_id").slice(at, len(counts)),
+                        pa.array(counts + 1, pa.int64()),
+                        pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(bounds), pa.py_buffer(whole)]),
                     ],
                     ["doc_id", "n_ids", "ids"],
                 )
-                at += len(parts)
+                at += len(counts)
 
     coded = source.mapInArrow(encode, f"doc_id {id_type(source)}, n_ids long, ids binary")
     return staged(coded.withColumn("row", F.monotonically_increasing_id()))
 
 
+def with_ends(
+    ids: np.ndarray, counts: np.ndarray, end_id: int, kind: np.dtype
+) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of several documents with an end id after each, and where each ends then."""
+    ends = np.cumsum(counts + 1)
+    out = np.full(int(ends[-1]) if len(ends) else 0, end_id, kind)
+    own = np.ones(len(out), bool)
+    own[ends - 1] = False
+    out[own] = ids
+    return out, ends
+
+
 def ids_of(value: bytes, n: int) -> np.ndarray:
     return np.frombuffer(value, np.dtype("<u2") if len(value) == 2 * n else np.dtype("<u4"))
 
@@ -294,7 +305,3 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
 def crc32(df: DataFrame, column: str = "ids") -> DataFrame:
     """The frame with ``ids_crc32`` in place of the bytes."""
     return df.withColumn("ids_crc32", F.crc32(F.col(column))).drop(column)
-
-
-def crc(ids: np.ndarray) -> int:
-    return zlib.crc32(ids.astype("<u4").tobytes())

@@ -9,6 +9,7 @@ that stay less than full are opened again and dealt to fewer chunks.
 from __future__ import annotations
 
 import random
+import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .bpe import encoder
 from .common import id_and_text, id_type, spread, staged
-from .idfiles import crc
+from .idfiles import with_ends
 
 #: Pieces of a chunk, islands of a chunk, epochs between which elites migrate.
 CHUNK = 2000
@@ -165,19 +166,24 @@ def pieces(
         for batch in batches:
             at = 0
             for ids, counts in coder.encode(batch.column("text")):
-                rows: list[tuple] = []
-                for k, own in enumerate(np.split(ids, np.cumsum(counts)[:-1])):
-                    own = np.append(own.astype("<u4"), np.uint32(end_id))
-                    first = len(own) % capacity or capacity
-                    edges = [0, *range(first, len(own) + 1, capacity)]
-                    for piece, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
-                        rows.append((at + k, piece, a, b - a, crc(own[a:b])))
-                of, *values = map(list, zip(*rows, strict=True))
-                kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64())
+                whole, ends = with_ends(ids, counts, end_id, np.dtype("<u4"))
+                size = counts + 1
+                pieces_ = -(-size // capacity)
+                of = np.repeat(np.arange(len(size)), pieces_)
+                piece = np.arange(len(of)) - np.repeat(np.cumsum(pieces_) - pieces_, pieces_)
+                first = size - (pieces_ - 1) * capacity
+                start = np.where(piece > 0, first[of] + (piece - 1) * capacity, 0)
+                length = np.where(piece > 0, capacity, first[of])
+                place = 4 * ((ends - size)[of] + start)
+                view = memoryview(whole).cast("B")
+                crcs = [zlib.crc32(view[a:b]) for a, b in zip(place.tolist(), (place + 4 * length).tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("doc_id").take(pa.array(of)),
-                        *(pa.array(v, kind) for v, kind in zip(values, kinds, strict=True)),
+                        batch.column("doc_id").take(pa.array(at + of)),
+                        pa.array(piece, pa.int32()),
+                        pa.array(start, pa.int64()),
+                        pa.array(length, pa.int64()),
+                        pa.array(crcs, pa.int64()),
                     ],
                     ["doc_id", "piece", "start", "length", "ids_crc32"],
                 )
