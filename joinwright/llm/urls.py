@@ -16,14 +16,14 @@ from pyspark.sql import functions as F
 
 from joinwright.functions.columns import col
 
-from .common import bounded_sample, id_type, importable
+from .common import bounded_sample, id_type, importable, staged
 
 #: Rows to learn from at most.
 LEARNED = 50_000
 #: Trees, levels of a tree, step, bins of a feature, rows of a leaf, penalty of leaf values.
 TREES, LEVELS, RATE, BINS, LEAST, PENALTY = 40, 4, 0.2, 32, 5, 1.0
-#: Suffixes of hosts with statistics of their own, and what they are smoothed with.
-SUFFIXES, PRIOR = 10_000, 5.0
+#: Labels of the host suffixes that have statistics, and what these are smoothed with.
+SUFFIX_LABELS, PRIOR = (1, 2, 3), 5.0
 #: Parts of the labelled rows; a row's statistics come from the other parts.
 FOLDS = 4
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -71,25 +71,16 @@ def entropy(text: str) -> float:
     return float(-(n * np.log2(n)).sum())
 
 
-def suffixes(host: str) -> list[str]:
-    """Last label, last two and last three labels of a host."""
-    labels = host.split(".")
-    return [".".join(labels[-k:]) for k in (1, 2, 3)]
-
-
-def lexical(url: str, host: str, path: str, statistics: dict[str, float], base: float) -> list[float]:
-    """Features of a URL; an unknown suffix has the statistics of the next shorter one."""
+def lexical(url: str, host: str, path: str, known: tuple[float, ...]) -> list[float]:
+    """Features of a URL; ``known`` are the shares of blocked URLs under its host's suffixes."""
     n = max(1, len(url))
     query = url.partition("#")[0].partition("?")[2]
-    known = [base]
-    for suffix in suffixes(host):
-        known.append(statistics.get(suffix, known[-1]))
     return [
         len(url), len(host), len(path), len(query), path.count("/"), host.count("."),
         sum(c.isdigit() for c in url) / n, sum(c.isdigit() for c in host) / max(1, len(host)),
         sum(not c.isalnum() for c in url) / n, host.count("-"), entropy(host), entropy(path),
         len([p for p in query.split("&") if p]), float("#" in url), float(url.startswith("https")),
-        *known[1:],
+        *known,
     ]
 
 
@@ -170,23 +161,60 @@ def boost(x: np.ndarray, y: np.ndarray) -> Trees:
 
 @dataclass
 class UrlModel:
-    statistics: dict[str, float]
+    """``statistics`` is a written table with a row for every suffix of a labelled host."""
+
+    statistics: DataFrame | None
     base: float
     trees: Trees | None
 
-    def blocked(self, urls: list[str], hosts: list[str], paths: list[str]) -> np.ndarray:
-        """Probability that each URL is to be blocked."""
+    def blocked(self, urls: list[tuple]) -> np.ndarray:
+        """Probability that each URL (url, host, path and what is known) is to be blocked."""
         if self.trees is None or not urls:
             return np.full(len(urls), self.base)
-        x = [lexical(*u, self.statistics, self.base) for u in zip(urls, hosts, paths, strict=True)]
+        x = [lexical(url, host, path, known) for url, host, path, *known in urls]
         return 1 / (1 + np.exp(-self.trees.score(np.array(x, float))))
 
 
+def suffix_columns() -> list[Column]:
+    """The last labels of ``host``, the last of them first."""
+    labels = F.reverse(F.split("host", r"\."))
+    return [F.array_join(F.slice(labels, 1, k), ".") for k in SUFFIX_LABELS]
+
+
+def with_known(
+    rows: DataFrame, statistics: DataFrame, base: float, without: str | None = None
+) -> tuple[DataFrame, list[str]]:
+    """The rows with the share of blocked labelled URLs under each suffix of their host.
+
+    A suffix that no labelled host has gets the share of the next shorter one. ``without``
+    names a column with the part of the labelled rows that is left out. Every suffix
+    is joined on its own, so a suffix that most hosts have is a hot key of a kept side only.
+    """
+    shorter, names = F.lit(base), []
+    for k, suffix in zip(SUFFIX_LABELS, suffix_columns(), strict=True):
+        counted = statistics.toDF(f"suffix_{k}", f"bads_{k}", f"ns_{k}")
+        rows = rows.withColumn(f"own_{k}", suffix).join(
+            counted, F.col(f"own_{k}") == F.col(f"suffix_{k}"), "left"
+        )
+        bad, n = (
+            F.aggregate(f"{c}_{k}", zero, lambda a, x: a + x)
+            - (F.element_at(f"{c}_{k}", F.col(without) + 1) if without else zero)
+            for c, zero in (("bads", F.lit(0.0)), ("ns", F.lit(0).cast("bigint")))
+        )
+        share = (bad + F.lit(PRIOR * base)) / (n + F.lit(PRIOR))
+        name = f"known_{k}"
+        rows = rows.withColumn(name, F.coalesce(F.when(n > 0, share), shorter))
+        rows = rows.drop(f"own_{k}", f"suffix_{k}", f"bads_{k}", f"ns_{k}")
+        shorter = F.col(name)
+        names.append(name)
+    return rows, names
+
+
 def learn(ruled: DataFrame, bound: int = LEARNED) -> UrlModel:
     """Model from the rows of ``page_id, url, host, path, verdict`` that have a verdict.
 
-    Statistics of suffixes cover all labelled rows and are summed in a shuffle; the
-    SUFFIXES most frequent are kept. The trees learn from ``bound`` rows at most,
+    Statistics of suffixes cover all labelled rows; they are summed in a shuffle and
+    written, however many they are. The trees learn from ``bound`` rows at most,
     chosen by a hash of the URL. What a row learns from about its suffixes comes from other
     parts of the labelled rows, so that neither a rare suffix nor the row's own share gives its
     label away. Without rows of both verdicts there are no trees, and everything has
@@ -197,44 +225,28 @@ def learn(ruled: DataFrame, bound: int = LEARNED) -> UrlModel:
         .withColumn("bad", (F.col("verdict") == "block").cast("double"))
         .withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), "url"), F.lit(FOLDS)).cast("int"))
     )
-    labels = F.split("host", r"\.")
-    ends = F.array_distinct(
-        F.array(*(F.array_join(F.slice(F.reverse(labels), 1, k), ".") for k in (1, 2, 3)))
-    )
     in_fold = [F.col("fold") == f for f in range(FOLDS)]
-    counted = (
-        labelled.select(F.explode(ends).alias("suffix"), "bad", "fold")
+    statistics = staged(
+        labelled.select(
+            F.explode(F.array_distinct(F.array(*suffix_columns()))).alias("suffix"), "bad", "fold"
+        )
         .groupBy("suffix")
         .agg(
-            F.count("*").alias("n"),
             F.array(*(F.sum(F.when(f, F.col("bad")).otherwise(0.0)) for f in in_fold)).alias("bads"),
             F.array(*(F.count_if(f) for f in in_fold)).alias("ns"),
         )
-        .orderBy(F.desc("n"), "suffix")
-        .limit(SUFFIXES)
-        .collect()
     )
-    sample = bounded_sample(labelled, "url", bound).select("url", "host", "path", "bad", "fold").toPandas()
-    base = float(sample["bad"].mean()) if len(sample) else 0.0
-
-    def statistics(without: int | None) -> dict[str, float]:
-        out = {}
-        for r in counted:
-            keep = [f for f in range(FOLDS) if f != without]
-            bad, n = (sum(r[c][f] for f in keep) for c in ("bads", "ns"))
-            if n:
-                out[".".join(reversed(r["suffix"].split(".")))] = (bad + PRIOR * base) / (n + PRIOR)
-        return out
-
+    sample = staged(bounded_sample(labelled, "url", bound).select("url", "host", "path", "bad", "fold"))
+    base = sample.agg(F.avg("bad")).first()[0] or 0.0
     if not 0 < base < 1:
-        return UrlModel(statistics(None), base, None)
-    others = [statistics(f) for f in range(FOLDS)]
+        return UrlModel(statistics, base, None)
+    sample, names = with_known(sample, statistics, base, "fold")
+    sample = sample.select("url", "host", "path", *names, "bad").orderBy("url", "bad").toPandas()
     x = [
-        lexical(url, host, path, others[fold], base)
-        for url, host, path, _, fold in sample.itertuples(index=False)
+        lexical(url, host, path, known)
+        for url, host, path, *known, _ in sample.itertuples(index=False)
     ]
-    trees = boost(np.array(x, float), sample["bad"].to_numpy(float))
-    return UrlModel(statistics(None), base, trees)
+    return UrlModel(statistics, base, boost(np.array(x, float), sample["bad"].to_numpy(float)))
 
 
 def with_rules(
@@ -257,20 +269,23 @@ def judge(ruled: DataFrame, model: UrlModel, threshold: float = 0.5) -> DataFram
     A rule's verdict stands; else a page is blocked from a probability of
     ``threshold`` on, which is ``score``. A URL that is null or has no ``://`` has an empty host and
     path, fits no rule and is judged by the model like others. Repeated rows give a row
-    each. One pass without a shuffle.
+    each. The pages' ids and URLs are joined with the statistics of their hosts' suffixes; what
+    else the pages have is not moved.
     """
+    known, shares = with_known(ruled, model.statistics, model.base)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            urls = [u or "" for u in batch.column("url").to_pylist()]
-            p = model.blocked(urls, batch.column("host").to_pylist(), batch.column("path").to_pylist())
+            given = [batch.column(c).to_pylist() for c in ("url", "host", "path", *shares)]
+            p = model_.blocked([(u or "", *rest) for u, *rest in zip(*given, strict=True)])
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in names), pa.array(p, pa.float64())], [*names, "score"]
             )
 
     names = ["page_id", "host", "path", "rule", "verdict"]
+    model_ = UrlModel(None, model.base, model.trees)  # without the frame, which stays on the driver
     kinds = f"page_id {id_type(ruled, 'page_id')}, host string, path string, rule string, verdict string"
     own = F.when(F.col("score") >= threshold, "block").otherwise("allow")
-    return ruled.mapInArrow(scored, f"{kinds}, score double").withColumn(
+    return known.mapInArrow(scored, f"{kinds}, score double").withColumn(
         "verdict", F.coalesce("verdict", own)
     )
