@@ -2,13 +2,15 @@
 
 The tokens of the cells (source, language, topic) are raked: in turn, the weights of
 all sources, languages and topics are scaled to their targets, until all three
-margins hold. A document is then kept with a probability in proportion to the weight
-of its cell, or drawn so many times as is in proportion to it. Everything is a DataFrame
-expression.
+margins hold. A document is then drawn so many times as is in proportion to the weight
+of its cell, the rest of it by a draw. Everything is a DataFrame expression.
 """
 
 from __future__ import annotations
 
+import warnings
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,8 +19,10 @@ from joinwright.functions.columns import col
 from .common import staged, unused
 
 DIMENSIONS = ("source", "lang", "topic")
-#: Sweeps over the margins.
-SWEEPS = 8
+#: Most sweeps over the margins, and the relative error from which on there are no more.
+SWEEPS, TOLERANCE = 24, 1e-10
+#: Tokens that are drawn, as a share of those there are.
+SHARE = 0.5
 #: Targets are the present shares to this power: below 1, small categories gain.
 TEMPER = 0.8
 #: Bytes of text that count as a token.
@@ -68,16 +72,21 @@ def tempered(cells: DataFrame, dimension: str, power: float = TEMPER) -> DataFra
     return raised.select(dimension, (F.col("raised") / F.lit(total)).alias("target"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS) -> DataFrame:
+def rake(
+    cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS, tolerance: float = TOLERANCE
+) -> DataFrame:
     """The cells with ``ratio``, what each token weighs after raking.
 
     ``targets`` has a frame (category, ``target``) for each dimension; a category
     without a target, or whose weights are all zero, has the factor 0. Cells are
     never changed: what a step writes is one factor per category, and what it shuffles are sums
-    per task and category.
+    per task and category. When a sweep finds all margins within ``tolerance`` of their
+    targets, raking ends. Targets that the cells cannot meet, as where every source has a language
+    of its own, are warned about after ``sweeps`` sweeps; the ratios are those reached then.
     """
     factors = {d: targets[d].select(d, F.lit(1.0).alias(f"f_{d}")) for d in DIMENSIONS}
     for _ in range(sweeps):
+        off = []
         for d in DIMENSIONS:
             weight, held = F.col("tokens").cast("double"), cells
             for other in DIMENSIONS:
@@ -86,11 +95,23 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS)
                     weight = weight * F.coalesce(f"f_{other}", F.lit(0.0))
             held = held.groupBy(d).agg(F.sum(weight).alias("held"))
             factor = F.when(F.col("held") > 0, F.coalesce("target", F.lit(0.0)) / F.col("held"))
-            factors[d] = staged(
-                held.join(targets[d], d, "left").select(
-                    d, F.coalesce(factor, F.lit(0.0)).alias(f"f_{d}")
+            # The margin was that far off before this step.
+            error = F.abs(F.col("held") * F.coalesce(f"f_{d}", F.lit(0.0)) - F.coalesce("target", F.lit(0.0)))
+            made = staged(
+                held.join(targets[d], d, "left")
+                .join(factors[d], d, "left")
+                .select(
+                    d, F.coalesce(factor, F.lit(0.0)).alias("made"),
+                    (error / F.greatest("target", F.lit(1e-300))).alias("off"),
                 )
             )
+            off.append(made.select("off"))
+            factors[d] = made.select(d, F.col("made").alias(f"f_{d}"))
+        error = reduce(DataFrame.union, off).agg(F.max("off")).first()[0] or 0.0
+        if error <= tolerance:
+            break
+    else:
+        warnings.warn(f"after {sweeps} sweeps a margin is {error:.2g} off its target", stacklevel=2)
     ratio, out = F.lit(1.0), cells
     for d in DIMENSIONS:
         out = out.join(factors[d], d, "left")
@@ -98,16 +119,6 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS)
     return out.select(*DIMENSIONS, "tokens", ratio.alias("ratio"))
 
 
-def probabilities(cells: DataFrame) -> DataFrame:
-    """``source, lang, topic, probability``: the ratio over the largest ratio.
-
-    It is the largest sample whose expected composition is that of the targets, as no
-    probability has to be cut at 1.
-    """
-    most = cells.agg(F.max("ratio")).first()[0] or 1.0
-    return cells.select(*DIMENSIONS, (F.col("ratio") / F.lit(most)).alias("probability"))
-
-
 def draw(id_column: Column) -> Column:
     """A whole number below DRAWS from the id, the same at every run."""
     digest = F.md5(F.coalesce(id_column.cast("string"), F.lit("")).cast("binary"))
@@ -141,58 +152,62 @@ def raked(docs: DataFrame, targets: dict[str, DataFrame] | None = None) -> DataF
     return staged(rake(cells, targets))
 
 
-def calibrated(docs: DataFrame, targets: dict[str, DataFrame] | None = None) -> DataFrame:
-    """``source, lang, topic, probability`` of every cell of the documents; targets as in ``raked``."""
-    return staged(probabilities(raked(docs, targets)))
+def calibrated(
+    docs: DataFrame, targets: dict[str, DataFrame] | None = None, share: float = SHARE
+) -> DataFrame:
+    """``source, lang, topic, copies`` of every cell of the documents; targets as in ``raked``."""
+    return staged(expected_copies(raked(docs, targets), share))
+
+
+def times_drawn(copies: str, id_column: str) -> Column:
+    """Whole part of the expected copies, and one more by a draw for the rest."""
+    whole = F.floor(copies)
+    more = draw(col(id_column)) < (F.col(copies) - whole) * F.lit(float(DRAWS))
+    return whole + more.cast("long")
 
 
-def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None) -> DataFrame:
-    """``doc_id, source, lang, topic, tokens, probability, kept`` of every document.
+def mix(
+    docs: DataFrame, targets: dict[str, DataFrame] | None = None, share: float = SHARE
+) -> DataFrame:
+    """``doc_id, source, lang, topic, tokens, copies, times`` of every document.
 
-    ``kept`` is true if the document's draw is below its probability; rows of one id
-    share the draw. A null source or language is a category '', a null text counts one token.
+    ``copies`` is how often a document of its cell is drawn on average, ``times`` how often this
+    one is; rows of one id share the draw. ``share`` of the tokens is expected to be drawn: a
+    category that is rarer than its target is repeated, and does not scale the others down. A null
+    source or language is a category '', a null text counts one token. An empty table gives no rows.
     """
     of = docs.select("doc_id", *(c.alias(n) for n, c in cell_columns().items()))
-    return of.join(calibrated(docs, targets), list(DIMENSIONS)).select(
-        "doc_id",
-        *DIMENSIONS,
-        "tokens",
-        "probability",
-        (draw(F.col("doc_id")) < F.col("probability") * F.lit(float(DRAWS))).alias("kept"),
+    return of.join(calibrated(docs, targets, share), list(DIMENSIONS)).select(
+        "doc_id", *DIMENSIONS, "tokens", "copies", times_drawn("copies", "doc_id").alias("times")
     )
 
 
 def sampled(
-    docs: DataFrame, targets: dict[str, DataFrame] | None = None, share: float | None = None
+    docs: DataFrame, targets: dict[str, DataFrame] | None = None, share: float = SHARE
 ) -> DataFrame:
-    """The rows that are drawn, with their own columns.
+    """The rows that ``mix`` draws, each as often as it does, with their own columns.
 
-    With a ``share`` of the tokens to expect, a row is there as often as the whole part of
-    its cell's expected copies says, and once more by its draw for the rest; a category
-    that is rarer than its target is repeated, and does not scale the others down. Without,
-    the rows are those that ``mix`` keeps, at most once each: the largest such sample, whose size
-    is set by the heaviest ratio.
+    Null texts, sources and languages count as in ``mix``; a text of any length is one row.
     """
     names = {n: unused(docs, f"of_{n}") for n in DIMENSIONS}
     columns = cell_columns()
-    cells = calibrated(docs, targets) if share is None else staged(expected_copies(raked(docs, targets), share))
     expected, times = unused(docs, "expected"), unused(docs, "times")
-    cells = cells.toDF(*names.values(), expected)
-    whole = F.floor(expected)
-    more = draw(F.col("doc_id")) < (F.col(expected) - whole) * F.lit(float(DRAWS))
+    cells = calibrated(docs, targets, share).toDF(*names.values(), expected)
     drawn = (
         docs.withColumns({names[n]: columns[n] for n in DIMENSIONS})
         .join(cells, list(names.values()))
-        .withColumn(times, whole + more.cast("long"))
+        .withColumn(times, times_drawn(expected, "doc_id"))
         .filter(F.col(times) > 0)
     )
-    if share is not None:
-        drawn = drawn.withColumn(times, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times))))
+    drawn = drawn.withColumn(times, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times))))
     return drawn.select(*(col(c) for c in docs.columns))
 
 
-def oracle(sweeps: int = SWEEPS, power: float = TEMPER) -> str:
-    """The result of ``mix`` over ``documents`` with tempered targets, as SQL."""
+def oracle(sweeps: int = 12, power: float = TEMPER, share: float = SHARE) -> str:
+    """The result of ``mix`` over ``documents`` with tempered targets, as SQL.
+
+    It has so many sweeps that the margins hold.
+    """
     quoted = lambda s: "'" + s.replace("'", "''") + "'"
     cases = " ".join(
         "WHEN "
@@ -234,9 +249,11 @@ def oracle(sweeps: int = SWEEPS, power: float = TEMPER) -> str:
         "WITH "
         + ",\n".join(steps)
         + f"""
-SELECT doc_id, source, lang, topic, tokens,
-       CAST(round(1e6 * r / (SELECT max(r) FROM rated)) AS BIGINT) AS probability_ppm,
-       CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT)
-         < r / (SELECT max(r) FROM rated) * {float(DRAWS)} AS kept
-FROM of JOIN rated USING (source, lang, topic)"""
+SELECT doc_id, source, lang, topic, tokens, CAST(round(1e6 * copies) AS BIGINT) AS copies_ppm,
+       CAST(floor(copies) AS BIGINT) + CAST(CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT)
+         < (copies - floor(copies)) * {float(DRAWS)} AS BIGINT) AS times
+FROM of JOIN (
+  SELECT source, lang, topic, r * {share} * sum(tokens) OVER () / sum(tokens * r) OVER () AS copies
+  FROM rated JOIN cells USING (source, lang, topic)
+) USING (source, lang, topic)"""
     )

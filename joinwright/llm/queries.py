@@ -75,7 +75,7 @@ def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    """Every document with its calibrated probability, and whether it is drawn."""
+    """Every document with the copies that its cell is to have, and how often it is drawn."""
     mixed = mix(table(spark, folder, "documents"))
     return mixed.select(
         "doc_id",
@@ -83,8 +83,8 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
         "lang",
         "topic",
         "tokens",
-        F.round(F.col("probability") * 1e6).cast("long").alias("probability_ppm"),
-        "kept",
+        F.round(F.col("copies") * 1e6).cast("long").alias("copies_ppm"),
+        "times",
     )
 
 
