@@ -24,6 +24,8 @@ def importable(spark: SparkSession) -> None:
     This serves local mode, whatever the working folder. On a cluster the package is
     installed, or shipped with ``--py-files``, as usual.
     """
+    if not spark.sparkContext.master.startswith("local"):
+        return
     environment = spark.sparkContext.environment
     root = str(Path(__file__).resolve().parents[2])
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]

@@ -265,7 +265,11 @@ def in_a_language(
     least: float = 0.4,
     text_column: str = "text",
 ) -> DataFrame:
-    """The rows whose text is in a learned language with at least this score, unchanged."""
+    """The rows whose text is in a learned language with at least this score, unchanged.
+
+    A null text, one without letters and every text of a model without languages go; a text of
+    any length is one row. Repeated rows are judged alike. An empty table stays empty.
+    """
     name = unused(docs, "label")
     labelled = with_struct(docs, text_column, name, LABEL, lambda texts: label_texts(model, texts))
     kept = (F.col(f"{name}.lang_pred") != "und") & (F.col(f"{name}.score") >= least)

@@ -247,7 +247,11 @@ def severity(
 
 
 def not_toxic(docs: DataFrame, model: OrdinalModel, text_column: str = "text") -> DataFrame:
-    """The rows that are not toxic, unchanged."""
+    """The rows that are not toxic, unchanged.
+
+    Null and empty texts have no features and stay. A text of any length is one row; repeated
+    rows are judged alike. An empty table stays empty.
+    """
     name = unused(docs, "graded")
     graded = with_struct(docs, text_column, name, SEVERITY, lambda texts: grade_texts(model, texts))
     return graded.filter(~F.col(f"{name}.toxic")).drop(name)

@@ -428,15 +428,37 @@ def test_raking_meets_the_margins(spark):
         assert weight.groupby(found[d]).sum().tolist() == pytest.approx(v, abs=1e-6)
 
 
+def test_raking_ends_when_the_margins_hold(spark, recwarn):
+    rows = [("a", "x", "t", 10), ("b", "x", "t", 30), ("b", "y", "t", 60)]
+    cells = spark.createDataFrame(rows, "source string, lang string, topic string, tokens long")
+
+    def targets(a, x):
+        return {
+            "source": spark.createDataFrame([("a", a), ("b", 1 - a)], "source string, target double"),
+            "lang": spark.createDataFrame([("x", x), ("y", 1 - x)], "lang string, target double"),
+            "topic": spark.createDataFrame([("t", 1.0)], "topic string, target double"),
+        }
+
+    found = mixing.rake(cells, targets(0.3, 0.5), tolerance=1e-6).toPandas()
+    weight = (found["tokens"] * found["ratio"]).groupby(found["lang"]).sum()
+    assert weight.tolist() == pytest.approx([0.5, 0.5], abs=1e-5)
+    assert not [w for w in recwarn if "off its target" in str(w.message)]
+    with pytest.warns(UserWarning, match="off its target"):  # all of a is x, so x is at least as much
+        mixing.rake(cells, targets(0.6, 0.5), sweeps=3)
+
+
 def test_mixing(spark, many):
     df, rows = many
     found = mixing.mix(df).collect()
     assert len(found) == len(rows)
-    assert max(r.probability for r in found) == pytest.approx(1)
-    assert min(r.probability for r in found) > 0
+    tokens = sum(r.tokens for r in found)
+    assert sum(r.tokens * r.copies for r in found) == pytest.approx(mixing.SHARE * tokens)
+    assert all(r.copies > 0 and r.times - 1 < r.copies < r.times + 1 for r in found)
     kept = mixing.sampled(df)
     assert kept.columns == df.columns
-    assert sorted(repr(r.doc_id) for r in kept.collect()) == sorted(repr(r.doc_id) for r in found if r.kept)
+    assert sorted(repr(r.doc_id) for r in kept.collect()) == sorted(repr(r.doc_id) for r in found for _ in range(r.times))
+    twice = mixing.mix(df, share=2.0).collect()
+    assert sum(r.tokens * r.times for r in twice) == pytest.approx(2 * tokens, rel=0.2)
     assert mixing.mix(empty(spark)).collect() == [] == mixing.sampled(empty(spark)).collect()
 
 
