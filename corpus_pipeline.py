@@ -2,7 +2,11 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a frame, which is written as
 Parquet and read again as the next stage's ``docs``. All but the last return the
-columns of ``docs`` as they were.
+columns of ``docs`` as they were, whatever else these are called.
+
+A null text is an empty one, which has no language and goes in the first stage. Very long texts
+are rows like others. Repeated rows are judged alike; near-dedup leaves one of them. Ties go by the
+smaller id. From an empty table every stage makes an empty one.
 """
 
 from __future__ import annotations
