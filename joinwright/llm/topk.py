@@ -23,7 +23,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from joinwright.functions.columns import col
 
 from .centroids import big_integers
-from .common import flat, id_type, staged
+from .common import flat, staged
 from .vectors import finite, matrix, packed
 
 #: Rows of a shard of the index, shards that a task holds at a time, queries of a block.
