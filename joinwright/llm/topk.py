@@ -30,11 +30,11 @@ from .vectors import finite, matrix, packed
 SHARD = 4096
 SHARDS = 8
 QUERY_BLOCK = 512
-#: Rows of a shard scored between two looks at the score to beat: at first, and how many times
-#: as many each time after that.
-FIRST, MORE = 256, 4
+#: Rows that are scored first where there is no score to beat yet, and the most between two
+#: looks at it.
+FIRST, MOST_ROWS = 256, 4096
 #: Non-essential terms probed at a time.
-PROBED = 8
+PROBED = 16
 #: Up to so large a weight and so many terms, sums are exact in floats; others are Python's
 #: integers.
 HEAVIEST, MOST_TERMS = 1 << 20, 1 << 12
@@ -107,10 +107,11 @@ class Shard:
         rest = np.append(np.cumsum(bound[order][::-1])[::-1], 0.0)  # bound of terms from here on
         found, scores = [np.zeros(0, np.int64)], [np.zeros(0)]
         best = np.zeros(0)
-        start, size = 0, FIRST
+        start = 0
         while start < len(self.small):
+            size = MOST_ROWS if np.isfinite(beat) else FIRST
             rows = np.arange(start, min(start + size, len(self.small)))
-            start, size = start + size, size * MORE
+            start += size
             rows = rows[self.small[rows] != own]
             # Essential: all terms up to where the rest alone cannot reach the score.
             n = int(np.searchsorted(-rest, -beat, side="right")) if np.isfinite(beat) else width
@@ -214,7 +215,9 @@ def top_k(
     )
     counted = rows.agg(F.count("*"), F.count_if("is_query")).first()
     n_shards, n_blocks = max(1, -(-counted[0] // SHARD)), max(1, -(-counted[1] // QUERY_BLOCK))
-    n_groups = -(-n_shards // SHARDS)
+    # Few shards are spread over all cores; what is found does not depend on it.
+    cores = vectors.sparkSession.sparkContext.defaultParallelism
+    n_groups = max(-(-n_shards // SHARDS), min(n_shards, cores))
     in_shard = F.pmod(F.xxhash64("row"), F.lit(n_shards)).cast("int").alias("shard")
     in_block = F.pmod(F.xxhash64("row"), F.lit(n_blocks)).cast("int").alias("block")
     held = ["row", "vec_id", "vector"]
