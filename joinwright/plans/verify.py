@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import cached_property
 from typing import Any
@@ -62,14 +62,16 @@ def verify(
     expected: DataFrame,
     name: str = "job",
     digits: int | None = None,
+    by: str | Sequence[str] = (),
 ) -> Verification:
     """Run a job and compare its output with the expected table.
 
     Row and column order do not matter.  An error that the job raises while it
-    builds its result, or while it runs, counts as failure.
+    builds its result, or while it runs, counts as failure.  ``by`` is that of
+    :func:`joinwright.operators.compare.row_difference`.
     """
     try:
-        difference = row_difference(expected, job(tables), digits=digits)
+        difference = row_difference(expected, job(tables), digits=digits, by=by)
     except SchemaMismatch as e:
         return _failed(expected, name, str(e))
     except Exception as e:  # whatever a job under test may raise
