@@ -179,11 +179,14 @@ class PieceEncoder:
         """Ids of each pretoken by the library's model."""
         letters = b"".join(pretokens).decode("latin-1").translate(LETTERS)
         ends = list(accumulate(map(len, pretokens)))
-        tokenize = self.model.tokenize
-        tokens = [tokenize(letters[a:b]) for a, b in zip([0, *ends], ends)]
-        ids = np.array([t.id for own in tokens for t in own], self.type).tobytes()
-        ends = [n * self.type.itemsize for n in accumulate(map(len, tokens))]
-        return [ids[a:b] for a, b in zip([0, *ends], ends)]
+        tokenize, size = self.model.tokenize, self.type.itemsize
+        ids, to, at = [], [], 0
+        for end in ends:
+            ids += [t.id for t in tokenize(letters[at:end])]
+            to.append(len(ids) * size)
+            at = end
+        whole = np.array(ids, self.type).tobytes()
+        return [whole[a:b] for a, b in zip([0, *to], to)]
 
     def normalized(self, texts: pa.StringArray) -> pa.StringArray:
         """Texts as the pretokenizer gets them, but for the kind of white space."""

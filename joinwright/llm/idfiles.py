@@ -162,8 +162,17 @@ def with_ends(
     return out, ends
 
 
-def ids_of(value: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(value, np.dtype("<u2") if len(value) == 2 * n else np.dtype("<u4"))
+def ids_of(values: pa.BinaryArray, n: int) -> np.ndarray:
+    """The ``n`` ids of all rows, one after the other; they are of one width."""
+    _, offsets, data = values.buffers()
+    at = np.frombuffer(offsets, np.int32)[values.offset : values.offset + len(values) + 1]
+    own = np.frombuffer(data, np.uint8)[at[0] : at[-1]] if len(values) else np.zeros(0, np.uint8)
+    return own.view(np.dtype("<u2") if len(own) == 2 * n else np.dtype("<u4"))
+
+
+def listed(values: pa.Array) -> pa.ListArray:
+    """All values as the list of one row."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
 def write_ids(
@@ -189,11 +198,11 @@ def write_ids(
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1, np.int64)
         for batch in batches:
-            for n, value in zip(flat(batch.column("n_ids")), batch.column("ids"), strict=True):
-                own = np.bincount(ids_of(value.as_py(), n))
-                if len(own) > len(total):
-                    total, own = own, total
-                total[: len(own)] += own
+            n = int(flat(batch.column("n_ids")).sum())
+            own = np.bincount(ids_of(batch.column("ids"), n))
+            if len(own) > len(total):
+                total, own = own, total
+            total[: len(own)] += own
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["id", "n"])
 
@@ -212,11 +221,12 @@ def write_ids(
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec, part = Codec(ids, lengths), TaskContext.get().partitionId()
-        held: list[tuple[object, np.ndarray]] = []
+        held: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
         size = before = number = 0
 
         def closed() -> pa.RecordBatch:
-            bits, offsets = codec.encode(np.concatenate([x for _, x in held]))
+            doc_ids, lengths_of, own = zip(*held)
+            bits, offsets = codec.encode(np.concatenate(own))
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([part], pa.int32()),
@@ -224,22 +234,30 @@ def write_ids(
                     pa.array([before], pa.int64()),
                     pa.array([size], pa.int64()),
                     pa.array([bits], pa.binary()),
-                    pa.array([offsets.tolist()], pa.list_(pa.int64())),
-                    pa.array([[i for i, _ in held]], pa.list_(kind)),
-                    pa.array([[len(x) for _, x in held]], pa.list_(pa.int64())),
+                    listed(pa.array(offsets, pa.int64())),
+                    listed(pa.concat_arrays(doc_ids)),
+                    listed(pa.array(np.concatenate(lengths_of), pa.int64())),
                 ],
                 names,
             )
 
         for batch in batches:
-            kind = batch.schema.field("doc_id").type
-            columns = (batch.column(c) for c in ("doc_id", "n_ids", "ids"))
-            for doc_id, n, value in zip(*columns, strict=True):
-                held.append((doc_id.as_py(), ids_of(value.as_py(), n.as_py())))
-                size += n.as_py()
+            sizes = flat(batch.column("n_ids"))
+            upto = np.append(0, np.cumsum(sizes, dtype=np.int64))
+            ids_of_batch = ids_of(batch.column("ids"), int(upto[-1]))
+            row = 0
+            while row < len(sizes):
+                # The block ends with the document that fills it, if one of this batch does.
+                full = int(np.searchsorted(upto[1:], upto[row] + BLOCK_IDS - size))
+                stop = min(full + 1, len(sizes))
+                # Copies, as what is held must not keep its batch.
+                doc_ids = pa.concat_arrays([batch.column("doc_id").slice(row, stop - row)])
+                held.append((doc_ids, sizes[row:stop].copy(), ids_of_batch[upto[row] : upto[stop]].copy()))
+                size += int(upto[stop] - upto[row])
                 if size >= BLOCK_IDS:
                     yield closed()
                     held, before, size, number = [], before + size, 0, number + 1
+                row = stop
         if held:
             yield closed()
 
@@ -277,21 +295,21 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(ids, lengths)
         for batch in batches:
-            kind = batch.schema.field("doc_ids").type.value_type
+            columns = dict(zip(batch.schema.names, batch.columns))
             for row in range(batch.num_rows):
-                block = batch.slice(row, 1).to_pylist()[0]
-                all_ids = codec.decode(
-                    block["bits"], np.asarray(block["checkpoints"]), block["n_ids"]
-                )
-                size = np.asarray(block["lengths"])
+                part, before, n_ids = (columns[c][row].as_py() for c in ("part", "before", "n_ids"))
+                checkpoints = flat(columns["checkpoints"][row].values)
+                all_ids = codec.decode(columns["bits"][row].as_buffer(), checkpoints, n_ids)
+                size = flat(columns["lengths"][row].values)
                 end = np.cumsum(size)
-                parts = np.split(all_ids.astype("<u4"), end[:-1])
+                bounds = np.append(0, end * 4).astype(np.int32)
+                whole = pa.py_buffer(np.ascontiguousarray(all_ids, "<u4"))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(block["doc_ids"], kind),
-                        pa.array(base[block["part"]] + block["before"] + end - size),
+                        columns["doc_ids"][row].values,
+                        pa.array(base[part] + before + end - size),
                         pa.array(size),
-                        pa.array([p.tobytes() for p in parts], pa.binary()),
+                        pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(bounds), whole]),
                     ],
                     ["doc_id", "start", "n_tokens", "ids"],
                 )

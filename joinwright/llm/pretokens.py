@@ -161,14 +161,13 @@ class Remembered:
         missing = [i for i, v in enumerate(out) if v is None]
         if not missing:
             return out
-        unseen, old = [], self.old.get
-        for i in missing:
-            out[i] = old(keys[i])
-            if out[i] is None:
-                unseen.append(i)
-        for i, value in zip(unseen, self.work([keys[i] for i in unseen]), strict=True):
+        own = [keys[i] for i in missing]
+        known = list(map(self.old.get, own))
+        made = iter(self.work([k for k, v in zip(own, known) if v is None]))
+        known = [next(made) if v is None else v for v in known]
+        for i, value in zip(missing, known):
             out[i] = value
-        new = {k: out[i] for i in missing if len(k := keys[i]) <= LONGEST}
+        new = {k: v for k, v in zip(own, known) if len(k) <= LONGEST}
         size = sum(map(len, new)) * 2 + OVERHEAD * len(new)
         if self.size + size > self.most:
             self.old, self.young, self.size = self.young, {}, 0
