@@ -20,17 +20,29 @@ from joinwright.llm.common import staged
 #: No SQL: Viterbi, regression, fingerprints and the genetic algorithm are not expressible.
 ORACLE_SQL = None
 
+#: The most bytes of the batches in which texts go to Python workers and back. An executor holds
+#: several for each task, by default of 10,000 rows, and its workers stay from stage to stage.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+
 #: Tokens that mixing is to draw, as a share of those that come in.
 MIXED = 0.5
 
 
+def in_small_batches(spark: SparkSession) -> None:
+    """Bound batches by BATCH_BYTES, unless the session has a bound of its own."""
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
+
+
 def in_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a letter, and those of which no language holds two fifths."""
+    in_small_batches(spark)
     return language.in_a_language(docs, language.learn(docs))
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that the severity model calls toxic; it learns from ``labels``."""
+    in_small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.not_toxic(docs, toxicity.learn(docs, labels))
 
@@ -38,6 +50,7 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document of the smallest id of each group of near copies: texts whose
     fingerprints of three-word shingles differ in three bits at most."""
+    in_small_batches(spark)
     return simhash.first_of_groups(docs, size=3)
 
 
@@ -51,6 +64,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their places in sequences of 2048 ids."""
+    in_small_batches(spark)
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end_id=0)
 
 

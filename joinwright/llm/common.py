@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterator
+from functools import partial
 from pathlib import Path
 
 import numpy as np
@@ -75,6 +76,22 @@ def flat(array: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return array.to_numpy(zero_copy_only=False)
 
 
+def batch_by_batch(
+    function: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]],
+    batches: Iterator[pa.RecordBatch],
+) -> Iterator[pa.RecordBatch]:
+    """What ``function`` makes of each batch; the memory that Arrow keeps of it is given back.
+
+    A worker serves task after task of all stages, and would hold the most that any of them took.
+    """
+    give_back = pa.default_memory_pool().release_unused
+    for batch in batches:
+        yield from function(batch)
+        del batch
+        give_back()
+    give_back()
+
+
 def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Tables of whole groups, from a partition that is sorted by the keys.
 
@@ -137,17 +154,17 @@ def with_struct(
     importable(docs.sparkSession)
     at = docs.columns.index(text_column)
 
-    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def added(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         arrow = to_arrow_type(kind)
-        for batch in batches:
-            for start, stop in text_runs(batch.column(at)):
-                part = batch.slice(start, stop - start)
-                texts = [t or "" for t in part.column(at).to_pylist()]
-                rows = [dict(zip(kind.names, r, strict=True)) for r in function(texts)]
-                made = pa.array(rows, arrow)
-                yield pa.RecordBatch.from_arrays([*part.columns, made], [*part.schema.names, name])
-
-    return docs.mapInArrow(added, T.StructType([*docs.schema.fields, T.StructField(name, kind)]))
+        for start, stop in text_runs(batch.column(at)):
+            part = batch.slice(start, stop - start)
+            texts = [t or "" for t in part.column(at).to_pylist()]
+            rows = [dict(zip(kind.names, r, strict=True)) for r in function(texts)]
+            made = pa.array(rows, arrow)
+            yield pa.RecordBatch.from_arrays([*part.columns, made], [*part.schema.names, name])
+
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, kind)])
+    return docs.mapInArrow(partial(batch_by_batch, added), schema)
 
 
 def text_runs(texts: pa.StringArray, most: int = 2 << 20) -> Iterator[tuple[int, int]]:

@@ -46,16 +46,24 @@ SCRIPTS = [
 SCRIPT_NAMES = sorted({name for _, name in SCRIPTS})
 
 
+#: Code points looked up at a time; as Python objects, all at once take 150 MB.
+LOOKED_UP = 1 << 12
+
+
 @lru_cache(maxsize=1)
 def letters() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each code point: lower-case letter (0 if none), whether it is one, its script."""
-    characters = [chr(c) for c in range(0x110000)]
-    is_letter = np.array([c.isalpha() for c in characters])
-    low = [ord(x) if len(x := c.lower()) == 1 else ord(c) for c in characters]
+    low, is_letter = np.zeros(0x110000, np.uint32), np.zeros(0x110000, bool)
+    for first in range(0, 0x110000, LOOKED_UP):
+        codes = range(first, first + LOOKED_UP)
+        own = slice(first, first + LOOKED_UP)
+        is_letter[own] = [chr(c).isalpha() for c in codes]
+        low[own] = [ord(x) if len(x := chr(c).lower()) == 1 else c for c in codes]
+    low[~is_letter] = 0
     starts = [first for first, _ in SCRIPTS]
     of = np.searchsorted(starts, np.arange(0x110000), side="right") - 1
     script = np.array([SCRIPT_NAMES.index(name) for _, name in SCRIPTS], np.uint8)[of]
-    return np.where(is_letter, low, 0).astype(np.uint32), is_letter, script
+    return low, is_letter, script
 
 
 @dataclass

@@ -12,6 +12,7 @@ import random
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import encoder
-from .common import id_and_text, id_type, spread, staged
+from .common import batch_by_batch, id_and_text, id_type, spread, staged
 from .idfiles import with_ends
 
 #: Pieces of a chunk, islands of a chunk, epochs between which elites migrate.
@@ -161,36 +162,35 @@ def pieces(
     """
     source = id_and_text(docs, id_column, text_column)
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(tokenizer_file, False)
-        for batch in batches:
-            at = 0
-            for ids, counts in coder.encode(batch.column("text")):
-                whole, ends = with_ends(ids, counts, end_id, np.dtype("<u4"))
-                size = counts + 1
-                pieces_ = -(-size // capacity)
-                of = np.repeat(np.arange(len(size)), pieces_)
-                piece = np.arange(len(of)) - np.repeat(np.cumsum(pieces_) - pieces_, pieces_)
-                first = size - (pieces_ - 1) * capacity
-                start = np.where(piece > 0, first[of] + (piece - 1) * capacity, 0)
-                length = np.where(piece > 0, capacity, first[of])
-                place = 4 * ((ends - size)[of] + start)
-                view = memoryview(whole).cast("B")
-                crcs = [zlib.crc32(view[a:b]) for a, b in zip(place.tolist(), (place + 4 * length).tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id").take(pa.array(at + of)),
-                        pa.array(piece, pa.int32()),
-                        pa.array(start, pa.int64()),
-                        pa.array(length, pa.int64()),
-                        pa.array(crcs, pa.int64()),
-                    ],
-                    ["doc_id", "piece", "start", "length", "ids_crc32"],
-                )
-                at += len(counts)
+    def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        coder, at = encoder(tokenizer_file, False), 0
+        for ids, counts in coder.encode(batch.column("text")):
+            whole, ends = with_ends(ids, counts, end_id, np.dtype("<u4"))
+            size = counts + 1
+            pieces_ = -(-size // capacity)
+            of = np.repeat(np.arange(len(size)), pieces_)
+            piece = np.arange(len(of)) - np.repeat(np.cumsum(pieces_) - pieces_, pieces_)
+            first = size - (pieces_ - 1) * capacity
+            start = np.where(piece > 0, first[of] + (piece - 1) * capacity, 0)
+            length = np.where(piece > 0, capacity, first[of])
+            place = 4 * ((ends - size)[of] + start)
+            view = memoryview(whole).cast("B")
+            crcs = [zlib.crc32(view[a:b]) for a, b in zip(place.tolist(), (place + 4 * length).tolist())]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id").take(pa.array(at + of)),
+                    pa.array(piece, pa.int32()),
+                    pa.array(start, pa.int64()),
+                    pa.array(length, pa.int64()),
+                    pa.array(crcs, pa.int64()),
+                ],
+                ["doc_id", "piece", "start", "length", "ids_crc32"],
+            )
+            at += len(counts)
 
     schema = f"doc_id {id_type(source)}, piece int, start long, length long, ids_crc32 long"
-    return staged(source.mapInArrow(cut, schema).withColumn("row", F.monotonically_increasing_id()))
+    made = source.mapInArrow(partial(batch_by_batch, cut), schema)
+    return staged(made.withColumn("row", F.monotonically_increasing_id()))
 
 
 def evolved(state: DataFrame, capacity: int, epoch: int, tasks: int) -> DataFrame:

@@ -78,12 +78,12 @@ class Pretokens:
         return out
 
     def _cut_endings(self, codes, at_first, out, quotes) -> None:
-        padded = np.concatenate([codes, np.zeros(4, codes.dtype)])
-        ends = np.concatenate([at_first, np.ones(4, bool)])
+        last = len(codes) - 1
         for ending in ENDINGS:
-            fits = np.ones(len(quotes), bool)
+            fits = quotes + len(ending) <= last
             for n, letter in enumerate(ending, start=1):
-                fits &= (padded[quotes + n] == letter) & ~ends[quotes + n]
+                at = np.minimum(quotes + n, last)
+                fits &= (codes[at] == letter) & ~at_first[at]
             at = quotes[fits]
             for n in range(1, len(ending) + 1):
                 out[at + n] = False
@@ -106,13 +106,17 @@ class Pretokens:
             first, byte = at, None
         else:
             codes = np.frombuffer(data.to_pybytes().decode().encode("utf-32-le"), "<u4")
-            width = 1 + (codes > 0x7F).astype(np.int32) + (codes > 0x7FF) + (codes > 0xFFFF)
-            byte = np.cumsum(width, dtype=np.int32) - width
+            width = np.ones(len(codes), np.uint8)
+            for above in (0x7F, 0x7FF, 0xFFFF):
+                width += codes > above
+            byte = np.zeros(len(codes), np.int32)
+            np.cumsum(width[:-1], dtype=np.int32, out=byte[1:])
             first = np.searchsorted(byte, at)
             first[at == len(data)] = len(codes)
         kind = self.classes_of(codes)
-        places = np.flatnonzero(self.begins(codes, kind, first))
+        places, codes = np.flatnonzero(self.begins(codes, kind, first)), None
         bounds = np.append(places if byte is None else byte[places], len(data)).astype(np.int32)
+        byte = None
         cut = pa.Array.from_buffers(pa.binary(), len(places), [None, pa.py_buffer(bounds), data])
         if self.words:
             kept = kind[places] != SPACE

@@ -11,6 +11,7 @@ others are verified bit by bit.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 from itertools import combinations
 
 import numpy as np
@@ -22,7 +23,9 @@ from pyspark.sql import types as T
 
 from joinwright.functions.columns import col
 
-from .common import chunk_pairs, flat, group_starts, id_and_text, importable, sorted_groups, staged, unused
+from .common import (
+    batch_by_batch, chunk_pairs, flat, group_starts, id_and_text, importable, sorted_groups, staged, unused,
+)
 from .components import components
 
 #: Bits in which linked fingerprints may differ, and the positional bytes they then share.
@@ -70,14 +73,13 @@ def fingerprinted(
     importable(docs.sparkSession)
     text = docs.columns.index(text_column)
 
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = [fingerprint(t.as_py() or "", size) for t in batch.column(text)]
-            fp = pa.array(np.array(values, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([*batch.columns, fp], [*batch.schema.names, name])
+    def hashed(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        values = [fingerprint(t.as_py() or "", size) for t in batch.column(text)]
+        fp = pa.array(np.array(values, np.uint64).view(np.int64))
+        yield pa.RecordBatch.from_arrays([*batch.columns, fp], [*batch.schema.names, name])
 
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())])
-    return docs.mapInArrow(hashed, schema)
+    return docs.mapInArrow(partial(batch_by_batch, hashed), schema)
 
 
 def near(fp: np.ndarray, others: np.ndarray) -> np.ndarray:
