@@ -15,25 +15,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from joinwright.llm import language, mixing, packing, simhash, toxicity
-from joinwright.llm.common import staged
+from joinwright.llm.common import in_small_batches, staged
 
 #: No SQL: Viterbi, regression, fingerprints and the genetic algorithm are not expressible.
 ORACLE_SQL = None
 
-#: The most bytes of the batches in which texts go to Python workers and back. An executor holds
-#: several for each task, by default of 10,000 rows, and its workers stay from stage to stage.
-BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
-
 #: Tokens that mixing is to draw, as a share of those that come in.
 MIXED = 0.5
 
 
-def in_small_batches(spark: SparkSession) -> None:
-    """Bound batches by BATCH_BYTES, unless the session has a bound of its own."""
-    if spark.conf.get(BATCH_SETTING, None) is None:
-        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
-
-
 def in_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a letter, and those of which no language holds two fifths."""
     in_small_batches(spark)

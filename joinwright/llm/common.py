@@ -18,6 +18,16 @@ from pyspark.sql.pandas.types import to_arrow_type
 from joinwright.functions.columns import col
 from joinwright.sources import new_folder
 
+#: The most bytes of the batches in which rows go to Python workers and back. An executor holds
+#: several for each task, by default of 10,000 rows or 64 MB, and its workers stay from stage to stage.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+
+
+def in_small_batches(spark: SparkSession) -> None:
+    """Bound batches by BATCH_BYTES, unless the session has a bound of its own."""
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
+
 
 def importable(spark: SparkSession) -> None:
     """Let Python workers look for the package where the driver found it.

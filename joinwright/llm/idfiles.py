@@ -21,7 +21,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import encoder
-from .common import flat, id_and_text, id_type, importable, spread, staged
+from .common import (
+    batch_by_batch,
+    flat,
+    id_and_text,
+    id_type,
+    importable,
+    in_small_batches,
+    spread,
+    staged,
+)
 
 #: Longest code in bits; the decoding table has 2 to that power of entries.
 LONGEST = 20
@@ -131,7 +140,8 @@ def tokenised(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = encoder(tokenizer_file, words)
         kind = pieces.type if end_id < 1 << 8 * pieces.type.itemsize else np.dtype("<u4")
-        for batch in batches:
+
+        def coded(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             at = 0
             for ids, counts in pieces.encode(batch.column("text")):
                 whole, ends = with_ends(ids, counts, end_id, kind)
@@ -146,6 +156,8 @@ def tokenised(
                 )
                 at += len(counts)
 
+        return batch_by_batch(coded, batches)
+
     coded = source.mapInArrow(encode, f"doc_id {id_type(source)}, n_ids long, ids binary")
     return staged(coded.withColumn("row", F.monotonically_increasing_id()))
 
@@ -191,8 +203,10 @@ def write_ids(
     Texts are encoded once. A null text is empty: its document is the end id alone.
     Null ids come first; rows of equal id follow the order in which they were read,
     and however many there are, they are dealt to tasks like others.
+    Unless the session bounds the bytes of batches, they are bounded from here on.
     """
     spark = docs.sparkSession
+    in_small_batches(spark)
     rows = tokenised(docs, tokenizer_file, words, end_id, id_column, text_column)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,9 +294,11 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
 
     ``start`` counts the ids of all documents before it; ``ids`` are the bytes of
     little-endian unsigned 32-bit integers. The blocks are not shuffled: the driver
-    gets the number of ids in each file, and so the ids before it.
+    gets the number of ids in each file, and so the ids before it. Unless the session
+    bounds the bytes of batches, they are bounded from here on.
     """
     importable(spark)
+    in_small_batches(spark)
     codes = spark.read.parquet(f"{folder}/codes").toPandas()  # bounded by the vocabulary
     ids, lengths = codes["id"].to_numpy(np.int64), codes["length"].to_numpy(np.int64)
     blocks = spark.read.parquet(f"{folder}/blocks")
@@ -294,7 +310,8 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(ids, lengths)
-        for batch in batches:
+
+        def decoded(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             columns = dict(zip(batch.schema.names, batch.columns))
             for row in range(batch.num_rows):
                 part, before, n_ids = (columns[c][row].as_py() for c in ("part", "before", "n_ids"))
@@ -314,6 +331,8 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
                     ["doc_id", "start", "n_tokens", "ids"],
                 )
 
+        return batch_by_batch(decoded, batches)
+
     kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
     return blocks.select(
         "part", "before", "n_ids", "bits", "checkpoints", "doc_ids", "lengths"

@@ -8,7 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from joinwright.llm import common, language, pretokens
+from joinwright.llm import common, idfiles, language, pretokens
 
 SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
@@ -90,3 +90,46 @@ def test_own_bound_of_a_session_stays(session, tmp_path):
     corpus_pipeline.in_small_batches(session)
     assert session.conf.get(SETTING) == "1m"
     assert max(r.bytes for r in sizes(session)) <= 2 << 20
+
+
+def test_files_of_ids_bound_the_bytes_of_batches(session, tmp_path):
+    file, folder = public_tokenizers.path("word_bpe_49k.json"), str(tmp_path / "ids")
+    idfiles.write_ids(session.createDataFrame([(1, "so it is")], "doc_id long, text string"), folder, file)
+    found = sizes(session)
+    assert sum(r.rows for r in found) == 4000
+    assert max(r.bytes for r in found) <= 5 << 20
+    session.conf.unset(SETTING)
+    assert [r.n_tokens for r in idfiles.read_ids(session, folder).collect()] == [4]
+    assert max(r.bytes for r in sizes(session)) <= 5 << 20
+    session.conf.set(SETTING, "1m")
+    idfiles.read_ids(session, folder)
+    assert session.conf.get(SETTING) == "1m"
+
+
+def test_files_of_ids_give_back_what_arrow_keeps(spark, tmp_path, monkeypatch):
+    taken = []
+
+    def tasks(frame, function, schema):
+        taken.append(function)
+        return real(frame, function, schema)
+
+    file, folder = public_tokenizers.path("word_bpe_49k.json"), str(tmp_path / "ids")
+    docs = spark.createDataFrame([(1, "so it is"), (2, None)], "doc_id long, text string")
+    real = type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", tasks)
+    idfiles.write_ids(docs, folder, file)
+    idfiles.read_ids(spark, folder)
+    given = []
+
+    class Pool:
+        release_unused = staticmethod(lambda: given.append(1))
+
+    monkeypatch.setattr(common.pa, "default_memory_pool", Pool)
+    texts = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["so it is", ""]})
+    blocks = pa.Table.from_batches(spark.read.parquet(f"{folder}/blocks").toArrow().to_batches())
+    coded = list(taken[0](iter([texts, texts])))
+    assert [b["n_ids"].to_pylist() for b in coded] == [[4, 1]] * 2
+    assert len(given) == 3
+    found = [n for b in taken[-1](iter(blocks.to_batches())) for n in b["n_tokens"].to_pylist()]
+    assert sorted(found) == [1, 4]
+    assert len(given) == 3 + len(blocks.to_batches()) + 1
